@@ -360,10 +360,30 @@ def _order_changes_sql() -> str:
 SQL["order_changes"] = _order_changes_sql()
 
 
+SQL["promotions"] = (
+    "SELECT pr.id, pr.product_id, pr.badge_text, pr.discount_pct, "
+    "CAST(ROUND(p.price * CAST(1 - pr.discount_pct / 100 AS DECIMAL(12,6)), 2) AS DECIMAL(10,2)) AS sale_price, "
+    "pr.promo_type, pr.is_active, pr.start_date, pr.end_date "
+    "FROM promotions_raw pr LEFT JOIN products p ON p.id = pr.product_id")
+
+# CTEs an adapter's SQL refers to.
+SQL_DEPS = {"promotions": ["products", "promotions_raw"]}
+
+
 def with_sql(body: str, *names: str) -> str:
-    """Prefix ``body`` with CTEs for the retail tables it uses."""
-    ctes = ", ".join(f"{n} AS ({SQL[n]})" for n in names)
-    return f"WITH {ctes} {body}" if names else body
+    """Prefix ``body`` with CTEs for the retail tables it uses (dependencies first)."""
+    ordered: list[str] = []
+
+    def add(n: str) -> None:
+        for d in SQL_DEPS.get(n, []):
+            add(d)
+        if n not in ordered:
+            ordered.append(n)
+
+    for n in names:
+        add(n)
+    ctes = ", ".join(f"{n} AS ({SQL[n]})" for n in ordered)
+    return f"WITH {ctes} {body}" if ordered else body
 
 
 # ---------------------------------------------------------------------------
