@@ -223,3 +223,13 @@ def additive_schema_sync(target: DataFrame, changes: DataFrame) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def keyed_ctas(df: DataFrame, parts: list[str], key: str = "row_key") -> DataFrame:
+    """A3: CREATE TABLE AS SELECT sha1(concat(cast(part AS string) ...)) AS key, *.
+
+    A NULL part makes the key NULL (concat semantics); equal parts give equal
+    keys, so pair with ``checks.check_unique`` before using it as a key.
+    """
+    k = F.sha1(F.concat(*[F.col(p).cast("string") for p in parts]))
+    return df.select(k.alias(key), *df.columns)

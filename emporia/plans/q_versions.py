@@ -1,3 +1,249 @@
-"""Registered queries."""
+"""Registered version / restore / drift queries (G2-G9) and sync queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from emporia.operators import catalog as C
+from emporia.operators import loyalty as L
+from emporia.operators import orders as O
+from emporia.operators import sync as Y
+from emporia.operators import versions as V
+from emporia.plans.registry import register
+from emporia.sources.tables import with_sql
+
+KEYS = ["id"]
+ORDER_COLS = "id, customer_id, total, currency, order_date, status"
+RESTORE_AT = "1998-06-30 12:00:00"
+V0, V1 = 60, 72
+
+
+def _latest_sql(where: str) -> str:
+    return (f"(SELECT {ORDER_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY id "
+            f"ORDER BY _commit_version DESC, _seq DESC) AS _rn FROM order_changes WHERE {where}) "
+            f"WHERE _rn = 1 AND _change_type <> 'delete')")
+
+
+AT_SQL = _latest_sql(f"_commit_ts <= TIMESTAMP '{RESTORE_AT}'")
+V0_SQL = _latest_sql(f"_commit_version <= {V0}")
+V1_SQL = _latest_sql(f"_commit_version <= {V1}")
+ALL_SQL = _latest_sql("TRUE")
+
+
+def _changes(t):
+    return t.order_changes
+
+
+@register("as_of", with_sql(f"SELECT * FROM {AT_SQL}", "order_changes"))
+def q_as_of(t):
+    """G2 orders as they were at a given second."""
+    return V.as_of(_changes(t), KEYS, RESTORE_AT)
+
+
+@register("state_at_version", with_sql(f"SELECT * FROM {V0_SQL}", "order_changes"))
+def q_state_at_version(t):
+    """G2 orders after every change up to a version."""
+    return V.state_at_version(_changes(t), KEYS, V0)
+
+
+@register("restore_missing", with_sql(f"""
+    SELECT * FROM {ALL_SQL} UNION ALL
+    SELECT * FROM {AT_SQL} r WHERE r.id NOT IN (SELECT id FROM {ALL_SQL})""", "order_changes"))
+def q_restore_missing(t):
+    """G3 rows deleted since the restore point copied back; live rows kept."""
+    live = V.state_at_version(_changes(t), KEYS, 10 ** 6)
+    return V.restore_missing(live, V.as_of(_changes(t), KEYS, RESTORE_AT), KEYS)
+
+
+@register("row_diff", with_sql(f"""
+    SELECT COALESCE(o.id, n.id) AS id,
+           CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM {V0_SQL} o FULL OUTER JOIN {V1_SQL} n ON o.id = n.id
+    WHERE o.id IS NULL OR n.id IS NULL OR (o.customer_id, o.total, o.currency, o.order_date, o.status)
+          IS DISTINCT FROM (n.customer_id, n.total, n.currency, n.order_date, n.status)""", "order_changes"))
+def q_row_diff(t):
+    """G4 keys added / removed / changed between two versions."""
+    return V.row_diff(V.state_at_version(_changes(t), KEYS, V0), V.state_at_version(_changes(t), KEYS, V1), KEYS)
+
+
+def _migrate_customers(tables):
+    c = tables["customers"]
+    if "loyalty_points" not in c.columns:
+        c = L.backfill_points({"customers": c, "orders": tables["orders"]})
+    if "email_verified" not in c.columns:
+        c = O.email_verified(c)
+    return dict(tables, customers=c)
+
+
+def _migrate_orders(tables):
+    o = tables["orders"]
+    if "priority" not in o.columns:
+        o = O.order_priority(o, 300000, 150000)
+    return dict(tables, orders=o)
+
+
+STEPS = [_migrate_customers, _migrate_orders]
+
+_MIGRATED_SQL = ("(SELECT c.*, pts.loyalty_points, (c.id % 3 = 0) AS email_verified FROM customers c JOIN "
+                 "(SELECT c.id, CAST(COALESCE(SUM(CAST(FLOOR(o.total) AS INTEGER)), 0) AS BIGINT) AS loyalty_points "
+                 "FROM customers c LEFT JOIN orders o ON o.customer_id = c.id GROUP BY c.id) pts ON pts.id = c.id)")
+
+
+@register("replay_migrations", with_sql(f"SELECT * FROM {_MIGRATED_SQL}", "customers", "orders"))
+def q_replay_migrations(t):
+    """G6 migrations replayed twice equal once (customers after replay)."""
+    base = {"customers": t.customers, "orders": t.orders}
+    once = V.replay_migrations(base, STEPS)
+    return V.replay_migrations(once, STEPS)["customers"]
+
+
+@register("reset_to_parent", with_sql(f"SELECT * FROM {_MIGRATED_SQL}", "customers", "orders"))
+def q_reset_to_parent(t):
+    """G7 child reset to the parent's latest state, then its migrations replayed."""
+    child = {"customers": t.customers.limit(0), "orders": t.orders.limit(0)}
+    parent = {"customers": t.customers, "orders": t.orders}
+    return V.reset_to_parent(child, parent, STEPS)["customers"]
+
+
+@register("schema_diff", with_sql(f"""
+    SELECT 'loyalty_points' AS column_name, CAST(NULL AS VARCHAR) AS a_type, 'bigint' AS b_type, 'only_in_b' AS change,
+           COUNT(*) FILTER (WHERE loyalty_points IS NULL) AS null_count, COUNT(DISTINCT loyalty_points) AS distinct_count
+    FROM {_MIGRATED_SQL}
+    UNION ALL
+    SELECT 'email_verified', CAST(NULL AS VARCHAR), 'boolean', 'only_in_b',
+           COUNT(*) FILTER (WHERE email_verified IS NULL), COUNT(DISTINCT email_verified) FROM {_MIGRATED_SQL}""",
+                                  "customers", "orders"))
+def q_schema_diff(t):
+    """G5 drift between production customers and the migrated branch, with a profile."""
+    migrated = V.replay_migrations({"customers": t.customers, "orders": t.orders}, STEPS)["customers"]
+    return V.schema_diff(t.customers, migrated, profile=True)
+
+
+@register("recovery_check", with_sql(f"""
+    SELECT COUNT(*) AS before_rows, CAST(COALESCE(SUM(total), 0) AS DECIMAL(38,2)) AS before_revenue,
+           COUNT(*) AS after_rows, CAST(COALESCE(SUM(total), 0) AS DECIMAL(38,2)) AS after_revenue, true AS match
+    FROM {AT_SQL}""", "order_changes"))
+def q_recovery_check(t):
+    """G8 counts and revenue equal before the loss and after restoring the lost rows."""
+    before = V.as_of(_changes(t), KEYS, RESTORE_AT)
+    damaged = before.filter(F.col("status") != "pending")
+    after = V.restore_missing(damaged, before, KEYS)
+    return V.recovery_check(before, after)
+
+
+_MANIFEST_SQL = ("(SELECT 'orders' AS table_name, _commit_version AS version, max(_commit_ts) AS created_at, "
+                 "COUNT(*) AS changes, CASE WHEN _commit_version % 12 = 0 THEN 'manual' ELSE 'scheduled' END AS kind "
+                 "FROM order_changes GROUP BY _commit_version)")
+
+
+def _manifest(t):
+    return (_changes(t).groupBy("_commit_version").agg(F.max("_commit_ts").alias("created_at"),
+                                                       F.count(F.lit(1)).alias("changes"))
+            .select(F.lit("orders").alias("table_name"), F.col("_commit_version").alias("version"), "created_at",
+                    "changes", F.when(F.pmod("_commit_version", F.lit(12)) == 0, F.lit("manual"))
+                    .otherwise(F.lit("scheduled")).alias("kind")))
+
+
+EXPIRE_NOW = "2001-06-01 00:00:00"
+
+
+@register("expire_snapshots", with_sql(f"""
+    SELECT table_name, version, created_at, changes, kind FROM {_MANIFEST_SQL} m
+    WHERE kind = 'scheduled' AND created_at >= TIMESTAMP '{EXPIRE_NOW}' - INTERVAL 30 DAY
+    UNION ALL SELECT table_name, version, created_at, changes, kind FROM (
+      SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY created_at DESC, version DESC) AS rn
+      FROM {_MANIFEST_SQL} WHERE kind = 'manual') WHERE rn <= 10""", "order_changes"))
+def q_expire_snapshots(t):
+    """G9 snapshot manifest after expiry (30-day retention, at most 10 manual)."""
+    return V.expire_snapshots(_manifest(t), EXPIRE_NOW, 30, 10)
+
+
+# --- sync (A) -----------------------------------------------------------------
+
+@register("sync_triggered", with_sql(f"SELECT * FROM {ALL_SQL}", "order_changes"))
+def q_sync_triggered(t):
+    """A9 target synced to V0, then every later change applied."""
+    target = V.state_at_version(_changes(t), KEYS, V0)
+    return Y.sync_triggered(target, _changes(t), KEYS, since_version=V0)
+
+
+@register("upsert", with_sql(f"SELECT * FROM {V1_SQL}", "order_changes"))
+def q_upsert(t):
+    """E8 merge of versions (V0, V1] into the V0 state, applied twice (idempotent)."""
+    c = _changes(t).filter((F.col("_commit_version") > V0) & (F.col("_commit_version") <= V1))
+    once = Y.upsert(V.state_at_version(_changes(t), KEYS, V0), c, KEYS)
+    return Y.upsert(once, c, KEYS)
+
+
+@register("choose_sync_mode", with_sql(f"""
+    SELECT changed_rows, target_rows, changed_rows / target_rows AS changed_fraction,
+           CASE WHEN changed_rows / target_rows > 0.10 THEN 'snapshot' ELSE 'triggered' END AS mode
+    FROM (SELECT (SELECT COUNT(DISTINCT id) FROM order_changes WHERE _commit_version > {V1}) AS changed_rows,
+                 (SELECT COUNT(*) FROM {V1_SQL}) AS target_rows)""", "order_changes"))
+def q_choose_sync_mode(t):
+    """A11 snapshot vs triggered from the changed-row fraction since the last sync."""
+    target = V.state_at_version(_changes(t), KEYS, V1)
+    return Y.choose_sync_mode(Y.changed_ratio(_changes(t), target, KEYS, V1))
+
+
+_INSERTS_SQL = f"(SELECT {ORDER_COLS} FROM order_changes WHERE _change_type = 'insert')"
+
+
+@register("insert_if_absent", with_sql(f"""
+    SELECT * FROM {V0_SQL} UNION ALL
+    SELECT * FROM {_INSERTS_SQL} i WHERE i.id NOT IN (SELECT id FROM {V0_SQL})""", "order_changes"))
+def q_insert_if_absent(t):
+    """A12 INSERT ... ON CONFLICT (id) DO NOTHING of every inserted order into the V0 state."""
+    ins = _changes(t).filter(F.col("_change_type") == "insert").select(*ORDER_COLS.split(", "))
+    return Y.insert_if_absent(V.state_at_version(_changes(t), KEYS, V0), ins, KEYS)
+
+
+@register("insert_select", with_sql(f"""
+    SELECT * FROM {V0_SQL} UNION ALL
+    SELECT {ORDER_COLS} FROM order_changes WHERE _change_type = 'insert' AND _commit_version > {V0}""",
+                                    "order_changes"))
+def q_insert_select(t):
+    """A13 INSERT INTO target SELECT ... (orders inserted after V0)."""
+    ins = _changes(t).filter((F.col("_change_type") == "insert") & (F.col("_commit_version") > V0))
+    return Y.insert_select(V.state_at_version(_changes(t), KEYS, V0), ins)
+
+
+@register("sync_verify", with_sql(f"""
+    SELECT COUNT(s.id) AS source_rows, COUNT(t.id) AS target_rows,
+           COUNT(*) FILTER (WHERE t.id IS NULL) AS missing_in_target,
+           COUNT(*) FILTER (WHERE s.id IS NULL) AS extra_in_target
+    FROM {ALL_SQL} s FULL OUTER JOIN {V1_SQL} t ON s.id = t.id""", "order_changes"))
+def q_sync_verify(t):
+    """A17 source vs a target synced only up to V1: counts and missing keys."""
+    return Y.sync_verify(V.state_at_version(_changes(t), KEYS, 10 ** 6),
+                         V.state_at_version(_changes(t), KEYS, V1), KEYS)
+
+
+@register("keyed_ctas", with_sql("""
+    SELECT sha1(CAST(order_date AS VARCHAR) || CAST(total AS VARCHAR) || CAST(customer_id AS VARCHAR)) AS row_key, *
+    FROM orders""", "orders"))
+def q_keyed_ctas(t):
+    """A3 content-hash key sha1(concat(cast(...))) prepended to the rows."""
+    return Y.keyed_ctas(t.orders, ["order_date", "total", "customer_id"], "row_key")
+
+
+@register("strip_null_bytes", "SELECT doc_id, replace(text, chr(0), '') AS text, lang, source FROM documents")
+def q_strip_null_bytes(t):
+    """A15 0x00 removed from document text (whole texts)."""
+    return Y.strip_null_bytes(t.raw("documents").select("doc_id", "text", "lang", "source"), ["text"])
+
+
+@register("string_to_binary", None)
+def q_string_to_binary(t):
+    """A16 document text kept as exact bytes (rows-only check)."""
+    return Y.string_to_binary(t.raw("documents").select("doc_id", "text"), ["text"])
+
+
+@register("map_types_for_sync", None)
+def q_map_types_for_sync(t):
+    """A14 nested columns turned into JSON for the serving copy (rows-only check)."""
+    o = t.orders.select("id", "total", "order_date",
+                        F.struct("currency", "status").alias("info"),
+                        F.array("customer_id", "id").alias("refs"),
+                        F.create_map(F.col("currency"), F.col("status")).alias("tags"))
+    return Y.map_types_for_sync(o)[0]

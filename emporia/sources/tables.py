@@ -63,6 +63,8 @@ def customers_from(customer: DataFrame) -> DataFrame:
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("name"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_nationkey").alias("nation_id"),
     )
 
 
@@ -290,7 +292,8 @@ _ITEM_ORDER_SQL = ("l_orderkey, l_partkey, l_linenumber, l_suppkey, l_extendedpr
                    "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
 
 SQL: dict[str, str] = {
-    "customers": "SELECT c_custkey AS id, c_name AS name, lower(c_name) || '@example.com' AS email FROM customer",
+    "customers": ("SELECT c_custkey AS id, c_name AS name, lower(c_name) || '@example.com' AS email, "
+                  "c_mktsegment AS segment, c_nationkey AS nation_id FROM customer"),
     "products": ("SELECT p_partkey AS id, p_name AS name, CAST(p_retailprice AS DECIMAL(18,2)) AS price, "
                  "p_type AS category FROM part"),
     "orders": (f"SELECT o_orderkey AS id, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(18,2)) AS total, "
