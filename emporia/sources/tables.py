@@ -261,7 +261,8 @@ def query_log_from(events: DataFrame) -> DataFrame:
 
     query text = 'SELECT * FROM <event_type> WHERE amount = <value in cents>';
     duration_ms = value; status 'Error' for error events else 'OK';
-    operation: signup/purchase insert, click update, error delete, view select.
+    operation: signup/purchase insert, click update, error delete, view select;
+    cache_hit (reads only): the value's cents are not a multiple of 100.
     """
     cents = F.floor(F.col("value") * 100).cast("long").cast("string")
     op = (F.when(F.col("event_type").isin("signup", "purchase"), F.lit("insert"))
@@ -278,6 +279,7 @@ def query_log_from(events: DataFrame) -> DataFrame:
         op.alias("operation"),
         F.col("event_type"),
         F.col("value"),
+        F.when(op == "select", F.pmod(F.floor(F.col("value") * 100), F.lit(100)) != 0).alias("cache_hit"),
     )
 
 
@@ -340,7 +342,9 @@ SQL: dict[str, str] = {
         "'SELECT * FROM ' || event_type || ' WHERE amount = ' || CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) AS query, "
         "value AS duration_ms, CASE WHEN event_type = 'error' THEN 'Error' ELSE 'OK' END AS status, "
         "CASE WHEN event_type IN ('signup', 'purchase') THEN 'insert' WHEN event_type = 'click' THEN 'update' "
-        "WHEN event_type = 'error' THEN 'delete' ELSE 'select' END AS operation, event_type, value FROM events"),
+        "WHEN event_type = 'error' THEN 'delete' ELSE 'select' END AS operation, event_type, value, "
+        "CASE WHEN event_type NOT IN ('signup', 'purchase', 'click', 'error') "
+        "THEN CAST(floor(value * 100) AS BIGINT) % 100 <> 0 END AS cache_hit FROM events"),
 }
 
 
