@@ -57,7 +57,7 @@ def in_list(df: DataFrame, keys: DataFrame | list, col: str = "id", key_col: str
     if isinstance(keys, list):
         return df.filter(F.col(col).isin(keys))
     k = key_col or col
-    return df.join(keys.select(F.col(k).alias(col)).distinct(), col, "left_semi")
+    return df.join(keys.select(F.col(k).alias(col)), col, "left_semi")
 
 
 def stock_status(df: DataFrame, quantity_col: str = "stock", reorder_col: str = "reorder_level") -> DataFrame:

@@ -44,16 +44,16 @@ def check_domain(df: DataFrame, col: str, values=None, low=None, high=None) -> D
 
 def check_foreign_key(child: DataFrame, cols: list[str], parent: DataFrame, keys: list[str]) -> DataFrame:
     """child rows whose key has no parent row (NULL in any key column passes)."""
-    p = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, cols)]).distinct()
+    p = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, cols)])
     not_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    return child.filter(not_null).join(p, cols, "left_anti")
+    return child.filter(not_null).join(p, cols, "left_anti").select(*child.columns)
 
 
 def cascade_delete(child: DataFrame, cols: list[str], parent: DataFrame, keys: list[str]) -> DataFrame:
     """ON DELETE CASCADE -- keep child rows whose parent survives (or whose key is NULL)."""
-    p = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, cols)]).distinct()
+    p = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, cols)])
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return child.filter(null_key).unionByName(child.filter(~null_key).join(p, cols, "left_semi"))
+    return child.filter(null_key).unionByName(child.filter(~null_key).join(p, cols, "left_semi").select(*child.columns))
 
 
 def summary(checks: dict[str, DataFrame]) -> DataFrame:

@@ -78,7 +78,7 @@ class TableStore:
                 rows=None, keys=None, batch_id=None, source_version=None, properties=None, at=None) -> int:
         prev = self._latest_row(name)
         version = 0 if prev is None else prev["version"] + 1
-        row = (name, version, kind, label, at or dt.datetime.utcnow().replace(microsecond=0), rows,
+        row = (name, version, kind, label, at or dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None), rows,
                list(base_paths), list(change_paths), list(keys) if keys else (list(prev["keys"]) if prev and prev["keys"] else None),
                batch_id, source_version if source_version is not None else (prev["source_version"] if prev else None),
                schema.json(), json.dumps(properties) if properties else (prev["properties"] if prev else None))
