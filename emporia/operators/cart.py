@@ -182,16 +182,32 @@ def conditional_decrement(inventory: DataFrame, demand: DataFrame) -> DataFrame:
                       else F.col(c) for c in inventory.columns])
 
 
+class CheckoutResult(dict):
+    """Outputs of a checkout, built on first access: asking only for the new
+    inventory does not assign order ids (which materialises a checkpoint)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        value = self._builders[key]()
+        self[key] = value
+        return value
+
+    def keys(self):
+        return self._builders.keys()
+
+
 def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool = False,
-             orders_start=None, items_start=None) -> dict[str, DataFrame]:
+             orders_start=None, items_start=None) -> CheckoutResult:
     """H5: place every valid cart: one pending USD order and one item per line
     (total = round(price * qty, 2) at full price unless ``use_sale_price``),
     stock decremented (E5), points awarded (E6). New ids continue after the
     current maximum (E7), ordered by (customer, product).
 
     Returns new 'orders', new 'order_items', updated 'inventory' and the
-    per-customer 'points' earned. Callers cache or checkpoint ``accepted``
-    once when they materialise several outputs.
+    per-customer 'points' earned, each built lazily on first access.
     """
     lines = accepted_lines(cart, t, shoppers)
     if use_sale_price:
@@ -200,22 +216,42 @@ def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool =
                  .withColumn("price", F.when(F.col("sale_price").isNotNull() & (F.col("sale_price") != 0),
                                              F.col("sale_price")).otherwise(F.col("price")))
                  .drop("sale_price"))
-    start = orders_start if orders_start is not None else \
-        table(t, "orders").select((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("s"))
     total = F.round(F.col("price") * F.col("quantity"), 2).cast("decimal(18,2)")
-    new_orders = dense_ids(lines.select("customer_id", "product_id", "quantity", "price"),
-                           ["customer_id", "product_id"], "id", start)
-    orders = new_orders.select(
-        "id", "customer_id", "product_id", "quantity", total.alias("total"),
-        F.lit("USD").alias("currency"), F.lit(at).cast("timestamp_ntz").alias("order_date"),
-        F.lit("pending").alias("status"))
-    item_start = items_start if items_start is not None else 1
-    items = new_orders.select(
-        F.col("id").alias("order_id"), "customer_id", "product_id", "quantity",
-        F.col("price").cast("decimal(18,2)").alias("unit_price"), total.alias("line_total"))
-    items = dense_ids(items, ["order_id"], "id", item_start).drop("customer_id")
-    inventory = conditional_decrement(table(t, "inventory"), lines.select("product_id", "quantity"))
-    return {"orders": orders, "order_items": items, "inventory": inventory, "points": checkout_points(lines)}
+    memo = {}
+
+    def numbered():
+        if "n" not in memo:
+            start = orders_start if orders_start is not None else \
+                table(t, "orders").select((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("s"))
+            memo["n"] = dense_ids(lines.select("customer_id", "product_id", "quantity", "price"),
+                                  ["customer_id", "product_id"], "id", start)
+        return memo["n"]
+
+    def orders():
+        return numbered().select(
+            "id", "customer_id", "product_id", "quantity", total.alias("total"),
+            F.lit("USD").alias("currency"), F.lit(at).cast("timestamp_ntz").alias("order_date"),
+            F.lit("pending").alias("status"))
+
+    def items():
+        it = numbered().select(
+            F.col("id").alias("order_id"), "product_id", "quantity",
+            F.col("price").cast("decimal(18,2)").alias("unit_price"), total.alias("line_total"))
+        # Item ids follow order ids one to one: same offset, no second numbering pass.
+        start = items_start if items_start is not None else 1
+        first_order = orders_start if orders_start is not None else \
+            table(t, "orders").select((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("s"))
+        s_items = F.lit(start) if isinstance(start, int) else start.scalar()
+        s_orders = F.lit(first_order) if isinstance(first_order, int) else first_order.scalar()
+        return it.select((F.col("order_id") - s_orders + s_items).cast("long").alias("id"), "order_id",
+                         "product_id", "quantity", "unit_price", "line_total")
+
+    return CheckoutResult({
+        "orders": orders,
+        "order_items": items,
+        "inventory": lambda: conditional_decrement(table(t, "inventory"), lines.select("product_id", "quantity")),
+        "points": lambda: checkout_points(lines),
+    })
 
 
 def allocate_stock(cart: DataFrame, inventory: DataFrame, bucket_width: str = "1 hour") -> DataFrame:
