@@ -7,8 +7,8 @@ into one task. Instead:
    leading key is split across partitions by the following columns) and sort
    inside each partition;
 2. tag rows with ``monotonically_increasing_id`` (partition index in the high
-   bits, position in the low bits) and checkpoint, so the tags survive a lost
-   executor unchanged;
+   bits, position in the low bits) and write them once to a parquet table in
+   the shared checkpoint folder, so the tags survive a lost executor unchanged;
 3. count rows per partition -- one row per partition, a proven size bound --
    and turn the counts into start offsets;
 4. broadcast the offsets and add them to each row's position.
@@ -16,6 +16,8 @@ into one task. Instead:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +32,17 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id", start: i
     ``max(id) + 1`` of a target table); it is read as a scalar subquery.
     """
     spark = df.sparkSession
-    from emporia.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    from emporia.session import checkpoint_dir
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    # The tags must not change if a task is recomputed: write them once as a
+    # parquet table in the shared checkpoint folder and read that back
+    # (columnar, cheaper than the serialized blocks of Dataset.checkpoint).
+    path = f"{checkpoint_dir(spark).rstrip('/')}/emporia-ids-{uuid.uuid4().hex}"
+    (df.repartitionByRange(n, *order_cols)
+       .sortWithinPartitions(*order_cols)
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .write.parquet(path))
+    tagged = spark.read.parquet(path)
     part = F.shiftrightunsigned(F.col("_mid"), _LOW_BITS)
     pos = F.col("_mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))

@@ -254,7 +254,7 @@ def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool =
     })
 
 
-def allocate_stock(cart: DataFrame, inventory: DataFrame, bucket_width: str = "1 hour") -> DataFrame:
+def allocate_stock(cart: DataFrame, inventory: DataFrame, bucket_unit: str = "hour") -> DataFrame:
     """H7: many carts at once, first come first served per product.
 
     Lines are ordered per product by (cart time, customer); a line is granted
@@ -262,11 +262,12 @@ def allocate_stock(cart: DataFrame, inventory: DataFrame, bucket_width: str = "1
     line still counts in the demand (the same line would have been rejected
     by a single-cart checkout at that moment). For one cart this equals the
     reference's stock check. The running sum is two-level (see
-    ``functions.windows.running_sum``) so a hot product stays parallel.
+    ``functions.windows.running_sum``) so a hot product stays parallel;
+    ``bucket_unit`` ('minute', 'hour', 'day') sets how finely it is split.
     """
     stock = _stock_per_product(inventory)
     with_stock = cart.join(stock, "product_id", "left").withColumn(
         "stock", F.coalesce(F.col("stock"), F.lit(0)))
     rs = running_sum(with_stock, ["product_id"], ["ts", "customer_id"], "quantity", "running_demand",
-                     F.date_trunc("hour" if bucket_width == "1 hour" else "day", F.col("ts")))
+                     F.date_trunc(bucket_unit, F.col("ts")))
     return rs.withColumn("granted", F.col("running_demand") <= F.col("stock"))

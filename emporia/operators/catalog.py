@@ -250,3 +250,17 @@ def catalog_counts(t) -> DataFrame:
     p = table(t, "products")
     return p.agg(F.count(F.lit(1)).alias("total_products"),
                  F.countDistinct("category").alias("total_categories"))
+
+
+def leads_high_quality(leads: DataFrame, quality: str = "High") -> DataFrame:
+    """SELECT company, industry, notes FROM customer_leads WHERE lead_quality = quality."""
+    return leads.filter(F.col("lead_quality") == quality).select("company", "industry", "notes")
+
+
+def stock_by_product(t) -> DataFrame:
+    """Quantity and reserved summed over warehouses; available = quantity - reserved."""
+    inv = table(t, "inventory")
+    return inv.groupBy("product_id").agg(
+        F.sum("quantity").alias("quantity"), F.sum("reserved").alias("reserved"),
+        F.count(F.lit(1)).alias("warehouses"),
+    ).withColumn("available", F.col("quantity") - F.col("reserved"))

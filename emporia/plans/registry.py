@@ -45,6 +45,6 @@ def register(key: str, sql: str | None, doc: str = ""):
 def load_all() -> dict[str, Query]:
     # Importing the plan modules fills REGISTRY.
     from emporia.plans import (  # noqa: F401
-        q_catalog, q_orders, q_loyalty, q_promos, q_checks, q_versions, q_cart, q_activity, q_access,
+        q_catalog, q_orders, q_loyalty, q_promos, q_checks, q_versions, q_cart, q_activity, q_access, q_store,
     )
     return REGISTRY

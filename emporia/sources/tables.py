@@ -185,6 +185,27 @@ def promotions_raw_from(part: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
+LEAD_HIGH, LEAD_MEDIUM = 5000, 0
+
+
+def customer_leads_from(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Sales leads: one per customer; industry = market segment, state = nation,
+    lead_quality High (balance > 5000) / Medium (> 0) / Low."""
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("state"))
+    bal = F.col("c_acctbal")
+    quality = F.when(bal > LEAD_HIGH, F.lit("High")).when(bal > LEAD_MEDIUM, F.lit("Medium")).otherwise(F.lit("Low"))
+    return customer.join(n, "c_nationkey", "left").select(
+        F.col("c_custkey").alias("lead_id"),
+        F.col("c_name").alias("company"),
+        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+        F.col("c_mktsegment").alias("industry"),
+        F.col("state"),
+        quality.alias("lead_quality"),
+        F.concat(F.lit("segment "), F.col("c_mktsegment"), F.lit(", balance "),
+                 F.col("c_acctbal").cast("decimal(18,2)").cast("string")).alias("notes"),
+    )
+
+
 EXCHANGE_SCHEMA = T.StructType([
     T.StructField("id", T.IntegerType(), False),
     T.StructField("currency_code", T.StringType(), False),
@@ -337,6 +358,12 @@ SQL: dict[str, str] = {
         "CASE WHEN event_type <> 'error' THEN event_id % (SELECT count(*) FROM part) END AS product_id, "
         "CASE WHEN event_type <> 'error' THEN CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS INTEGER) END AS quantity "
         "FROM events WHERE event_type IN ('click', 'purchase', 'error')"),
+    "customer_leads": (
+        "SELECT c.c_custkey AS lead_id, c.c_name AS company, lower(c.c_name) || '@example.com' AS email, "
+        "c.c_mktsegment AS industry, n.n_name AS state, "
+        "CASE WHEN c.c_acctbal > 5000 THEN 'High' WHEN c.c_acctbal > 0 THEN 'Medium' ELSE 'Low' END AS lead_quality, "
+        "'segment ' || c.c_mktsegment || ', balance ' || CAST(CAST(c.c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS notes "
+        "FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey"),
     "query_log": (
         "SELECT event_id AS query_id, ts, user_id, "
         "'SELECT * FROM ' || event_type || ' WHERE amount = ' || CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) AS query, "
@@ -454,6 +481,10 @@ class Tables:
     def order_changes(self) -> DataFrame:
         return order_changes_from(self.raw("orders"))
 
+    @cached_property
+    def customer_leads(self) -> DataFrame:
+        return customer_leads_from(self.raw("customer"), self.raw("nation"))
+
     @cached_property
     def query_log(self) -> DataFrame:
         return query_log_from(self.raw("events"))
