@@ -144,6 +144,9 @@ def _stock_rows(t) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("_wh_rows")))
 
 
+PAGE_PREFILTER_MAX = 10000
+
+
 def catalog_listing(t, category: str = "", search: str = "", limit: int | None = 50, offset: int = 0,
                     with_loyalty: bool = True) -> DataFrame:
     """Products + stock + avg rating + review count, as the storefront lists them.
@@ -156,8 +159,17 @@ def catalog_listing(t, category: str = "", search: str = "", limit: int | None =
     ``limit=None`` returns the whole listing.
     """
     p = catalog_filter(table(t, "products"), category, search)
-    inv = _stock_rows(t).withColumnRenamed("product_id", "id")
-    rv = (table(t, "reviews").groupBy("product_id")
+    inv_rows, reviews = table(t, "inventory"), table(t, "reviews")
+    if limit is not None and offset + limit <= PAGE_PREFILTER_MAX:
+        # Each product lists at least once, so a page lies within the first
+        # offset + limit products by id: join only those (a bounded broadcast).
+        p = F.broadcast(top_k(p, offset + limit, F.col("id").asc()))
+        ids = p.select(F.col("id").alias("product_id"))
+        inv_rows = inv_rows.join(ids, "product_id", "left_semi")
+        reviews = reviews.join(ids, "product_id", "left_semi")
+    inv = (inv_rows.groupBy("product_id", "quantity").agg(F.count(F.lit(1)).alias("_wh_rows"))
+           .withColumnRenamed("product_id", "id"))
+    rv = (reviews.groupBy("product_id")
           .agg(F.count(F.lit(1)).alias("_n"),
                F.sum("rating").alias("_sum"))
           .withColumnRenamed("product_id", "id"))
@@ -231,10 +243,20 @@ def best_sellers(t, n: int = 8, mode: str = "correct") -> DataFrame:
                 * F.coalesce(F.col("_wh_rows"), F.lit(1))).cast("long")
         stock = F.coalesce(F.col("quantity"), F.lit(0))
     elif mode == "correct":
-        inv = (table(t, "inventory").groupBy("product_id")
+        # The ranking needs only (units, id): take the top n of the unit
+        # aggregate first (products it sells must exist: semi join), then join
+        # just those n rows. Every later join is a broadcast bounded by n, and
+        # reviews / inventory are filtered to n products before aggregating.
+        top = F.broadcast(top_k(units.join(p.select("id"), "id", "left_semi"), n,
+                                F.col("_units").desc_nulls_first(), F.col("id").asc()))
+        ids = top.select(F.col("id").alias("product_id"))
+        inv = (table(t, "inventory").join(ids, "product_id", "left_semi").groupBy("product_id")
                .agg(F.sum("quantity").alias("quantity"))
                .withColumnRenamed("product_id", "id"))
-        j = units.join(p, "id").join(inv, "id", "left").join(rv, "id", "left")
+        rv = (table(t, "reviews").join(ids, "product_id", "left_semi").groupBy("product_id")
+              .agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
+              .withColumnRenamed("product_id", "id"))
+        j = top.join(p, "id").join(inv, "id", "left").join(rv, "id", "left")
         sold = F.col("_units").cast("long")
         stock = F.coalesce(F.col("quantity"), F.lit(0)).cast("long")
     else:

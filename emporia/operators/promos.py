@@ -52,10 +52,15 @@ def promo_deals(t, n: int = 8) -> DataFrame:
     A product with two active promos (or two warehouses) appears more than
     once, as in the reference; promo id then stock break ties.
     """
+    p = table(t, "products")
     pr = active_promos(table(t, "promotions")).select(
         F.col("id").alias("promo_id"), "product_id", "badge_text", "discount_pct", "sale_price")
-    p = table(t, "products")
-    inv = table(t, "inventory").select(F.col("product_id").alias("id"), "quantity")
+    # Each promo of an existing product yields at least one row, so the top n
+    # rows come from the top n such promos: rank promos first, then join n rows.
+    pr = F.broadcast(top_k(pr.join(p.select(F.col("id").alias("product_id")), "product_id", "left_semi"), n,
+                           F.col("discount_pct").desc_nulls_first(), F.col("promo_id").asc()))
+    inv = (table(t, "inventory").join(pr.select(F.col("product_id")), "product_id", "left_semi")
+           .select(F.col("product_id").alias("id"), "quantity"))
     j = (pr.join(p, pr.product_id == p.id).drop("product_id")
          .join(inv, "id", "left"))
     out = j.select("id", "name", "price", "category",

@@ -189,7 +189,7 @@ def q_catalog_counts(t):
 
 
 @register("add_column_default", with_sql("""
-    SELECT id, name, email, CAST(0 AS INTEGER) AS loyalty_points FROM customers""", "customers"))
+    SELECT *, CAST(0 AS INTEGER) AS loyalty_points FROM customers""", "customers"))
 def q_add_column_default(t):
     """B15 ADD COLUMN IF NOT EXISTS ... DEFAULT 0 (applied twice = once)."""
     df = C.add_column_default(t.customers, "loyalty_points", "int", 0)

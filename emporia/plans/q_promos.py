@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from emporia.functions import scalars as S
 from emporia.operators import catalog as C
 from emporia.operators import promos as P
 from emporia.plans.registry import register
@@ -67,7 +68,20 @@ def q_set_where(t):
     return P.reprice_promo(t.promotions, REPRICED_ID)
 
 
-@register("best_sellers_with_promos", None)
+@register("best_sellers_with_promos", with_sql(f"""
+    SELECT bs.*, b.badge_text, b.discount_pct, b.sale_price FROM (
+      SELECT p.id, p.name, p.price, p.category, CAST(COALESCE(inv.quantity, 0) AS BIGINT) AS stock,
+             CAST(u.units AS BIGINT) AS units_sold,
+             CAST(COALESCE({S.half_up_div_sql('_sum', '_n', 1)}, 0) AS DECIMAL(18,1)) AS avg_rating,
+             CAST(FLOOR(p.price) AS INTEGER) AS loyalty_points_earned
+      FROM (SELECT product_id, SUM(quantity) AS units FROM order_items GROUP BY product_id) u
+      JOIN products p ON p.id = u.product_id
+      LEFT JOIN (SELECT product_id, SUM(quantity) AS quantity FROM inventory GROUP BY product_id) inv ON inv.product_id = p.id
+      LEFT JOIN (SELECT product_id, COUNT(*) AS _n, SUM(rating) AS _sum FROM reviews GROUP BY product_id) r ON r.product_id = p.id
+      ORDER BY units_sold DESC, p.id LIMIT 8) bs
+    LEFT JOIN (SELECT product_id, arg_max(badge_text, id) AS badge_text, arg_max(discount_pct, id) AS discount_pct,
+                      arg_max(sale_price, id) AS sale_price FROM promotions WHERE is_active GROUP BY product_id) b
+      ON b.product_id = bs.id""", "products", "order_items", "inventory", "reviews", "promotions"))
 def q_best_sellers_with_promos(t):
-    """D4 + C10: the storefront's featured best sellers with promo overlay (rows-only check)."""
+    """D4 + C10: the storefront's featured best sellers with the promo overlay."""
     return P.promo_overlay(C.best_sellers(t, 8, "correct"), t.promotions)

@@ -42,6 +42,8 @@ def test_best_sellers_aggregates_before_shuffle(spark, sf_dir):
     assert "TakeOrderedAndProject" in p
     assert p.count("HashAggregate") >= 6  # partial + final for items, reviews, inventory
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in p
+    # Only the top rows are joined to products / reviews / inventory, by broadcast.
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p
 
 
 def test_top_n_per_product_limited_before_shuffle(spark, sf_dir):
