@@ -69,3 +69,11 @@ def q_tier_distribution(t):
 def q_member_profile(t):
     """C8 loyalty members JOIN customers on email."""
     return L.member_profile(t, _members(t))
+
+
+@register("enroll_members_exact_replay", with_sql(f"SELECT * FROM {_MEMBERS_SQL} UNION ALL SELECT * FROM {_MEMBERS_SQL}",
+                                                  "customers", "orders"))
+def q_enroll_members_exact_replay(t):
+    """E2 exact=True: the reference's ON CONFLICT (id) never fires, so a replay duplicates every member."""
+    first = _members(t)
+    return L.enroll_members(L.backfill_points(t), ENROLLED_AT, TD_CUTS, existing=first, exact=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from emporia.functions import scalars as S
 from emporia.operators import orders as O
 from emporia.plans.registry import register
@@ -158,7 +160,46 @@ def q_table_counts(t):
     return O.table_counts(t, _COUNTED)
 
 
-@register("rates_values", with_sql("SELECT * FROM exchange_rates", "exchange_rates"))
+@register("rates_values", with_sql("""
+    SELECT er.*, COALESCE(u.orders, 0) AS orders
+    FROM exchange_rates er LEFT JOIN (SELECT currency, COUNT(*) AS orders FROM orders GROUP BY currency) u
+      ON u.currency = er.currency_code""", "exchange_rates", "orders"))
 def q_rates_values(t):
-    """A2 literal rows as a table (exchange rates)."""
-    return t.exchange_rates
+    """A2 literal rows as a table (exchange rates), with how many orders use each."""
+    use = t.orders.groupBy("currency").agg(F.count(F.lit(1)).alias("orders"))
+    return (t.exchange_rates.join(use, F.col("currency_code") == F.col("currency"), "left")
+            .select(*t.exchange_rates.columns, F.coalesce(F.col("orders"), F.lit(0)).alias("orders")))
+
+
+@register("top_customers_by_spend_id", with_sql("""
+    SELECT c.id AS customer_id, c.name, COUNT(o.id) AS order_count,
+           CAST(ROUND(SUM(o.total), 2) AS DECIMAL(38,2)) AS total_spent
+    FROM customers c JOIN orders o ON c.id = o.customer_id
+    GROUP BY c.id, c.name ORDER BY total_spent DESC, c.id LIMIT 5""", "customers", "orders"))
+def q_top_customers_by_spend_id(t):
+    """D10 with by='id': namesakes kept apart."""
+    return O.top_customers_by_spend(t, 5, "id")
+
+
+ONE_ORDER = 32
+
+
+@register("order_detail_one", with_sql(f"""
+    SELECT o.id, c.name AS customer, o.order_date, o.status, o.total, o.currency
+    FROM orders o JOIN customers c ON c.id = o.customer_id
+    WHERE o.id = {ONE_ORDER} AND o.customer_id = (SELECT customer_id FROM orders WHERE id = {ONE_ORDER})""",
+                                       "orders", "customers"))
+def q_order_detail_one(t):
+    """C3 for one order of its own customer (the storefront call)."""
+    cust = t.orders.filter(F.col("id") == ONE_ORDER).select("customer_id")
+    scoped = {"orders": t.orders.join(cust, "customer_id", "left_semi"), "customers": t.customers}
+    return O.order_detail(scoped, order=ONE_ORDER)
+
+
+@register("order_lines_one", with_sql(f"""
+    SELECT oi.id, oi.order_id, p.name AS product, oi.quantity, oi.unit_price, oi.line_total
+    FROM order_items_ided oi JOIN products p ON p.id = oi.product_id WHERE oi.order_id = {ONE_ORDER}
+    ORDER BY oi.id""", "order_items_ided", "products"))
+def q_order_lines_one(t):
+    """C4 lines of one order, by item id."""
+    return O.order_lines(t, order=ONE_ORDER).orderBy("id")

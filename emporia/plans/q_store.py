@@ -69,12 +69,16 @@ def q_read_serving_prices(t):
                                price_col="p_retailprice")
 
 
-@register("create_table_schema", with_sql("SELECT * FROM promotions WHERE false", "promotions"))
+@register("create_table_schema", with_sql("SELECT * FROM promotions", "promotions"))
 def q_create_table_schema(t):
-    """A4 typed empty table with comment and properties, read back."""
+    """A4 typed empty table with comment and properties, then seeded (A6) and read back."""
     st = _store(t)
     st.create("promotions", t.promotions.schema, comment="Spring Sale promotions",
               properties={"change_feed": "true"}, keys=["id"])
+    created = st.read("promotions").schema
+    if [(f.name, f.dataType) for f in created] != [(f.name, f.dataType) for f in t.promotions.schema]:
+        raise AssertionError("created table does not have the declared schema")
+    st.append(t.promotions, "promotions")
     return st.read("promotions")
 
 
