@@ -54,3 +54,15 @@ def test_top_n_per_product_limited_before_shuffle(spark, sf_dir):
 def test_latest_change_per_key_is_a_hash_aggregate(spark, sf_dir):
     p = plan(QUERIES["as_of"](spark, sf_dir))
     assert "max_by" in p and "Window" not in p
+
+
+def test_cart_fold_is_partial_aggregation(spark, sf_dir):
+    p = plan(QUERIES["cart_state"](spark, sf_dir))
+    assert "partial_max" in p
+    assert "collect_list" not in p and "collect_set" not in p
+
+
+def test_dense_ids_window_only_over_partition_counts(spark, sf_dir):
+    p = plan(QUERIES["order_lines"](spark, sf_dir))
+    # The only window is over per-partition counts; the rows are joined to it by broadcast.
+    assert "BroadcastHashJoin" in p
