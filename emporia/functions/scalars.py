@@ -62,24 +62,36 @@ def points_for_price(price: str | Column) -> Column:
     return F.floor(col(price)).cast("int")
 
 
-def _floor_div(a: Column, b: Column) -> Column:
-    """Exact floor(a / b) for integral decimals a >= 0, b > 0 (no float rounding)."""
-    a = a.cast("decimal(38,0)")
-    b = b.cast("decimal(38,0)")
-    return ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+def _unit(scale: int) -> Column:
+    """10^-scale as a literal DECIMAL(scale+1, scale)."""
+    return F.lit(f"0.{'0' * (scale - 1)}1" if scale else "1").cast(f"decimal({scale + 1},{scale})")
 
 
 def half_up_div(num: str | Column, den: str | Column, scale: int) -> Column:
     """Exact ``round(num / den, scale)`` (half up) for integral num >= 0, den > 0.
 
-    Integer arithmetic, so the result does not depend on float rounding.
-    Returns DECIMAL(38, scale); NULL when den is 0 or NULL.
+    64-bit integer arithmetic (``div``), then the integer is scaled into a
+    DECIMAL(18, scale): no float rounding and no wide-decimal slow path, so it
+    is cheap enough per row. Needs num * 2 * 10^scale + den < 2^63; for sums
+    that may grow past that use ``half_up_div_wide``. NULL when den is 0/NULL.
     """
     p = 10 ** scale
+    n = col(num).cast("long")
+    d = col(den).cast("long")
+    q = F.call_function("div", n * (2 * p) + d, d * 2)
+    return F.when(d > 0, (q.cast("decimal(18,0)") * _unit(scale)).cast(f"decimal(18,{scale})"))
+
+
+def half_up_div_wide(num: str | Column, den: str | Column, scale: int) -> Column:
+    """``half_up_div`` in DECIMAL(38,0) for per-group values of any size
+    (used once per group, where the wide-decimal cost does not matter)."""
+    p = 10 ** scale
     n = col(num).cast("decimal(38,0)")
     d = col(den).cast("decimal(38,0)")
-    q = _floor_div(n * (2 * p) + d, d * 2)
-    return F.when(d > 0, (q / F.lit(p)).cast(f"decimal(38,{scale})"))
+    a = n * (2 * p) + d
+    b = d * 2
+    q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+    return F.when(d > 0, (q * _unit(scale)).cast(f"decimal(38,{scale})"))
 
 
 def half_up_div_sql(num: str, den: str, scale: int) -> str:
@@ -91,15 +103,14 @@ def half_up_div_sql(num: str, den: str, scale: int) -> str:
 def avg_round(amount: str | Column, scale: int, unit_scale: int = 0) -> Column:
     """Aggregate: exact half-up ROUND(AVG(x), scale) for x >= 0 with ``unit_scale`` decimals.
 
-    x is turned into an integer count of its smallest unit before summing, so
-    the sum is exact (and partial-aggregates map side); the average is then
-    rounded in integer arithmetic. Returns DECIMAL(18, scale).
+    Per row only the plain SUM and COUNT run (partial aggregation map side;
+    a decimal sum stays on Spark's compact-long fast path). Once per group the
+    sum is turned into integer units and divided exactly. DECIMAL(18, scale).
     """
     a = col(amount)
-    u = 10 ** unit_scale
-    units = F.sum(F.round(a * u).cast("decimal(38,0)"))
-    d = F.count(a) * u
-    return half_up_div(units, d, scale).cast(f"decimal(18,{scale})")
+    units = (F.sum(a) * (10 ** unit_scale)).cast("decimal(38,0)")
+    d = F.count(a) * (10 ** unit_scale)
+    return half_up_div_wide(units, d, scale).cast(f"decimal(18,{scale})")
 
 
 def avg_round_sql(amount: str, scale: int, unit_scale: int = 0) -> str:

@@ -53,7 +53,7 @@ def slowest_queries(log: DataFrame, n: int = 20) -> DataFrame:
         F.count(F.lit(1)).alias("calls"),
         F.sum("_ms").cast("decimal(38,2)").alias("total_exec_time"),
         S.avg_round("_ms", 3, 2).alias("mean_exec_time"))
-    g = g.withColumn("avg_time_ms", S.half_up_div((F.col("total_exec_time") * 100), F.col("calls") * 100, 3)
+    g = g.withColumn("avg_time_ms", S.half_up_div_wide((F.col("total_exec_time") * 100), F.col("calls") * 100, 3)
                      .cast("decimal(18,3)"))
     return top_k(g, n, F.col("mean_exec_time").desc_nulls_first(), F.col("normalized_query").asc())
 

@@ -239,9 +239,11 @@ def q_string_to_binary(t):
     return Y.string_to_binary(t.raw("documents").select("doc_id", "text"), ["text"])
 
 
-@register("map_types_for_sync", None)
+@register("map_types_for_sync", with_sql("""
+    SELECT id, total, order_date, to_json({'currency': currency, 'status': status}) AS info,
+           to_json([customer_id, id]) AS refs, to_json(MAP([currency], [status])) AS tags FROM orders""", "orders"))
 def q_map_types_for_sync(t):
-    """A14 nested columns turned into JSON for the serving copy (rows-only check)."""
+    """A14 nested columns turned into JSON text for the serving copy."""
     o = t.orders.select("id", "total", "order_date",
                         F.struct("currency", "status").alias("info"),
                         F.array("customer_id", "id").alias("refs"),
