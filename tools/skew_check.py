@@ -26,12 +26,19 @@ sys.path.insert(0, ROOT)
 
 def _stage_shares(log_dir: str) -> dict[int, dict]:
     """stage id -> {tasks, records, max_share, name} from the event log."""
-    files = [f for f in glob.glob(os.path.join(log_dir, "*")) if not f.endswith(".inprogress")] or \
-        glob.glob(os.path.join(log_dir, "*"))
+    # Spark 4 writes rolling event logs: a directory of event files per app.
+    files = sorted(f for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True)
+                   if os.path.isfile(f) and "appstatus" not in os.path.basename(f))
     per_stage: dict[int, list[int]] = {}
     names: dict[int, str] = {}
     for path in files:
-        with open(path) as fh:
+        if path.endswith(".zstd"):
+            import io
+            import zstandard
+            fh = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(open(path, "rb")), encoding="utf-8")
+        else:
+            fh = open(path, encoding="utf-8")
+        with fh:
             for line in fh:
                 ev = json.loads(line)
                 if ev.get("Event") == "SparkListenerStageSubmitted":
@@ -64,10 +71,13 @@ def main(argv):
     b = (SparkSession.builder.master("local[8]").appName("emporia-skew")
          .config("spark.sql.shuffle.partitions", "16")
          .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
-         # small advisory size so AQE keeps several reduce partitions on this data
-         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k"))
+         .config("spark.eventLog.compress", "false")
+         )
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    # Keep all 16 reduce partitions (no coalescing of the small test shuffles),
+    # so the spread of records over tasks is visible.
+    b = b.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -111,7 +121,8 @@ def main(argv):
                 "largest share of the stage's shuffle records read by a single task (from the event log).\n\n" % sf_dir)
         f.write("| stage | tasks | records | max task records | max share |\n|---|---|---|---|---|\n")
         for sid, s in sorted(shares.items()):
-            f.write(f"| {sid} | {s['tasks']} | {s['records']} | {s['max_task_records']} | {s['max_share']} |\n")
+            if s["tasks"] > 1:
+                f.write(f"| {sid} | {s['tasks']} | {s['records']} | {s['max_task_records']} | {s['max_share']} |\n")
         f.write(f"\nWorst single-task share of any multi-task shuffle stage: **{worst}** "
                 "(a hot key collected into one task would show >= 0.33).\n\n")
         f.write("Jobs: " + json.dumps(report["jobs"]) + "\n")
