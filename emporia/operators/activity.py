@@ -154,7 +154,7 @@ def replication_lag(commits: DataFrame, applies: DataFrame) -> DataFrame:
     a = applies.groupBy("version").agg(F.max("applied_at").alias("applied_at"),
                                        F.count(F.lit(1)).alias("applied_rows"))
     j = c.join(a, "version")
-    lag = (F.unix_micros(F.col("applied_at").cast("timestamp")) -
-           F.unix_micros(F.col("committed_at").cast("timestamp"))) / 1_000_000
+    # Wall-clock difference of the two times (no session time zone involved).
+    lag = F.timestamp_diff("SECOND", F.col("committed_at"), F.col("applied_at"))
     return j.select("version", "committed_at", "applied_at", "applied_rows",
                     lag.cast("long").alias("lag_seconds"))

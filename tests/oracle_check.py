@@ -93,9 +93,16 @@ def compare(spark, con, key: str, sf_dir: str, run, sql: str) -> dict:
 def main(argv: list[str]) -> int:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
-    from emporia.session import get_spark
     import __spark_entry__ as E
-    spark = get_spark("local[8]")
+    if os.environ.get("VANILLA_SESSION"):
+        # The driver's own session: defaults only (ANSI on in Spark 4, local time zone).
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from emporia.session import get_spark
+        spark = get_spark("local[8]")
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
