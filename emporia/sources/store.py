@@ -165,6 +165,37 @@ class TableStore:
                             T.StructType.fromJson(json.loads(prev["schema_json"])), label=label, rows=prev["rows"],
                             at=at)
 
+    def version_at(self, name: str, ts) -> int | None:
+        """Newest version of ``name`` committed at or before ``ts`` (point in time)."""
+        m = self.manifest().filter((F.col("table_name") == name) &
+                                   (F.col("created_at") <= F.lit(ts).cast("timestamp_ntz")))
+        r = m.agg(F.max("version")).collect()[0][0]
+        return r
+
+    def branch(self, parent: str, child: str, version: int | None = None, label: str | None = None) -> int:
+        """A child table that starts as ``parent`` (at ``version``, default latest).
+
+        Zero-copy: the child's first version lists the parent's directories;
+        writes to either side create new directories, so neither sees the
+        other's later changes.
+        """
+        src = self._latest_row(parent, version)
+        if src is None:
+            raise KeyError(f"no table {parent}")
+        return self._commit(child, "branch", list(src["base_paths"]), list(src["change_paths"]),
+                            T.StructType.fromJson(json.loads(src["schema_json"])), label=label or parent,
+                            rows=src["rows"], keys=list(src["keys"]) if src["keys"] else None,
+                            source_version=src["source_version"])
+
+    def reset(self, child: str, parent: str) -> int:
+        """G7 on stored tables: the child's next version is the parent's latest."""
+        src = self._latest_row(parent)
+        if src is None:
+            raise KeyError(f"no table {parent}")
+        return self._commit(child, "reset", list(src["base_paths"]), list(src["change_paths"]),
+                            T.StructType.fromJson(json.loads(src["schema_json"])), label=f"reset to {parent}",
+                            rows=src["rows"], source_version=src["source_version"])
+
     def last_batch_id(self, name: str) -> int | None:
         m = self.manifest().filter((F.col("table_name") == name) & F.col("batch_id").isNotNull())
         r = m.agg(F.max("batch_id")).collect()[0][0]
