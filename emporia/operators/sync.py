@@ -199,7 +199,11 @@ def map_types_for_sync(df: DataFrame, mapping: dict[str, str] | None = None) ->
 
 
 def sync_verify(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-side row counts plus keys missing on either side (one row)."""
+    """Per-side row counts plus keys missing on either side (one row).
+
+    Joined on the primary key (unique on both sides), so the full outer join
+    has no hot key.
+    """
     s = source.select(*keys).withColumn("_s", F.lit(1))
     t = target.select(*keys).withColumn("_t", F.lit(1))
     j = s.join(t, keys, "full_outer")

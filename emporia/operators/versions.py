@@ -70,6 +70,8 @@ def row_diff(old: DataFrame, new: DataFrame, keys: list[str], verify: bool = Tru
     One full outer join on the key carrying a 64-bit hash of the other
     columns; with ``verify`` the columns themselves are compared too, so a
     hash collision cannot hide a change. Unchanged keys are not returned.
+    The join key is the table's primary key, unique on each side, so the full
+    outer join (which AQE cannot split for skew) has no hot key.
     """
     value_cols = [c for c in old.columns if c not in keys]
     o = old.select(*keys, row_hash(value_cols).alias("_ho"),

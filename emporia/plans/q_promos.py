@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from emporia.functions import scalars as S
 from emporia.operators import catalog as C

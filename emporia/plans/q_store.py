@@ -11,7 +11,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from emporia.operators import catalog as C
 from emporia.operators import loyalty as L

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from emporia.operators import catalog as C
 from emporia.operators import loyalty as L
 from emporia.operators import orders as O
 from emporia.operators import sync as Y

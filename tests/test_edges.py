@@ -10,7 +10,6 @@ from decimal import Decimal as D
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from emporia.functions import scalars as S
 from emporia.operators import activity as A

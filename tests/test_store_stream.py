@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.operators import sync as Y
 from emporia.operators import versions as V
 from emporia.operators.cart import cart_state
 from emporia.plans.q_versions import STEPS
