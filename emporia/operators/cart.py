@@ -184,7 +184,7 @@ def conditional_decrement(inventory: DataFrame, demand: DataFrame) -> DataFrame:
 
 class CheckoutResult(dict):
     """Outputs of a checkout, built on first access: asking only for the new
-    inventory does not assign order ids (which materialises a checkpoint)."""
+    inventory does not assign order ids (which writes an id table)."""
 
     def __init__(self, builders):
         super().__init__()

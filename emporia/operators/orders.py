@@ -75,9 +75,14 @@ def order_detail(t, order=None, customer=None) -> DataFrame:
 
 def order_lines(t, order=None) -> DataFrame:
     """C4: order_items JOIN products for an order (all orders when None)."""
-    oi = table(t, "order_items_ided") if not isinstance(t, dict) else t["order_items"]
-    if order is not None:
-        oi = oi.filter(F.col("order_id") == order)
+    if order is not None and not isinstance(t, dict):
+        # Point lookup: ids from a filtered count, without numbering every item.
+        from emporia.sources.tables import order_items_of_order
+        oi = order_items_of_order(t.raw("lineitem"), order)
+    else:
+        oi = table(t, "order_items_ided") if not isinstance(t, dict) else t["order_items"]
+        if order is not None:
+            oi = oi.filter(F.col("order_id") == order)
     p = table(t, "products").select(F.col("id").alias("product_id"), F.col("name").alias("product"))
     return oi.join(p, "product_id").select("id", "order_id", "product", "quantity", "unit_price", "line_total")
 

@@ -121,6 +121,29 @@ def order_items_from(lineitem: DataFrame, with_id: bool = False) -> DataFrame:
     return ided.select("id", "order_id", "product_id", "quantity", "unit_price", "line_total")
 
 
+def order_items_of_order(lineitem: DataFrame, order_id: int) -> DataFrame:
+    """The items of one order with the same ids as ``order_items_from(with_id=True)``.
+
+    A point lookup does not need the global numbering: an item's id is 1 +
+    the number of items of smaller orders (a filtered count, computed as a
+    scalar subquery) + its rank inside the order (a window over one order's
+    rows only).
+    """
+    from pyspark.sql import Window
+    before = lineitem.filter(F.col("l_orderkey") < order_id).select(F.count(F.lit(1))).scalar()
+    cols = lineitem.filter(F.col("l_orderkey") == order_id).select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+        F.col("l_linenumber").alias("_line"), F.col("l_suppkey").alias("_supp"),
+        S.money("l_extendedprice").alias("line_total"), F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_discount").alias("_disc"), F.col("l_tax").alias("_tax"), F.col("l_returnflag").alias("_flag"),
+        F.col("l_linestatus").alias("_lstatus"), F.col("l_shipdate").alias("_ship"),
+        S.half_up_div(F.round(F.col("l_extendedprice") * 100).cast("long"), F.col("l_quantity").cast("long"), 2)
+        .cast("decimal(18,2)").alias("unit_price"))
+    w = Window.partitionBy("order_id").orderBy(*ITEM_ORDER[1:])
+    return cols.select((before + F.row_number().over(w)).cast("long").alias("id"), "order_id", "product_id",
+                       "quantity", "unit_price", "line_total")
+
+
 def inventory_from(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
     wh = F.element_at(F.array(*[F.lit(w) for w in WAREHOUSES[:3]]), (F.pmod(pk, F.lit(3)) + 1).cast("int"))
