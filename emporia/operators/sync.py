@@ -56,10 +56,12 @@ def insert_select(target: DataFrame, query: DataFrame) -> DataFrame:
 
 
 def latest_changes(changes: DataFrame, keys: list[str], since_version: int | None = None,
-                   until_version: int | None = None, until_ts=None) -> DataFrame:
+                   until_version: int | None = None, until_ts=None, with_seq: bool = False) -> DataFrame:
     """Newest change per key in (since_version, until_version] / up to until_ts.
 
-    Returns the data columns plus ``_change_type`` and ``_commit_version``.
+    Returns the data columns plus ``_change_type`` and ``_commit_version``
+    (and ``_seq`` with ``with_seq``). Input order does not matter: late or
+    repeated change rows resolve to the same result.
     """
     c = changes.filter(F.col("_change_type") != "update_preimage")
     if since_version is not None:
@@ -69,12 +71,15 @@ def latest_changes(changes: DataFrame, keys: list[str], since_version: int | Non
     if until_ts is not None:
         c = c.filter(F.col("_commit_ts") <= F.lit(until_ts).cast("timestamp_ntz"))
     data = _data_cols(c)
-    payload = [F.col(x) for x in data if x not in keys] + [F.col("_change_type"), F.col("_commit_version")]
+    payload = [F.col(x) for x in data if x not in keys] + [F.col("_change_type"), F.col("_commit_version"),
+                                                           F.col("_seq")]
     agg = c.groupBy(*keys).agg(
         F.max_by(F.struct(*payload), F.struct(F.col("_commit_version"), F.col("_seq"))).alias("_r"))
-    return agg.select(*keys, *[F.col(f"_r.{x}").alias(x) for x in data if x not in keys],
-                      F.col("_r._change_type").alias("_change_type"),
-                      F.col("_r._commit_version").alias("_commit_version"))
+    out = agg.select(*keys, *[F.col(f"_r.{x}").alias(x) for x in data if x not in keys],
+                     F.col("_r._change_type").alias("_change_type"),
+                     F.col("_r._commit_version").alias("_commit_version"),
+                     F.col("_r._seq").alias("_seq"))
+    return out if with_seq else out.drop("_seq")
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:

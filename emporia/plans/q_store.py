@@ -124,7 +124,7 @@ def q_sync_continuous(t):
     t.order_changes.repartition(4, "_commit_version").write.parquet(feed)
     empty = t.spark.createDataFrame([], t.orders.schema)
     sync_snapshot(st, empty, "orders", keys=KEYS, source_version=-1)
-    stream = t.spark.readStream.schema(t.order_changes.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    stream = t.spark.readStream.schema(t.order_changes.schema).option("maxFilesPerTrigger", 2).parquet(feed)
     sync_continuous(stream, st, "orders", f"{st.root}/_checkpoint").awaitTermination()
     return st.read("orders")
 

@@ -37,12 +37,15 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("label", T.StringType(), True),
     T.StructField("created_at", T.TimestampNTZType(), False),
     T.StructField("rows", T.LongType(), True),
+    T.StructField("change_rows", T.LongType(), True),
     T.StructField("base_paths", T.ArrayType(T.StringType()), False),
     T.StructField("change_paths", T.ArrayType(T.StringType()), False),
     T.StructField("keys", T.ArrayType(T.StringType()), True),
     T.StructField("batch_id", T.LongType(), True),
     T.StructField("source_version", T.LongType(), True),
     T.StructField("schema_json", T.StringType(), False),
+    T.StructField("base_meta", T.BooleanType(), True),
+    T.StructField("base_version", T.LongType(), True),
     T.StructField("properties", T.StringType(), True),
 ])
 
@@ -58,10 +61,13 @@ class TableStore:
         return f"{self.root}/_manifest"
 
     def manifest(self) -> DataFrame:
+        """All manifest rows; a (table, version) row may exist twice while
+        ``compact_manifest`` runs, so rows are de-duplicated."""
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_dir)
+            m = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_dir)
         except Exception:  # noqa: BLE001 - no manifest yet
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return m.dropDuplicates(["table_name", "version"])
 
     def _latest_row(self, name: str, version: int | None = None):
         m = self.manifest().filter(F.col("table_name") == name)
@@ -75,13 +81,22 @@ class TableStore:
         return None if r is None else r["version"]
 
     def _commit(self, name: str, kind: str, base_paths, change_paths, schema: T.StructType, *, label=None,
-                rows=None, keys=None, batch_id=None, source_version=None, properties=None, at=None) -> int:
+                rows=None, keys=None, batch_id=None, source_version=None, properties=None, at=None,
+                change_rows=0, base_meta: bool | None = None, base_version: int | None = None) -> int:
         prev = self._latest_row(name)
         version = 0 if prev is None else prev["version"] + 1
+        same_base = prev is not None and list(base_paths) == list(prev["base_paths"])
+        if base_meta is None:
+            # Commits that keep the previous base keep its layout ...
+            base_meta = bool(prev["base_meta"]) if same_base else False
+        if base_version is None:
+            # ... and the source version its plain rows stand for.
+            base_version = prev["base_version"] if same_base else source_version
         row = (name, version, kind, label, at or dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None), rows,
-               list(base_paths), list(change_paths), list(keys) if keys else (list(prev["keys"]) if prev and prev["keys"] else None),
+               change_rows, list(base_paths), list(change_paths), list(keys) if keys else (list(prev["keys"]) if prev and prev["keys"] else None),
                batch_id, source_version if source_version is not None else (prev["source_version"] if prev else None),
-               schema.json(), json.dumps(properties) if properties else (prev["properties"] if prev else None))
+               schema.json(), base_meta, base_version,
+               json.dumps(properties) if properties else (prev["properties"] if prev else None))
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self.manifest_dir)
         return version
 
@@ -99,12 +114,40 @@ class TableStore:
         if r is None:
             raise KeyError(f"no table {name}" + (f" version {version}" if version is not None else ""))
         schema = T.StructType.fromJson(json.loads(r["schema_json"]))
-        base = self.spark.read.schema(schema).parquet(*r["base_paths"]) if r["base_paths"] else \
-            self.spark.createDataFrame([], schema)
-        if not r["change_paths"]:
-            return base
-        changes = self.spark.read.parquet(*r["change_paths"])
-        return Y.upsert(base, changes, list(r["keys"]))
+        if not r["change_paths"] and not r["base_meta"]:
+            return self._base(r, schema)
+        merged = Y.latest_changes(self._as_changes(r, schema), list(r["keys"]))
+        return merged.filter(F.col("_change_type") != "delete").select(*schema.names)
+
+    def _base(self, r, schema: T.StructType) -> DataFrame:
+        if not r["base_paths"]:
+            return self.spark.createDataFrame([], schema)
+        if r["base_meta"]:
+            return self.spark.read.parquet(*r["base_paths"])
+        return self.spark.read.schema(schema).parquet(*r["base_paths"])
+
+    def _as_changes(self, r, schema: T.StructType) -> DataFrame:
+        """Base + change files as one change feed.
+
+        A compacted base already carries ``_change_type`` / ``_commit_version`` /
+        ``_seq`` per key (deleted keys as tombstones). Plain rows count as the
+        state at the commit's ``source_version`` and win ties with changes of
+        that same version, which they already include.
+        """
+        base = self._base(r, schema)
+        if not r["base_meta"]:
+            sv = r["base_version"]
+            base = base.select(*schema.names,
+                               F.lit("insert").alias("_change_type"),
+                               F.lit(sv if sv is not None else -1).cast("long").alias("_commit_version"),
+                               F.lit(2 ** 31 - 1).alias("_seq"))
+        parts = [base.select(*schema.names, "_change_type", F.col("_commit_version").cast("long"),
+                             F.col("_seq").cast("int"))]
+        if r["change_paths"]:
+            ch = self.spark.read.parquet(*r["change_paths"])
+            parts.append(ch.select(*schema.names, "_change_type", F.col("_commit_version").cast("long"),
+                                   F.col("_seq").cast("int")))
+        return Y.union_all(parts)
 
     # --- writes --------------------------------------------------------------
     def create(self, name: str, schema: T.StructType, comment: str | None = None,
@@ -131,9 +174,17 @@ class TableStore:
         if prev is None:
             return self.overwrite(df, name)
         path = self._new_dir(name, "part")
-        self._write(df, path)
+        schema = T.StructType.fromJson(json.loads(prev["schema_json"]))
+        if prev["base_meta"]:
+            # A compacted base is stored as changes: new rows join it as inserts.
+            sv = prev["base_version"]
+            df = df.select(*schema.names, F.lit("insert").alias("_change_type"),
+                           F.lit(sv if sv is not None else -1).cast("long").alias("_commit_version"),
+                           F.lit(2 ** 31 - 1).alias("_seq"))
+        n = self._write(df, path)
         return self._commit(name, "append", list(prev["base_paths"]) + [path], list(prev["change_paths"]),
-                            T.StructType.fromJson(json.loads(prev["schema_json"])))
+                            schema, rows=(prev["rows"] or 0) + n, change_rows=prev["change_rows"] or 0,
+                            base_meta=bool(prev["base_meta"]), base_version=prev["base_version"])
 
     def append_changes(self, changes: DataFrame, name: str, batch_id: int | None = None,
                        source_version: int | None = None) -> int:
@@ -142,18 +193,53 @@ class TableStore:
         if prev is None:
             raise KeyError(f"no table {name}")
         path = self._new_dir(name, "changes")
-        changes.write.mode("errorifexists").parquet(path)
+        n = self._write(changes, path)
         return self._commit(name, "changes", list(prev["base_paths"]), list(prev["change_paths"]) + [path],
                             T.StructType.fromJson(json.loads(prev["schema_json"])), batch_id=batch_id,
-                            source_version=source_version)
+                            source_version=source_version, rows=prev["rows"],
+                            change_rows=(prev["change_rows"] or 0) + n)
+
+    def needs_compaction(self, name: str, fraction: float = 0.10) -> bool:
+        """True when the change rows read on top of the base exceed ``fraction``
+        of the base rows -- the point where a snapshot beats incremental reads."""
+        r = self._latest_row(name)
+        if r is None or not r["change_paths"]:
+            return False
+        base = r["rows"] or 0
+        return (r["change_rows"] or 0) > fraction * max(base, 1)
+
+    def compact_manifest(self) -> int:
+        """Rewrite the manifest (one small file per commit) as one file.
+
+        The full manifest is written first, then the old files are deleted;
+        readers de-duplicate (table, version), so a reader that lists both old
+        and new files still sees each version once. Returns the files removed.
+        """
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.manifest_dir)
+        fs = root.getFileSystem(conf)
+        old = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().endswith(".parquet")]
+        rows = self.manifest().collect()  # metadata: one row per version
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self.manifest_dir)
+        for pth in old:
+            fs.delete(pth, False)
+        return len(old)
 
     def compact(self, name: str) -> int:
-        """Fold the change files into a new base (what a snapshot sync does)."""
-        prev = self._latest_row(name)
-        df = self.read(name)
+        """Fold the change files into a new base (what a snapshot sync does).
+
+        The new base keeps the newest change per key with its version, deleted
+        keys as tombstones, so changes that arrive late and out of order are
+        still resolved by version after compaction.
+        """
+        r = self._latest_row(name)
+        schema = T.StructType.fromJson(json.loads(r["schema_json"]))
+        merged = Y.latest_changes(self._as_changes(r, schema), list(r["keys"]), with_seq=True)
         path = self._new_dir(name, "base")
-        n = self._write(df, path)
-        return self._commit(name, "compact", [path], [], df.schema, rows=n)
+        merged.write.mode("errorifexists").parquet(path)
+        n = self.spark.read.parquet(path).filter(F.col("_change_type") != "delete").count()
+        return self._commit(name, "compact", [path], [], schema, rows=n, base_meta=True)
 
     def snapshot(self, name: str, label: str, kind: str = "manual", at=None) -> int:
         """G1: a named capture of the current version. Zero-copy: the snapshot
@@ -163,7 +249,7 @@ class TableStore:
             raise KeyError(f"no table {name}")
         return self._commit(name, f"snapshot:{kind}", list(prev["base_paths"]), list(prev["change_paths"]),
                             T.StructType.fromJson(json.loads(prev["schema_json"])), label=label, rows=prev["rows"],
-                            at=at)
+                            at=at, change_rows=prev["change_rows"] or 0)
 
     def version_at(self, name: str, ts) -> int | None:
         """Newest version of ``name`` committed at or before ``ts`` (point in time)."""
@@ -185,7 +271,8 @@ class TableStore:
         return self._commit(child, "branch", list(src["base_paths"]), list(src["change_paths"]),
                             T.StructType.fromJson(json.loads(src["schema_json"])), label=label or parent,
                             rows=src["rows"], keys=list(src["keys"]) if src["keys"] else None,
-                            source_version=src["source_version"])
+                            source_version=src["source_version"], change_rows=src["change_rows"] or 0,
+                            base_meta=bool(src["base_meta"]), base_version=src["base_version"])
 
     def reset(self, child: str, parent: str) -> int:
         """G7 on stored tables: the child's next version is the parent's latest."""
@@ -194,7 +281,8 @@ class TableStore:
             raise KeyError(f"no table {parent}")
         return self._commit(child, "reset", list(src["base_paths"]), list(src["change_paths"]),
                             T.StructType.fromJson(json.loads(src["schema_json"])), label=f"reset to {parent}",
-                            rows=src["rows"], source_version=src["source_version"])
+                            rows=src["rows"], source_version=src["source_version"], change_rows=src["change_rows"] or 0,
+                            base_meta=bool(src["base_meta"]), base_version=src["base_version"])
 
     def last_batch_id(self, name: str) -> int | None:
         m = self.manifest().filter((F.col("table_name") == name) & F.col("batch_id").isNotNull())
@@ -212,24 +300,34 @@ def sync_snapshot(store: TableStore, source: DataFrame, name: str, keys: list[st
     return v, r["rows"]
 
 
-def sync_triggered(store: TableStore, changes: DataFrame, name: str) -> int | None:
+def sync_triggered(store: TableStore, changes: DataFrame, name: str,
+                   compact_fraction: float | None = 0.10) -> int | None:
     """A9 on a stored copy: append the changes newer than the copy's
-    ``source_version``; returns the new version (None when nothing changed)."""
+    ``source_version``; returns the new version (None when nothing changed).
+
+    When the accumulated change rows pass ``compact_fraction`` of the base
+    (A11's 10% crossover), the copy is compacted into a new base.
+    """
     prev = store._latest_row(name)
     since = prev["source_version"]
     c = changes if since is None else changes.filter(F.col("_commit_version") > since)
     top = c.agg(F.max("_commit_version")).collect()[0][0]
     if top is None:
         return None
-    return store.append_changes(c, name, source_version=top)
+    v = store.append_changes(c, name, source_version=top)
+    if compact_fraction is not None and store.needs_compaction(name, compact_fraction):
+        v = store.compact(name)
+    return v
 
 
 def sync_continuous(stream: DataFrame, store: TableStore, name: str, checkpoint_location: str,
-                    trigger: dict | None = None, query_name: str | None = None):
+                    trigger: dict | None = None, query_name: str | None = None,
+                    compact_fraction: float | None = 0.10):
     """A10: run the triggered sync body on every micro-batch of a change stream.
 
     Idempotent on the batch id: a batch that was already committed (the
     manifest holds its id) is skipped when the query restarts after a failure.
+    Compacts into a new base once the changes pass ``compact_fraction``.
     Returns the ``StreamingQuery``.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -239,7 +337,12 @@ def sync_continuous(stream: DataFrame, store: TableStore, name: str, checkpoint_
         top = batch.agg(F.max("_commit_version")).collect()[0][0]
         if top is None:
             return
-        store.append_changes(batch, name, batch_id=batch_id, source_version=top)
+        prev_sv = store._latest_row(name)["source_version"]
+        # Batches may arrive out of version order; the copy's version only grows.
+        sv = top if prev_sv is None else max(top, prev_sv)
+        store.append_changes(batch, name, batch_id=batch_id, source_version=sv)
+        if compact_fraction is not None and store.needs_compaction(name, compact_fraction):
+            store.compact(name)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:

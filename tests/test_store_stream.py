@@ -154,3 +154,41 @@ def test_branch_isolation_reset_and_replay(spark, scratch, t):
     # point in time: the version committed before the drift
     first = st._latest_row("customers", 0)["created_at"]
     assert st.version_at("customers", first) is not None
+
+
+def test_auto_compaction_and_manifest_compaction(spark, scratch, t):
+    import glob
+    changes = t.order_changes
+    latest = V.state_at_version(changes, KEYS, 10 ** 6)
+    st = TableStore(spark, scratch + "/auto")
+    sync_snapshot(st, V.state_at_version(changes, KEYS, 70), "orders", keys=KEYS, source_version=70)
+    # A small tail of changes stays incremental ...
+    sync_triggered(st, changes.filter("_commit_version <= 71"), "orders")
+    row = st._latest_row("orders")
+    assert row["kind"] == "changes" and 0 < row["change_rows"]
+    # ... while the rest passes 10% of the base and compacts into a new base.
+    sync_triggered(st, changes, "orders")
+    row = st._latest_row("orders")
+    assert row["kind"] == "compact" and not row["change_paths"]
+    assert _rows(st.read("orders")) == _rows(latest)
+    n_files = len(glob.glob(scratch + "/auto/_manifest/*.parquet"))
+    assert st.compact_manifest() == n_files
+    assert len(glob.glob(scratch + "/auto/_manifest/*.parquet")) == 1
+    assert st.latest_version("orders") == row["version"]
+    assert _rows(st.read("orders")) == _rows(latest)
+
+
+def test_late_changes_after_compaction_resolve_by_version(spark, scratch, t):
+    changes = t.order_changes
+    st = TableStore(spark, scratch + "/late")
+    sync_snapshot(st, spark.createDataFrame([], t.orders.schema), "orders", keys=KEYS, source_version=-1)
+    st.append_changes(changes.filter("_commit_version > 40"), "orders", source_version=82)
+    st.compact("orders")  # newer changes folded first, deletes kept as tombstones
+    st.append_changes(changes.filter("_commit_version <= 40"), "orders")  # late, older changes
+    assert _rows(st.read("orders")) == _rows(V.state_at_version(changes, KEYS, 10 ** 6))
+    st.compact("orders")
+    assert _rows(st.read("orders")) == _rows(V.state_at_version(changes, KEYS, 10 ** 6))
+    # appending plain rows onto a compacted base keeps them
+    extra = spark.createDataFrame([(10 ** 9, 1, None, "USD", None, "pending")], t.orders.schema)
+    st.append(extra, "orders")
+    assert st.read("orders").filter(f"id = {10 ** 9}").count() == 1
