@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from emporia.functions import scalars as S
 from emporia.operators import access as J
 from emporia.plans.registry import register
 from emporia.sources.tables import with_sql
@@ -77,3 +78,10 @@ def q_rows_for_role_manager(t):
     seg = t.customers.filter(F.col("email") == USER).select("segment")
     members = t.customers.join(seg, "segment").select(F.col("email").alias("member"), F.lit(ROLE).alias("role"))
     return J.rows_for_role(t.orders, members, USER, ROLE)
+
+
+@register("safe_identifier", with_sql(f"""
+    SELECT id, email, {S.safe_identifier_sql('email')} AS schema_name FROM customers""", "customers"))
+def q_safe_identifier(t):
+    """K name cleaning: an email turned into a safe lower-case identifier."""
+    return t.customers.select("id", "email", S.safe_identifier("email").alias("schema_name"))
