@@ -16,8 +16,6 @@ into one task. Instead:
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,12 +30,12 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str = "id", start: i
     ``max(id) + 1`` of a target table); it is read as a scalar subquery.
     """
     spark = df.sparkSession
-    from emporia.session import checkpoint_dir
+    from emporia.session import scratch_path
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The tags must not change if a task is recomputed: write them once as a
     # parquet table in the shared checkpoint folder and read that back
     # (columnar, cheaper than the serialized blocks of Dataset.checkpoint).
-    path = f"{checkpoint_dir(spark).rstrip('/')}/emporia-ids-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "emporia-ids")
     (df.repartitionByRange(n, *order_cols)
        .sortWithinPartitions(*order_cols)
        .withColumn("_mid", F.monotonically_increasing_id())

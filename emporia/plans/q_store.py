@@ -8,8 +8,6 @@ result can be compared with SQL like any other key.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from emporia.operators import catalog as C
@@ -18,14 +16,14 @@ from emporia.operators import sync as Y
 from emporia.operators import versions as V
 from emporia.plans.q_versions import ALL_SQL, KEYS, ORDER_COLS, V0, V0_SQL
 from emporia.plans.registry import register
-from emporia.session import checkpoint_dir
+from emporia.session import scratch_path
 from emporia.sources.serving import read_serving_prices
 from emporia.sources.store import TableStore, sync_continuous, sync_snapshot, sync_triggered
 from emporia.sources.tables import with_sql
 
 
 def _store(t) -> TableStore:
-    return TableStore(t.spark, f"{checkpoint_dir(t.spark).rstrip('/')}/emporia-store-{uuid.uuid4().hex[:10]}")
+    return TableStore(t.spark, scratch_path(t.spark, "emporia-store"))
 
 
 @register("leads_high_quality", with_sql("""

@@ -69,3 +69,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     checkpoint_dir(spark)
+
+
+# Folders written under the checkpoint dir by this process (id tables, stores).
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint dir, remembered for ``drop_scratch``."""
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the folders made by ``scratch_path`` (through Hadoop's FileSystem,
+    so it works on any shared store). Call it after the DataFrames that read
+    them have been consumed; returns how many folders were removed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n

@@ -116,6 +116,14 @@ class TableStore:
         schema = T.StructType.fromJson(json.loads(r["schema_json"]))
         if not r["change_paths"] and not r["base_meta"]:
             return self._base(r, schema)
+        if not r["base_meta"]:
+            # A plain base at version B already holds every change up to B:
+            # drop those, then one upsert (anti join + union) of the newer ones.
+            bv = r["base_version"]
+            ch = self.spark.read.parquet(*r["change_paths"])
+            if bv is not None:
+                ch = ch.filter(F.col("_commit_version") > bv)
+            return Y.upsert(self._base(r, schema), ch, list(r["keys"]))
         merged = Y.latest_changes(self._as_changes(r, schema), list(r["keys"]))
         return merged.filter(F.col("_change_type") != "delete").select(*schema.names)
 

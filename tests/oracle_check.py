@@ -70,6 +70,8 @@ def compare(spark, con, key: str, sf_dir: str, run, sql: str) -> dict:
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
+    from emporia.session import drop_scratch
+    drop_scratch(spark)
     res = con.execute(sql)
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()

@@ -48,3 +48,13 @@ def test_two_level_running_sum_equals_window(spark, rows):
     want = df.withColumn("rs", F.sum("v").over(w))
     assert sorted(map(tuple, got.select("k", "t", "i", "rs").collect())) == \
         sorted(map(tuple, want.select("k", "t", "i", "rs").collect()))
+
+
+def test_drop_scratch_removes_id_tables(spark):
+    import os
+    from emporia.session import _SCRATCH, drop_scratch
+    df = dense_ids(spark.range(0, 50).withColumnRenamed("id", "a"), ["a"], "id")
+    paths = list(_SCRATCH)
+    assert df.count() == 50 and paths and all(os.path.exists(p) for p in paths)
+    assert drop_scratch(spark) == len(paths)
+    assert not any(os.path.exists(p) for p in paths)
