@@ -54,6 +54,10 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Manifest rows (metadata, one per version) loaded once per instance and
+        # extended by this instance's own commits. One writer per store; a
+        # reader elsewhere opens its own TableStore and sees the files.
+        self._mf: list[dict] | None = None
 
     # --- manifest ------------------------------------------------------------
     @property
@@ -69,12 +73,15 @@ class TableStore:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
         return m.dropDuplicates(["table_name", "version"])
 
+    def _manifest_rows(self) -> list[dict]:
+        if self._mf is None:
+            self._mf = [r.asDict() for r in self.manifest().collect()]
+        return self._mf
+
     def _latest_row(self, name: str, version: int | None = None):
-        m = self.manifest().filter(F.col("table_name") == name)
-        if version is not None:
-            m = m.filter(F.col("version") == version)
-        rows = m.orderBy(F.col("version").desc()).limit(1).collect()
-        return rows[0] if rows else None
+        rows = [r for r in self._manifest_rows()
+                if r["table_name"] == name and (version is None or r["version"] == version)]
+        return max(rows, key=lambda r: r["version"]) if rows else None
 
     def latest_version(self, name: str) -> int | None:
         r = self._latest_row(name)
@@ -98,6 +105,7 @@ class TableStore:
                schema.json(), base_meta, base_version,
                json.dumps(properties) if properties else (prev["properties"] if prev else None))
         self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self.manifest_dir)
+        self._manifest_rows().append(dict(zip(MANIFEST_SCHEMA.names, row)))
         return version
 
     def _new_dir(self, name: str, part: str) -> str:
@@ -261,10 +269,9 @@ class TableStore:
 
     def version_at(self, name: str, ts) -> int | None:
         """Newest version of ``name`` committed at or before ``ts`` (point in time)."""
-        m = self.manifest().filter((F.col("table_name") == name) &
-                                   (F.col("created_at") <= F.lit(ts).cast("timestamp_ntz")))
-        r = m.agg(F.max("version")).collect()[0][0]
-        return r
+        at = ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
+        vs = [r["version"] for r in self._manifest_rows() if r["table_name"] == name and r["created_at"] <= at]
+        return max(vs) if vs else None
 
     def branch(self, parent: str, child: str, version: int | None = None, label: str | None = None) -> int:
         """A child table that starts as ``parent`` (at ``version``, default latest).
@@ -293,9 +300,8 @@ class TableStore:
                             base_meta=bool(src["base_meta"]), base_version=src["base_version"])
 
     def last_batch_id(self, name: str) -> int | None:
-        m = self.manifest().filter((F.col("table_name") == name) & F.col("batch_id").isNotNull())
-        r = m.agg(F.max("batch_id")).collect()[0][0]
-        return r
+        ids = [r["batch_id"] for r in self._manifest_rows() if r["table_name"] == name and r["batch_id"] is not None]
+        return max(ids) if ids else None
 
 
 # --- sync modes (A8-A10) -------------------------------------------------------
