@@ -99,8 +99,10 @@ def main(argv: list[str]) -> int:
     if os.environ.get("VANILLA_SESSION"):
         # The driver's own session: defaults only (ANSI on in Spark 4, local time zone).
         from pyspark.sql import SparkSession
-        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
-                 .getOrCreate())
+        b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+        if os.environ.get("SESSION_TZ"):
+            b = b.config("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
+        spark = b.getOrCreate()
         spark.sparkContext.setLogLevel("ERROR")
     else:
         from emporia.session import get_spark
