@@ -286,3 +286,19 @@ def stock_by_product(t) -> DataFrame:
         F.sum("quantity").alias("quantity"), F.sum("reserved").alias("reserved"),
         F.count(F.lit(1)).alias("warehouses"),
     ).withColumn("available", F.col("quantity") - F.col("reserved"))
+
+
+def product_detail(t, product_id) -> DataFrame:
+    """Product page: the product with each warehouse's stock (C1), points (B4),
+    its rating and review count (D2) and the active promo (C10)."""
+    from emporia.operators.promos import promo_overlay
+    stock = product_stock(t).filter(F.col("id") == product_id)
+    rv = (table(t, "reviews").filter(F.col("product_id") == product_id)
+          .agg(F.count(F.lit(1)).alias("review_count"), F.sum("rating").alias("_sum")))
+    rating = rv.select(F.coalesce(S.half_up_div(F.col("_sum"), F.col("review_count"), 1),
+                                  F.lit(0).cast("decimal(18,1)")).cast("decimal(18,1)").alias("avg_rating"),
+                       "review_count", F.lit(product_id).cast("long").alias("id"))
+    out = (stock.join(rating, "id", "left")
+           .withColumn("loyalty_points_earned", S.points_for_price("price")))
+    promos = table(t, "promotions").filter(F.col("product_id") == product_id)
+    return promo_overlay(out, promos)

@@ -83,3 +83,19 @@ def award_points(customers: DataFrame, earned: DataFrame, key: str = "customer_i
             .withColumn("loyalty_points",
                         (F.col("loyalty_points") + F.coalesce(F.col("_earned"), F.lit(0))).cast("long"))
             .drop("_earned"))
+
+
+def account_profile(t, customer_id, members: DataFrame | None = None) -> DataFrame:
+    """Account page: id, name, email, plus loyalty_points / email_verified when
+    the customers table has them (B3), plus tier, total earned and enrolment
+    date from the loyalty members (C8) when given."""
+    c = table(t, "customers").filter(F.col("id") == customer_id)
+    cols = [F.col("id"), F.col("name"), F.col("email")]
+    cols += [F.col(x) for x in ("loyalty_points", "email_verified") if has_column(c, x)]
+    out = c.select(*cols)
+    if members is None:
+        return out
+    m = members.select("email", F.col("tier").alias("loyalty_tier"),
+                       F.col("total_earned").alias("loyalty_total_earned"),
+                       F.col("enrolled_at").alias("loyalty_enrolled_at"))
+    return out.join(m, "email", "left")

@@ -213,3 +213,23 @@ def q_rename_project(t):
 def q_scan_project(t):
     """A1 read table, pick columns (pruned + filter pushed to the parquet scan)."""
     return t.products.select("id", "name", "price").filter(F.col("price") > 950)
+
+
+ONE_PRODUCT = 40
+
+
+@register("product_detail", with_sql(f"""
+    SELECT s.*, r.avg_rating, r.review_count, CAST(FLOOR(s.price) AS INTEGER) AS loyalty_points_earned,
+           b.badge_text, b.discount_pct, b.sale_price
+    FROM (SELECT p.id, p.name, p.price, p.category, COALESCE(i.quantity, 0) AS stock, i.warehouse, i.reorder_level
+          FROM products p LEFT JOIN inventory i ON i.product_id = p.id WHERE p.id = {ONE_PRODUCT}) s
+    LEFT JOIN (SELECT {ONE_PRODUCT} AS id, CAST(COALESCE({_AVG1}, 0) AS DECIMAL(18,1)) AS avg_rating,
+                      review_count FROM (SELECT COUNT(*) AS review_count, COUNT(*) AS _n, SUM(rating) AS _sum
+                                         FROM reviews WHERE product_id = {ONE_PRODUCT})) r ON r.id = s.id
+    LEFT JOIN (SELECT product_id, arg_max(badge_text, id) AS badge_text, arg_max(discount_pct, id) AS discount_pct,
+                      arg_max(sale_price, id) AS sale_price FROM promotions
+               WHERE is_active AND product_id = {ONE_PRODUCT} GROUP BY product_id) b ON b.product_id = s.id""",
+                                    "products", "inventory", "reviews", "promotions"))
+def q_product_detail(t):
+    """Product page: stock per warehouse, points, rating, active promo (C1 + B4 + D2 + C10)."""
+    return C.product_detail(t, ONE_PRODUCT)

@@ -77,3 +77,18 @@ def q_enroll_members_exact_replay(t):
     """E2 exact=True: the reference's ON CONFLICT (id) never fires, so a replay duplicates every member."""
     first = _members(t)
     return L.enroll_members(L.backfill_points(t), ENROLLED_AT, TD_CUTS, existing=first, exact=True)
+
+
+ONE_ACCOUNT = 7
+
+
+@register("account_profile", with_sql(f"""
+    SELECT b.id, b.name, b.email, b.loyalty_points, (b.id % 3 = 0) AS email_verified,
+           m.tier AS loyalty_tier, m.total_earned AS loyalty_total_earned, m.enrolled_at AS loyalty_enrolled_at
+    FROM {_BACKFILL_SQL} b LEFT JOIN {_MEMBERS_SQL} m ON m.email = b.email WHERE b.id = {ONE_ACCOUNT}""",
+                                     "customers", "orders"))
+def q_account_profile(t):
+    """Account page after the loyalty and email-verified migrations (B3 + C8)."""
+    from emporia.operators.orders import email_verified
+    migrated = email_verified(L.backfill_points(t))
+    return L.account_profile({"customers": migrated}, ONE_ACCOUNT, _members(t))
