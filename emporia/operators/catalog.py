@@ -293,12 +293,16 @@ def product_detail(t, product_id) -> DataFrame:
     its rating and review count (D2) and the active promo (C10)."""
     from emporia.operators.promos import promo_overlay
     stock = product_stock(t).filter(F.col("id") == product_id)
-    rv = (table(t, "reviews").filter(F.col("product_id") == product_id)
-          .agg(F.count(F.lit(1)).alias("review_count"), F.sum("rating").alias("_sum")))
-    rating = rv.select(F.coalesce(S.half_up_div(F.col("_sum"), F.col("review_count"), 1),
-                                  F.lit(0).cast("decimal(18,1)")).cast("decimal(18,1)").alias("avg_rating"),
-                       "review_count", F.lit(product_id).cast("long").alias("id"))
-    out = (stock.join(rating, "id", "left")
-           .withColumn("loyalty_points_earned", S.points_for_price("price")))
+    # Grouped by product and joined on the column (a literal key would let the
+    # optimizer drop the join condition and plan a nested-loop join).
+    rv = (table(t, "reviews").filter(F.col("product_id") == product_id).groupBy("product_id")
+          .agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
+          .withColumnRenamed("product_id", "id"))
+    out = (stock.join(rv, "id", "left")
+           .withColumn("avg_rating", F.coalesce(S.half_up_div(F.col("_sum"), F.col("_n"), 1),
+                                                F.lit(0).cast("decimal(18,1)")).cast("decimal(18,1)"))
+           .withColumn("review_count", F.coalesce(F.col("_n"), F.lit(0)).cast("long"))
+           .withColumn("loyalty_points_earned", S.points_for_price("price"))
+           .drop("_n", "_sum"))
     promos = table(t, "promotions").filter(F.col("product_id") == product_id)
     return promo_overlay(out, promos)
