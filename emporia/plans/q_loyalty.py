@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from emporia.functions import scalars as S
 from emporia.operators import loyalty as L
 from emporia.plans.registry import register
@@ -90,5 +92,9 @@ ONE_ACCOUNT = 7
 def q_account_profile(t):
     """Account page after the loyalty and email-verified migrations (B3 + C8)."""
     from emporia.operators.orders import email_verified
-    migrated = email_verified(L.backfill_points(t))
-    return L.account_profile({"customers": migrated}, ONE_ACCOUNT, _members(t))
+    # Filter the customer first: the join to orders then infers
+    # orders.customer_id = ONE_ACCOUNT, so only that customer's orders are read.
+    one = {"customers": t.customers.filter(F.col("id") == ONE_ACCOUNT), "orders": t.orders}
+    migrated = email_verified(L.backfill_points(one))
+    members = L.enroll_members(migrated, ENROLLED_AT, TD_CUTS)
+    return L.account_profile({"customers": migrated}, ONE_ACCOUNT, members)
