@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.llm.common import table
+from emporia.llm import bpe, langid, line_chunks
 from emporia.llm.simhash_golay import near_duplicate_groups
 
 
@@ -14,8 +15,22 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup,)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op4_language_id, op5_forced_boundary_bpe)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": line_chunks.oracle_sql(),
+}
