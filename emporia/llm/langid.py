@@ -65,8 +65,8 @@ def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chosen = (labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("at"))
               .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).select("id").distinct())
     rows = (labelled.join(F.broadcast(chosen.limit(k * MAX_LANGUAGES)), F.col(id_col) == F.col("id"), "left_semi")
-            .select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("at"),
-                    F.substring(F.col(text_col), 1, chars_per_doc).alias("text")).collect())
+            .groupBy(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("at"))
+            .agg(F.min(F.substring(F.col(text_col), 1, chars_per_doc)).alias("text")).collect())
     found: dict[str, list[str]] = {}
     used: dict[str, int] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.at, r.text)):

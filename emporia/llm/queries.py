@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.llm.common import table
-from emporia.llm import bpe, langid, line_chunks
+from emporia.llm import bpe, html_paths, langid, line_chunks
 from emporia.llm.simhash_golay import near_duplicate_groups
 
 
@@ -19,6 +19,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
 
 
+def op3_tag_path_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_paths.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,7 @@ def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op4_language_id, op5_forced_boundary_bpe)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_tag_path_html, op4_language_id, op5_forced_boundary_bpe)
 }
 
 ORACLE_SQL: dict[str, str] = {
