@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.llm.common import table
-from emporia.llm import bpe, html_paths, langid, line_chunks
+from emporia.llm import bpe, html_paths, huffman, langid, line_chunks
 from emporia.llm.simhash_golay import near_duplicate_groups
 
 
@@ -31,8 +31,12 @@ def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_tag_path_html, op4_language_id, op5_forced_boundary_bpe)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_tag_path_html, op4_language_id, op5_forced_boundary_bpe, op8_huffman_ids)
 }
 
 ORACLE_SQL: dict[str, str] = {
