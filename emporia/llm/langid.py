@@ -31,17 +31,19 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emporia.llm.common import map_rows
+from emporia.llm.common import map_rows, pieces
 
 SAMPLE_CHARS = 40_000  # per language, for the automaton
 CHECK_CHARS = 20_000  # per language, for its usual phrase count
 CHARS_PER_DOC = 1_500
 BLOCK = 2048
 MAX_LANGUAGES = 200
+BATCH_CHARS = 6_000_000  # parsed side by side
 #: A text that needs this many times a language's usual phrases is in none of the languages.
 REJECT_AT = 2.5
 
@@ -230,17 +232,12 @@ def predictions(docs: DataFrame, samples, id_col: str = "doc_id", text_col: str
         parser = cross_parser(samples) if samples else None
 
         def step(batch):
-            sizes = [len(t.as_py() or "") if t.is_valid else 0 for t in batch.column(1)]
-            start, total = 0, 0
-            for i in range(batch.num_rows + 1):
-                if i == batch.num_rows or total > 6_000_000:
-                    some = batch.slice(start, i - start)
-                    found = parser.predict(some.column(1).to_pylist()) if parser else [("und", 0.0, 0.0)] * some.num_rows
-                    yield {"doc_id": some.column(0), "lang_pred": [f[0] for f in found],
-                           "score": [f[1] for f in found], "excess": [f[2] for f in found]}
-                    start, total = i, 0
-                if i < batch.num_rows:
-                    total += sizes[i]
+            sizes = [len(t.as_py() or "") for t in batch.column(1)]
+            for a, b in pieces(batch.num_rows, sizes, BATCH_CHARS):
+                some = batch.slice(a, b - a)
+                found = parser.predict(some.column(1).to_pylist()) if parser else [("und", 0.0, 0.0)] * (b - a)
+                yield {"doc_id": some.column(0), "lang_pred": [f[0] for f in found],
+                       "score": [f[1] for f in found], "excess": [f[2] for f in found]}
         return step
 
     return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
@@ -254,6 +251,24 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             .select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "excess"))
 
 
-def rejected(lang_pred: Column, excess: Column, reject_at: float = REJECT_AT) -> Column:
-    """Texts in no learned language."""
-    return (lang_pred == "und") | (excess > reject_at)
+def in_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                      reject_at: float = REJECT_AT) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in some learned language.
+
+    Rejected are texts without a letter (und) and those that need more than ``reject_at``
+    times the phrases that are usual for the language nearest to them.
+    """
+    samples = split_sample(learning_sample(docs, id_col, text_col, lang_col))
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        parser = cross_parser(samples) if samples else None
+        for batch in batches:
+            texts = batch.column(place)
+            sizes = [len(t.as_py() or "") for t in texts]
+            for a, b in pieces(batch.num_rows, sizes, BATCH_CHARS):
+                some = batch.slice(a, b - a)
+                found = parser.predict(some.column(place).to_pylist()) if parser else [("und", 0.0, 0.0)] * (b - a)
+                yield some.filter(pa.array([lang != "und" and excess <= reject_at for lang, _, excess in found]))
+
+    return docs.mapInArrow(run, docs.schema)

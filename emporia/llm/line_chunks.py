@@ -113,11 +113,11 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, long_line_words: int
             .filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "start", "len"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, text without the repeated chunks, n_lines, n_removed (lines)."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    gone = (repeated_chunks(base, window, long_line_words)
+def _deduped(docs: DataFrame, id_col: str, text_col: str, window: int, long_line_words: int | None) -> DataFrame:
+    """own (struct of the row's columns), doc_id, text, n_lines, n_removed."""
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+                       F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    gone = (repeated_chunks(base.select("doc_id", "text"), window, long_line_words)
             .groupBy(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"))
             .agg(F.collect_set(F.struct("start", "len")).alias("gone")))  # at most one document's chunks
     joined = base.withColumn("th", F.xxhash64("text")).join(
@@ -127,12 +127,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed = F.flatten(F.transform("gone", lambda c: F.sequence(c["start"], c["start"] + c["len"] - 1)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
     # The one-element array binds the lines once for all of their numbers.
-    text = F.element_at(F.transform(F.array(lines), lambda own: F.array_join(
-        F.transform(kept, lambda i: F.element_at(own, i + 1)), "\n")), 1)
+    text = F.element_at(F.transform(F.array(lines), lambda all_lines: F.array_join(
+        F.transform(kept, lambda i: F.element_at(all_lines, i + 1)), "\n")), 1)
     n_removed = F.coalesce(F.aggregate("gone", F.lit(0), lambda a, c: a + c["len"]), F.lit(0)).cast("long")
-    return (joined.select(
-            "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),
-            F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), n_removed.alias("n_removed")))
+    return joined.select(
+        "own", "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),
+        F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        n_removed.alias("n_removed"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, text without the repeated chunks, n_lines, n_removed (lines)."""
+    return (_deduped(docs.select(id_col, text_col), id_col, text_col, window, long_line_words)
+            .select("doc_id", "text", "n_lines", "n_removed"))
+
+
+def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars",
+               window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
+    """The rows of ``docs`` with all their columns and the new text (and its length).
+
+    Rows of which nothing is left go: all their chunks stand in other documents.
+    """
+    out = _deduped(docs, id_col, text_col, window, long_line_words)
+    out = out.filter((F.col("n_removed") == 0) | (F.col("text") != ""))
+    new = {text_col: F.col("text"), length_col: F.length("text")}
+    return out.select(*[
+        F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col("own")[c]).cast(docs.schema[c].dataType).alias(c)
+        if c in new else F.col("own")[c].alias(c) for c in docs.columns])
 
 
 def oracle_sql(window: int = WINDOW, long_line_words: int = LONG_LINE_WORDS, source: str = "documents") -> str:

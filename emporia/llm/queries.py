@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporia.llm.common import table
-from emporia.llm import bpe, html_paths, huffman, langid, line_chunks
+from emporia.llm import (
+    bpe,
+    credentials,
+    decontaminate,
+    html_paths,
+    huffman,
+    langid,
+    line_chunks,
+    perm_index,
+    token_counts,
+)
 from emporia.llm.simhash_golay import near_duplicate_groups
 
 
@@ -31,12 +42,31 @@ def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.find_secrets(table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "item_id", F.round("score", 6).alias("score"), "first_char", "last_char"))
+
+
+def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perm_index.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_line_dedup, op3_tag_path_html, op4_language_id, op5_forced_boundary_bpe, op8_huffman_ids)
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_line_dedup, op3_tag_path_html, op4_language_id, op5_forced_boundary_bpe,
+        op6_secret_scan, op7_token_counts, op8_huffman_ids, op9_decontamination, op10_permutation_index)
 }
 
 ORACLE_SQL: dict[str, str] = {
