@@ -61,14 +61,14 @@ def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The driver gets at most MAX_LANGUAGES x ``chars`` characters, whatever the input's size.
     """
     k = 4 * -(-chars // chars_per_doc)  # documents for each language; many are shorter than chars_per_doc
-    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)
-                           & F.col(text_col).isNotNull())
+    labelled = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
+                            F.xxhash64(F.col(id_col)).alias("at"))
+                .filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull() & ~held_out("id")))
     order = Window.partitionBy("lang").orderBy("at", "id")
-    chosen = (labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("at"))
-              .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k).select("id").distinct())
-    rows = (labelled.join(F.broadcast(chosen.limit(k * MAX_LANGUAGES)), F.col(id_col) == F.col("id"), "left_semi")
-            .groupBy(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("at"))
-            .agg(F.min(F.substring(F.col(text_col), 1, chars_per_doc)).alias("text")).collect())
+    chosen = (labelled.select("lang", "id", "at").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
+              .select(F.col("id").alias("chosen_id")).distinct().limit(k * MAX_LANGUAGES))
+    rows = (labelled.join(F.broadcast(chosen), F.col("id") == F.col("chosen_id"), "left_semi")
+            .groupBy("lang", "at").agg(F.min(F.substring("text", 1, chars_per_doc)).alias("text")).collect())
     found: dict[str, list[str]] = {}
     used: dict[str, int] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.at, r.text)):

@@ -80,7 +80,8 @@ def test_held_out_rows_and_labels_teach_nothing(spark):
 
 
 def test_sample_is_bounded_whatever_repeats(spark):
-    row = (7, "the an er in on " * 200, "aa", "s", 0)
+    taught = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2)
+    row = (taught, "the an er in on " * 200, "aa", "s", 0)
     docs = spark.createDataFrame([row] * 500, SCHEMA)
     assert sum(map(len, L.learning_sample(docs, chars=4000)["aa"])) <= 4000
 

@@ -61,8 +61,8 @@ def test_equals_brute_force_and_oracle(spark):
     want = brute(rows)
     assert {(r.doc_id, r.text) for r in got.collect()} == {(d, x) for (d, _), x in want.items()}
     con = duckdb.connect()
-    table = docs.toPandas()  # noqa: F841  read by name in the SQL
-    oracle = con.execute(L.oracle_sql(source="table")).fetchall()
+    given = docs.toPandas()  # noqa: F841  read by name in the SQL
+    oracle = con.execute(L.oracle_sql(source="given")).fetchall()
     assert sorted(oracle, key=repr) == as_set(got, "doc_id", "text", "n_lines", "n_removed")
 
 
