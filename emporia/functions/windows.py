@@ -1,28 +1,47 @@
-"""Window helpers that stay parallel when one partition key is hot."""
+"""Running sums and joins that stay parallel when one key is hot."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SALTS = 16
 
-def running_sum(df: DataFrame, partition_cols: list[str], order_cols: list[str], value: str,
-                out_col: str, bucket: Column) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY p ORDER BY o ROWS UNBOUNDED PRECEDING)`` in two levels.
 
-    A plain window puts every row of a key in one task; a key with a third
-    of the rows would stall the job. ``bucket`` is a coarse column that
-    follows the order (for example the hour of the leading timestamp): rows
-    are summed per (key, bucket), those bucket totals -- few per key -- get
-    a prefix sum, and the fine running sum runs per (key, bucket) with the
-    bucket's offset added. The result equals the one-level window.
+def running_sum(df: DataFrame, partition_cols: list[str], order_cols: list[str], values: dict[str, Column]) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY p ORDER BY o)`` for each value, split by ranges of the order.
+
+    A plain window puts every row of a key in one task. Here the rows are
+    range-partitioned by key *and* order, so a key with a third of the rows
+    lies in a third of the partitions, one after the other. Sums per (key,
+    partition) -- at most one row per key and partition -- get a prefix sum,
+    and the fine running sum runs inside (key, partition) with that offset.
+    Rows equal in key and order stay together (and count together, as in a
+    RANGE frame). The partition numbers must be the same in both uses, so the
+    ranged rows are written once to the shared folder.
     """
-    b = df.withColumn("_bucket", bucket)
-    keys = list(partition_cols) + ["_bucket"]
-    totals = b.groupBy(*keys).agg(F.sum(value).alias("_bt"))
-    w_off = Window.partitionBy(*partition_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, F.coalesce(F.sum("_bt").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    return (b.join(offsets, keys)
-             .withColumn(out_col, F.col("_off") + F.sum(value).over(w_in))
-             .drop("_bucket", "_off"))
+    from emporia.session import scratch_path
+    spark = df.sparkSession
+    names = list(values)
+    path = scratch_path(spark, "emporia-running")
+    (df.withColumns({f"_v_{k}": c for k, c in values.items()})
+       .repartitionByRange(*partition_cols, *order_cols)
+       .withColumn("_range", F.spark_partition_id())
+       .write.parquet(path))
+    ranged = spark.read.parquet(path)
+    keys = [*partition_cols, "_range"]
+    totals = ranged.groupBy(*keys).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in names])
+    before = Window.partitionBy(*partition_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in names])
+    inner = Window.partitionBy(*keys).orderBy(*order_cols)
+    return (ranged.join(offsets, keys)
+            .withColumns({k: F.col(f"_o_{k}") + F.sum(f"_v_{k}").over(inner) for k in names})
+            .drop("_range", *[f"_v_{k}" for k in names], *[f"_o_{k}" for k in names]))
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Join a side with hot keys to one with unique keys: each right row is
+    repeated ``salts`` times, and a hot key's left rows go to as many tasks."""
+    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return (left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+            .join(spread, [*keys, "_salt"], how).drop("_salt"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.ids import dense_ids
-from emporia.functions.windows import running_sum
+from emporia.functions.windows import running_sum, salted_join
 from emporia.operators.common import table
 from emporia.operators.promos import active_promos
 
@@ -36,9 +36,10 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     sum of adds. Otherwise the item is in the cart just before U exactly when
     some add lies after the last non-positive update preceding U, and the
     final quantity is (U applies and q_U > 0 ? q_U : 0) + the adds after U.
-    That needs two aggregates and one join, all with partial aggregation, so a
-    customer or item holding a third of the events is never collected into
-    one group.
+    That needs two aggregates and two joins. The aggregates are partial, and
+    the joins (events to the customer's last clear, adds to the item's last
+    update) are salted, so a customer or item holding a third of the events
+    is spread over many tasks.
     """
     ev = events.select("event_id", "customer_id", "ts", "action", "product_id", "quantity")
     last_clear = (ev.filter(F.col("action") == "clear").groupBy("customer_id")
@@ -46,8 +47,8 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     known = products.select(F.col("id").alias("product_id"))
     items = (ev.filter(F.col("action").isin("add", "update"))
              .filter((F.col("action") == "update") | (F.col("quantity") >= 1))
-             .join(known, "product_id", "left_semi")
-             .join(last_clear, "customer_id", "left")
+             .join(known, "product_id", "left_semi"))
+    items = (salted_join(items, last_clear, ["customer_id"], F.col("event_id"))
              .withColumn("_o", _order())
              .filter(F.col("_clr").isNull() | (F.col("_o") > F.col("_clr")))
              .drop("_clr"))
@@ -59,8 +60,8 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
         .select(*keys, F.col("_u.o").alias("_tu"), F.col("_u.q").alias("_qu"), "_tr"))
     adds = items.filter(F.col("action") == "add").select(*keys, "_o", "quantity")
     # Keys with updates but no adds end with nothing in the cart, so a left
-    # join from the adds suffices (and AQE can split a skewed left side).
-    j = adds.join(upd, keys, "left")
+    # join from the adds suffices.
+    j = salted_join(adds, upd, keys, F.col("_o.event_id"))
     after_u = F.col("_tu").isNull() | (F.col("_o") > F.col("_tu"))
     between = (F.col("_o") < F.col("_tu")) & (F.col("_tr").isNull() | (F.col("_o") > F.col("_tr")))
     per = j.groupBy(*keys).agg(
@@ -158,11 +159,73 @@ def validate_checkout(cart: DataFrame, t, shoppers: DataFrame) -> DataFrame:
                     status.alias("status"), reason.alias("reason"))
 
 
-def accepted_lines(cart: DataFrame, t, shoppers: DataFrame) -> DataFrame:
-    """Lines of carts that pass H4, with the product's list price."""
-    ok = validate_checkout(cart, t, shoppers).filter(F.col("status") == "ok").select("customer_id")
+def accept_in_order(lines: DataFrame, unit: list[str], resource: str, order: list[str]) -> DataFrame:
+    """First come, first served with all-or-nothing units: ``lines`` plus ``accepted``.
+
+    ``lines`` has the unit's columns (a cart, or a single line), ``resource``,
+    ``quantity``, ``stock`` (of the resource at the start; NULL: no such
+    resource) and the ``order`` columns, which order the units. Units are taken
+    in that order; a unit is accepted when each of its lines fits into what the
+    units accepted before it have left, and a refused unit uses nothing.
+
+    That is a sequential rule, settled in parallel rounds. With the running
+    sums of each resource, an open line surely fits if even all open and
+    accepted lines before it leave enough, and surely does not fit if the
+    accepted ones alone leave too little. A unit all of whose lines surely fit
+    is accepted, one with a line that surely does not is refused, and the rest
+    stays open. The first open unit is always settled, so the rounds end;
+    each round's state is written to the shared folder. Lines of resources
+    whose whole demand fits take no part in the rounds.
+    """
+    from emporia.session import scratch_path
+    spark = lines.sparkSession
+
+    def stored(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "emporia-accept")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    enough = lines.groupBy(resource).agg(F.sum("quantity").alias("_demand"), F.max("stock").alias("_have"))
+    enough = enough.select(resource, (F.col("_demand") <= F.col("_have")).alias("_enough"))
+    at_once = salted_join(lines, enough, [resource], F.xxhash64(*unit), "inner")
+    at_once = at_once.withColumn("_bad", F.coalesce(F.col("quantity") > F.col("stock"), F.lit(True)))
+    by_unit = at_once.groupBy(*unit).agg(F.max("_bad").alias("_any_bad"),
+                                         F.min(F.coalesce("_enough", F.lit(False))).alias("_all_enough"))
+    state = at_once.join(by_unit, unit).withColumn(
+        "accepted", F.when(F.col("_any_bad"), F.lit(False)).when(F.col("_all_enough"), F.lit(True)))
+    state = stored(state.drop("_bad", "_any_bad", "_all_enough"))
+    while True:
+        still_open = state.filter(F.col("accepted").isNull())
+        if not still_open.limit(1).count():
+            return state.drop("_enough")
+        # Only contested resources count; refused lines use nothing.
+        contested = state.filter(~F.coalesce("_enough", F.lit(False)) & F.coalesce("accepted", F.lit(True)))
+        sums = running_sum(contested, [resource], order, {
+            "_all": F.col("quantity"), "_taken": F.when(F.col("accepted"), F.col("quantity")).otherwise(F.lit(0))})
+        verdict = (sums.filter(F.col("accepted").isNull()).groupBy(*unit).agg(
+            F.max(F.col("_taken") + F.col("quantity") > F.col("stock")).alias("_refuse"),
+            F.min(F.col("_all") <= F.col("stock")).alias("_accept")))
+        settled = state.join(verdict, unit, "left").withColumn("accepted", F.coalesce(
+            "accepted", F.when(F.col("_refuse"), F.lit(False)).when(F.col("_accept"), F.lit(True))))
+        state = stored(settled.drop("_refuse", "_accept"))
+
+
+def accepted_lines(cart: DataFrame, t, shoppers: DataFrame | None = None) -> DataFrame:
+    """Lines of the carts that check out, with the product's list price.
+
+    Carts check out one after the other in (cart time, customer) order (``ts``;
+    customer only, if the cart has no time) against the stock that the carts
+    before them left; each is all or nothing, and a refused cart uses no stock.
+    """
     p = table(t, "products").select(F.col("id").alias("product_id"), "price", "name")
-    return cart.join(ok, "customer_id", "left_semi").join(p, "product_id")
+    stock = _stock_per_product(table(t, "inventory"))
+    known = (cart.join(p, "product_id", "left").join(stock, "product_id", "left")
+             .withColumn("stock", F.when(F.col("price").isNotNull(), F.coalesce("stock", F.lit(0)))))
+    if shoppers is not None:
+        known = known.join(shoppers.select("customer_id").distinct(), "customer_id", "left_semi")
+    order = ["ts", "customer_id"] if "ts" in cart.columns else ["customer_id"]
+    return (accept_in_order(known, ["customer_id"], "product_id", order)
+            .filter("accepted").drop("accepted", "stock"))
 
 
 def checkout_points(lines: DataFrame) -> DataFrame:
@@ -171,13 +234,25 @@ def checkout_points(lines: DataFrame) -> DataFrame:
         F.sum(F.floor("price") * F.col("quantity")).cast("long").alias("points"))
 
 
-def conditional_decrement(inventory: DataFrame, demand: DataFrame) -> DataFrame:
+def conditional_decrement(inventory: DataFrame, demand: DataFrame, order: list[str] | None = None) -> DataFrame:
     """E5: quantity -= n WHERE product_id = p AND quantity >= n, for every
-    warehouse row of the product (demand pre-aggregated per product)."""
-    d = demand.groupBy("product_id").agg(F.sum("quantity").alias("_n"))
-    j = inventory.join(d, "product_id", "left")
-    q = F.when(F.col("_n").isNotNull() & (F.col("quantity") >= F.col("_n")),
-               F.col("quantity") - F.col("_n")).otherwise(F.col("quantity"))
+    warehouse row of the product and every line of ``demand`` in ``order``.
+
+    A warehouse row that has too little for a line skips it and may still
+    serve a later, smaller one, as the statements would one after the other.
+    Without an order (``ts``, ``customer_id``) the demand of a product is one statement.
+    """
+    order = order or [c for c in ("ts", "customer_id") if c in demand.columns]
+    if not order:
+        demand = demand.groupBy("product_id").agg(F.sum("quantity").alias("quantity"))
+        order = ["product_id"]
+    rows = inventory.select(F.col("id").alias("_row"), "product_id", F.col("quantity").alias("stock"))
+    lines = demand.select(*dict.fromkeys(["product_id", "quantity", *order])).join(rows, "product_id").withColumn(
+        "_line", F.struct(*order))
+    taken = (accept_in_order(lines, ["_row", "_line"], "_row", order).filter("accepted")
+             .groupBy(F.col("_row").alias("id")).agg(F.sum("quantity").alias("_n")))
+    j = inventory.join(taken, "id", "left")
+    q = F.col("quantity") - F.coalesce("_n", F.lit(0))
     return j.select(*[q.cast(inventory.schema["quantity"].dataType).alias("quantity") if c == "quantity"
                       else F.col(c) for c in inventory.columns])
 
@@ -201,15 +276,18 @@ class CheckoutResult(dict):
 
 def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool = False,
              orders_start=None, items_start=None) -> CheckoutResult:
-    """H5: place every valid cart: one pending USD order and one item per line
-    (total = round(price * qty, 2) at full price unless ``use_sale_price``),
-    stock decremented (E5), points awarded (E6). New ids continue after the
-    current maximum (E7), ordered by (customer, product).
-
-    Returns new 'orders', new 'order_items', updated 'inventory' and the
-    per-customer 'points' earned, each built lazily on first access.
+    """H5: check the carts out one after the other (see ``accepted_lines``): one
+    pending USD order and one item per line (total = round(price * qty, 2) at
+    full price unless ``use_sale_price``), stock decremented (E5), points
+    awarded (E6). New ids continue after the current maximum (E7), ordered by
+    (customer, product).
+
+    The accepted lines are settled and written once; new 'orders', new
+    'order_items', updated 'inventory' and the per-customer 'points' all derive
+    from them, each built on first access.
     """
     lines = accepted_lines(cart, t, shoppers)
+    keep_order = [c for c in ("ts", "customer_id") if c in lines.columns]
     if use_sale_price:
         promo = _promo_per_product(table(t, "promotions")).select("product_id", "sale_price")
         lines = (lines.join(promo, "product_id", "left")
@@ -238,7 +316,8 @@ def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool =
             F.col("id").alias("order_id"), "product_id", "quantity",
             F.col("price").cast("decimal(18,2)").alias("unit_price"), total.alias("line_total"))
         # Item ids follow order ids one to one: same offset, no second numbering pass.
-        start = items_start if items_start is not None else 1
+        start = items_start if items_start is not None else \
+            table(t, "order_items").select((F.count(F.lit(1)) + 1).alias("s"))
         first_order = orders_start if orders_start is not None else \
             table(t, "orders").select((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("s"))
         s_items = F.lit(start) if isinstance(start, int) else start.scalar()
@@ -249,25 +328,24 @@ def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool =
     return CheckoutResult({
         "orders": orders,
         "order_items": items,
-        "inventory": lambda: conditional_decrement(table(t, "inventory"), lines.select("product_id", "quantity")),
+        "inventory": lambda: conditional_decrement(
+            table(t, "inventory"), lines.select("product_id", "quantity", *keep_order), keep_order),
         "points": lambda: checkout_points(lines),
     })
 
 
-def allocate_stock(cart: DataFrame, inventory: DataFrame, bucket_unit: str = "hour") -> DataFrame:
-    """H7: many carts at once, first come first served per product.
+def allocate_stock(cart: DataFrame, inventory: DataFrame) -> DataFrame:
+    """H7: single lines at once, first come first served per product.
 
-    Lines are ordered per product by (cart time, customer); a line is granted
-    when the running demand up to and including it is <= stock. A refused
-    line still counts in the demand (the same line would have been rejected
-    by a single-cart checkout at that moment). For one cart this equals the
-    reference's stock check. The running sum is two-level (see
-    ``functions.windows.running_sum``) so a hot product stays parallel;
-    ``bucket_unit`` ('minute', 'hour', 'day') sets how finely it is split.
+    Lines are ordered per product by (cart time, customer). A line is granted
+    when it fits into what the lines granted before it left (``remaining``);
+    a refused line uses no stock, so a later, smaller one may be granted.
     """
     stock = _stock_per_product(inventory)
-    with_stock = cart.join(stock, "product_id", "left").withColumn(
-        "stock", F.coalesce(F.col("stock"), F.lit(0)))
-    rs = running_sum(with_stock, ["product_id"], ["ts", "customer_id"], "quantity", "running_demand",
-                     F.date_trunc(bucket_unit, F.col("ts")))
-    return rs.withColumn("granted", F.col("running_demand") <= F.col("stock"))
+    lines = cart.join(stock, "product_id", "left").withColumn("stock", F.coalesce(F.col("stock"), F.lit(0)))
+    done = accept_in_order(lines, ["product_id", "customer_id"], "product_id", ["ts", "customer_id"])
+    used = running_sum(done, ["product_id"], ["ts", "customer_id"],
+                       {"_used": F.when(F.col("accepted"), F.col("quantity")).otherwise(F.lit(0))})
+    own = F.when(F.col("accepted"), F.col("quantity")).otherwise(F.lit(0))
+    return (used.withColumn("remaining", (F.col("stock") - F.col("_used") + own).cast("long"))
+            .withColumnRenamed("accepted", "granted").drop("_used"))

@@ -65,9 +65,26 @@ VALID_SQL = f"""(SELECT sh.customer_id, COALESCE(v.lines, 0) AS lines, COALESCE(
              COUNT(*) FILTER (WHERE p.id IS NOT NULL AND COALESCE(s.stock, 0) < c.quantity) AS short_lines
       FROM {CART_SQL} c LEFT JOIN products p ON p.id = c.product_id LEFT JOIN {STOCK_SQL} s ON s.product_id = c.product_id
       GROUP BY c.customer_id) v ON v.customer_id = sh.customer_id)"""
-ACCEPTED_SQL = f"""(SELECT c.customer_id, c.product_id, c.quantity, p.price FROM {CART_SQL} c
-    JOIN products p ON p.id = c.product_id
-    WHERE c.customer_id IN (SELECT customer_id FROM {VALID_SQL} WHERE status = 'ok'))"""
+TIMED_SQL = f"""(SELECT c.*, ts.ts FROM {CART_SQL} c JOIN (SELECT customer_id, MAX(ts) AS ts FROM cart_events GROUP BY customer_id) ts
+    ON ts.customer_id = c.customer_id)"""
+# Checkout cart by cart: each step looks at one cart and at what the carts accepted so far have taken.
+ACCEPTED_SQL = f"""(WITH RECURSIVE
+  timed AS MATERIALIZED (SELECT * FROM {TIMED_SQL}),
+  numbered AS (SELECT customer_id, row_number() OVER (ORDER BY ts, customer_id) AS n
+               FROM (SELECT DISTINCT customer_id, ts FROM timed)),
+  carts AS MATERIALIZED (SELECT n.n, list({{'p': l.product_id, 'q': l.quantity,
+                 's': CASE WHEN p.id IS NOT NULL THEN COALESCE(s.stock, 0) END}}) AS lines
+            FROM numbered n JOIN timed l ON l.customer_id = n.customer_id LEFT JOIN products p ON p.id = l.product_id
+            LEFT JOIN {STOCK_SQL} s ON s.product_id = l.product_id GROUP BY n.n),
+  step(n, ok, used) AS (
+    SELECT CAST(0 AS BIGINT), false, CAST([] AS STRUCT(p BIGINT, q BIGINT, s INTEGER)[])
+    UNION ALL
+    SELECT c.n, fits, CASE WHEN fits THEN list_concat(used, lines) ELSE used END
+    FROM (SELECT c.n, c.lines, st.used, len(list_filter(c.lines, lambda x: x.s IS NULL OR
+            x.s - COALESCE(list_sum(list_transform(list_filter(st.used, lambda u: u.p = x.p), lambda u: u.q)), 0) < x.q)) = 0 AS fits
+          FROM step st JOIN carts c ON c.n = st.n + 1) c)
+  SELECT l.customer_id, l.product_id, l.quantity, l.ts, p.price FROM timed l JOIN products p ON p.id = l.product_id
+  JOIN numbered n ON n.customer_id = l.customer_id JOIN step st ON st.n = n.n AND st.ok)"""
 _CART_TABLES = ("cart_events", "products", "inventory", "promotions")
 
 
@@ -75,6 +92,11 @@ def _cart(t):
     return H.cart_state(t.cart_events, t.products)
 
 
+def _timed_cart(t):
+    """The carts with the time of the customer's last cart event."""
+    return _cart(t).join(t.cart_events.groupBy("customer_id").agg(F.max("ts").alias("ts")), "customer_id")
+
+
 def _shoppers(t):
     return t.cart_events.select("customer_id")
 
@@ -121,7 +143,7 @@ def q_validate_checkout(t):
     FROM {ACCEPTED_SQL}""", *_CART_TABLES, "orders"))
 def q_checkout_orders(t):
     """H5 + E7 one new pending order per accepted line, ids after max(orders.id)."""
-    return H.checkout(_cart(t), t, _shoppers(t), CHECKOUT_AT,
+    return H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT,
                       items_start=t.order_items.select((F.count(F.lit(1)) + 1).alias("s")))["orders"]
 
 
@@ -133,19 +155,26 @@ def q_checkout_orders(t):
     FROM {ACCEPTED_SQL}""", *_CART_TABLES, "orders"))
 def q_checkout_items(t):
     """H5 one order item per new order, ids after the existing items."""
-    return H.checkout(_cart(t), t, _shoppers(t), CHECKOUT_AT,
+    return H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT,
                       items_start=t.order_items.select((F.count(F.lit(1)) + 1).alias("s")))["order_items"]
 
 
+# Every warehouse row goes through the accepted lines of its product one after the other.
 @register("checkout_inventory", with_sql(f"""
-    SELECT i.id, i.product_id, i.warehouse,
-           CAST(CASE WHEN d.n IS NOT NULL AND i.quantity >= d.n THEN i.quantity - d.n ELSE i.quantity END AS INTEGER)
-             AS quantity, i.reorder_level, i.reserved
-    FROM inventory i LEFT JOIN (SELECT product_id, SUM(quantity) AS n FROM {ACCEPTED_SQL} GROUP BY product_id) d
-      ON d.product_id = i.product_id""", *_CART_TABLES))
+    SELECT * FROM (WITH RECURSIVE
+      lines AS MATERIALIZED (SELECT * FROM {ACCEPTED_SQL}),
+      seq AS MATERIALIZED (SELECT i.id, l.quantity AS q, row_number() OVER (PARTITION BY i.id ORDER BY l.ts, l.customer_id) AS n
+              FROM inventory i JOIN lines l ON l.product_id = i.product_id),
+      fold(id, n, left_over) AS (
+        SELECT id, CAST(0 AS BIGINT), CAST(quantity AS BIGINT) FROM inventory
+        UNION ALL
+        SELECT f.id, s.n, CASE WHEN f.left_over >= s.q THEN f.left_over - s.q ELSE f.left_over END
+        FROM fold f JOIN seq s ON s.id = f.id AND s.n = f.n + 1)
+    SELECT i.id, i.product_id, i.warehouse, CAST(x.left_over AS INTEGER) AS quantity, i.reorder_level, i.reserved
+    FROM inventory i JOIN (SELECT id, arg_max(left_over, n) AS left_over FROM fold GROUP BY id) x ON x.id = i.id)""", *_CART_TABLES))
 def q_checkout_inventory(t):
-    """H5 + E5 stock after checkout: quantity -= n where quantity >= n, every warehouse row."""
-    return H.checkout(_cart(t), t, _shoppers(t), CHECKOUT_AT)["inventory"]
+    """H5 + E5 stock after checkout: quantity -= n where quantity >= n, every warehouse row, line after line."""
+    return H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT)["inventory"]
 
 
 @register("checkout_points", with_sql(f"""
@@ -153,7 +182,7 @@ def q_checkout_inventory(t):
     GROUP BY customer_id""", *_CART_TABLES))
 def q_checkout_points(t):
     """H6 points earned per customer at checkout."""
-    return H.checkout(_cart(t), t, _shoppers(t), CHECKOUT_AT)["points"]
+    return H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT)["points"]
 
 
 @register("award_points", with_sql(f"""
@@ -166,25 +195,26 @@ def q_checkout_points(t):
       ON p.customer_id = b.id""", *_CART_TABLES, "customers", "orders"))
 def q_award_points(t):
     """E6 loyalty points += checkout points."""
-    pts = H.checkout(_cart(t), t, _shoppers(t), CHECKOUT_AT)["points"]
+    pts = H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT)["points"]
     return L.award_points(L.backfill_points(t), pts.withColumnRenamed("customer_id", "customer_id"))
 
 
 @register("allocate_stock", with_sql(f"""
-    SELECT c.customer_id, c.product_id, c.quantity, ts.ts, COALESCE(s.stock, 0) AS stock,
-           SUM(c.quantity) OVER (PARTITION BY c.product_id ORDER BY ts.ts, c.customer_id
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_demand,
-           SUM(c.quantity) OVER (PARTITION BY c.product_id ORDER BY ts.ts, c.customer_id
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) <= COALESCE(s.stock, 0) AS granted
-    FROM {CART_SQL} c JOIN (SELECT customer_id, MAX(ts) AS ts FROM cart_events GROUP BY customer_id) ts
-      ON ts.customer_id = c.customer_id
-    LEFT JOIN {STOCK_SQL} s ON s.product_id = c.product_id""", *_CART_TABLES))
+    SELECT * FROM (WITH RECURSIVE
+      seq AS MATERIALIZED (SELECT c.*, COALESCE(s.stock, 0) AS stock,
+                row_number() OVER (PARTITION BY c.product_id ORDER BY c.ts, c.customer_id) AS n
+              FROM {TIMED_SQL} c LEFT JOIN {STOCK_SQL} s ON s.product_id = c.product_id),
+      fold(customer_id, product_id, quantity, ts, stock, n, remaining) AS (
+        SELECT customer_id, product_id, quantity, ts, stock, n, CAST(stock AS BIGINT) FROM seq WHERE n = 1
+        UNION ALL
+        SELECT s.customer_id, s.product_id, s.quantity, s.ts, s.stock, s.n,
+               CASE WHEN f.quantity <= f.remaining THEN f.remaining - f.quantity ELSE f.remaining END
+        FROM fold f JOIN seq s ON s.product_id = f.product_id AND s.n = f.n + 1)
+    SELECT customer_id, product_id, quantity, ts, stock, remaining, quantity <= remaining AS granted FROM fold)""", *_CART_TABLES))
 def q_allocate_stock(t):
-    """H7 first-come-first-served stock allocation over all carts at once."""
-    cart = _cart(t).join(t.cart_events.groupBy("customer_id").agg(F.max("ts").alias("ts")), "customer_id")
-    return H.allocate_stock(cart, t.inventory).select(
-        "customer_id", "product_id", "quantity", "ts", "stock",
-        F.col("running_demand").cast("long").alias("running_demand"), "granted")
+    """H7 first-come-first-served stock allocation over all lines at once."""
+    return H.allocate_stock(_timed_cart(t), t.inventory).select(
+        "customer_id", "product_id", "quantity", "ts", "stock", "remaining", "granted")
 
 
 @register("migrate_currency", with_sql("""

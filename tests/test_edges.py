@@ -262,9 +262,9 @@ def test_allocate_stock_first_come(spark, shop):
     cart = spark.createDataFrame(
         [(1, 1, 3, TS), (2, 1, 3, TS + dt.timedelta(minutes=1)), (3, 1, 1, TS + dt.timedelta(hours=2))],
         "customer_id long, product_id long, quantity long, ts timestamp_ntz")
-    got = [(r.customer_id, r.running_demand, r.granted)
+    got = [(r.customer_id, r.remaining, r.granted)
            for r in H.allocate_stock(cart, shop["inventory"]).orderBy("customer_id").collect()]
-    assert got == [(1, 3, True), (2, 6, False), (3, 7, False)]
+    assert got == [(1, 5, True), (2, 2, False), (3, 2, True)]  # a refused line uses nothing
 
 
 CH_SCHEMA = ("id long, v string, _change_type string, _commit_version long, "

@@ -38,12 +38,12 @@ def test_dense_ids_equal_sorted_position(spark, rows, parts):
 
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 200), st.integers(1, 9)), min_size=1, max_size=150))
-def test_two_level_running_sum_equals_window(spark, rows):
+def test_ranged_running_sum_equals_window(spark, rows):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
     rows = [(k, t, i, v) for i, (k, t, v) in enumerate(rows)]
     df = spark.createDataFrame(rows, "k long, t long, i long, v long")
-    got = running_sum(df, ["k"], ["t", "i"], "v", "rs", F.floor(F.col("t") / 10))
+    got = running_sum(df, ["k"], ["t", "i"], {"rs": F.col("v")})
     w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("rs", F.sum("v").over(w))
     assert sorted(map(tuple, got.select("k", "t", "i", "rs").collect())) == \
