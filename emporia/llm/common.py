@@ -64,26 +64,29 @@ def pieces(n_rows: int, sizes, limit: int) -> Iterator[tuple[int, int]]:
         yield start, n_rows
 
 
-class Memo(dict):
-    """A memo of bounded size: two generations of at most ``limit`` entries each.
+class Memo:
+    """A memo of bounded size that learns many new keys at once.
 
-    ``memo[key]`` computes a missing value with ``make``. When the young
-    generation is full it becomes the old one and the old one is dropped, so
-    keys in use survive and memory stays bounded. Results never depend on it.
+    ``learn(keys)`` returns a dict that holds all of them; ``make_many`` gives
+    the values of a list of new ones. Two generations are kept: when the
+    young one has ``limit`` entries it becomes the old one, so keys in use
+    survive and memory stays bounded. Results never depend on it.
     """
 
-    __slots__ = ("make", "limit", "old")
-
-    def __init__(self, make: Callable, limit: int = 250_000):
-        super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    def __init__(self, make_many: Callable[[list], list], limit: int):
+        self.make_many, self.limit, self.young, self.old = make_many, limit, {}, {}
+
+    def learn(self, keys) -> dict:
+        if len(self.young) >= self.limit:
+            self.young, self.old = {}, self.young
+        young, old, new = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                v = old.get(k)
+                if v is None:
+                    new.append(k)
+                else:
+                    young[k] = v
+        if new:
+            young.update(zip(new, self.make_many(new)))
+        return young

@@ -40,7 +40,13 @@ LONG_LINE_WORDS = 50
 PRIME, BASE = 4294967291, 31
 
 
-def _cuts(lines: Column, window: int, long_line_words: int | None) -> Column:
+def _is_long(line: Column, words: int) -> Column:
+    """Whether a line has that many words: blanks counted in bytes, which needs no decoding."""
+    blanks = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return (F.octet_length(line) >= words) & (blanks >= words - 1)
+
+
+def _starts(lines: Column, longs: Column, window: int) -> Column:
     """Zero-based numbers of the lines that start a chunk."""
     n = F.size(lines)
     hashed = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
@@ -54,19 +60,14 @@ def _cuts(lines: Column, window: int, long_line_words: int | None) -> Column:
             return total
         return F.transform(h, at)
 
-    def is_long(i: Column) -> Column:  # zero-based line number
-        line = F.element_at(lines, (i + 1).cast("int"))
-        return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) >= long_line_words - 1
-
     def starts(roll: Column) -> Column:
         def cut(i: Column) -> Column:
             here = F.element_at(roll, (i + 1).cast("int"))
             low = ((i >= 2) & (i <= n - 3)
                    & (here < F.element_at(roll, F.greatest(i, F.lit(1)).cast("int")))
                    & (here <= F.element_at(roll, F.least(i + 2, n).cast("int"))))
-            if long_line_words:
-                low = low | is_long(i) | is_long(i - 1)
-            return F.when(i == 0, F.lit(True)).otherwise(low)
+            by_length = F.element_at(longs, (i + 1).cast("int")) | F.element_at(longs, F.greatest(i, F.lit(1)).cast("int"))
+            return (i == 0) | by_length | low
         return F.filter(F.sequence(F.lit(0), n - 1), cut)
 
     # One-element transforms bind a value once, so the hashes are not worked out anew for each line.
@@ -75,31 +76,24 @@ def _cuts(lines: Column, window: int, long_line_words: int | None) -> Column:
 
 
 def chunked(docs: DataFrame, window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
-    """(doc_id, text) -> doc_id, th, lines, starts; th is a hash of the whole text."""
-    lines = F.split("text", "\n", -1)
+    """(doc_id, text) -> doc_id, th, lines, longs, starts; th is a hash of the whole text."""
+    long_line = (lambda x: _is_long(x, long_line_words)) if long_line_words else (lambda x: F.lit(False))
     return (docs.filter(F.col("text").isNotNull())
-            .select("doc_id", F.xxhash64("text").alias("th"), lines.alias("lines"))
-            .withColumn("starts", _cuts(F.col("lines"), window, long_line_words)))
-
-
-def _spans(starts: Column, lines: Column) -> Column:
-    """Chunks as structs of first line and number of lines."""
-    return F.transform(starts, lambda s, k: F.struct(
-        s.alias("start"),
-        (F.coalesce(F.try_element_at(starts, k + 2), F.size(lines)) - s).alias("len")))
+            .select("doc_id", F.xxhash64("text").alias("th"), F.split("text", "\n", -1).alias("lines"))
+            .withColumn("longs", F.transform("lines", long_line))
+            .withColumn("starts", _starts(F.col("lines"), F.col("longs"), window)))
 
 
 def chunk_rows(docs: DataFrame, window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
     """One row for each chunk that may be removed: doc_id, th, start, len, chunk, h."""
+    spans = F.transform("starts", lambda s, k: F.struct(
+        s.alias("start"), (F.coalesce(F.try_element_at("starts", k + 2), F.size("lines")) - s).alias("len")))
+    counted = F.filter(spans, lambda c: (c["len"] >= 2) | F.element_at("longs", c["start"] + 1))
     rows = (chunked(docs, window, long_line_words)
-            .select("doc_id", "th", F.inline(F.transform(
-                _spans(F.col("starts"), F.col("lines")),
-                lambda c: F.struct(c["start"].alias("start"), c["len"].alias("len"),
-                                   F.array_join(F.slice("lines", c["start"] + 1, c["len"]), "\n").alias("chunk"))))))
-    several = F.col("len") >= 2
-    if long_line_words:
-        several = several | (F.length("chunk") - F.length(F.replace("chunk", F.lit(" "), F.lit(""))) >= long_line_words - 1)
-    return rows.filter(several & (F.trim(F.translate("chunk", "\n\r\t", "   ")) != "")).withColumn("h", F.xxhash64("chunk"))
+            .select("doc_id", "th", F.inline(F.transform(counted, lambda c: F.struct(
+                c["start"].alias("start"), c["len"].alias("len"),
+                F.array_join(F.slice("lines", c["start"] + 1, c["len"]), "\n").alias("chunk"))))))
+    return rows.filter(F.btrim("chunk", F.lit(" \n\r\t")) != "").withColumn("h", F.xxhash64("chunk"))
 
 
 def repeated_chunks(docs: DataFrame, window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
@@ -114,8 +108,9 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, long_line_words: int
 
 
 def _deduped(docs: DataFrame, id_col: str, text_col: str, window: int, long_line_words: int | None) -> DataFrame:
-    """own (struct of the row's columns), doc_id, text, n_lines, n_removed."""
-    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+    """own (struct of the row's other columns), doc_id, text, n_lines, n_removed."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    base = docs.select(F.struct(*others, F.lit(1).alias("_")).alias("own"),
                        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     gone = (repeated_chunks(base.select("doc_id", "text"), window, long_line_words)
             .groupBy(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"))
@@ -151,10 +146,11 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     out = _deduped(docs, id_col, text_col, window, long_line_words)
     out = out.filter((F.col("n_removed") == 0) | (F.col("text") != ""))
-    new = {text_col: F.col("text"), length_col: F.length("text")}
+    length = F.when(F.col("n_removed") > 0, F.length("text"))
     return out.select(*[
-        F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col("own")[c]).cast(docs.schema[c].dataType).alias(c)
-        if c in new else F.col("own")[c].alias(c) for c in docs.columns])
+        F.col("text").alias(c) if c == text_col
+        else F.coalesce(length, F.col("own")[c]).cast(docs.schema[c].dataType).alias(c) if c == length_col
+        else F.col("own")[c].alias(c) for c in docs.columns])
 
 
 def oracle_sql(window: int = WINDOW, long_line_words: int = LONG_LINE_WORDS, source: str = "documents") -> str:
@@ -186,7 +182,7 @@ chunks AS (
          string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY doc_id, c),
 ranked AS (
   SELECT doc_id, c, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) AS k
-  FROM chunks WHERE (len >= 2 OR long_line) AND trim(translate(chunk, chr(10) || chr(13) || chr(9), '   '), ' ') <> ''),
+  FROM chunks WHERE (len >= 2 OR long_line) AND trim(chunk, ' ' || chr(10) || chr(13) || chr(9)) <> ''),
 gone AS (SELECT doc_id, c FROM ranked WHERE k > 1),
 kept AS (
   SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.i) FILTER (g.c IS NULL) AS text,

@@ -9,24 +9,24 @@ from hypothesis import strategies as st
 
 from emporia.llm import huffman as H
 
-units = H.unit_tokenizer(H.BYTE_BPE)
+bpe = H.byte_bpe(H.BYTE_BPE)
 LETTERS = "aAbé ñ\n\t'sS tT.,5²😀日 \x1c\x85\xa0 ​　   "
 
 
 def library(text):
-    return units.lib.encode(text or "", add_special_tokens=False).ids
+    return bpe.lib.encode(text or "", add_special_tokens=False).ids
 
 
-def test_pieces_equal_the_library():
+def test_ids_equal_the_library():
     rng = random.Random(1)
     texts = [*odd_texts(), "  a  b ", " ", "a ", "a\n b", *(sentence(rng, n) for n in (1, 30, 300))]
-    assert [np.frombuffer(x, units.dtype).tolist() for x in units.encode(texts)] == [library(t) for t in texts]
+    assert [np.frombuffer(x, bpe.dtype).tolist() for x in bpe.encode(texts)] == [library(t) for t in texts]
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=LETTERS, max_size=40), max_size=4))
-def test_pieces_equal_the_library_on_odd_spacing(texts):
-    assert [np.frombuffer(x, units.dtype).tolist() for x in units.encode(texts)] == [library(t) for t in texts]
+def test_ids_equal_the_library_on_odd_spacing(texts):
+    assert [np.frombuffer(x, bpe.dtype).tolist() for x in bpe.encode(texts)] == [library(t) for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
