@@ -68,7 +68,7 @@ def _unit(scale: int) -> Column:
 
 
 def half_up_div(num: str | Column, den: str | Column, scale: int) -> Column:
-    """Exact ``round(num / den, scale)`` (half up) for integral num >= 0, den > 0.
+    """Exact ``round(num / den, scale)`` for integral num, den > 0; halves go away from zero.
 
     64-bit integer arithmetic (``div``), then the integer is scaled into a
     DECIMAL(18, scale): no float rounding and no wide-decimal slow path, so it
@@ -78,7 +78,8 @@ def half_up_div(num: str | Column, den: str | Column, scale: int) -> Column:
     p = 10 ** scale
     n = col(num).cast("long")
     d = col(den).cast("long")
-    q = F.call_function("div", n * (2 * p) + d, d * 2)
+    # Rounded on the absolute value: ``div`` cuts towards zero.
+    q = F.call_function("div", F.abs(n) * (2 * p) + d, d * 2) * F.signum(n).cast("long")
     return F.when(d > 0, (q.cast("decimal(18,0)") * _unit(scale)).cast(f"decimal(18,{scale})"))
 
 
@@ -88,20 +89,22 @@ def half_up_div_wide(num: str | Column, den: str | Column, scale: int) -> Column
     p = 10 ** scale
     n = col(num).cast("decimal(38,0)")
     d = col(den).cast("decimal(38,0)")
-    a = n * (2 * p) + d
+    a = F.abs(n) * (2 * p) + d
     b = d * 2
     q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+    q = F.when(n < 0, -q).otherwise(q)
     return F.when(d > 0, (q * _unit(scale)).cast(f"decimal(38,{scale})"))
 
 
 def half_up_div_sql(num: str, den: str, scale: int) -> str:
     p = 10 ** scale
-    return (f"CAST(CASE WHEN ({den}) > 0 THEN (CAST({num} AS HUGEINT) * {2 * p} + CAST({den} AS HUGEINT)) "
-            f"// (CAST({den} AS HUGEINT) * 2) END / {p}.0 AS DECIMAL(38,{scale}))")
+    return (f"CAST(CASE WHEN ({den}) > 0 THEN CAST(sign({num}) AS HUGEINT) * "
+            f"((abs(CAST({num} AS HUGEINT)) * {2 * p} + CAST({den} AS HUGEINT)) "
+            f"// (CAST({den} AS HUGEINT) * 2)) END / {p}.0 AS DECIMAL(38,{scale}))")
 
 
 def avg_round(amount: str | Column, scale: int, unit_scale: int = 0) -> Column:
-    """Aggregate: exact half-up ROUND(AVG(x), scale) for x >= 0 with ``unit_scale`` decimals.
+    """Aggregate: exact ROUND(AVG(x), scale) of x with ``unit_scale`` decimals; halves go away from zero.
 
     Per row only the plain SUM and COUNT run (partial aggregation map side;
     a decimal sum stays on Spark's compact-long fast path). Once per group the
@@ -125,11 +128,6 @@ def money(c: str | Column) -> Column:
     return col(c).cast("decimal(18,2)")
 
 
-def money_sum(c: str | Column) -> Column:
-    """SUM of money, widened so large tables do not overflow."""
-    return F.sum(col(c)).cast("decimal(38,2)")
-
-
 def safe_identifier(c: str | Column) -> Column:
     """Lower-case name cleaned to [a-z0-9_], runs of '_' squeezed, edges trimmed; '' -> 'user'."""
     v = F.lower(F.trim(col(c)))

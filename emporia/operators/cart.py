@@ -317,7 +317,7 @@ def checkout(cart: DataFrame, t, shoppers: DataFrame, at, use_sale_price: bool =
             F.col("price").cast("decimal(18,2)").alias("unit_price"), total.alias("line_total"))
         # Item ids follow order ids one to one: same offset, no second numbering pass.
         start = items_start if items_start is not None else \
-            table(t, "order_items").select((F.count(F.lit(1)) + 1).alias("s"))
+            table(t, "order_items").select((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("s"))
         first_order = orders_start if orders_start is not None else \
             table(t, "orders").select((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("s"))
         s_items = F.lit(start) if isinstance(start, int) else start.scalar()

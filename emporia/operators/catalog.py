@@ -8,11 +8,11 @@ to one row per product before any join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions import scalars as S
-from emporia.operators.common import has_column, table, top_k
+from emporia.operators.common import has_column, has_table, table, top_k
 
 
 # --- B: projections, filters, paging ---------------------------------------
@@ -111,21 +111,34 @@ def product_stock(t) -> DataFrame:
                      "warehouse", "reorder_level"))
 
 
+def _newest_first() -> list[Column]:
+    return [F.col("review_date").desc_nulls_first(), F.col("customer_id"), F.col("rating"), F.col("comment")]
+
+
 def product_reviews(t, n: int = 20) -> DataFrame:
-    """Reviews JOIN customers, newest first, top ``n`` per product.
+    """Newest ``n`` reviews per product with the reviewer's name.
 
-    ``row_number() <= n`` over a product partition is planned with a
-    WindowGroupLimit before the shuffle, so a product with a third of all
-    reviews ships only ``n`` rows per map partition.
+    Reviews are ranked first: ``row_number() <= n`` is planned with a group
+    limit below the shuffle, so a product with a third of all reviews ships
+    ``n`` rows per map partition, and only ranked rows meet the customers (a
+    review's customer exists, F4).
     """
-    r = table(t, "reviews")
     c = table(t, "customers").select(F.col("id").alias("customer_id"), F.col("name").alias("reviewer"))
-    w = Window.partitionBy("product_id").orderBy(
-        F.col("review_date").desc_nulls_first(), F.col("customer_id"), F.col("rating"))
-    return (r.join(c, "customer_id")
-             .withColumn("rn", F.row_number().over(w))
-             .filter(F.col("rn") <= n)
-             .select("product_id", "rn", "rating", "review_date", "reviewer"))
+    w = Window.partitionBy("product_id").orderBy(*_newest_first())
+    newest = table(t, "reviews").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    return (newest.join(c, "customer_id")
+            .select("product_id", "rn", "rating", "comment", "review_date", "reviewer"))
+
+
+def product_review_list(t, product_id, n: int = 20) -> DataFrame:
+    """C5 for one product page: its newest ``n`` reviews (none if there is no reviews table)."""
+    if not has_table(t, "reviews"):
+        return table(t, "products").sparkSession.createDataFrame(
+            [], "rating int, comment string, review_date timestamp_ntz, reviewer string")
+    c = table(t, "customers").select(F.col("id").alias("customer_id"), F.col("name").alias("reviewer"))
+    own = top_k(table(t, "reviews").filter(F.col("product_id") == product_id), n, *_newest_first())
+    return (own.join(c, "customer_id").orderBy(*_newest_first())
+            .select("rating", "comment", "review_date", "reviewer"))
 
 
 # --- D: aggregations ---------------------------------------------------------
@@ -144,11 +157,30 @@ def _stock_rows(t) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("_wh_rows")))
 
 
-PAGE_PREFILTER_MAX = 10000
+def _review_totals(t, ids: DataFrame | None = None) -> DataFrame | None:
+    """(id, _n, _sum) of the reviews of each product, of some products only with
+    ``ids`` (product_id); None if there is no reviews table."""
+    if not has_table(t, "reviews"):
+        return None
+    r = table(t, "reviews")
+    if ids is not None:
+        r = r.join(ids, "product_id", "left_semi")
+    return (r.groupBy(F.col("product_id").alias("id"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum")))
+
+
+def _with_reviews(df: DataFrame, totals: DataFrame | None) -> DataFrame:
+    if totals is None:
+        return df.withColumns({"_n": F.lit(None).cast("long"), "_sum": F.lit(None).cast("long")})
+    return df.join(totals, "id", "left")
+
+
+def _average() -> Column:
+    return F.coalesce(S.half_up_div(F.col("_sum"), F.col("_n"), 1).cast("decimal(18,1)"), F.lit(0).cast("decimal(18,1)"))
 
 
 def catalog_listing(t, category: str = "", search: str = "", limit: int | None = 50, offset: int = 0,
-                    with_loyalty: bool = True) -> DataFrame:
+                    with_loyalty: bool = True, with_promos: bool = False) -> DataFrame:
     """Products + stock + avg rating + review count, as the storefront lists them.
 
     Grouped by product *and inventory quantity*, like the reference: a product
@@ -156,34 +188,33 @@ def catalog_listing(t, category: str = "", search: str = "", limit: int | None =
     quantities once, with its review count multiplied by the number of such
     warehouse rows (the join fan-out). Computed from per-product review
     aggregates instead of joining every review to every warehouse row.
-    ``limit=None`` returns the whole listing.
+
+    The listing adapts: without a reviews table the ratings and counts are 0,
+    and with ``with_promos`` the active promo (C10) is laid over in the same
+    plan, if there is a promotions table. ``limit=None`` returns the whole listing.
     """
     p = catalog_filter(table(t, "products"), category, search)
-    inv_rows, reviews = table(t, "inventory"), table(t, "reviews")
-    if limit is not None and offset + limit <= PAGE_PREFILTER_MAX:
+    inv_rows, ids = table(t, "inventory"), None
+    if limit is not None:
         # Each product lists at least once, so a page lies within the first
-        # offset + limit products by id: join only those (a bounded broadcast).
-        p = F.broadcast(top_k(p, offset + limit, F.col("id").asc()))
+        # offset + limit products by id: only those are joined.
+        p = top_k(p, offset + limit, F.col("id").asc())
         ids = p.select(F.col("id").alias("product_id"))
         inv_rows = inv_rows.join(ids, "product_id", "left_semi")
-        reviews = reviews.join(ids, "product_id", "left_semi")
-    inv = (inv_rows.groupBy("product_id", "quantity").agg(F.count(F.lit(1)).alias("_wh_rows"))
-           .withColumnRenamed("product_id", "id"))
-    rv = (reviews.groupBy("product_id")
-          .agg(F.count(F.lit(1)).alias("_n"),
-               F.sum("rating").alias("_sum"))
-          .withColumnRenamed("product_id", "id"))
-    j = p.join(inv, "id", "left").join(rv, "id", "left")
+    inv = (inv_rows.groupBy(F.col("product_id").alias("id"), "quantity").agg(F.count(F.lit(1)).alias("_wh_rows")))
+    j = _with_reviews(p.join(inv, "id", "left"), _review_totals(t, ids))
     fan = F.coalesce(F.col("_wh_rows"), F.lit(1))
     cnt = (F.coalesce(F.col("_n"), F.lit(0)) * fan).cast("long")
-    avg = S.half_up_div(F.col("_sum"), F.col("_n"), 1).cast("decimal(18,1)")
     cols = [F.col("id"), F.col("name"), F.col("price"), F.col("category"),
             F.coalesce(F.col("quantity"), F.lit(0)).alias("stock"),
-            F.coalesce(avg, F.lit(0).cast("decimal(18,1)")).alias("avg_rating"),
-            cnt.alias("review_count")]
+            _average().alias("avg_rating"), cnt.alias("review_count")]
     if with_loyalty:
         cols.append(S.points_for_price("price").alias("loyalty_points_earned"))
     out = j.select(*cols)
+    if with_promos and has_table(t, "promotions"):
+        from emporia.operators.promos import promo_overlay
+        promos = table(t, "promotions")
+        out = promo_overlay(out, promos if ids is None else promos.join(ids, "product_id", "left_semi"))
     if limit is None:
         return out
     return out.orderBy("id", "stock").offset(offset).limit(limit)
@@ -225,20 +256,17 @@ def best_sellers(t, n: int = 8, mode: str = "correct") -> DataFrame:
     are computed here from per-product aggregates, without the fan-out join.
 
     Either way order items are reduced to one row per product map-side before
-    any join, and the top ``n`` is a TakeOrderedAndProject.
+    any join, and the top ``n`` is a TakeOrderedAndProject. Without a reviews
+    table the ratings are 0.
     """
     p = table(t, "products")
     units = (table(t, "order_items").groupBy("product_id")
              .agg(F.sum("quantity").alias("_units"))
              .withColumnRenamed("product_id", "id"))
-    rv = (table(t, "reviews").groupBy("product_id")
-          .agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
-          .withColumnRenamed("product_id", "id"))
-    avg = F.coalesce(S.half_up_div(F.col("_sum"), F.col("_n"), 1).cast("decimal(18,1)"),
-                     F.lit(0).cast("decimal(18,1)"))
+    avg = _average()
     if mode == "exact":
         inv = _stock_rows(t).withColumnRenamed("product_id", "id")
-        j = units.join(p, "id").join(inv, "id", "left").join(rv, "id", "left")
+        j = _with_reviews(units.join(p, "id").join(inv, "id", "left"), _review_totals(t))
         sold = (F.col("_units") * F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))
                 * F.coalesce(F.col("_wh_rows"), F.lit(1))).cast("long")
         stock = F.coalesce(F.col("quantity"), F.lit(0))
@@ -253,10 +281,7 @@ def best_sellers(t, n: int = 8, mode: str = "correct") -> DataFrame:
         inv = (table(t, "inventory").join(ids, "product_id", "left_semi").groupBy("product_id")
                .agg(F.sum("quantity").alias("quantity"))
                .withColumnRenamed("product_id", "id"))
-        rv = (table(t, "reviews").join(ids, "product_id", "left_semi").groupBy("product_id")
-              .agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
-              .withColumnRenamed("product_id", "id"))
-        j = top.join(p, "id").join(inv, "id", "left").join(rv, "id", "left")
+        j = _with_reviews(top.join(p, "id").join(inv, "id", "left"), _review_totals(t, ids))
         sold = F.col("_units").cast("long")
         stock = F.coalesce(F.col("quantity"), F.lit(0)).cast("long")
     else:
@@ -290,19 +315,20 @@ def stock_by_product(t) -> DataFrame:
 
 def product_detail(t, product_id) -> DataFrame:
     """Product page: the product with each warehouse's stock (C1), points (B4),
-    its rating and review count (D2) and the active promo (C10)."""
+    its rating and review count (D2) and, if there are promotions, the active
+    promo (C10). Its reviews are ``product_review_list``."""
     from emporia.operators.promos import promo_overlay
     stock = product_stock(t).filter(F.col("id") == product_id)
-    # Grouped by product and joined on the column (a literal key would let the
-    # optimizer drop the join condition and plan a nested-loop join).
-    rv = (table(t, "reviews").filter(F.col("product_id") == product_id).groupBy("product_id")
-          .agg(F.count(F.lit(1)).alias("_n"), F.sum("rating").alias("_sum"))
-          .withColumnRenamed("product_id", "id"))
-    out = (stock.join(rv, "id", "left")
-           .withColumn("avg_rating", F.coalesce(S.half_up_div(F.col("_sum"), F.col("_n"), 1),
-                                                F.lit(0).cast("decimal(18,1)")).cast("decimal(18,1)"))
+    totals = None
+    if has_table(t, "reviews"):
+        # Grouped by product and joined on the column (a literal key would let the
+        # optimizer drop the join condition and plan a nested-loop join).
+        totals = _review_totals({"reviews": table(t, "reviews").filter(F.col("product_id") == product_id)})
+    out = (_with_reviews(stock, totals)
+           .withColumn("avg_rating", _average())
            .withColumn("review_count", F.coalesce(F.col("_n"), F.lit(0)).cast("long"))
            .withColumn("loyalty_points_earned", S.points_for_price("price"))
            .drop("_n", "_sum"))
-    promos = table(t, "promotions").filter(F.col("product_id") == product_id)
-    return promo_overlay(out, promos)
+    if not has_table(t, "promotions"):
+        return out
+    return promo_overlay(out, table(t, "promotions").filter(F.col("product_id") == product_id))

@@ -31,13 +31,3 @@ def top_k(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """ORDER BY ... LIMIT n: planned as TakeOrderedAndProject (per-partition
     top-n, then a merge of n rows per partition), never a full sort."""
     return df.orderBy(*order).limit(n)
-
-
-def desc_nulls_first(c: str) -> Column:
-    """PostgreSQL DESC order (NULLs first)."""
-    return F.col(c).desc_nulls_first()
-
-
-def asc_nulls_last(c: str) -> Column:
-    """PostgreSQL ASC order (NULLs last)."""
-    return F.col(c).asc_nulls_last()

@@ -75,14 +75,9 @@ def order_detail(t, order=None, customer=None) -> DataFrame:
 
 def order_lines(t, order=None) -> DataFrame:
     """C4: order_items JOIN products for an order (all orders when None)."""
-    if order is not None and not isinstance(t, dict):
-        # Point lookup: ids from a filtered count, without numbering every item.
-        from emporia.sources.tables import order_items_of_order
-        oi = order_items_of_order(t.raw("lineitem"), order)
-    else:
-        oi = table(t, "order_items_ided") if not isinstance(t, dict) else t["order_items"]
-        if order is not None:
-            oi = oi.filter(F.col("order_id") == order)
+    oi = table(t, "order_items_ided") if not isinstance(t, dict) else t["order_items"]
+    if order is not None:
+        oi = oi.filter(F.col("order_id") == order)
     p = table(t, "products").select(F.col("id").alias("product_id"), F.col("name").alias("product"))
     return oi.join(p, "product_id").select("id", "order_id", "product", "quantity", "unit_price", "line_total")
 
@@ -103,11 +98,11 @@ def fk_assign(df: DataFrame, ref: DataFrame, code_col: str = "currency", ref_cod
     """UPDATE df SET out_col = ref.id FROM ref WHERE ref.code = df.code.
 
     Rows without a match keep NULL (checked by ``check_not_null`` in E3).
-    ``ref`` is a lookup table (exchange rates): broadcast.
+    ``ref`` is a lookup table (exchange rates); Spark broadcasts it if it is small.
     """
     r = ref.select(F.col(ref_code).alias("_code"), F.col(ref_id).alias(out_col))
     base = df.drop(out_col) if has_column(df, out_col) else df
-    return (base.join(F.broadcast(r), F.col(code_col) == F.col("_code"), "left")
+    return (base.join(r, F.col(code_col) == F.col("_code"), "left")
                 .drop("_code"))
 
 
@@ -119,7 +114,7 @@ def orders_in_usd(t) -> DataFrame:
         o = fk_assign(o, rates)
     c = table(t, "customers").select(F.col("id").alias("customer_id"), F.col("name").alias("customer"))
     p = table(t, "products").select(F.col("id").alias("product_id"), F.col("name").alias("product"))
-    r = F.broadcast(rates.select(F.col("id").alias("currency_id"), "currency_code", "rate_to_usd"))
+    r = rates.select(F.col("id").alias("currency_id"), "currency_code", "rate_to_usd")
     op = _order_products(t).withColumnRenamed("order_id", "id")
     base = o.drop(*[c_ for c_ in ("product_id", "quantity", "currency") if has_column(o, c_)])
     return (base.join(c, "customer_id").join(op, "id").join(p, "product_id").join(r, "currency_id")
@@ -176,7 +171,7 @@ def total_revenue(t, usd: bool = False) -> DataFrame:
     ``usd=True`` converts each order first (D11b)."""
     if usd:
         o = fk_assign(table(t, "orders"), table(t, "exchange_rates"))
-        r = F.broadcast(table(t, "exchange_rates").select(F.col("id").alias("currency_id"), "rate_to_usd"))
+        r = table(t, "exchange_rates").select(F.col("id").alias("currency_id"), "rate_to_usd")
         amt = F.round(F.col("total") * F.col("rate_to_usd"), 2)
         return o.join(r, "currency_id").agg(
             F.coalesce(F.sum(amt), F.lit(0)).cast("decimal(38,2)").alias("revenue_usd"))

@@ -5,37 +5,33 @@ Keys A8-A18 and E8. A change feed is a frame with the row's columns plus
 rows are ignored), ``_commit_version``, ``_commit_ts`` and ``_seq`` (order
 of changes inside one version).
 
-The latest change per key is found with ``max_by`` over the (version, seq)
-order: a hash aggregate with partial aggregation, so a key with a third of
-all changes is reduced map-side instead of being sorted in one task.
+The latest change per key is row 1 of a window ordered by (version, seq).
+Spark plans such a filter as a group limit below the shuffle: each map
+partition passes on one row per key, so a key with a third of all changes
+costs one row per partition after it.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHANGE_COLS = ["_change_type", "_commit_version", "_commit_ts", "_seq"]
+CHANGE_FIELDS = [T.StructField("_change_type", T.StringType()), T.StructField("_commit_version", T.LongType()),
+                 T.StructField("_commit_ts", T.TimestampNTZType()), T.StructField("_seq", T.IntegerType())]
+CHANGE_COLS = [f.name for f in CHANGE_FIELDS]
 
 
 def _data_cols(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in CHANGE_COLS]
 
 
-def first_per_key(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per key: the smallest by ``order`` (default: all columns).
-
-    ``min_by`` aggregates partially before the shuffle, so hot keys cost one
-    row per map partition.
-    """
-    cols = rows.columns
-    order = order or cols
-    agg = rows.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order])).alias("_r"))
-    return agg.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+def first_per_key(rows: DataFrame, keys: list[str], order: list[Column] | list[str] | None = None) -> DataFrame:
+    """One row per key: the first by ``order`` (default: all columns, ascending)."""
+    w = Window.partitionBy(*keys).orderBy(*(order or [F.col(c) for c in rows.columns]))
+    return rows.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") == 1).drop("_nth")
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str],
@@ -45,9 +41,8 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, keys: list[str],
     The first row per key in ``rows`` wins; keys already in ``target`` keep
     the target row. Returns the new full table.
     """
-    new = first_per_key(rows.select(*target.columns), keys, order)
-    new = new.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(new)
+    new = rows.select(*target.columns).join(target.select(*keys), keys, "left_anti")
+    return target.unionByName(first_per_key(new, keys, order).select(*target.columns))
 
 
 def insert_select(target: DataFrame, query: DataFrame) -> DataFrame:
@@ -70,26 +65,29 @@ def latest_changes(changes: DataFrame, keys: list[str], since_version: int | Non
         c = c.filter(F.col("_commit_version") <= until_version)
     if until_ts is not None:
         c = c.filter(F.col("_commit_ts") <= F.lit(until_ts).cast("timestamp_ntz"))
+    newest = first_per_key(c, keys, [F.col("_commit_version").desc(), F.col("_seq").desc()])
     data = _data_cols(c)
-    payload = [F.col(x) for x in data if x not in keys] + [F.col("_change_type"), F.col("_commit_version"),
-                                                           F.col("_seq")]
-    agg = c.groupBy(*keys).agg(
-        F.max_by(F.struct(*payload), F.struct(F.col("_commit_version"), F.col("_seq"))).alias("_r"))
-    out = agg.select(*keys, *[F.col(f"_r.{x}").alias(x) for x in data if x not in keys],
-                     F.col("_r._change_type").alias("_change_type"),
-                     F.col("_r._commit_version").alias("_commit_version"),
-                     F.col("_r._seq").alias("_seq"))
-    return out if with_seq else out.drop("_seq")
+    return newest.select(*keys, *[x for x in data if x not in keys], "_change_type", "_commit_version",
+                         *(["_seq"] if with_seq else []))
 
 
 def upsert(target: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Merge the newest change per key into ``target``: deletes remove the
-    key, inserts/updates replace the row. Applying it twice equals once."""
+    key, inserts/updates replace the row. Applying it twice equals once.
+
+    ``keys`` are the target's primary key. The feed is read once: its newest
+    rows are joined to the target in one full outer join (both sides have
+    unique keys, so no key is hot).
+    """
     cols = target.columns
-    latest = latest_changes(changes, keys)
-    kept = target.join(latest.select(*keys), keys, "left_anti")
-    put = latest.filter(F.col("_change_type") != "delete").select(*cols)
-    return kept.unionByName(put)
+    latest = latest_changes(changes, keys).select(
+        *keys, F.struct(*[c for c in cols if c not in keys], F.lit(1).alias("_hit")).alias("_new"), "_change_type")
+    old = target.select(*keys, F.struct(*[c for c in cols if c not in keys], F.lit(1).alias("_hit")).alias("_old"))
+    j = old.join(latest, keys, "full_outer").filter(
+        F.col("_change_type").isNull() | (F.col("_change_type") != "delete"))
+    row = F.when(F.col("_change_type").isNull(), F.col("_old")).otherwise(F.col("_new"))
+    return (j.select(*keys, row.alias("_row"))
+            .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
 def sync_triggered(target: DataFrame, changes: DataFrame, keys: list[str], since_version: int,
@@ -118,9 +116,10 @@ def changed_ratio(changes: DataFrame, target_rows: DataFrame | int, keys: list[s
 
 def choose_sync_mode(ratio: DataFrame, needs_seconds: bool = False, threshold: float = 0.10) -> DataFrame:
     """A11: 'continuous' if seconds of latency are needed; else 'snapshot' when
-    more than ``threshold`` of the rows changed; else 'triggered'."""
+    more than ``threshold`` of the rows changed or the target is empty; else 'triggered'."""
+    full = F.col("changed_fraction").isNull() | (F.col("changed_fraction") > threshold)
     mode = (F.lit("continuous") if needs_seconds else
-            F.when(F.col("changed_fraction") > threshold, F.lit("snapshot")).otherwise(F.lit("triggered")))
+            F.when(full, F.lit("snapshot")).otherwise(F.lit("triggered")))
     return ratio.withColumn("mode", mode)
 
 
@@ -204,29 +203,40 @@ def map_types_for_sync(df: DataFrame, mapping: dict[str, str] | None = None) ->
 
 
 def sync_verify(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Per-side row counts plus keys missing on either side (one row).
+    """Per-side row counts, keys missing on either side, and keys whose
+    values differ (one row).
 
     Joined on the primary key (unique on both sides), so the full outer join
     has no hot key.
     """
-    s = source.select(*keys).withColumn("_s", F.lit(1))
-    t = target.select(*keys).withColumn("_t", F.lit(1))
+    cols = [c for c in source.columns if c in target.columns and c not in keys]
+    s = source.select(*keys, F.struct(*cols, F.lit(1).alias("_hit")).alias("_s"))
+    t = target.select(*keys, F.struct(*cols, F.lit(1).alias("_hit")).alias("_t"))
     j = s.join(t, keys, "full_outer")
+    both = F.col("_s").isNotNull() & F.col("_t").isNotNull()
     return j.agg(F.count("_s").alias("source_rows"), F.count("_t").alias("target_rows"),
                  F.count(F.when(F.col("_t").isNull(), 1)).alias("missing_in_target"),
-                 F.count(F.when(F.col("_s").isNull(), 1)).alias("extra_in_target"))
+                 F.count(F.when(F.col("_s").isNull(), 1)).alias("extra_in_target"),
+                 F.count(F.when(both & ~F.col("_s").eqNullSafe(F.col("_t")), 1)).alias("stale_in_target"))
 
 
-def additive_schema_sync(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """Incremental sync accepts added columns only.
+def sync_listing(target: DataFrame) -> DataFrame:
+    """What the serving copy shows: its active rows, largest discount first."""
+    return target.filter(F.col("is_active")).orderBy(F.col("discount_pct").desc_nulls_first(), F.col("id"))
 
-    New columns in ``changes`` are added (NULL for existing rows); a dropped or
-    retyped column raises, with the schema diff in the message.
-    """
+
+def require_additive(target: DataFrame, changes: DataFrame) -> None:
+    """An incremental sync accepts added columns only."""
     from emporia.operators.versions import schema_changes
     dropped, retyped = schema_changes(target, changes)
     if dropped or retyped:
         raise ValueError(f"incremental sync allows added columns only; dropped={dropped} retyped={retyped}")
+
+
+def additive_schema_sync(target: DataFrame, changes: DataFrame) -> DataFrame:
+    """New columns in ``changes`` are added (NULL for existing rows); a
+    dropped or retyped column raises, with the schema diff in the message."""
+    require_additive(target, changes)
     return target.unionByName(changes, allowMissingColumns=True)
 
 

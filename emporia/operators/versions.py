@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.operators.sync import insert_if_absent, latest_changes
@@ -67,17 +67,19 @@ def row_hash(cols: list[str]):
 def row_diff(old: DataFrame, new: DataFrame, keys: list[str], verify: bool = True) -> DataFrame:
     """Keys added, removed or changed between two versions of a table.
 
-    One full outer join on the key carrying a 64-bit hash of the other
-    columns; with ``verify`` the columns themselves are compared too, so a
-    hash collision cannot hide a change. Unchanged keys are not returned.
-    The join key is the table's primary key, unique on each side, so the full
-    outer join (which AQE cannot split for skew) has no hot key.
+    Values are compared over the columns both versions have with the same
+    type; added, dropped or retyped columns are ``schema_diff``'s (G5) to
+    report and make no row changed. One full outer join on the key carrying a
+    64-bit hash of those columns; with ``verify`` the columns themselves are
+    compared too, so a hash collision cannot hide a change. Unchanged keys are
+    not returned. The join key is the table's primary key, unique on each
+    side, so the full outer join (which AQE cannot split for skew) has no hot key.
     """
-    value_cols = [c for c in old.columns if c not in keys]
-    o = old.select(*keys, row_hash(value_cols).alias("_ho"),
-                   *([F.struct(*value_cols).alias("_vo")] if verify else []))
-    n = new.select(*keys, row_hash([c for c in value_cols if c in new.columns]).alias("_hn"),
-                   *([F.struct(*[c for c in value_cols if c in new.columns]).alias("_vn")] if verify else []))
+    types = dict(new.dtypes)
+    cols = [c for c, kind in old.dtypes if c not in keys and types.get(c) == kind]
+    mark = F.lit(1).alias("_hit")
+    o = old.select(*keys, row_hash([*keys, *cols]).alias("_ho"), *([F.struct(*cols, mark).alias("_vo")] if verify else []))
+    n = new.select(*keys, row_hash([*keys, *cols]).alias("_hn"), *([F.struct(*cols, mark).alias("_vn")] if verify else []))
     j = o.join(n, keys, "full_outer")
     changed = F.col("_ho") != F.col("_hn")
     if verify:
@@ -114,15 +116,20 @@ def schema_diff(a: DataFrame, b: DataFrame, profile: bool = False) -> DataFrame:
     diff = spark.createDataFrame(rows, "column_name string, a_type string, b_type string, change string")
     if not profile or not rows:
         return diff
-    parts = []
-    for c, _, _, change in rows:
-        side = a if change == "only_in_a" else b
-        parts.append(side.agg(F.lit(c).alias("column_name"),
-                              F.count(F.when(F.col(c).isNull(), 1)).alias("null_count"),
-                              F.countDistinct(F.col(c)).alias("distinct_count")))
-    from functools import reduce
-    prof = reduce(DataFrame.unionByName, parts)
-    return diff.join(prof, "column_name", "left")
+    profiled = [c for c, _, _, _ in rows]
+    sides = {c: "a" if change == "only_in_a" else "b" for c, _, _, change in rows}
+    found = None
+    for side, df in (("a", a), ("b", b)):  # one pass over each side
+        own = [c for c in profiled if sides[c] == side]
+        if not own:
+            continue
+        counts = df.agg(*[x for i, c in enumerate(own) for x in (
+            F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}"), F.countDistinct(F.col(c)).alias(f"d{i}"))])
+        listed = counts.select(F.inline(F.array(*[F.struct(
+            F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").alias("distinct_count"))
+            for i, c in enumerate(own)])))
+        found = listed if found is None else found.unionByName(listed)
+    return diff.join(found, "column_name", "left")
 
 
 def replay_migrations(tables: dict[str, DataFrame], steps: list[Callable[[dict], dict]]) -> dict[str, DataFrame]:
@@ -158,17 +165,13 @@ def recovery_check(before: DataFrame, after: DataFrame, amount_col: str = "total
         "match", (F.col("before_rows") == F.col("after_rows")) & (F.col("before_revenue") == F.col("after_revenue")))
 
 
-def expire_snapshots(manifest: DataFrame, now, retention_days: int = 30, max_manual: int = 10) -> DataFrame:
-    """Snapshots kept after expiry.
+def expire_snapshots(versions: DataFrame, now, retention_days: int = 30) -> DataFrame:
+    """A table's versions (``TableStore.versions``) that stay after expiry.
 
-    Scheduled snapshots older than the retention are dropped; manual ones are
-    kept regardless of age, at most ``max_manual`` per table (newest first).
-    The manifest has one row per snapshot, so the window runs per table over
-    that table's manual snapshots only.
+    Scheduled snapshots older than the retention go. Manual snapshots stay
+    until they are deleted by hand (their number is limited when they are
+    made, see ``TableStore.snapshot``), and versions that are no snapshots
+    are not touched.
     """
     cutoff = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(retention_days))
-    sched = manifest.filter((F.col("kind") == "scheduled") & (F.col("created_at") >= cutoff))
-    w = Window.partitionBy("table_name").orderBy(F.col("created_at").desc(), F.col("version").desc())
-    manual = (manifest.filter(F.col("kind") == "manual")
-              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_manual).drop("_rn"))
-    return sched.unionByName(manual)
+    return versions.filter((F.col("kind") != "snapshot:scheduled") | (F.col("created_at") >= cutoff))

@@ -16,7 +16,7 @@ from emporia.operators import orders as O
 from emporia.operators import checks as K
 from emporia.plans.q_loyalty import ENROLLED_AT, TD_CUTS, _MEMBERS_SQL
 from emporia.plans.registry import register
-from emporia.sources.tables import with_sql
+from emporia.sources.tables import ITEMS_PER_ORDER, with_sql
 
 CHECKOUT_AT = "2024-02-01 00:00:00"
 
@@ -97,6 +97,11 @@ def _timed_cart(t):
     return _cart(t).join(t.cart_events.groupBy("customer_id").agg(F.max("ts").alias("ts")), "customer_id")
 
 
+def _items_start(t):
+    """One row: an id above those of all items (ids follow the orders, see ``order_items_from``)."""
+    return t.order_items.select(((F.max("order_id") + 1) * ITEMS_PER_ORDER + 1).alias("s"))
+
+
 def _shoppers(t):
     return t.cart_events.select("customer_id")
 
@@ -144,11 +149,11 @@ def q_validate_checkout(t):
 def q_checkout_orders(t):
     """H5 + E7 one new pending order per accepted line, ids after max(orders.id)."""
     return H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT,
-                      items_start=t.order_items.select((F.count(F.lit(1)) + 1).alias("s")))["orders"]
+                      items_start=_items_start(t))["orders"]
 
 
 @register("checkout_items", with_sql(f"""
-    SELECT CAST((SELECT COUNT(*) FROM lineitem) + row_number() OVER (ORDER BY customer_id, product_id) AS BIGINT) AS id,
+    SELECT CAST((SELECT (MAX(l_orderkey) + 1) * {ITEMS_PER_ORDER} FROM lineitem) + row_number() OVER (ORDER BY customer_id, product_id) AS BIGINT) AS id,
            CAST((SELECT MAX(id) FROM orders) + row_number() OVER (ORDER BY customer_id, product_id) AS BIGINT) AS order_id,
            product_id, quantity, CAST(price AS DECIMAL(18,2)) AS unit_price,
            CAST(ROUND(price * quantity, 2) AS DECIMAL(18,2)) AS line_total
@@ -156,7 +161,7 @@ def q_checkout_orders(t):
 def q_checkout_items(t):
     """H5 one order item per new order, ids after the existing items."""
     return H.checkout(_timed_cart(t), t, _shoppers(t), CHECKOUT_AT,
-                      items_start=t.order_items.select((F.count(F.lit(1)) + 1).alias("s")))["order_items"]
+                      items_start=_items_start(t))["order_items"]
 
 
 # Every warehouse row goes through the accepted lines of its product one after the other.

@@ -12,6 +12,9 @@ from emporia.sources.tables import with_sql
 _AVG1 = S.half_up_div_sql("_sum", "_n", 1)
 
 
+ONE_PRODUCT = 40
+
+
 @register("best_sellers", with_sql(f"""
     SELECT p.id, p.name, p.price, p.category,
            CAST(COALESCE(inv.quantity, 0) AS BIGINT) AS stock,
@@ -149,16 +152,74 @@ def q_product_stock(t):
 
 
 @register("product_reviews", with_sql("""
-    SELECT product_id, rn, rating, review_date, reviewer FROM (
-      SELECT r.product_id, r.rating, r.review_date, c.name AS reviewer,
+    SELECT product_id, rn, rating, comment, review_date, reviewer FROM (
+      SELECT r.product_id, r.rating, r.comment, r.review_date, c.name AS reviewer,
              CAST(row_number() OVER (PARTITION BY r.product_id
-                  ORDER BY r.review_date DESC NULLS FIRST, r.customer_id, r.rating) AS INTEGER) AS rn
+                  ORDER BY r.review_date DESC NULLS FIRST, r.customer_id, r.rating, r.comment) AS INTEGER) AS rn
       FROM reviews r JOIN customers c ON c.id = r.customer_id) WHERE rn <= 20""", "reviews", "customers"))
 def q_product_reviews(t):
     """C5 newest 20 reviews per product."""
     return C.product_reviews(t, 20)
 
 
+@register("product_review_list", with_sql(f"""
+    SELECT r.rating, r.comment, r.review_date, c.name AS reviewer FROM reviews r JOIN customers c ON c.id = r.customer_id
+    WHERE r.product_id = {ONE_PRODUCT} ORDER BY r.review_date DESC NULLS FIRST, r.customer_id, r.rating, r.comment LIMIT 20""",
+                                          "reviews", "customers"))
+def q_product_review_list(t):
+    """C5 the newest 20 reviews of one product page, with their comments."""
+    return C.product_review_list(t, ONE_PRODUCT)
+
+
+_PROMO_SQL = ("(SELECT product_id, arg_max(badge_text, id) AS badge_text, arg_max(discount_pct, id) AS discount_pct, "
+              "arg_max(sale_price, id) AS sale_price FROM promotions WHERE is_active GROUP BY product_id)")
+
+
+@register("catalog_listing_promos", with_sql(f"""
+    SELECT l.*, b.badge_text, b.discount_pct, b.sale_price FROM (
+      SELECT p.id, p.name, p.price, p.category, COALESCE(i.quantity, 0) AS stock,
+             CAST(COALESCE({S.avg_round_sql('r.rating', 1)}, 0) AS DECIMAL(18,1)) AS avg_rating,
+             COUNT(r.rating) AS review_count, CAST(FLOOR(p.price) AS INTEGER) AS loyalty_points_earned
+      FROM products p LEFT JOIN inventory i ON i.product_id = p.id LEFT JOIN reviews r ON r.product_id = p.id
+      GROUP BY p.id, p.name, p.price, p.category, i.quantity) l
+    LEFT JOIN {_PROMO_SQL} b ON b.product_id = l.id""", "products", "inventory", "reviews", "promotions"))
+def q_catalog_listing_promos(t):
+    """D1 + C10 the whole listing with the promo overlay in the same plan."""
+    return C.catalog_listing(t, limit=None, with_promos=True)
+
+
+@register("catalog_listing_bare", with_sql("""
+    SELECT DISTINCT p.id, p.name, p.price, p.category, COALESCE(i.quantity, 0) AS stock,
+           CAST(0 AS DECIMAL(18,1)) AS avg_rating, CAST(0 AS BIGINT) AS review_count
+    FROM products p LEFT JOIN inventory i ON i.product_id = p.id""", "products", "inventory"))
+def q_catalog_listing_bare(t):
+    """D1 before the reviews, promotions and loyalty tables exist."""
+    return C.catalog_listing(t.as_dict("products", "inventory"), limit=None, with_loyalty=False, with_promos=True)
+
+
+@register("best_sellers_bare", with_sql("""
+    SELECT p.id, p.name, p.price, p.category, CAST(COALESCE(inv.quantity, 0) AS BIGINT) AS stock,
+           CAST(u.units AS BIGINT) AS units_sold, CAST(0 AS DECIMAL(18,1)) AS avg_rating,
+           CAST(FLOOR(p.price) AS INTEGER) AS loyalty_points_earned
+    FROM (SELECT product_id, SUM(quantity) AS units FROM order_items GROUP BY product_id) u
+    JOIN products p ON p.id = u.product_id
+    LEFT JOIN (SELECT product_id, SUM(quantity) AS quantity FROM inventory GROUP BY product_id) inv ON inv.product_id = p.id
+    ORDER BY units_sold DESC, p.id LIMIT 8""", "products", "order_items", "inventory"))
+def q_best_sellers_bare(t):
+    """D4 featured products without a reviews table."""
+    return C.best_sellers(t.as_dict("products", "order_items", "inventory"), 8)
+
+
+@register("product_detail_bare", with_sql(f"""
+    SELECT p.id, p.name, p.price, p.category, COALESCE(i.quantity, 0) AS stock, i.warehouse, i.reorder_level,
+           CAST(0 AS DECIMAL(18,1)) AS avg_rating, CAST(0 AS BIGINT) AS review_count,
+           CAST(FLOOR(p.price) AS INTEGER) AS loyalty_points_earned
+    FROM products p LEFT JOIN inventory i ON i.product_id = p.id WHERE p.id = {ONE_PRODUCT}""", "products", "inventory"))
+def q_product_detail_bare(t):
+    """Product page without reviews and promotions tables."""
+    return C.product_detail(t.as_dict("products", "inventory"), ONE_PRODUCT)
+
+
 @register("product_rating", with_sql(f"""
     SELECT product_id, CAST(COALESCE({S.avg_round_sql('rating', 1)}, 0) AS DECIMAL(18,1)) AS avg_rating,
            COUNT(*) AS review_count FROM reviews GROUP BY product_id""", "reviews"))
@@ -209,13 +270,12 @@ def q_rename_project(t):
     return C.rename_project(t.products, {"id": "product_number", "name": "product", "price": "list_price"})
 
 
-@register("scan_project", with_sql("SELECT id, name, price FROM products WHERE price > 950", "products"))
+@register("scan_project", with_sql("SELECT id, name, price FROM products", "products"))
 def q_scan_project(t):
-    """A1 read table, pick columns (pruned + filter pushed to the parquet scan)."""
-    return t.products.select("id", "name", "price").filter(F.col("price") > 950)
+    """A1 read table, pick columns (pruned in the parquet scan)."""
+    return t.products.select("id", "name", "price")
 
 
-ONE_PRODUCT = 40
 
 
 @register("product_detail", with_sql(f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from emporia.operators import loyalty as L
 from emporia.operators import orders as O
 from emporia.operators import sync as Y
+from emporia.functions.ids import dense_ids
 from emporia.operators import versions as V
 from emporia.plans.registry import register
 from emporia.sources.tables import with_sql
@@ -98,9 +99,9 @@ def q_replay_migrations(t):
 
 @register("reset_to_parent", with_sql(f"SELECT * FROM {_MIGRATED_SQL}", "customers", "orders"))
 def q_reset_to_parent(t):
-    """G7 child reset to the parent's latest state, then its migrations replayed."""
-    child = {"customers": t.customers.limit(0), "orders": t.orders.limit(0)}
+    """G7 a child that was migrated and lost rows, reset to the parent's latest state, its migrations replayed."""
     parent = {"customers": t.customers, "orders": t.orders}
+    child = V.replay_migrations({"customers": t.customers.filter("id % 2 = 0"), "orders": t.orders}, STEPS)
     return V.reset_to_parent(child, parent, STEPS)["customers"]
 
 
@@ -130,31 +131,43 @@ def q_recovery_check(t):
     return V.recovery_check(before, after)
 
 
-_MANIFEST_SQL = ("(SELECT 'orders' AS table_name, _commit_version AS version, max(_commit_ts) AS created_at, "
-                 "COUNT(*) AS changes, CASE WHEN _commit_version % 12 = 0 THEN 'manual' ELSE 'scheduled' END AS kind "
-                 "FROM order_changes GROUP BY _commit_version)")
-
-
-def _manifest(t):
-    return (_changes(t).groupBy("_commit_version").agg(F.max("_commit_ts").alias("created_at"),
-                                                       F.count(F.lit(1)).alias("changes"))
-            .select(F.lit("orders").alias("table_name"), F.col("_commit_version").alias("version"), "created_at",
-                    "changes", F.when(F.pmod("_commit_version", F.lit(12)) == 0, F.lit("manual"))
-                    .otherwise(F.lit("scheduled")).alias("kind")))
-
-
 EXPIRE_NOW = "2001-06-01 00:00:00"
 
 
+# The store's own versions: a table with a snapshot after each month of changes, every twelfth of them by hand.
 @register("expire_snapshots", with_sql(f"""
-    SELECT table_name, version, created_at, changes, kind FROM {_MANIFEST_SQL} m
-    WHERE kind = 'scheduled' AND created_at >= TIMESTAMP '{EXPIRE_NOW}' - INTERVAL 30 DAY
-    UNION ALL SELECT table_name, version, created_at, changes, kind FROM (
-      SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY created_at DESC, version DESC) AS rn
-      FROM {_MANIFEST_SQL} WHERE kind = 'manual') WHERE rn <= 10""", "order_changes"))
+    SELECT version, kind, label, created_at FROM (
+      SELECT row_number() OVER (ORDER BY _commit_version) AS version, 'v' || _commit_version AS label,
+             CASE WHEN _commit_version % 12 = 0 THEN 'snapshot:manual' ELSE 'snapshot:scheduled' END AS kind,
+             max(_commit_ts) AS created_at FROM order_changes WHERE _commit_version >= {V1} GROUP BY _commit_version)
+    WHERE kind = 'snapshot:manual' OR created_at >= TIMESTAMP '{EXPIRE_NOW}' - INTERVAL 30 DAY
+    UNION ALL SELECT 0, 'overwrite', NULL, TIMESTAMP '1995-01-01 00:00:00'""", "order_changes"))
 def q_expire_snapshots(t):
-    """G9 snapshot manifest after expiry (30-day retention, at most 10 manual)."""
-    return V.expire_snapshots(_manifest(t), EXPIRE_NOW, 30, 10)
+    """G9 versions of a stored table after expiry (30 days for scheduled snapshots)."""
+    from emporia.session import scratch_path
+    from emporia.sources.store import TableStore
+    st = TableStore(t.spark, scratch_path(t.spark, "emporia-store"))
+    st.overwrite(_changes(t), "orders", keys=KEYS)
+    months = (_changes(t).filter(F.col("_commit_version") >= V1).groupBy("_commit_version")
+              .agg(F.max("_commit_ts").alias("at")).orderBy("_commit_version").collect())  # one row per month
+    for m in months:
+        st.snapshot("orders", f"v{m._commit_version}", kind="manual" if m._commit_version % 12 == 0 else "scheduled", at=m.at)
+    left = V.expire_snapshots(st.versions("orders"), EXPIRE_NOW, 30)
+    # The first version's time is that of this run; shown as the epoch of the change feed.
+    at = F.when(F.col("version") == 0, F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("created_at"))
+    return left.select("version", "kind", "label", at.alias("created_at"))
+
+
+@register("next_ids", with_sql(f"""
+    SELECT CAST((SELECT MAX(id) FROM {AT_SQL}) + row_number() OVER (ORDER BY id) AS BIGINT) AS id, id AS customer_id
+    FROM customers WHERE segment = 'BUILDING'""", "order_changes", "customers"))
+def q_next_ids(t):
+    """E7 after a restore: new orders continue after the restored table's largest id."""
+    before = V.as_of(_changes(t), KEYS, RESTORE_AT)
+    restored = V.restore_missing(before.filter(F.col("status") != "pending"), before, KEYS)
+    new = t.customers.filter(F.col("segment") == "BUILDING").select(F.col("id").alias("customer_id"))
+    start = restored.select((F.max("id") + 1).alias("s"))
+    return dense_ids(new, ["customer_id"], "id", start).select("id", "customer_id")
 
 
 # --- sync (A) -----------------------------------------------------------------
@@ -210,14 +223,23 @@ def q_insert_select(t):
 @register("sync_verify", with_sql(f"""
     SELECT COUNT(s.id) AS source_rows, COUNT(t.id) AS target_rows,
            COUNT(*) FILTER (WHERE t.id IS NULL) AS missing_in_target,
-           COUNT(*) FILTER (WHERE s.id IS NULL) AS extra_in_target
+           COUNT(*) FILTER (WHERE s.id IS NULL) AS extra_in_target,
+           COUNT(*) FILTER (WHERE s.id = t.id AND (s.customer_id, s.total, s.currency, s.order_date, s.status)
+             IS DISTINCT FROM (t.customer_id, t.total, t.currency, t.order_date, t.status)) AS stale_in_target
     FROM {ALL_SQL} s FULL OUTER JOIN {V1_SQL} t ON s.id = t.id""", "order_changes"))
 def q_sync_verify(t):
-    """A17 source vs a target synced only up to V1: counts and missing keys."""
+    """A17 source vs a target synced only up to V1: counts, missing keys and stale values."""
     return Y.sync_verify(V.state_at_version(_changes(t), KEYS, 10 ** 6),
                          V.state_at_version(_changes(t), KEYS, V1), KEYS)
 
 
+@register("sync_listing", with_sql("""
+    SELECT id, product_id, badge_text, discount_pct FROM promotions WHERE is_active ORDER BY discount_pct DESC, id""", "promotions"))
+def q_sync_listing(t):
+    """A17 active rows of the serving copy, largest discount first."""
+    return Y.sync_listing(t.promotions).select("id", "product_id", "badge_text", "discount_pct")
+
+
 @register("keyed_ctas", with_sql("""
     SELECT sha1(CAST(order_date AS VARCHAR) || CAST(total AS VARCHAR) || CAST(customer_id AS VARCHAR)) AS row_key, *
     FROM orders""", "orders"))
@@ -232,10 +254,12 @@ def q_strip_null_bytes(t):
     return Y.strip_null_bytes(t.raw("documents").select("doc_id", "text", "lang", "source"), ["text"])
 
 
-@register("string_to_binary", None)
+@register("string_to_binary", """
+    SELECT doc_id, strlen(text) AS n_bytes, hex(encode(text)) AS bytes FROM documents""")
 def q_string_to_binary(t):
-    """A16 document text kept as exact bytes (rows-only check)."""
-    return Y.string_to_binary(t.raw("documents").select("doc_id", "text"), ["text"])
+    """A16 document text kept as exact bytes (shown in hex)."""
+    b = Y.string_to_binary(t.raw("documents").select("doc_id", "text"), ["text"])
+    return b.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.hex("text").alias("bytes"))
 
 
 @register("map_types_for_sync", with_sql("""

@@ -3,7 +3,7 @@
 On a cluster the session normally exists already; ``get_spark`` then only
 fills in settings that are unset. ``checkpoint_dir`` reads the shared folder
 named by ``spark.checkpoint.dir`` and sets a local one only when nothing is
-configured (tests on one machine).
+configured on one machine (tests).
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a folder under the system temp dir is created and set.
+    Uses ``spark.checkpoint.dir`` from the session. When it is unset, a folder
+    under the system temp dir is set on a single machine (``local`` masters, as
+    in tests); on a cluster that raises, since no executor would see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -61,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="emporia-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -1,21 +1,22 @@
 """Versioned tables in a shared folder (keys A4-A6, A8-A10, G1).
 
-A table is a list of parquet directories named by a manifest row per
-version:
-
-* ``base_paths`` -- full rows (a snapshot, plus appended parts);
-* ``change_paths`` -- change-feed rows (``_change_type``, ``_commit_version``,
-  ``_seq`` ...) applied on read with ``operators.sync.upsert``.
-
-A new version never rewrites a directory that an older version names, so a
-reader of version n is never disturbed by a writer, and a failed job leaves
-the previous version in place (its manifest row is written last).
-Incremental syncs only append the changes (cost ~ the change volume);
-``compact`` / ``sync_snapshot`` write a new base. Choosing between them is
-A11 (``operators.sync.choose_sync_mode``).
-
-The manifest is metadata -- one small row per version -- so reading it to
-the driver is bounded by the number of versions, not by the data.
+A table is a folder with one small pointer row per version (``_versions``)
+and one Parquet folder per write. A pointer row names only what its own
+version added; a version is read by following the rows back to the last full
+replace:
+
+* *rows* folders hold full rows (a replace, or an append). Each notes the
+  source version it stands at;
+* *changes* folders hold change-feed rows (``operators.sync``).
+
+Reading applies the newest change of each key to the rows that are older than it
+and adds the changed rows. A table without changes is a plain Parquet read.
+Written folders are never touched again, and the pointer row is written last,
+so readers of older versions are not disturbed and a failed write leaves the
+previous version in place. There is one writer per table.
+
+An incremental sync writes the changes only; ``sync_snapshot`` writes a full
+copy (A11, ``operators.sync.choose_sync_mode``, chooses between them).
 """
 
 from __future__ import annotations
@@ -24,342 +25,207 @@ import datetime as dt
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.operators import sync as Y
 
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("version", T.LongType(), False),
-    T.StructField("kind", T.StringType(), False),
-    T.StructField("label", T.StringType(), True),
-    T.StructField("created_at", T.TimestampNTZType(), False),
-    T.StructField("rows", T.LongType(), True),
-    T.StructField("change_rows", T.LongType(), True),
-    T.StructField("base_paths", T.ArrayType(T.StringType()), False),
-    T.StructField("change_paths", T.ArrayType(T.StringType()), False),
-    T.StructField("keys", T.ArrayType(T.StringType()), True),
-    T.StructField("batch_id", T.LongType(), True),
-    T.StructField("source_version", T.LongType(), True),
-    T.StructField("schema_json", T.StringType(), False),
-    T.StructField("base_meta", T.BooleanType(), True),
-    T.StructField("base_version", T.LongType(), True),
-    T.StructField("properties", T.StringType(), True),
-])
+POINTER = ("table_name string, version long, kind string, label string, created_at timestamp_ntz, rows long, path string, "
+           "keys array<string>, source_version long, stream string, batch_id long, schema_json string, properties string")
+MAX_MANUAL_SNAPSHOTS = 10
+
+
+class SnapshotLimitError(ValueError):
+    pass
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # Manifest rows (metadata, one per version) loaded once per instance and
-        # extended by this instance's own commits. One writer per store; a
-        # reader elsewhere opens its own TableStore and sees the files.
-        self._mf: list[dict] | None = None
-
-    # --- manifest ------------------------------------------------------------
-    @property
-    def manifest_dir(self) -> str:
-        return f"{self.root}/_manifest"
-
-    def manifest(self) -> DataFrame:
-        """All manifest rows; a (table, version) row may exist twice while
-        ``compact_manifest`` runs, so rows are de-duplicated."""
+
+    # --- versions ---------------------------------------------------------------
+    def versions(self, name: str) -> DataFrame:
+        """The table's pointer rows, one per version (empty if there is no such table)."""
         try:
-            m = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self.manifest_dir)
-        except Exception:  # noqa: BLE001 - no manifest yet
-            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        return m.dropDuplicates(["table_name", "version"])
+            return self.spark.read.schema(POINTER).parquet(f"{self.root}/{name}/_versions")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], POINTER)
 
-    def _manifest_rows(self) -> list[dict]:
-        if self._mf is None:
-            self._mf = [r.asDict() for r in self.manifest().collect()]
-        return self._mf
+    def history(self, name: str, version: int | None = None) -> list:
+        """The pointer rows up to a version, oldest first; none if there is no such version.
 
-    def _latest_row(self, name: str, version: int | None = None):
-        rows = [r for r in self._manifest_rows()
-                if r["table_name"] == name and (version is None or r["version"] == version)]
-        return max(rows, key=lambda r: r["version"]) if rows else None
+        Metadata only: a short row per version of this table.
+        """
+        rows = sorted(self.versions(name).collect(), key=lambda r: r["version"])
+        if version is None:
+            return rows
+        rows = [r for r in rows if r["version"] <= version]
+        return rows if rows and rows[-1]["version"] == version else []
+
+    def latest(self, name: str, version: int | None = None):
+        rows = self.history(name, version)
+        return rows[-1] if rows else None
 
     def latest_version(self, name: str) -> int | None:
-        r = self._latest_row(name)
+        r = self.latest(name)
         return None if r is None else r["version"]
 
-    def _commit(self, name: str, kind: str, base_paths, change_paths, schema: T.StructType, *, label=None,
-                rows=None, keys=None, batch_id=None, source_version=None, properties=None, at=None,
-                change_rows=0, base_meta: bool | None = None, base_version: int | None = None) -> int:
-        prev = self._latest_row(name)
-        version = 0 if prev is None else prev["version"] + 1
-        same_base = prev is not None and list(base_paths) == list(prev["base_paths"])
-        if base_meta is None:
-            # Commits that keep the previous base keep its layout ...
-            base_meta = bool(prev["base_meta"]) if same_base else False
-        if base_version is None:
-            # ... and the source version its plain rows stand for.
-            base_version = prev["base_version"] if same_base else source_version
-        row = (name, version, kind, label, at or dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None), rows,
-               change_rows, list(base_paths), list(change_paths), list(keys) if keys else (list(prev["keys"]) if prev and prev["keys"] else None),
-               batch_id, source_version if source_version is not None else (prev["source_version"] if prev else None),
-               schema.json(), base_meta, base_version,
-               json.dumps(properties) if properties else (prev["properties"] if prev else None))
-        self.spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self.manifest_dir)
-        self._manifest_rows().append(dict(zip(MANIFEST_SCHEMA.names, row)))
-        return version
-
-    def _new_dir(self, name: str, part: str) -> str:
-        return f"{self.root}/{name}/{part}-{uuid.uuid4().hex[:12]}"
-
-    def _write(self, df: DataFrame, path: str) -> int:
+    def version_at(self, name: str, ts) -> int | None:
+        """Newest version committed at or before ``ts`` (point in time)."""
+        at = ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
+        found = [r["version"] for r in self.history(name) if r["created_at"] <= at]
+        return max(found) if found else None
+
+    def _commit(self, name: str, kind: str, schema: T.StructType, prev, *, path=None, rows=None, keys=None, label=None, at=None,
+                source_version=None, stream=None, batch_id=None, properties=None) -> int:
+        keep = lambda value, field: value if value is not None else (prev[field] if prev else None)
+        row = (name, 0 if prev is None else prev["version"] + 1, kind, label,
+               at or dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None), rows, path,
+               list(keys) if keys else (prev["keys"] if prev else None), keep(source_version, "source_version"), stream, batch_id,
+               schema.json(), keep(json.dumps(properties) if properties else None, "properties"))
+        (self.spark.createDataFrame([row], POINTER).coalesce(1)
+         .write.mode("append").parquet(f"{self.root}/{name}/_versions"))
+        return row[1]
+
+    def _write(self, df: DataFrame, name: str) -> tuple[str, int]:
+        path = f"{self.root}/{name}/{uuid.uuid4().hex[:16]}"
         df.write.mode("errorifexists").parquet(path)
-        # Row count from the written files (parquet footers; no recompute).
-        return self.spark.read.parquet(path).count()
+        return path, self.spark.read.schema(df.schema).parquet(path).count()  # from the file footers
 
-    # --- reads ---------------------------------------------------------------
+    # --- reads ------------------------------------------------------------------
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        r = self._latest_row(name, version)
-        if r is None:
+        rows = self.history(name, version)
+        if not rows:
             raise KeyError(f"no table {name}" + (f" version {version}" if version is not None else ""))
-        schema = T.StructType.fromJson(json.loads(r["schema_json"]))
-        if not r["change_paths"] and not r["base_meta"]:
-            return self._base(r, schema)
-        if not r["base_meta"]:
-            # A plain base at version B already holds every change up to B:
-            # drop those, then one upsert (anti join + union) of the newer ones.
-            bv = r["base_version"]
-            ch = self.spark.read.parquet(*r["change_paths"])
-            if bv is not None:
-                ch = ch.filter(F.col("_commit_version") > bv)
-            return Y.upsert(self._base(r, schema), ch, list(r["keys"]))
-        merged = Y.latest_changes(self._as_changes(r, schema), list(r["keys"]))
-        return merged.filter(F.col("_change_type") != "delete").select(*schema.names)
-
-    def _base(self, r, schema: T.StructType) -> DataFrame:
-        if not r["base_paths"]:
-            return self.spark.createDataFrame([], schema)
-        if r["base_meta"]:
-            return self.spark.read.parquet(*r["base_paths"])
-        return self.spark.read.schema(schema).parquet(*r["base_paths"])
-
-    def _as_changes(self, r, schema: T.StructType) -> DataFrame:
-        """Base + change files as one change feed.
-
-        A compacted base already carries ``_change_type`` / ``_commit_version`` /
-        ``_seq`` per key (deleted keys as tombstones). Plain rows count as the
-        state at the commit's ``source_version`` and win ties with changes of
-        that same version, which they already include.
-        """
-        base = self._base(r, schema)
-        if not r["base_meta"]:
-            sv = r["base_version"]
-            base = base.select(*schema.names,
-                               F.lit("insert").alias("_change_type"),
-                               F.lit(sv if sv is not None else -1).cast("long").alias("_commit_version"),
-                               F.lit(2 ** 31 - 1).alias("_seq"))
-        parts = [base.select(*schema.names, "_change_type", F.col("_commit_version").cast("long"),
-                             F.col("_seq").cast("int"))]
-        if r["change_paths"]:
-            ch = self.spark.read.parquet(*r["change_paths"])
-            parts.append(ch.select(*schema.names, "_change_type", F.col("_commit_version").cast("long"),
-                                   F.col("_seq").cast("int")))
-        return Y.union_all(parts)
-
-    # --- writes --------------------------------------------------------------
-    def create(self, name: str, schema: T.StructType, comment: str | None = None,
-               properties: dict | None = None, keys: list[str] | None = None) -> int:
+        schema = T.StructType.fromJson(json.loads(rows[-1]["schema_json"]))
+        start = max(i for i, r in enumerate(rows) if r["kind"] in ("create", "overwrite"))
+        parts = [r for r in rows[start:] if r["path"]]
+        changes = [r["path"] for r in parts if r["kind"] == "changes"]
+        plain = [r for r in parts if r["kind"] != "changes"]
+        if not changes:
+            return self.spark.read.schema(schema).parquet(*[r["path"] for r in plain])
+        keys = list(rows[-1]["keys"])
+        feed_schema = T.StructType(schema.fields + Y.CHANGE_FIELDS)
+        feed = self.spark.read.schema(feed_schema).parquet(*changes)
+        if rows[start]["source_version"] is not None:  # the copy holds these already
+            feed = feed.filter(F.col("_commit_version") > rows[start]["source_version"])
+        newest = Y.latest_changes(feed, keys)
+        out = newest.filter(F.col("_change_type") != "delete").select(*schema.names)
+        # Rows of one source version are read together; a change touches those older than itself.
+        by_version: dict = {}
+        for r in plain:
+            by_version.setdefault(r["source_version"], []).append(r["path"])
+        for at, paths in by_version.items():
+            newer = newest if at is None else newest.filter(F.col("_commit_version") > at)
+            kept = self.spark.read.schema(schema).parquet(*paths).join(newer.select(*keys), keys, "left_anti")
+            out = out.unionByName(kept)
+        return out
+
+    # --- writes -----------------------------------------------------------------
+    def create(self, name: str, schema: T.StructType, comment: str | None = None, properties: dict | None = None,
+               keys: list[str] | None = None) -> int:
         """A4: typed, empty table with a comment and properties."""
-        path = self._new_dir(name, "base")
-        self.spark.createDataFrame([], schema).write.parquet(path)
-        props = dict(properties or {})
-        if comment:
-            props["comment"] = comment
-        return self._commit(name, "create", [path], [], schema, rows=0, keys=keys, properties=props)
+        props = dict(properties or {}) | ({"comment": comment} if comment else {})
+        path, _ = self._write(self.spark.createDataFrame([], schema), name)
+        return self._commit(name, "create", schema, self.latest(name), path=path, rows=0, keys=keys, properties=props)
 
     def overwrite(self, df: DataFrame, name: str, keys: list[str] | None = None, label: str | None = None,
                   source_version: int | None = None) -> int:
-        """A5: full replace (schema may change) as a new version directory."""
-        path = self._new_dir(name, "base")
-        n = self._write(df, path)
-        return self._commit(name, "overwrite", [path], [], df.schema, rows=n, keys=keys, label=label,
+        """A5: full replace (the schema may change) as a new version."""
+        path, n = self._write(df, name)
+        return self._commit(name, "overwrite", df.schema, self.latest(name), path=path, rows=n, keys=keys, label=label,
                             source_version=source_version)
 
     def append(self, df: DataFrame, name: str) -> int:
-        """Append rows: the new version lists the old parts plus one new part."""
-        prev = self._latest_row(name)
+        """Append rows. They stand after all changes recorded so far and are
+        replaced or deleted by later ones only."""
+        prev = self.latest(name)
         if prev is None:
             return self.overwrite(df, name)
-        path = self._new_dir(name, "part")
         schema = T.StructType.fromJson(json.loads(prev["schema_json"]))
-        if prev["base_meta"]:
-            # A compacted base is stored as changes: new rows join it as inserts.
-            sv = prev["base_version"]
-            df = df.select(*schema.names, F.lit("insert").alias("_change_type"),
-                           F.lit(sv if sv is not None else -1).cast("long").alias("_commit_version"),
-                           F.lit(2 ** 31 - 1).alias("_seq"))
-        n = self._write(df, path)
-        return self._commit(name, "append", list(prev["base_paths"]) + [path], list(prev["change_paths"]),
-                            schema, rows=(prev["rows"] or 0) + n, change_rows=prev["change_rows"] or 0,
-                            base_meta=bool(prev["base_meta"]), base_version=prev["base_version"])
-
-    def append_changes(self, changes: DataFrame, name: str, batch_id: int | None = None,
-                       source_version: int | None = None) -> int:
-        """Record a batch of change rows; readers apply them on read."""
-        prev = self._latest_row(name)
+        path, n = self._write(df.select(*schema.names), name)
+        return self._commit(name, "append", schema, prev, path=path, rows=n)
+
+    def append_changes(self, changes: DataFrame, name: str, top: int, stream: str | None = None,
+                       batch_id: int | None = None) -> int:
+        """Record change rows up to source version ``top``; readers apply them.
+
+        Columns may be added (A18); dropped or retyped ones raise.
+        """
+        prev = self.latest(name)
         if prev is None:
             raise KeyError(f"no table {name}")
-        path = self._new_dir(name, "changes")
-        n = self._write(changes, path)
-        return self._commit(name, "changes", list(prev["base_paths"]), list(prev["change_paths"]) + [path],
-                            T.StructType.fromJson(json.loads(prev["schema_json"])), batch_id=batch_id,
-                            source_version=source_version, rows=prev["rows"],
-                            change_rows=(prev["change_rows"] or 0) + n)
-
-    def needs_compaction(self, name: str, fraction: float = 0.10) -> bool:
-        """True when the change rows read on top of the base exceed ``fraction``
-        of the base rows -- the point where a snapshot beats incremental reads."""
-        r = self._latest_row(name)
-        if r is None or not r["change_paths"]:
-            return False
-        base = r["rows"] or 0
-        return (r["change_rows"] or 0) > fraction * max(base, 1)
-
-    def compact_manifest(self) -> int:
-        """Rewrite the manifest (one small file per commit) as one file.
-
-        The full manifest is written first, then the old files are deleted;
-        readers de-duplicate (table, version), so a reader that lists both old
-        and new files still sees each version once. Returns the files removed.
-        """
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.manifest_dir)
-        fs = root.getFileSystem(conf)
-        old = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().endswith(".parquet")]
-        rows = self.manifest().collect()  # metadata: one row per version
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(self.manifest_dir)
-        for pth in old:
-            fs.delete(pth, False)
-        return len(old)
-
-    def compact(self, name: str) -> int:
-        """Fold the change files into a new base (what a snapshot sync does).
-
-        The new base keeps the newest change per key with its version, deleted
-        keys as tombstones, so changes that arrive late and out of order are
-        still resolved by version after compaction.
-        """
-        r = self._latest_row(name)
-        schema = T.StructType.fromJson(json.loads(r["schema_json"]))
-        merged = Y.latest_changes(self._as_changes(r, schema), list(r["keys"]), with_seq=True)
-        path = self._new_dir(name, "base")
-        merged.write.mode("errorifexists").parquet(path)
-        n = self.spark.read.parquet(path).filter(F.col("_change_type") != "delete").count()
-        return self._commit(name, "compact", [path], [], schema, rows=n, base_meta=True)
+        if not prev["keys"]:
+            raise ValueError(f"table {name} has no keys; changes cannot be applied to it")
+        schema = T.StructType.fromJson(json.loads(prev["schema_json"]))
+        data = changes.drop(*Y.CHANGE_COLS)
+        Y.require_additive(self.spark.createDataFrame([], schema), data)
+        added = [T.StructField(f.name, f.dataType, True) for f in data.schema.fields if f.name not in schema.names]
+        schema = T.StructType(schema.fields + added)
+        ordered = changes.select(*schema.names, *[F.col(f.name).cast(f.dataType) for f in Y.CHANGE_FIELDS])
+        path, n = self._write(ordered, name)
+        before = prev["source_version"]
+        return self._commit(name, "changes", schema, prev, path=path, rows=n, stream=stream, batch_id=batch_id,
+                            source_version=top if before is None else max(top, before))
 
     def snapshot(self, name: str, label: str, kind: str = "manual", at=None) -> int:
-        """G1: a named capture of the current version. Zero-copy: the snapshot
-        lists the same directories, which no later version rewrites."""
-        prev = self._latest_row(name)
-        if prev is None:
+        """G1: a named version. Nothing is copied: written folders never change.
+
+        At most MAX_MANUAL_SNAPSHOTS manual snapshots of a table; one more raises.
+        """
+        rows = self.history(name)
+        if not rows:
             raise KeyError(f"no table {name}")
-        return self._commit(name, f"snapshot:{kind}", list(prev["base_paths"]), list(prev["change_paths"]),
-                            T.StructType.fromJson(json.loads(prev["schema_json"])), label=label, rows=prev["rows"],
-                            at=at, change_rows=prev["change_rows"] or 0)
+        if kind == "manual" and sum(r["kind"] == "snapshot:manual" for r in rows) >= MAX_MANUAL_SNAPSHOTS:
+            raise SnapshotLimitError(f"{name} has {MAX_MANUAL_SNAPSHOTS} manual snapshots; delete one first")
+        prev = rows[-1]
+        return self._commit(name, f"snapshot:{kind}", T.StructType.fromJson(json.loads(prev["schema_json"])), prev,
+                            label=label, at=at)
 
-    def version_at(self, name: str, ts) -> int | None:
-        """Newest version of ``name`` committed at or before ``ts`` (point in time)."""
-        at = ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
-        vs = [r["version"] for r in self._manifest_rows() if r["table_name"] == name and r["created_at"] <= at]
-        return max(vs) if vs else None
 
-    def branch(self, parent: str, child: str, version: int | None = None, label: str | None = None) -> int:
-        """A child table that starts as ``parent`` (at ``version``, default latest).
-
-        Zero-copy: the child's first version lists the parent's directories;
-        writes to either side create new directories, so neither sees the
-        other's later changes.
-        """
-        src = self._latest_row(parent, version)
-        if src is None:
-            raise KeyError(f"no table {parent}")
-        return self._commit(child, "branch", list(src["base_paths"]), list(src["change_paths"]),
-                            T.StructType.fromJson(json.loads(src["schema_json"])), label=label or parent,
-                            rows=src["rows"], keys=list(src["keys"]) if src["keys"] else None,
-                            source_version=src["source_version"], change_rows=src["change_rows"] or 0,
-                            base_meta=bool(src["base_meta"]), base_version=src["base_version"])
-
-    def reset(self, child: str, parent: str) -> int:
-        """G7 on stored tables: the child's next version is the parent's latest."""
-        src = self._latest_row(parent)
-        if src is None:
-            raise KeyError(f"no table {parent}")
-        return self._commit(child, "reset", list(src["base_paths"]), list(src["change_paths"]),
-                            T.StructType.fromJson(json.loads(src["schema_json"])), label=f"reset to {parent}",
-                            rows=src["rows"], source_version=src["source_version"], change_rows=src["change_rows"] or 0,
-                            base_meta=bool(src["base_meta"]), base_version=src["base_version"])
-
-    def last_batch_id(self, name: str) -> int | None:
-        ids = [r["batch_id"] for r in self._manifest_rows() if r["table_name"] == name and r["batch_id"] is not None]
-        return max(ids) if ids else None
-
-
-# --- sync modes (A8-A10) -------------------------------------------------------
+# --- sync modes (A8-A10) --------------------------------------------------------
 
 def sync_snapshot(store: TableStore, source: DataFrame, name: str, keys: list[str] | None = None,
                   source_version: int | None = None) -> tuple[int, int]:
     """Replace the whole serving copy; returns (version, rows)."""
     v = store.overwrite(source, name, keys=keys, source_version=source_version)
-    r = store._latest_row(name, v)
-    return v, r["rows"]
-
+    return v, store.latest(name, v)["rows"]
 
-def sync_triggered(store: TableStore, changes: DataFrame, name: str,
-                   compact_fraction: float | None = 0.10) -> int | None:
-    """A9 on a stored copy: append the changes newer than the copy's
-    ``source_version``; returns the new version (None when nothing changed).
 
-    When the accumulated change rows pass ``compact_fraction`` of the base
-    (A11's 10% crossover), the copy is compacted into a new base.
-    """
-    prev = store._latest_row(name)
-    since = prev["source_version"]
+def sync_triggered(store: TableStore, changes: DataFrame, name: str) -> int | None:
+    """A9 on a stored copy: record the changes newer than its source version;
+    returns the new version (None when nothing changed)."""
+    since = store.latest(name)["source_version"]
     c = changes if since is None else changes.filter(F.col("_commit_version") > since)
-    top = c.agg(F.max("_commit_version")).collect()[0][0]
-    if top is None:
-        return None
-    v = store.append_changes(c, name, source_version=top)
-    if compact_fraction is not None and store.needs_compaction(name, compact_fraction):
-        v = store.compact(name)
-    return v
+    top = c.agg(F.max("_commit_version")).first()[0]
+    return None if top is None else store.append_changes(c, name, top)
 
 
 def sync_continuous(stream: DataFrame, store: TableStore, name: str, checkpoint_location: str,
-                    trigger: dict | None = None, query_name: str | None = None,
-                    compact_fraction: float | None = 0.10):
-    """A10: run the triggered sync body on every micro-batch of a change stream.
-
-    Idempotent on the batch id: a batch that was already committed (the
-    manifest holds its id) is skipped when the query restarts after a failure.
-    Compacts into a new base once the changes pass ``compact_fraction``.
-    Returns the ``StreamingQuery``.
+                    trigger: dict | None = None, query_name: str | None = None):
+    """A10: record every micro-batch of a change stream; returns the ``StreamingQuery``.
+
+    Idempotent on (checkpoint, batch id): a batch that was committed before a
+    failure is skipped on restart, and a stream with a new checkpoint, whose
+    batch ids start again, is not.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last = store.last_batch_id(name)
-        if last is not None and batch_id <= last:
-            return
-        top = batch.agg(F.max("_commit_version")).collect()[0][0]
-        if top is None:
+        if any(r["stream"] == checkpoint_location and r["batch_id"] == batch_id for r in store.history(name)):
             return
-        prev_sv = store._latest_row(name)["source_version"]
-        # Batches may arrive out of version order; the copy's version only grows.
-        sv = top if prev_sv is None else max(top, prev_sv)
-        store.append_changes(batch, name, batch_id=batch_id, source_version=sv)
-        if compact_fraction is not None and store.needs_compaction(name, compact_fraction):
-            store.compact(name)
+        batch = batch.persist()  # one micro-batch, read twice
+        try:
+            top = batch.agg(F.max("_commit_version")).first()[0]
+            if top is not None:
+                store.append_changes(batch, name, top, stream=checkpoint_location, batch_id=batch_id)
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:
         w = w.queryName(query_name)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    return w.trigger(**(trigger or {"availableNow": True})).start()

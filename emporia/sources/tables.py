@@ -12,12 +12,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.functions import scalars as S
-from emporia.functions.ids import dense_ids
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference for right results.
@@ -96,11 +95,18 @@ def orders_from(orders: DataFrame) -> DataFrame:
     )
 
 
-ITEM_ORDER = ["order_id", "product_id", "_line", "_supp", "line_total", "quantity",
+ITEM_ORDER = ["product_id", "_line", "_supp", "line_total", "quantity",
               "_disc", "_tax", "_flag", "_lstatus", "_ship"]
+#: An item's id is its order's id times this plus its place in the order (ties are equal rows).
+ITEMS_PER_ORDER = 1000
 
 
 def order_items_from(lineitem: DataFrame, with_id: bool = False) -> DataFrame:
+    """Order items; ``with_id`` adds an item id that needs no global numbering.
+
+    The ids follow (order, place in the order), so they are numbered within
+    each order: nothing is written, and a filter on the order reaches the scan.
+    """
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     qty = F.col("l_quantity").cast("long")
     df = lineitem.select(
@@ -116,32 +122,9 @@ def order_items_from(lineitem: DataFrame, with_id: bool = False) -> DataFrame:
     )
     if not with_id:
         return df
-    # Item ids follow the global order of all line columns (ties are equal rows).
-    ided = dense_ids(df, ITEM_ORDER, id_col="id", start=1)
-    return ided.select("id", "order_id", "product_id", "quantity", "unit_price", "line_total")
-
-
-def order_items_of_order(lineitem: DataFrame, order_id: int) -> DataFrame:
-    """The items of one order with the same ids as ``order_items_from(with_id=True)``.
-
-    A point lookup does not need the global numbering: an item's id is 1 +
-    the number of items of smaller orders (a filtered count, computed as a
-    scalar subquery) + its rank inside the order (a window over one order's
-    rows only).
-    """
-    from pyspark.sql import Window
-    before = lineitem.filter(F.col("l_orderkey") < order_id).select(F.count(F.lit(1))).scalar()
-    cols = lineitem.filter(F.col("l_orderkey") == order_id).select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-        F.col("l_linenumber").alias("_line"), F.col("l_suppkey").alias("_supp"),
-        S.money("l_extendedprice").alias("line_total"), F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_discount").alias("_disc"), F.col("l_tax").alias("_tax"), F.col("l_returnflag").alias("_flag"),
-        F.col("l_linestatus").alias("_lstatus"), F.col("l_shipdate").alias("_ship"),
-        S.half_up_div(F.round(F.col("l_extendedprice") * 100).cast("long"), F.col("l_quantity").cast("long"), 2)
-        .cast("decimal(18,2)").alias("unit_price"))
-    w = Window.partitionBy("order_id").orderBy(*ITEM_ORDER[1:])
-    return cols.select((before + F.row_number().over(w)).cast("long").alias("id"), "order_id", "product_id",
-                       "quantity", "unit_price", "line_total")
+    place = F.row_number().over(Window.partitionBy("order_id").orderBy(*ITEM_ORDER))
+    return df.select((F.col("order_id") * ITEMS_PER_ORDER + place).cast("long").alias("id"), "order_id", "product_id",
+                     "quantity", "unit_price", "line_total")
 
 
 def inventory_from(part: DataFrame) -> DataFrame:
@@ -174,6 +157,7 @@ def reviews_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("o_custkey").alias("customer_id"),
         (1 + F.pmod(F.col("l_orderkey") + F.col("l_partkey"), F.lit(5))).cast("int").alias("rating"),
+        F.concat(F.lit("order "), F.col("l_orderkey").cast("string"), F.lit(" returned")).alias("comment"),
         F.col("l_shipdate").alias("review_date"),
     )
 
@@ -277,27 +261,23 @@ def order_changes_from(orders: DataFrame) -> DataFrame:
     for id % 3 = 0; delete 75 days later for id % 17 = 0. Version = month index
     of the commit time since 1995-01; ``_seq`` orders changes inside a version.
     """
-    base = orders_from(orders)
-    parts = []
+    made = []
     for kind, seq, days in CHANGE_KINDS:
-        df = base
+        status, total, has = F.col("status"), F.col("total"), F.lit(True)
         if kind == "update_postimage":
-            df = df.filter(F.pmod("id", F.lit(3)) == 0).withColumn("status", F.lit("shipped")) \
-                .withColumn("total", F.round(F.col("total") * F.lit(1.05).cast("decimal(3,2)"), 2).cast("decimal(18,2)"))
+            status, has = F.lit("shipped"), F.pmod("id", F.lit(3)) == 0
+            total = F.round(F.col("total") * F.lit(1.05).cast("decimal(3,2)"), 2).cast("decimal(18,2)")
         elif kind == "delete":
-            df = df.filter(F.pmod("id", F.lit(17)) == 0)
+            has = F.pmod("id", F.lit(17)) == 0
         ts = F.col("order_date") + F.make_dt_interval(F.lit(days))
-        parts.append(df.select(
-            "*",
-            F.lit(kind).alias("_change_type"),
+        made.append(F.when(has, F.struct(
+            total.alias("total"), status.alias("status"), F.lit(kind).alias("_change_type"),
             ((F.year(ts) - VERSION_EPOCH_YEAR) * 12 + F.month(ts) - 1).cast("long").alias("_commit_version"),
-            ts.alias("_commit_ts"),
-            F.lit(seq).alias("_seq"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            ts.alias("_commit_ts"), F.lit(seq).alias("_seq"))))
+    # One scan of orders; each order yields its one to three change rows.
+    return (orders_from(orders).withColumn("_c", F.explode(F.array_compact(F.array(*made))))
+            .select("id", "customer_id", "_c.total", "currency", "order_date", "_c.status", "_c._change_type",
+                    "_c._commit_version", "_c._commit_ts", "_c._seq"))
 
 
 def query_log_from(events: DataFrame) -> DataFrame:
@@ -334,7 +314,7 @@ def _status_sql(c: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} = '{k}' THEN '{v}'" for k, v in STATUS_MAP.items()) + " END"
 
 
-_ITEM_ORDER_SQL = ("l_orderkey, l_partkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, "
+_ITEM_ORDER_SQL = ("l_partkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity, "
                    "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate")
 
 SQL: dict[str, str] = {
@@ -348,7 +328,7 @@ SQL: dict[str, str] = {
     "order_items": ("SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity, "
                     f"CAST({S.half_up_div_sql('CAST(ROUND(l_extendedprice * 100) AS BIGINT)', 'CAST(l_quantity AS BIGINT)', 2)} AS DECIMAL(18,2)) AS unit_price, "
                     "CAST(l_extendedprice AS DECIMAL(18,2)) AS line_total FROM lineitem"),
-    "order_items_ided": (f"SELECT CAST(row_number() OVER (ORDER BY {_ITEM_ORDER_SQL}) AS BIGINT) AS id, "
+    "order_items_ided": (f"SELECT CAST(l_orderkey * {ITEMS_PER_ORDER} + row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ITEM_ORDER_SQL}) AS BIGINT) AS id, "
                          "l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity, "
                          f"CAST({S.half_up_div_sql('CAST(ROUND(l_extendedprice * 100) AS BIGINT)', 'CAST(l_quantity AS BIGINT)', 2)} AS DECIMAL(18,2)) AS unit_price, "
                          "CAST(l_extendedprice AS DECIMAL(18,2)) AS line_total FROM lineitem"),
@@ -358,7 +338,8 @@ SQL: dict[str, str] = {
                   f"UNION ALL SELECT p_partkey * 2 + 1, p_partkey, '{WAREHOUSES[3]}', CAST((p_partkey * 7) % 50 AS INTEGER), "
                   "CAST(10 AS INTEGER), CAST(0 AS INTEGER) FROM part WHERE p_partkey % 10 = 0"),
     "reviews": ("SELECT l.l_partkey AS product_id, o.o_custkey AS customer_id, "
-                "CAST(1 + (l.l_orderkey + l.l_partkey) % 5 AS INTEGER) AS rating, l.l_shipdate AS review_date "
+                "CAST(1 + (l.l_orderkey + l.l_partkey) % 5 AS INTEGER) AS rating, "
+                "'order ' || l.l_orderkey || ' returned' AS comment, l.l_shipdate AS review_date "
                 "FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE l.l_returnflag = 'R'"),
     "promotions_raw": (
         f"SELECT p_partkey * 2 AS id, p_partkey AS product_id, {_sql_list(BADGES)}[(p_partkey % 6) + 1] AS badge_text, "

@@ -65,7 +65,7 @@ def test_two_carts_of_six_on_stock_ten(spark):
     assert [(r.id, r.customer_id, r.quantity) for r in out["orders"].collect()] == [(101, 1, 6)]
     assert [r.quantity for r in out["inventory"].collect()] == [4]
     assert [(r.customer_id, r.points) for r in out["points"].collect()] == [(1, 60)]
-    assert [(r.id, r.order_id) for r in out["order_items"].collect()] == [(3, 101)]  # after the two items there are
+    assert [(r.id, r.order_id) for r in out["order_items"].collect()] == [(9, 101)]  # after the largest item id
 
 
 def test_twelve_then_five_on_stock_ten(spark):

@@ -317,13 +317,53 @@ def test_schema_diff_reports_drift(spark):
     assert Y.additive_schema_sync(a.drop("x"), a).columns == ["id", "name", "x"]
 
 
-def test_expire_snapshots_keeps_ten_newest_manual(spark):
-    rows = [("t", i, TS + dt.timedelta(days=i), 1, "manual") for i in range(12)] + \
-           [("t", 100 + i, TS + dt.timedelta(days=i * 10), 1, "scheduled") for i in range(5)]
-    m = spark.createDataFrame(rows, "table_name string, version long, created_at timestamp_ntz, changes long, kind string")
-    kept = V.expire_snapshots(m, TS + dt.timedelta(days=45), 30, 10)
+def test_expire_snapshots_keeps_manual_ones_and_other_versions(spark):
+    rows = [("t", i, TS + dt.timedelta(days=i), "snapshot:manual") for i in range(12)] + \
+           [("t", 100 + i, TS + dt.timedelta(days=i * 10), "snapshot:scheduled") for i in range(5)] + \
+           [("t", 200, TS, "overwrite"), ("t", 201, TS, "changes")]
+    m = spark.createDataFrame(rows, "table_name string, version long, created_at timestamp_ntz, kind string")
+    kept = V.expire_snapshots(m, TS + dt.timedelta(days=45), 30)
     vs = sorted(r.version for r in kept.collect())
-    assert vs == list(range(2, 12)) + [102, 103, 104]
+    assert vs == list(range(12)) + [102, 103, 104, 200, 201]
+
+
+def test_row_diff_over_a_schema_change(spark):
+    a = spark.createDataFrame([(1, "x", 1), (2, "y", 2)], "id long, v string, gone int")
+    b = spark.createDataFrame([(1, "x", 7), (2, "z", 8)], "id long, v string, new int")
+    assert _rows(V.row_diff(a, b, ["id"])) == [(2, "changed")]
+    assert _rows(V.row_diff(a.select("id"), b.select("id"), ["id"])) == []
+    assert {r.column_name for r in V.schema_diff(a, b).collect()} == {"gone", "new"}
+
+
+def test_schema_profile_covers_both_sides(spark):
+    a = spark.createDataFrame([(1, "x", None), (2, "x", None)], "id long, old string, n int")
+    b = spark.createDataFrame([(1, 5.0), (2, None)], "id long, n double")
+    got = {r.column_name: (r.null_count, r.distinct_count) for r in V.schema_diff(a, b, profile=True).collect()}
+    assert got == {"old": (0, 1), "n": (1, 1)}
+
+
+def test_sync_verify_sees_stale_values(spark):
+    a = spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "id long, v string")
+    b = spark.createDataFrame([(1, "old"), (2, None), (4, "w")], "id long, v string")
+    assert _rows(Y.sync_verify(a, b, ["id"])) == [(3, 3, 1, 1, 1)]
+
+
+def test_empty_target_takes_a_snapshot(spark):
+    ch = spark.createDataFrame([(1, "insert", 5)], "id long, _change_type string, _commit_version long")
+    r = Y.choose_sync_mode(Y.changed_ratio(ch, 0, ["id"], 0)).collect()[0]
+    assert r["mode"] == "snapshot"
+
+
+def test_upsert_keeps_nulls_and_reads_the_feed_once(spark, scratch):
+    target = spark.createDataFrame([(1, None), (2, "b"), (3, "c")], "id long, v string")
+    rows = [(2, None, "update_postimage", 2, 0), (3, "x", "update_postimage", 1, 0), (3, None, "delete", 2, 0),
+            (4, "n", "insert", 1, 0), (4, "m", "update_postimage", 1, 1)]
+    spark.createDataFrame(rows, "id long, v string, _change_type string, _commit_version long, _seq int").write.parquet(scratch + "/f")
+    feed = spark.read.parquet(scratch + "/f")
+    out = Y.upsert(target, feed, ["id"])
+    assert sorted(map(tuple, out.collect())) == [(1, None), (2, None), (4, "m")]
+    plan = Y.upsert(target, feed, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "SortAggregate" not in plan
 
 
 def test_insert_if_absent_first_row_wins_existing_kept(spark):

@@ -54,11 +54,11 @@ def test_sync_modes_agree(spark, scratch, t):
     triggered = st.read("orders")
     latest = V.state_at_version(changes, KEYS, 10 ** 6)
     assert _rows(triggered) == _rows(latest)
-    # Snapshot of the full state equals it too, and compaction keeps it.
+    # Snapshot of the full state equals it too, and folding the changes into a new copy keeps it.
     st2 = TableStore(spark, scratch + "/serving2")
     sync_snapshot(st2, latest, "orders", keys=KEYS)
     assert _rows(st2.read("orders")) == _rows(latest)
-    st.compact("orders")
+    sync_snapshot(st, st.read("orders"), "orders")
     assert _rows(st.read("orders")) == _rows(latest)
 
 
@@ -129,15 +129,14 @@ def test_streaming_activity_matches_batch_for_closed_windows(spark, scratch, t):
 
 
 def test_branch_isolation_reset_and_replay(spark, scratch, t):
-    from emporia.plans.q_versions import STEPS
     st = TableStore(spark, scratch + "/branches")
     st.overwrite(t.customers, "customers", keys=KEYS)
     st.overwrite(t.orders, "orders", keys=KEYS)
     n_parent = st.read("customers").count()
-    st.branch("customers", "customers@dev")
+    st.overwrite(st.read("customers"), "customers@dev", keys=KEYS)
     new = spark.createDataFrame([(10 ** 9, "New Person", "new@example.com", "BUILDING", 1)], t.customers.schema)
     st.append(new, "customers@dev")
-    # branch insert not visible on the parent
+    # what the child gets is not visible on the parent
     assert st.read("customers").count() == n_parent
     assert st.read("customers@dev").count() == n_parent + 1
     # production drifts: another team adds email_verified on the parent
@@ -145,50 +144,116 @@ def test_branch_isolation_reset_and_replay(spark, scratch, t):
     st.overwrite(email_verified(st.read("customers")), "customers")
     drift = {r.column_name: r.change for r in V.schema_diff(st.read("customers@dev"), st.read("customers")).collect()}
     assert drift == {"email_verified": "only_in_b"}
-    # reset the branch to the parent, then replay the branch's migrations: both changes coexist
-    st.reset("customers@dev", "customers")
-    replayed = V.replay_migrations({"customers": st.read("customers@dev"), "orders": st.read("orders")}, STEPS)
+    # reset the child to the parent, then replay the child's migrations: both changes coexist
+    replayed = V.reset_to_parent({"customers": st.read("customers@dev")}, {"customers": st.read("customers"),
+                                                                          "orders": st.read("orders")}, STEPS)
     cols = replayed["customers"].columns
     assert "email_verified" in cols and "loyalty_points" in cols
     assert replayed["customers"].count() == n_parent
     # point in time: the version committed before the drift
-    first = st._latest_row("customers", 0)["created_at"]
-    assert st.version_at("customers", first) is not None
+    assert st.version_at("customers", st.latest("customers", 0)["created_at"]) is not None
 
 
-def test_auto_compaction_and_manifest_compaction(spark, scratch, t):
-    import glob
-    changes = t.order_changes
-    latest = V.state_at_version(changes, KEYS, 10 ** 6)
-    st = TableStore(spark, scratch + "/auto")
-    sync_snapshot(st, V.state_at_version(changes, KEYS, 70), "orders", keys=KEYS, source_version=70)
-    # A small tail of changes stays incremental ...
-    sync_triggered(st, changes.filter("_commit_version <= 71"), "orders")
-    row = st._latest_row("orders")
-    assert row["kind"] == "changes" and 0 < row["change_rows"]
-    # ... while the rest passes 10% of the base and compacts into a new base.
-    sync_triggered(st, changes, "orders")
-    row = st._latest_row("orders")
-    assert row["kind"] == "compact" and not row["change_paths"]
-    assert _rows(st.read("orders")) == _rows(latest)
-    n_files = len(glob.glob(scratch + "/auto/_manifest/*.parquet"))
-    assert st.compact_manifest() == n_files
-    assert len(glob.glob(scratch + "/auto/_manifest/*.parquet")) == 1
-    assert st.latest_version("orders") == row["version"]
-    assert _rows(st.read("orders")) == _rows(latest)
+SMALL = "id long, v string"
+FEED = SMALL + ", _change_type string, _commit_version long, _commit_ts timestamp_ntz, _seq int"
+
+
+def _feed(spark, *rows):
+    return spark.createDataFrame([(i, v, kind, version, None, 0) for i, v, kind, version in rows], FEED)
+
 
+def _small(spark, scratch, source_version=1):
+    st = TableStore(spark, scratch + "/small")
+    sync_snapshot(st, spark.createDataFrame([(1, "a"), (2, "b")], SMALL), "t", keys=KEYS, source_version=source_version)
+    return st
 
-def test_late_changes_after_compaction_resolve_by_version(spark, scratch, t):
+
+def test_append_after_a_delete_stays(spark, scratch):
+    st = _small(spark, scratch)
+    st.append_changes(_feed(spark, (1, None, "delete", 5)), "t", 5)
+    st.append(spark.createDataFrame([(1, "again")], SMALL), "t")
+    assert _rows(st.read("t")) == [(1, "again"), (2, "b")]
+    # a later change replaces it, an earlier one that arrives late does not
+    st.append_changes(_feed(spark, (1, "late", "update_postimage", 4)), "t", 4)
+    assert _rows(st.read("t")) == [(1, "again"), (2, "b")]
+    st.append_changes(_feed(spark, (1, "new", "update_postimage", 6)), "t", 6)
+    assert _rows(st.read("t")) == [(1, "new"), (2, "b")]
+
+
+def test_append_means_the_same_with_and_without_folding(spark, scratch):
+    tables = []
+    for fold in (False, True):
+        st = _small(spark, scratch + str(fold))
+        st.append_changes(_feed(spark, (3, "c", "insert", 5), (1, "x", "update_postimage", 5)), "t", 5)
+        if fold:
+            sync_snapshot(st, st.read("t"), "t", source_version=5)
+        st.append(spark.createDataFrame([(2, "second"), (3, "third")], SMALL), "t")
+        tables.append(_rows(st.read("t")))
+    assert tables[0] == tables[1] == [(1, "x"), (2, "b"), (2, "second"), (3, "c"), (3, "third")]
+
+
+def test_late_changes_resolve_by_version(spark, scratch, t):
     changes = t.order_changes
     st = TableStore(spark, scratch + "/late")
     sync_snapshot(st, spark.createDataFrame([], t.orders.schema), "orders", keys=KEYS, source_version=-1)
-    st.append_changes(changes.filter("_commit_version > 40"), "orders", source_version=82)
-    st.compact("orders")  # newer changes folded first, deletes kept as tombstones
-    st.append_changes(changes.filter("_commit_version <= 40"), "orders")  # late, older changes
-    assert _rows(st.read("orders")) == _rows(V.state_at_version(changes, KEYS, 10 ** 6))
-    st.compact("orders")
+    st.append_changes(changes.filter("_commit_version > 40"), "orders", 82)
+    st.append_changes(changes.filter("_commit_version <= 40"), "orders", 40)  # late, older changes
     assert _rows(st.read("orders")) == _rows(V.state_at_version(changes, KEYS, 10 ** 6))
-    # appending plain rows onto a compacted base keeps them
-    extra = spark.createDataFrame([(10 ** 9, 1, None, "USD", None, "pending")], t.orders.schema)
-    st.append(extra, "orders")
-    assert st.read("orders").filter(f"id = {10 ** 9}").count() == 1
+
+
+def test_added_columns_are_kept_others_raise(spark, scratch):
+    st = _small(spark, scratch)
+    wide = _feed(spark, (1, "x", "update_postimage", 5)).selectExpr("*", "7 AS extra")
+    assert sync_triggered(st, wide, "t") is not None
+    assert _rows(st.read("t").select("id", "v", "extra").fillna(0)) == [(1, "x", 7), (2, "b", 0)]
+    assert st.read("t", 0).columns == ["id", "v"]
+    with pytest.raises(ValueError, match="dropped"):
+        sync_triggered(st, _feed(spark, (1, "x", "insert", 9)).drop("v"), "t")
+    with pytest.raises(ValueError, match="retyped"):
+        sync_triggered(st, _feed(spark, (1, "1", "insert", 9)).withColumn("v", F.lit(1)), "t")
+
+
+def test_changes_without_keys_are_refused_when_written(spark, scratch):
+    st = TableStore(spark, scratch + "/nokeys")
+    st.overwrite(spark.createDataFrame([(1, "a")], SMALL), "t", source_version=1)
+    with pytest.raises(ValueError, match="keys"):
+        sync_triggered(st, _feed(spark, (1, "x", "insert", 5)), "t")
+
+
+def test_new_checkpoint_skips_nothing(spark, scratch):
+    st = _small(spark, scratch)
+    for name, rows in (("a", [(3, "c", "insert", 2)]), ("b", [(4, "d", "insert", 3)])):
+        _feed(spark, *rows).write.parquet(f"{scratch}/feed-{name}")
+        stream = spark.readStream.schema(FEED).parquet(f"{scratch}/feed-{name}")
+        sync_continuous(stream, st, "t", f"{scratch}/ckpt-{name}").awaitTermination()
+    assert _rows(st.read("t")) == [(1, "a"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_read_without_changes_moves_nothing(spark, scratch):
+    st = _small(spark, scratch)
+    assert "Exchange" not in st.read("t")._jdf.queryExecution().toString()
+
+
+def test_eleventh_manual_snapshot_is_refused_and_expiry_keeps_the_ten(spark, scratch):
+    import datetime as dt
+    from emporia.sources.store import SnapshotLimitError
+    st = _small(spark, scratch)
+    old = dt.datetime(2020, 1, 1)
+    for i in range(10):
+        st.snapshot("t", f"m{i}", at=old)
+    st.snapshot("t", "s", kind="scheduled", at=old)
+    with pytest.raises(SnapshotLimitError):
+        st.snapshot("t", "one too many")
+    left = V.expire_snapshots(st.versions("t"), "2024-01-01 00:00:00").collect()
+    assert sorted(r.kind for r in left) == ["overwrite"] + ["snapshot:manual"] * 10
+
+
+def test_a_damaged_pointer_raises(spark, scratch):
+    import os
+    st = _small(spark, scratch)
+    with open(scratch + "/small/t/_versions/part-broken.snappy.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        st.latest_version("t")
+    assert os.path.exists(scratch + "/small/t/_versions")
+    assert TableStore(spark, scratch + "/small").latest_version("unknown") is None
