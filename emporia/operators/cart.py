@@ -28,8 +28,8 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     """H1: final cart lines (customer_id, product_id, quantity > 0).
 
     Rules: add q (q >= 1, known product) adds q; update q sets q when the item
-    is in the cart (q <= 0 removes it) and is ignored when it is not; clear
-    empties the customer's cart.
+    is in the cart (q <= 0 or NULL removes it) and is ignored when it is not;
+    clear empties the customer's cart.
 
     Closed form instead of a per-key fold: after the customer's last clear,
     let U be the last update of the item. If there is none the quantity is the
@@ -41,7 +41,8 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     update) are salted, so a customer or item holding a third of the events
     is spread over many tasks.
     """
-    ev = events.select("event_id", "customer_id", "ts", "action", "product_id", "quantity")
+    ev = events.select("event_id", "customer_id", "ts", "action", "product_id", "quantity").withColumn(
+        "quantity", F.when(F.col("action") == "update", F.coalesce("quantity", F.lit(0))).otherwise(F.col("quantity")))
     last_clear = (ev.filter(F.col("action") == "clear").groupBy("customer_id")
                   .agg(F.max(_order()).alias("_clr")))
     known = products.select(F.col("id").alias("product_id"))
@@ -219,7 +220,7 @@ def accepted_lines(cart: DataFrame, t, shoppers: DataFrame | None = None) -> Dat
     """
     p = table(t, "products").select(F.col("id").alias("product_id"), "price", "name")
     stock = _stock_per_product(table(t, "inventory"))
-    known = (cart.join(p, "product_id", "left").join(stock, "product_id", "left")
+    known = (salted_join(cart.join(p, "product_id", "left"), stock, ["product_id"], F.col("customer_id"))
              .withColumn("stock", F.when(F.col("price").isNotNull(), F.coalesce("stock", F.lit(0)))))
     if shoppers is not None:
         known = known.join(shoppers.select("customer_id").distinct(), "customer_id", "left_semi")
@@ -342,7 +343,8 @@ def allocate_stock(cart: DataFrame, inventory: DataFrame) -> DataFrame:
     a refused line uses no stock, so a later, smaller one may be granted.
     """
     stock = _stock_per_product(inventory)
-    lines = cart.join(stock, "product_id", "left").withColumn("stock", F.coalesce(F.col("stock"), F.lit(0)))
+    lines = salted_join(cart, stock, ["product_id"], F.col("customer_id")).withColumn(
+        "stock", F.coalesce(F.col("stock"), F.lit(0)))
     done = accept_in_order(lines, ["product_id", "customer_id"], "product_id", ["ts", "customer_id"])
     used = running_sum(done, ["product_id"], ["ts", "customer_id"],
                        {"_used": F.when(F.col("accepted"), F.col("quantity")).otherwise(F.lit(0))})

@@ -63,51 +63,69 @@ CART_OUT = T.StructType([
     T.StructField("product_id", T.LongType()),
     T.StructField("quantity", T.LongType()),
 ])
-CART_STATE = T.StructType([T.StructField("items", T.StringType())])
+CART_STATE = T.StructType([T.StructField("cart", T.StringType()), T.StructField("open", T.StringType())])
 
 
-def _fold_cart(key, batches, state):
-    """Apply one customer's events of this micro-batch to the stored cart.
+def apply_cart_event(cart: dict[int, int], action: str, product: int | None, quantity: int | None, known: bool) -> None:
+    """One event on a cart ({product: quantity}), by H1's rules; an update without a quantity removes the item."""
+    if action == "clear":
+        cart.clear()
+    elif action == "add" and known and quantity is not None and quantity >= 1:
+        cart[product] = cart.get(product, 0) + quantity
+    elif action == "update" and product in cart:
+        if quantity is None or quantity <= 0:
+            del cart[product]
+        else:
+            cart[product] = quantity
 
-    State is the customer's current cart ({product: qty}) -- bounded by the
-    products in one cart, not by the event count. Emits the whole current
-    cart (an empty cart emits a single row with NULL product).
-    """
-    cart = {} if not state.exists else {int(k): int(v) for k, v in json.loads(state.get[0]).items()}
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if len(pdf):
-        pdf = pdf.sort_values(["ts", "event_id"], kind="stable")
-        for action, pid, qty, known in zip(pdf["action"], pdf["product_id"], pdf["quantity"], pdf["known"]):
-            if action == "clear":
-                cart = {}
-            elif action == "add":
-                if known and qty is not None and qty >= 1:
-                    cart[int(pid)] = cart.get(int(pid), 0) + int(qty)
-            elif action == "update":
-                if pid is not None and int(pid) in cart:
-                    if qty is None or qty <= 0:
-                        del cart[int(pid)]
-                    else:
-                        cart[int(pid)] = int(qty)
-    state.update((json.dumps(cart),))
-    cid = int(key[0])
-    if cart:
-        yield pd.DataFrame({"customer_id": [cid] * len(cart), "product_id": list(cart.keys()),
-                            "quantity": list(cart.values())})
-    else:
-        yield pd.DataFrame({"customer_id": [cid], "product_id": [None], "quantity": [0]})
-
-
-def cart_state_stream(events: DataFrame, products: DataFrame) -> DataFrame:
+
+def cart_state_stream(events: DataFrame, products: DataFrame, watermark: str = "1 hour", expire: str = "30 days") -> DataFrame:
     """H1 streaming: per-customer cart state across micro-batches.
 
-    ``known`` marks events of existing products (a stream-static semi join
-    expressed as a left join with a flag). Output mode 'update': each batch
-    emits the full current cart of every customer it touched.
+    Events apply in (ts, event_id) order, also those that arrive in a later
+    micro-batch: the state of a customer is the cart up to the watermark and the
+    open events after it, which are sorted anew when more arrive. Events older
+    than the watermark are late and dropped. ``expire`` after its last event a
+    customer's state is dropped, too (an abandoned cart ends empty).
+
+    Ids and quantities travel as text, so they stay exact integers beside NULLs. Output
+    mode 'update': each batch emits the whole current cart of every customer it
+    touched (an empty cart as one row with NULL product).
     """
+    span = int(pd.Timedelta(expire).total_seconds() * 1000)
+
+    def fold(key, frames, state):
+        customer = int(key[0])
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame({"customer_id": [customer], "product_id": pd.array([None], "Int64"), "quantity": [0]})
+            return
+        cart, open_events = {}, []
+        if state.exists:
+            cart = {int(k): v for k, v in json.loads(state.get[0]).items()}
+            open_events = json.loads(state.get[1])
+        number = lambda x: None if x is None else int(x)
+        for frame in frames:  # Arrow batches of the customer's new events
+            open_events += [[int(t), int(e), a, number(p), number(q), bool(k)] for t, e, a, p, q, k in zip(
+                frame["at"], frame["event_id"], frame["action"], frame["product_id"], frame["quantity"], frame["known"])]
+        open_events.sort(key=lambda x: x[:2])
+        closed = state.getCurrentWatermarkMs() * 1000
+        while open_events and open_events[0][0] < closed:
+            apply_cart_event(cart, *open_events.pop(0)[2:])
+        state.update((json.dumps(cart), json.dumps(open_events)))
+        last = open_events[-1][0] // 1000 if open_events else closed // 1000
+        state.setTimeoutTimestamp(max(last, closed // 1000) + span)
+        now = dict(cart)
+        for event in open_events:
+            apply_cart_event(now, *event[2:])
+        yield pd.DataFrame({"customer_id": [customer] * max(1, len(now)),
+                            "product_id": pd.array(list(now) or [None], "Int64"),
+                            "quantity": list(now.values()) or [0]})
+
     known = products.select(F.col("id").alias("product_id"), F.lit(True).alias("known"))
-    ev = (events.join(known, "product_id", "left")
-          .withColumn("known", F.coalesce(F.col("known"), F.lit(False)))
-          .select("event_id", "customer_id", "ts", "action", "product_id", "quantity", "known"))
+    text = lambda c: F.col(c).cast("string").alias(c)
+    ev = (_event_time(events, "ts").withWatermark("ts", watermark).join(known, "product_id", "left")
+          .select("customer_id", "ts", F.unix_micros("ts").cast("string").alias("at"), text("event_id"), "action",
+                  text("product_id"), text("quantity"), F.coalesce(F.col("known"), F.lit(False)).alias("known")))
     return ev.groupBy("customer_id").applyInPandasWithState(
-        _fold_cart, CART_OUT, CART_STATE, "update", GroupStateTimeout.NoTimeout)
+        fold, CART_OUT, CART_STATE, "update", GroupStateTimeout.EventTimeTimeout)

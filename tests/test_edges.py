@@ -196,7 +196,7 @@ def _fold(events, known):
                 cart[pid] = cart.get(pid, 0) + qty
         elif action == "update":
             if pid in cart:
-                if qty <= 0:
+                if (qty or 0) <= 0:
                     del cart[pid]
                 else:
                     cart[pid] = qty
@@ -231,7 +231,7 @@ def test_cart_state_equals_sequential_fold(spark, shop, seed):
         action = rnd.choice(["add", "add", "update", "update", "clear"])
         ev.append((i, rnd.randint(1, 3), TS + dt.timedelta(seconds=rnd.randint(0, 60)), action,
                    None if action == "clear" else rnd.randint(1, 6),
-                   None if action == "clear" else rnd.randint(-1, 4)))
+                   None if action == "clear" or rnd.random() < 0.05 else rnd.randint(-1, 4)))
     df = spark.createDataFrame(ev, EV_SCHEMA)
     assert _rows(H.cart_state(df, shop["products"])) == _fold(ev, {1, 2, 3, 4, 5})
 

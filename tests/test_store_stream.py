@@ -111,6 +111,44 @@ def test_streaming_cart_equals_batch(spark, scratch, t):
     assert _rows(final) == _rows(cart_state(ce, t.products))
 
 
+def _run_cart_stream(spark, scratch, batches, products, **options):
+    schema = "event_id long, customer_id long, ts timestamp_ntz, action string, product_id long, quantity int"
+    for i, rows in enumerate(batches):  # one file, so one micro-batch each, in order
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{scratch}/in/{i:03d}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(scratch + "/in/*")
+    (cart_state_stream(stream, products, **options).writeStream.outputMode("update")
+     .foreachBatch(lambda df, bid: df.write.mode("append").parquet(scratch + f"/out/b={bid:06d}"))
+     .option("checkpointLocation", scratch + "/ck").trigger(availableNow=True).start().awaitTermination())
+    out = spark.read.parquet(scratch + "/out")
+    last = out.groupBy("customer_id").agg(F.max("b").alias("b"))
+    final = out.join(last, ["customer_id", "b"]).filter(F.col("product_id").isNotNull()).drop("b")
+    return _rows(final), cart_state(spark.createDataFrame([r for b in batches for r in b], schema), products)
+
+
+def test_streaming_cart_clears_nulls_large_ids_and_late_events(spark, scratch):
+    import datetime as dt
+    big = 2 ** 53 + 1
+    products = spark.createDataFrame([(5,), (6,), (big,)], "id long")
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    batches = [
+        [(1, 1, at(0), "add", 6, 2), (2, 1, at(10), "clear", None, None), (3, 1, at(20), "add", big, 3), (4, 2, at(0), "add", 5, 1),
+         (5, 2, at(5), "update", 5, None), (6, 2, at(9), "add", 5, 4), (7, 3, at(30), "update", 5, 7), (8, 4, at(1), "add", 99, 1)],
+        # late: before events of the first batch
+        [(9, 3, at(15), "add", 5, 2), (10, 1, at(12), "add", 5, 1), (11, 1, at(5), "add", 5, 9), (12, 2, at(7), "update", 5, 8)],
+    ]
+    got, batch = _run_cart_stream(spark, scratch, batches, products)
+    assert got == _rows(batch) == [(1, 5, 1), (1, big, 3), (2, 5, 4), (3, 5, 7)]
+
+
+def test_streaming_cart_state_expires(spark, scratch):
+    import datetime as dt
+    products = spark.createDataFrame([(5,)], "id long")
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    batches = [[(1, 1, day(0), "add", 5, 2)], [(2, 2, day(60), "add", 5, 1)], [(3, 2, day(61), "add", 5, 1)]]
+    got, _ = _run_cart_stream(spark, scratch, batches, products, expire="10 days")
+    assert got == [(2, 5, 2)]  # the first customer's cart was abandoned
+
+
 def test_streaming_activity_matches_batch_for_closed_windows(spark, scratch, t):
     ql = t.query_log
     ql.write.parquet(scratch + "/ql")
