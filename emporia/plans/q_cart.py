@@ -141,6 +141,41 @@ def q_validate_checkout(t):
     return H.validate_checkout(_cart(t), t, _shoppers(t))
 
 
+# Every fifth customer's cart also holds a product that is not in the catalog.
+UNKNOWN_SQL = f"""(SELECT customer_id, product_id, quantity FROM {CART_SQL}
+    UNION ALL SELECT DISTINCT customer_id, CAST(-1 - customer_id AS BIGINT), CAST(2 AS BIGINT) FROM cart_events WHERE customer_id % 5 = 0)"""
+
+
+def _cart_with_unknown(t):
+    extra = (t.cart_events.filter(F.col("customer_id") % 5 == 0).select("customer_id").distinct()
+             .select("customer_id", (-1 - F.col("customer_id")).cast("long").alias("product_id"), F.lit(2).cast("long").alias("quantity")))
+    return _cart(t).select("customer_id", "product_id", "quantity").unionByName(extra)
+
+
+@register("price_cart_unknown", with_sql(f"SELECT * FROM {PRICED_SQL.replace(CART_SQL, UNKNOWN_SQL)}", *_CART_TABLES))
+def q_price_cart_unknown(t):
+    """H2 carts with unknown products: those lines are skipped."""
+    return H.price_cart(_cart_with_unknown(t), t)
+
+
+@register("cart_totals_unknown", with_sql(f"""
+    SELECT k.customer_id, COALESCE(m.subtotal, 0) AS subtotal, k.item_count, COALESCE(m.total_points_earned, 0) AS total_points_earned
+    FROM (SELECT customer_id, CAST(SUM(quantity) AS BIGINT) AS item_count FROM {UNKNOWN_SQL} GROUP BY customer_id) k
+    LEFT JOIN (SELECT customer_id, CAST(ROUND(SUM(effective_price * cart_quantity), 2) AS DECIMAL(38,2)) AS subtotal,
+                      CAST(SUM(loyalty_points_earned) AS BIGINT) AS total_points_earned
+               FROM {PRICED_SQL.replace(CART_SQL, UNKNOWN_SQL)} GROUP BY customer_id) m ON m.customer_id = k.customer_id""", *_CART_TABLES))
+def q_cart_totals_unknown(t):
+    """H3 item counts include unknown products, money and points do not."""
+    cart = _cart_with_unknown(t)
+    return H.cart_totals(cart, H.price_cart(cart, t), t)
+
+
+@register("validate_checkout_unknown", with_sql(f"SELECT * FROM {VALID_SQL.replace(CART_SQL, UNKNOWN_SQL)}", *_CART_TABLES))
+def q_validate_checkout_unknown(t):
+    """H4 carts with unknown products are rejected."""
+    return H.validate_checkout(_cart_with_unknown(t), t, _shoppers(t))
+
+
 @register("checkout_orders", with_sql(f"""
     SELECT CAST((SELECT MAX(id) FROM orders) + row_number() OVER (ORDER BY customer_id, product_id) AS BIGINT) AS id,
            customer_id, product_id, quantity, CAST(ROUND(price * quantity, 2) AS DECIMAL(18,2)) AS total,

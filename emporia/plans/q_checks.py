@@ -34,6 +34,13 @@ def q_check_unique_inventory(t):
     return K.check_unique(t.inventory, ["product_id", "warehouse"])
 
 
+@register("check_unique_stocked", with_sql("""
+    SELECT product_id, COUNT(*) AS occurrences FROM inventory GROUP BY 1 HAVING COUNT(*) > 1""", "inventory"))
+def q_check_unique_stocked(t):
+    """F1 products stocked in one warehouse only: finds those with several inventory rows."""
+    return K.check_unique(t.inventory, ["product_id"])
+
+
 @register("check_not_null", with_sql("""
     SELECT *, list_filter([CASE WHEN product_id IS NULL THEN 'product_id' END,
                            CASE WHEN quantity IS NULL THEN 'quantity' END], lambda x: x IS NOT NULL) AS null_columns
@@ -50,6 +57,16 @@ def q_check_domain_status(t):
     return K.check_domain(t.orders, "status", values=S.ORDER_STATUSES)
 
 
+OPEN_STATUSES = ("pending", "confirmed")
+
+
+@register("check_domain_open", with_sql("""
+    SELECT * FROM orders WHERE status IS NOT NULL AND status NOT IN ('pending', 'confirmed')""", "orders"))
+def q_check_domain_open(t):
+    """F3 CHECK status IN (open statuses): finds the delivered orders."""
+    return K.check_domain(t.orders, "status", values=OPEN_STATUSES)
+
+
 @register("check_domain_range", with_sql(f"""
     SELECT * FROM inventory WHERE quantity IS NOT NULL AND (quantity < 0 OR quantity > {STOCK_HIGH})""", "inventory"))
 def q_check_domain_range(t):
