@@ -86,6 +86,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whatever store it names (through Hadoop's FileSystem)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the folders made by ``scratch_path`` (through Hadoop's FileSystem,
     so it works on any shared store). Call it after the DataFrames that read

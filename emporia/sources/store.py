@@ -25,12 +25,12 @@ import datetime as dt
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.operators import sync as Y
+from emporia.session import path_exists
 
 POINTER = ("table_name string, version long, kind string, label string, created_at timestamp_ntz, rows long, path string, "
            "keys array<string>, source_version long, stream string, batch_id long, schema_json string, properties string")
@@ -49,12 +49,10 @@ class TableStore:
     # --- versions ---------------------------------------------------------------
     def versions(self, name: str) -> DataFrame:
         """The table's pointer rows, one per version (empty if there is no such table)."""
-        try:
-            return self.spark.read.schema(POINTER).parquet(f"{self.root}/{name}/_versions")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = f"{self.root}/{name}/_versions"
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], POINTER)
+        return self.spark.read.schema(POINTER).parquet(path)
 
     def history(self, name: str, version: int | None = None) -> list:
         """The pointer rows up to a version, oldest first; none if there is no such version.
@@ -92,10 +90,13 @@ class TableStore:
          .write.mode("append").parquet(f"{self.root}/{name}/_versions"))
         return row[1]
 
-    def _write(self, df: DataFrame, name: str) -> tuple[str, int]:
-        path = f"{self.root}/{name}/{uuid.uuid4().hex[:16]}"
-        df.write.mode("errorifexists").parquet(path)
-        return path, self.spark.read.schema(df.schema).parquet(path).count()  # from the file footers
+    def _write(self, df: DataFrame, name: str) -> tuple[str, int, int | None]:
+        """(path, rows, highest source version of change rows), counted while the rows are written."""
+        path, seen = f"{self.root}/{name}/{uuid.uuid4().hex[:16]}", Observation()
+        top = F.max("_commit_version") if "_commit_version" in df.columns else F.max(F.lit(None).cast("long"))
+        df.observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top")).write.mode("errorifexists").parquet(path)
+        found = seen.get
+        return path, found["n"], found["top"]
 
     # --- reads ------------------------------------------------------------------
     def read(self, name: str, version: int | None = None) -> DataFrame:
@@ -131,13 +132,13 @@ class TableStore:
                keys: list[str] | None = None) -> int:
         """A4: typed, empty table with a comment and properties."""
         props = dict(properties or {}) | ({"comment": comment} if comment else {})
-        path, _ = self._write(self.spark.createDataFrame([], schema), name)
+        path, _, _ = self._write(self.spark.createDataFrame([], schema), name)
         return self._commit(name, "create", schema, self.latest(name), path=path, rows=0, keys=keys, properties=props)
 
     def overwrite(self, df: DataFrame, name: str, keys: list[str] | None = None, label: str | None = None,
                   source_version: int | None = None) -> int:
         """A5: full replace (the schema may change) as a new version."""
-        path, n = self._write(df, name)
+        path, n, _ = self._write(df, name)
         return self._commit(name, "overwrite", df.schema, self.latest(name), path=path, rows=n, keys=keys, label=label,
                             source_version=source_version)
 
@@ -148,16 +149,16 @@ class TableStore:
         if prev is None:
             return self.overwrite(df, name)
         schema = T.StructType.fromJson(json.loads(prev["schema_json"]))
-        path, n = self._write(df.select(*schema.names), name)
+        path, n, _ = self._write(df.select(*schema.names), name)
         return self._commit(name, "append", schema, prev, path=path, rows=n)
 
-    def append_changes(self, changes: DataFrame, name: str, top: int, stream: str | None = None,
-                       batch_id: int | None = None) -> int:
-        """Record change rows up to source version ``top``; readers apply them.
+    def append_changes(self, changes: DataFrame, name: str, stream: str | None = None, batch_id: int | None = None,
+                       prev=None) -> int | None:
+        """Record change rows; readers apply them. One pass over ``changes``; no rows, no version (None).
 
-        Columns may be added (A18); dropped or retyped ones raise.
+        Columns may be added (A18); dropped or retyped ones raise. ``prev`` is the latest pointer row, if known.
         """
-        prev = self.latest(name)
+        prev = prev or self.latest(name)
         if prev is None:
             raise KeyError(f"no table {name}")
         if not prev["keys"]:
@@ -168,8 +169,11 @@ class TableStore:
         added = [T.StructField(f.name, f.dataType, True) for f in data.schema.fields if f.name not in schema.names]
         schema = T.StructType(schema.fields + added)
         ordered = changes.select(*schema.names, *[F.col(f.name).cast(f.dataType) for f in Y.CHANGE_FIELDS])
-        path, n = self._write(ordered, name)
+        path, n, top = self._write(ordered, name)
+        if not n:
+            return None
         before = prev["source_version"]
+        # Changes may arrive out of version order; the copy's version only grows.
         return self._commit(name, "changes", schema, prev, path=path, rows=n, stream=stream, batch_id=batch_id,
                             source_version=top if before is None else max(top, before))
 
@@ -200,10 +204,10 @@ def sync_snapshot(store: TableStore, source: DataFrame, name: str, keys: list[st
 def sync_triggered(store: TableStore, changes: DataFrame, name: str) -> int | None:
     """A9 on a stored copy: record the changes newer than its source version;
     returns the new version (None when nothing changed)."""
-    since = store.latest(name)["source_version"]
-    c = changes if since is None else changes.filter(F.col("_commit_version") > since)
-    top = c.agg(F.max("_commit_version")).first()[0]
-    return None if top is None else store.append_changes(c, name, top)
+    prev = store.latest(name)
+    since = prev["source_version"]
+    newer = changes if since is None else changes.filter(F.col("_commit_version") > since)
+    return store.append_changes(newer, name, prev=prev)
 
 
 def sync_continuous(stream: DataFrame, store: TableStore, name: str, checkpoint_location: str,
@@ -217,13 +221,7 @@ def sync_continuous(stream: DataFrame, store: TableStore, name: str, checkpoint_
     def apply(batch: DataFrame, batch_id: int) -> None:
         if any(r["stream"] == checkpoint_location and r["batch_id"] == batch_id for r in store.history(name)):
             return
-        batch = batch.persist()  # one micro-batch, read twice
-        try:
-            top = batch.agg(F.max("_commit_version")).first()[0]
-            if top is not None:
-                store.append_changes(batch, name, top, stream=checkpoint_location, batch_id=batch_id)
-        finally:
-            batch.unpersist()
+        store.append_changes(batch, name, stream=checkpoint_location, batch_id=batch_id)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:

@@ -208,13 +208,13 @@ def _small(spark, scratch, source_version=1):
 
 def test_append_after_a_delete_stays(spark, scratch):
     st = _small(spark, scratch)
-    st.append_changes(_feed(spark, (1, None, "delete", 5)), "t", 5)
+    st.append_changes(_feed(spark, (1, None, "delete", 5)), "t")
     st.append(spark.createDataFrame([(1, "again")], SMALL), "t")
     assert _rows(st.read("t")) == [(1, "again"), (2, "b")]
     # a later change replaces it, an earlier one that arrives late does not
-    st.append_changes(_feed(spark, (1, "late", "update_postimage", 4)), "t", 4)
+    st.append_changes(_feed(spark, (1, "late", "update_postimage", 4)), "t")
     assert _rows(st.read("t")) == [(1, "again"), (2, "b")]
-    st.append_changes(_feed(spark, (1, "new", "update_postimage", 6)), "t", 6)
+    st.append_changes(_feed(spark, (1, "new", "update_postimage", 6)), "t")
     assert _rows(st.read("t")) == [(1, "new"), (2, "b")]
 
 
@@ -222,7 +222,7 @@ def test_append_means_the_same_with_and_without_folding(spark, scratch):
     tables = []
     for fold in (False, True):
         st = _small(spark, scratch + str(fold))
-        st.append_changes(_feed(spark, (3, "c", "insert", 5), (1, "x", "update_postimage", 5)), "t", 5)
+        st.append_changes(_feed(spark, (3, "c", "insert", 5), (1, "x", "update_postimage", 5)), "t")
         if fold:
             sync_snapshot(st, st.read("t"), "t", source_version=5)
         st.append(spark.createDataFrame([(2, "second"), (3, "third")], SMALL), "t")
@@ -234,8 +234,8 @@ def test_late_changes_resolve_by_version(spark, scratch, t):
     changes = t.order_changes
     st = TableStore(spark, scratch + "/late")
     sync_snapshot(st, spark.createDataFrame([], t.orders.schema), "orders", keys=KEYS, source_version=-1)
-    st.append_changes(changes.filter("_commit_version > 40"), "orders", 82)
-    st.append_changes(changes.filter("_commit_version <= 40"), "orders", 40)  # late, older changes
+    st.append_changes(changes.filter("_commit_version > 40"), "orders")
+    st.append_changes(changes.filter("_commit_version <= 40"), "orders")  # late, older changes
     assert _rows(st.read("orders")) == _rows(V.state_at_version(changes, KEYS, 10 ** 6))
 
 
