@@ -19,8 +19,8 @@ and then by place, stays; every other one is removed with its lines.
 Scale: the first pass shuffles one short row for each chunk, partially
 aggregated, so a chunk that a third of all documents share is one row for
 each task. The joins back are equi-joins on the chunk's hash which the
-adaptive skew join can split. Only the documents' final join moves whole texts
-again.
+adaptive skew join can split. Chunk texts move by hash once, and whole texts
+once more in the documents' final join.
 
 Defined results: a null text stays null with no lines; an empty text is one
 empty line. A document whose chunks were all removed has an empty text. Rows with the same
@@ -34,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emporia.llm.common import written
+
 WINDOW = 2
 LONG_LINE_WORDS = 50
 #: Modulus and base of the rolling hash.
@@ -100,7 +102,8 @@ def repeated_chunks(docs: DataFrame, window: int = WINDOW, long_line_words: int
     """doc_id, th, start, len of every chunk occurrence but the first one."""
     chunks = chunk_rows(docs, window, long_line_words)
     again = chunks.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    found = chunks.join(again, "h", "left_semi")
+    # Only chunks whose hash occurs again; written, so the texts are shuffled by hash once for both uses.
+    found = written(chunks.join(again, "h", "left_semi"), "chunks")
     place = F.struct("doc_id", "th", "start")
     first = found.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
     return (found.join(first.select("h", "chunk", "first"), ["h", "chunk"])
