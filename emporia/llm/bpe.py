@@ -26,7 +26,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from functools import cached_property, lru_cache
+from functools import cached_property
 from hashlib import sha256
 from operator import add
 from unicodedata import category, normalize
@@ -35,10 +35,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import Memo, map_rows, pieces
+from emporia.llm.common import Memo, map_rows, pieces, worker_model
 
 WORD_BPE = "word_bpe_49k.json"
-MEMO = 100_000  # units and fragments that a worker remembers, in each of two generations
+MEMO = 200_000  # units and fragments that a worker remembers, in each of two generations
 BATCH_CHARS = 2_000_000  # texts whose new fragments are encoded together
 
 #: White space as the tokenizers' patterns know it (Unicode White_Space).
@@ -259,10 +259,9 @@ class WordBPE:
         return " ".join([self.tokens[i] for i in ids])
 
 
-@lru_cache(2)
 def word_bpe(name: str) -> WordBPE:
     """One vocabulary for each Python worker."""
-    return WordBPE(name)
+    return worker_model(("word_bpe", name), lambda: WordBPE(name))
 
 
 def _in_batches(bpe: WordBPE, texts: list[str | None]):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -64,6 +66,30 @@ def pieces(n_rows: int, sizes, limit: int) -> Iterator[tuple[int, int]]:
         yield start, n_rows
 
 
+_MODEL: dict = {}
+
+
+def worker_model(key, make: Callable):
+    """What a Python worker has loaded or built for its tasks: the last one only.
+
+    Workers live on from operator to operator; keeping every operator's tables
+    would add them all up. The dropped one's memory goes back to the system.
+    """
+    if key not in _MODEL:
+        _MODEL.clear()
+        gc.unfreeze()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+        _MODEL[key] = make()
+        # Memos hold very many small objects and no cycles: looking through them often costs a fifth of the time.
+        gc.freeze()
+        gc.set_threshold(200_000, 20, 20)
+    return _MODEL[key]
+
+
 class Memo:
     """A memo of bounded size that learns many new keys at once.
 

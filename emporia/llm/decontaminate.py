@@ -20,7 +20,7 @@ only ever scanned, never shuffled or paired with each other.
 
 Defined results: null or empty texts match nothing. An item of fewer than
 ``MIN_WORDS`` words is too short to tell a leak from chance and is not looked
-for; all others are. Rows that share a doc_id are looked at one by one. Items
+for; all others are, also those with a null item_id. Rows that share a doc_id are looked at one by one. Items
 with the same text are all reported. Empty tables give an empty result. Extra
 columns are not read.
 """
@@ -176,7 +176,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: i
     n_blocks = max(1, -(-words // (6 * block_words)))
     for b in range(n_blocks):
         block = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b) if n_blocks > 1 else items
-        found = sorted((r.item_id if r.item_id is not None else -1, r.text) for r in block.collect())
+        found = sorted(((r.item_id, r.text) for r in block.collect()), key=lambda i: (i[0] is not None, i[0] or 0, i[1]))
         if found:
             yield found
 

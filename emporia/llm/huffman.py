@@ -34,7 +34,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 from pyspark import TaskContext
@@ -42,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm.bpe import byte_letters, tokenizer_path
-from emporia.llm.common import map_rows, pieces, written
+from emporia.llm.common import map_rows, pieces, worker_model, written
 from emporia.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -90,10 +89,9 @@ class ByteBPE:
         return [self.ids(t or "").tobytes() for t in texts]
 
 
-@lru_cache(2)
 def byte_bpe(name: str) -> ByteBPE:
     """One tokenizer for each Python worker."""
-    return ByteBPE(name)
+    return worker_model(("byte_bpe", name), lambda: ByteBPE(name))
 
 
 def id_table(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emporia.llm.common import map_rows, pieces
+from emporia.llm.common import map_rows, pieces, worker_model
 
 SAMPLE_CHARS = 40_000  # per language, for the automaton
 CHECK_CHARS = 20_000  # per language, for its usual phrase count
@@ -44,8 +44,9 @@ CHARS_PER_DOC = 1_500
 BLOCK = 2048
 MAX_LANGUAGES = 200
 BATCH_CHARS = 6_000_000  # parsed side by side
-#: A text that needs this many times a language's usual phrases is in none of the languages.
-REJECT_AT = 2.5
+#: A text that needs this many times a language's usual phrases is in none of the languages (random
+#: letters need four times and more; a short text around a long key may need twice as many).
+REJECT_AT = 3.5
 
 SPACE, UNSEEN, FIRST = 0, 1, 2  # codes: any run of non-letters, a letter that no sample has, seen letters
 
@@ -205,10 +206,9 @@ class CrossParser:
         return out
 
 
-@lru_cache(1)
 def cross_parser(samples) -> CrossParser:
     """One set of automata for each Python worker."""
-    return CrossParser(samples)
+    return worker_model(("cross_parser", samples), lambda: CrossParser(samples))
 
 
 def split_sample(found: dict[str, list[str]], chars: int = SAMPLE_CHARS):
