@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.llm.common import map_rows
+from emporia.session import scratch_path
 
 GRAM = 4
 MIN_WORDS = 5
@@ -190,10 +191,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("th")).filter("text IS NOT NULL")
-    found = docs.sparkSession.createDataFrame([], SCHEMA)
-    for items in item_blocks(benchmark, item_col, item_text_col, block_words):
-        found = found.unionByName(_block_leaks(texts, items, gram, min_score))
-    return found
+    path = scratch_path(docs.sparkSession, "llm-leaks")
+    docs.sparkSession.createDataFrame([], SCHEMA).write.parquet(path)
+    for items in item_blocks(benchmark, item_col, item_text_col, block_words):  # the driver holds one block
+        _block_leaks(texts, items, gram, min_score).write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(SCHEMA).parquet(path)
 
 
 def _block_leaks(texts: DataFrame, items: list[tuple[int, str]], gram: int, min_score: float) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from emporia.llm.common import map_rows, written
+from emporia.session import scratch_path
 
 PIVOTS = 256
 SAMPLE = 2048  # vectors from which the pivots are taken
@@ -45,6 +46,7 @@ K = 5
 QUERY_EVERY = 50
 QUERY_BLOCK = 4096
 SHARD_ROWS = 8192
+FOUND = "query_id long, variant int, vec_id long, score double"
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -153,14 +155,14 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     sample = [tuple(r.v) for r in index.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).collect()]
     asked = index.filter(F.col("vec_id") % every == 0)
     blocks = max(1, -(-asked.count() // query_block))
-    found = None
-    for b in range(blocks):
+    path = scratch_path(vectors.sparkSession, "llm-found")
+    for b in range(blocks):  # one block after the other, so the driver holds one
         some = asked.filter(F.pmod(F.xxhash64("vec_id", F.lit(17)), F.lit(blocks)) == b) if blocks > 1 else asked
         queries = sorted((r.vec_id, tuple(r.v)) for r in some.collect())  # about query_block rows
-        part = _search_block(index, queries, sample, k, pivots, prefix, share)
-        found = part if found is None else found.unionByName(part)
+        _search_block(index, queries, sample, k, pivots, prefix, share).write.mode("append").parquet(path)
+    found = vectors.sparkSession.read.schema(FOUND).parquet(path)
     order = Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), "vec_id")
-    return (written(found, "found").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
@@ -197,4 +199,4 @@ def _search_block(index: DataFrame, queries, sample, k: int, pivots: int, prefix
                 yield out
         return step
 
-    return map_rows(index, "query_id long, variant int, vec_id long, score double", make)
+    return map_rows(index, FOUND, make)
