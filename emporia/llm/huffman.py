@@ -164,16 +164,20 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """(payload, checkpoints)."""
+        if not len(ids):
+            return b"", np.zeros(0, np.int64)
         bits = self.bits[ids]
         ends = np.cumsum(bits)
         at = ends - bits
-        total = int(ends[-1]) if len(ids) else 0
-        word = self.codes[ids] << (32 - bits - (at & 7))  # a code reaches over four bytes at most
-        byte, size = at >> 3, (total + 7) // 8
-        out = np.zeros(size + 4, np.float64)
-        for k in range(4):  # codes never share a bit, so sums are unions
-            out += np.bincount(byte + k, (word >> (24 - 8 * k)) & 255, size + 4)[:size + 4]
-        return out[:size].astype(np.uint8).tobytes(), at[::STEP]
+        # A code lies in the 32-bit word where it starts and the next one. Codes are shorter than a
+        # word, so one starts in each, and codes never share a bit: a word is the union of its codes.
+        word = at >> 5
+        place = self.codes[ids].astype(np.uint64) << (64 - (at & 31) - bits).astype(np.uint64)
+        both = np.bitwise_or.reduceat(place, np.flatnonzero(np.diff(word, prepend=-1)))
+        out = np.zeros(len(both) + 1, np.uint64)
+        out[:-1] = both >> np.uint64(32)
+        out[1:] |= both & np.uint64(0xFFFFFFFF)
+        return out.astype(">u4").tobytes()[:(int(ends[-1]) + 7) // 8], at[::STEP]
 
     def decode(self, payloads: list[bytes], checkpoints: list[np.ndarray], counts: list[int]) -> np.ndarray:
         """The ids of all blocks, one after the other."""
