@@ -42,7 +42,7 @@ MEMO = 200_000  # units and fragments that a worker remembers, in each of two ge
 BATCH_CHARS = 2_000_000  # texts whose new fragments are encoded together
 
 #: White space as the tokenizers' patterns know it (Unicode White_Space).
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: str.split() also splits at these four, which are no white space there.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 
