@@ -1,18 +1,26 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word seeds, then Smith-Waterman alignment.
 
 Benchmark items and documents are sequences of lower-cased words (runs of
 letters, digits and underscores, so punctuation and mark-up do not matter).
 
-1. The document frequency of every n-gram of the benchmark is counted over all
+1. The document frequency of every word of the benchmark is counted over all
    documents (partial counts in the tasks, summed by Spark).
-2. The seeds of an item are the rarer half of its n-grams. This is a rank, not
-   a limit: an item that leaked into a third of all documents still has seeds.
-3. A document that holds a seed is a candidate for the seed's items. The seeds'
-   places give windows of the document; each window is aligned locally with
-   the item (Smith-Waterman on words: match 2, mismatch -1, gap -1).
+2. A passage with ``min_score`` matches a least number of the item's words, so
+   it leaves out a bounded number of them. The seeds of an item are its rarest
+   words: as many as may be left out, and ``1 + words // 8`` more. That many
+   places of seeds at least stand in every passage to be found, however it was
+   edited and in whatever document. Frequency only decides which words these
+   are: the rarer they are, the less is aligned in vain. It is a rank, not a
+   limit: an item that leaked into a third of all documents still has seeds.
+   Single words, because changed words break longer n-grams: every third word
+   changed leaves no 3-gram, a word put in after each leaves no 2-gram.
+3. Where a document holds that many seed places of an item within the longest
+   stretch an alignment can have, all of that stretch is aligned locally with
+   the item (Smith-Waterman on words: match 2, mismatch -1, gap -1), unless its
+   words, each taken as matched if the item has it, cannot reach the score.
 4. The alignment's score is divided by that of an exact copy. From
    ``min_score`` on, the passage is reported: copies, and copies with words
-   changed, put in or left out.
+   changed, put in or left out. Steps 2 and 3 leave out no such passage.
 
 The benchmark is the query side. It is read in blocks of about ``BLOCK_WORDS``
 words, so what is sent to the tasks is bounded whatever its size; documents are
@@ -28,8 +36,8 @@ columns are not read.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from itertools import repeat
+from math import ceil
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,7 +46,6 @@ from pyspark.sql import functions as F
 from emporia.llm.common import map_rows
 from emporia.session import scratch_path
 
-GRAM = 4
 MIN_WORDS = 5
 MIN_SCORE = 0.5
 BLOCK_WORDS = 500_000
@@ -79,95 +86,89 @@ def _best(item: np.ndarray, window: np.ndarray, wanted: int | None = None) -> tu
 
 
 class Searcher:
-    """One block of benchmark items: vocabulary, n-grams and their places."""
+    """One block of benchmark items: vocabulary and word numbers (0 is any other word)."""
 
-    def __init__(self, items: list[tuple[int, str]], gram: int = GRAM):
-        self.gram = gram
+    def __init__(self, items: list[tuple[int, str]], min_score: float = MIN_SCORE):
+        self.min_score = min_score
         words = [(i, WORD.findall(t.lower())) for i, t in items]
-        words = [(i, w) for i, w in words if len(w) >= max(MIN_WORDS, gram)]
+        words = [(i, w) for i, w in words if len(w) >= MIN_WORDS]
         self.vocab: dict[str, int] = {}
         self.items = [(i, np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in w], np.int64)) for i, w in words]
-        places = defaultdict(list)
-        for k, (_, w) in enumerate(self.items):
-            for q, key in enumerate(self.keys(w).tolist()):
-                places[key].append((k, q))
-        self.grams = np.array(sorted(places), np.uint64)
-        self.places = [places[g] for g in self.grams.tolist()]
-
-    def keys(self, ids: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each n-gram (alignment verifies, so a collision costs only time)."""
-        h = np.zeros(max(0, len(ids) - self.gram + 1), np.uint64)
-        for k in range(self.gram):
-            part = ids[k:k + len(h)].astype(np.uint64)
-            h = (h ^ part) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        return h
 
     def ids(self, text: str) -> np.ndarray:
         words = WORD.findall(text.lower())
         return np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
 
-    def hits(self, ids: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, numbers in ``grams``) of the n-grams of ``ids`` that are among ``grams``."""
-        none = np.zeros(0, np.int64)
-        if len(ids) < self.gram or not len(grams):
-            return none, none
-        known = ids > 0
-        n = len(ids) - self.gram + 1
-        full = known[:n].copy()
-        for k in range(1, self.gram):
-            full &= known[k:k + n]
-        at = np.nonzero(full)[0]
-        if not len(at):
-            return none, none
-        h = np.zeros(len(at), np.uint64)
-        for k in range(self.gram):
-            h = (h ^ ids[at + k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-        g = np.searchsorted(grams, h)
-        g[g == len(grams)] = 0
-        same = grams[g] == h
-        return at[same], g[same]
-
-    def rare(self, df: dict[int, int]) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
-        """Seeds: of each item the rarer half of its n-grams (at least one)."""
-        chosen = defaultdict(list)
-        own = defaultdict(lambda: defaultdict(list))
-        for g, places in enumerate(self.places):
-            for k, q in places:
-                own[k][g].append(q)
-        for k, grams in own.items():
-            order = sorted(grams, key=lambda g: (df.get(g, 0), int(self.grams[g])))
-            for g in order[:(len(order) + 1) // 2]:
-                chosen[g] += [(k, q) for q in grams[g]]
-        numbers = sorted(chosen)
-        return self.grams[numbers], [chosen[g] for g in numbers]
-
-    def find(self, text: str, seeds: np.ndarray, places, min_score: float) -> list[tuple[int, float, int, int]]:
+    def seed(self, df: dict[int, int]) -> None:
+        """Choose the seeds of each item by the words' document frequencies."""
+        often = np.array([df.get(w, 0) for w in range(len(self.vocab) + 1)], np.int64)
+        chosen, of = [], []
+        self.worth = np.full(len(self.vocab) + 1, GAP, np.int64)
+        #: Of each item: seed places in a passage at least, and words of a passage at most.
+        self.least, self.span = np.zeros(len(self.items), np.int64), np.zeros(len(self.items), np.int64)
+        for k, (_, w) in enumerate(self.items):
+            needed = max(1, ceil(self.min_score * len(w) - 1e-9))  # each match scores MATCH at most
+            may_miss = len(w) - needed
+            types, counts = np.unique(w, return_counts=True)
+            order = np.lexsort((types, often[types]))
+            held = np.cumsum(counts[order])
+            last = int(np.searchsorted(held, may_miss + min(needed, 1 + len(w) // 8)))
+            chosen.append(types[order[:last + 1]])
+            of.append(np.full(last + 1, k))
+            self.least[k] = held[last] - may_miss
+            # All words matched, and as many others between them (-1 each) as the score allows.
+            self.span[k] = len(w) + MATCH * len(w) - ceil(self.min_score * MATCH * len(w) - 1e-9)
+        word, item = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (chosen, of))
+        by_word = np.argsort(word, kind="stable")
+        self.posted = item[by_word]  # the items of each seed, from begin[word] on
+        self.begin = np.searchsorted(word[by_word], np.arange(len(self.vocab) + 2))
+
+    def stretches(self, ids: np.ndarray):
+        """(number of the item, first and one after last word) of what has to be aligned, by item and place."""
+        n = self.begin[ids + 1] - self.begin[ids]
+        at = np.nonzero(n)[0]
+        n = n[at]
+        total = int(n.sum())
+        item = self.posted[np.arange(total) + np.repeat(self.begin[ids[at]] - np.cumsum(n) + n, n)]
+        order = np.argsort(item, kind="stable")
+        item, at = item[order], np.repeat(at, n)[order]
+        i = np.arange(total)
+        j = i + self.least[item] - 1  # a passage that begins with seed place i has j as well
+        i, j = i[j < total], j[j < total]
+        near = (item[i] == item[j]) & (at[j] - at[i] < self.span[item[i]])
+        i, j = i[near], j[near]
+        k, span = item[i], self.span[item[i]]
+        open_ = None
+        for k, a, b in zip(k.tolist(), np.maximum(at[j] - span + 1, 0).tolist(), np.minimum(at[i] + span, len(ids)).tolist()):
+            if open_ and open_[0] == k and a <= open_[2]:
+                open_ = k, min(a, open_[1]), max(b, open_[2])
+                continue
+            if open_:
+                yield open_
+            open_ = k, a, b
+        if open_:
+            yield open_
+
+    def find(self, text: str) -> list[tuple[int, float, int, int]]:
         """(item_id, score, first and one after last character) of the best passage of each item found in the text."""
-        at, g = self.hits(ids := self.ids(text), seeds)
-        if not len(at):
+        ids = self.ids(text)
+        found: dict[int, tuple[int, int, int]] = {}
+        for k, a, b in self.stretches(ids):
+            item, window = self.items[k][1], ids[a:b]
+            wanted = self.min_score * MATCH * len(item)
+            self.worth[item] = MATCH
+            total = np.cumsum(self.worth[window])
+            self.worth[item] = GAP
+            if (total - np.minimum(np.minimum.accumulate(total), 0)).max() < wanted:
+                continue  # even with every word of the item matched
+            score, first, last = align(item, window)
+            if score >= wanted and score > found.get(k, (0,))[0]:
+                found[k] = score, a + first, a + last
+        if not found:
             return []
-        starts = defaultdict(list)  # where each item would begin in the text
-        for p, s in zip(at.tolist(), g.tolist()):
-            for k, q in places[s]:
-                starts[k].append(p - q)
-        spans, out = None, []
-        for k, begin in sorted(starts.items()):
-            item_id, item = self.items[k]
-            slack = len(item) // 3 + 4
-            begin = np.unique(begin)
-            groups = np.split(begin, np.nonzero(np.diff(begin) > slack)[0] + 1)
-            best = None
-            for group in groups:
-                a, b = max(0, int(group[0]) - slack), min(len(ids), int(group[-1]) + len(item) + slack)
-                score, first, last = align(item, ids[a:b])
-                if score >= min_score * MATCH * len(item) and (best is None or score > best[0]):
-                    best = score, a + first, a + last
-            if best:
-                spans = spans or [m.span() for m in WORD.finditer(text.lower())]
-                out.append((item_id, best[0] / (MATCH * len(item)), spans[best[1]][0], spans[best[2]][1]))
-        return out
+        spans = [m.span() for m in WORD.finditer(text.lower())]
+        return [(self.items[k][0], score / (MATCH * len(self.items[k][1])), spans[first][0], spans[last][1])
+                for k, (score, first, last) in sorted(found.items())]
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int):
@@ -183,7 +184,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: i
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", gram: int = GRAM, min_score: float = MIN_SCORE,
+          item_text_col: str = "text", min_score: float = MIN_SCORE,
           block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row for each document and item found in it: doc_id, item_id, score (0..1), first_char, last_char, th.
 
@@ -194,34 +195,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     path = scratch_path(docs.sparkSession, "llm-leaks")
     docs.sparkSession.createDataFrame([], SCHEMA).write.parquet(path)
     for items in item_blocks(benchmark, item_col, item_text_col, block_words):  # the driver holds one block
-        _block_leaks(texts, items, gram, min_score).write.mode("append").parquet(path)
+        _block_leaks(texts, items, min_score).write.mode("append").parquet(path)
     return docs.sparkSession.read.schema(SCHEMA).parquet(path)
 
 
-def _block_leaks(texts: DataFrame, items: list[tuple[int, str]], gram: int, min_score: float) -> DataFrame:
+def _block_leaks(texts: DataFrame, items: list[tuple[int, str]], min_score: float) -> DataFrame:
     def count():
-        searcher = Searcher(items, gram)
+        searcher = Searcher(items, min_score)
 
         def step(batch):
-            n = np.zeros(len(searcher.grams), np.int64)
+            n = np.zeros(len(searcher.vocab) + 1, np.int64)
             for t in batch.column(0):
-                _, g = searcher.hits(searcher.ids(t.as_py()), searcher.grams)
-                n[np.unique(g)] += 1
-            g = np.nonzero(n)[0]
-            yield {"gram": g, "df": n[g]}
+                n[np.unique(searcher.ids(t.as_py()))] += 1
+            w = np.nonzero(n)[0]
+            yield {"word": w, "df": n[w]}
         return step
 
-    # At most one row for each n-gram of the block.
-    df = {r.gram: r.df for r in map_rows(texts.select("text"), "gram long, df long", count)
-          .groupBy("gram").agg(F.sum("df").alias("df")).collect()}
+    # At most one row for each word of the block.
+    df = {r.word: r.df for r in map_rows(texts.select("text"), "word long, df long", count)
+          .groupBy("word").agg(F.sum("df").alias("df")).collect()}
 
     def search():
-        searcher = Searcher(items, gram)
-        seeds, places = searcher.rare(df)
+        searcher = Searcher(items, min_score)
+        searcher.seed(df)
 
         def step(batch):
-            rows = [(d.as_py(), h.as_py(), *hit) for d, t, h in zip(*batch.columns)
-                    for hit in searcher.find(t.as_py(), seeds, places, min_score)]
+            rows = [(d.as_py(), h.as_py(), *hit) for d, t, h in zip(*batch.columns) for hit in searcher.find(t.as_py())]
             if rows:
                 doc_id, th, item_id, score, first, last = zip(*rows)
                 yield {"doc_id": list(doc_id), "th": list(th), "item_id": list(item_id), "score": list(score),

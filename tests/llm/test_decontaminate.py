@@ -69,6 +69,29 @@ def test_a_passage_in_most_documents_is_still_found(spark):
     assert {r.doc_id for r in got.filter("item_id = 3 AND score = 1").collect()} == {d for d, _ in docs}
 
 
+def test_single_edited_and_partial_copies_equal_brute_force(spark):
+    """Each copy stands in one document only, so what an edit breaks stands nowhere."""
+    rng = random.Random(7)
+    items = [(i, sentence(rng, rng.randint(18, 45))) for i in range(30)]
+    docs = []
+    for i, text in items:
+        w = text.split()
+        edit = i % 6
+        if edit == 4:  # just the first half, and a word more
+            w = w[:len(w) // 2 + 1]
+        elif edit == 5:  # a word put in after nearly each
+            w = [x for k, y in enumerate(w) for x in ([y, f"put{k}"] if k % 8 else [y])]
+        else:  # 10, 15, 20 and 30 % of the words changed, evenly spread
+            share = (0.1, 0.15, 0.2, 0.3)[edit]
+            w = [f"new{k}" if int((k + 1) * share) > int(k * share) else y for k, y in enumerate(w)]
+        docs.append((i, f"{sentence(rng, 20)} {' '.join(w)} {sentence(rng, 20)}"))
+    want = {(d, i): plain_score(words(x), words(t)) / (D.MATCH * len(words(x))) for d, t in docs for i, x in items}
+    want = {k: round(v, 6) for k, v in want.items() if v >= D.MIN_SCORE}
+    assert {d for d, i in want if d == i} == set(range(30))
+    got = D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): round(r.score, 6) for r in got.collect()} == want
+
+
 def test_spans_name_the_passage(spark):
     items, docs = corpus()
     text = {d: t.lower() for d, t in docs}
