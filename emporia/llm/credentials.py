@@ -9,7 +9,8 @@ which alone prove nothing:
 * ``user``: an account or user name that is assigned;
 * ``endpoint``: a URL with a host, or a host with a port.
 
-A *scope* is the stretch of ``SCOPE_CHARS`` characters around a part. Parts are
+A *scope* is a part with the ``SCOPE_CHARS`` characters before and after it, so distances are
+measured from the end of the earlier part to the start of the later one. Parts are
 interval-joined within scopes; a weak part is reported only where
 complementary ones co-occur:
 
@@ -17,13 +18,12 @@ complementary ones co-occur:
 * ``user``: a strong assignment, or a ``secret`` with an endpoint, within the scope;
 * ``endpoint``: an access id or user, together with an assignment, hex string or ``secret``.
 
-The join is an equi-join on (text, stretch number) with every part put in its own
-and the two neighbouring stretches and the distance checked afterwards. The side that is
-looked up is first reduced to the first and last place of each kind in a stretch. Whether a
-kind lies within a distance of a place depends on these two only (a stretch is
-as long as the scope, so one neighbour's nearest place is its last or first
-one, and in the own stretch any place is near enough). So a text full of parts never
-makes pairs: the join gives at most three rows for each weak part.
+The join is an equi-join on (text, stretch number): every part is put in the stretches that it
+touches, a weak one in those that its scope touches. The side that is looked up is first reduced to
+the first start and the last end of each kind in a stretch. These two tell whether a kind is within
+the scope: what touches an inner stretch is, in the scope's first stretch the last end decides, in its last
+one the first start. So a text full of parts never makes pairs: the join gives as many rows for a weak part
+as its scope touches stretches (four at most, and one more for each ``SCOPE_CHARS`` characters of the part).
 
 Only parts are shuffled, and only those of texts that hold a weak and a complementary one;
 texts are scanned where they lie. Texts are known by (doc_id, hash of the text).
@@ -52,7 +52,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 # Shorter runs would be dropped, and a run has no longer match within; so the least length is in the pattern.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-SECRET = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40,}={0,2}(?![A-Za-z0-9+/=])")
+SECRET = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}(?![A-Za-z0-9+/=])")
 USER = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([\w.@+-]{3,})""", re.I | re.A)
 ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s/\"'<>]+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}:\d{2,5}\b", re.I | re.A)
 
@@ -99,25 +99,22 @@ def linked_parts(scanned: DataFrame, scope: int = SCOPE_CHARS) -> DataFrame:
     """doc_id, th, linked: the weak parts of each text that have complementary parts in their scope."""
     texts = (scanned.filter((F.size("weak") > 0) & (F.size("weak") + F.size("base") > 1))
              .select("doc_id", "th", "base", "weak").dropDuplicates(["doc_id", "th"]))
-    parts = (texts.select("doc_id", "th", F.inline(F.concat("base", "weak")))
-             .withColumn("stretch", F.expr(f"first div {scope}")))
-    # The first and last place of each kind in a stretch, seen from it and from its neighbours.
+    parts = texts.select("doc_id", "th", F.inline(F.concat("base", "weak")))
+    # The first start and the last end of each kind in a stretch.
     ends = [x for k in range(len(KINDS)) for x in (
         F.min(F.when(F.col("kind") == k, F.col("first"))).alias(f"lo{k}"),
-        F.max(F.when(F.col("kind") == k, F.col("first"))).alias(f"hi{k}"))]
-    places = (parts.groupBy("doc_id", "th", "stretch").agg(*ends)
-              .withColumn("by", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-              .select(F.col("doc_id").alias("o_id"), F.col("th").alias("o_th"), (F.col("stretch") + F.col("by")).alias("o_stretch"),
-                      "by", *[f"{e}{k}" for k in range(len(KINDS)) for e in ("lo", "hi")]))
-    weak = parts.filter("kind >= 3")
+        F.max(F.when(F.col("kind") == k, F.col("last"))).alias(f"hi{k}"))]
+    places = (parts.withColumn("o_stretch", F.explode(F.expr(f"sequence(first div {scope}, last div {scope})")))
+              .groupBy(F.col("doc_id").alias("o_id"), F.col("th").alias("o_th"), "o_stretch").agg(*ends))
+    weak = parts.filter("kind >= 3").withColumn(
+        "stretch", F.explode(F.expr(f"sequence(greatest(first - {scope}, 0) div {scope}, (last + {scope}) div {scope})")))
     met = weak.join(places, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("th") == F.col("o_th"))
                     & (F.col("stretch") == F.col("o_stretch")))
 
     def near(k: int):
-        # by = -1: the other stretch follows, its first place is the nearest; by = 1: it precedes.
-        gap = (F.when(F.col("by") == -1, F.col(f"lo{k}") - F.col("first"))
-               .when(F.col("by") == 1, F.col("first") - F.col(f"hi{k}")).otherwise(F.lit(0)))
-        return F.max(F.coalesce(F.col(f"lo{k}").isNotNull() & (gap <= scope), F.lit(False))).alias(f"near{k}")
+        # Each holds by itself in all stretches of the scope but its last and its first one.
+        within = (F.col(f"lo{k}") <= F.col("last") + scope) & (F.col(f"hi{k}") >= F.col("first") - scope)
+        return F.max(F.coalesce(within, F.lit(False))).alias(f"near{k}")
 
     seen = met.groupBy("doc_id", "th", "kind", "first", "last").agg(*[near(k) for k in range(len(KINDS))])
     assign, access, hexa, secret, user, endpoint = (F.col(f"near{k}") for k in range(len(KINDS)))
