@@ -7,7 +7,11 @@ list for each pivot with the vectors that have it in their prefix, and at which
 rank. A query goes through the lists of its own pivots and adds up the footrule
 distance (the sum of rank differences; a pivot that is missing counts as rank
 ``PREFIX``). The ``SHARE`` of a shard's vectors with the smallest distance is reranked
-by exact cosine in double precision; the shards' best are merged.
+by exact cosine in double precision; the shards' best are merged. The share is a least number, no cap:
+the distance of its last one is the limit, and what lies within ``MARGIN`` of the limit, or nearer than
+``NEAR``, is reranked too, however much it is (both as parts of the largest distance). So a large group of
+near copies, which all have about the same distance, is never cut by a tie or by the digits that differ. Memory
+stays bounded, since a shard is.
 
 Pivots come from a bounded, documented sample (``SAMPLE`` vectors, those with
 the smallest hash of their id): ``PIVOTS`` of them, in that order, none close to another. Every vector is indexed, in whichever shard it
@@ -16,7 +20,7 @@ vectors. Queries are taken in blocks of about ``QUERY_BLOCK``, so what is
 sent to the tasks is bounded; a block's answers are ``k`` rows for each query and
 shard.
 
-Identical vectors share their prefix; ties in footrule and in cosine go to the smaller
+Identical vectors share their prefix; ties in footrule are all reranked, ties in cosine go to the smaller
 vec_id, in the shards and in the merge.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite component take no
@@ -41,6 +45,8 @@ SAMPLE = 2048  # vectors from which the pivots are taken
 NEAR_PIVOT = 0.8  # cosine from which a second pivot would tell nothing new
 PREFIX = 96
 SHARE = 0.15
+MARGIN = 0.02  # beyond the share's last distance, of the largest footrule distance
+NEAR = 0.25  # near copies: unrelated vectors differ by about half of the largest distance and more
 LEAST = 256  # candidates of a shard at least (all, if it has fewer)
 K = 5
 QUERY_EVERY = 50
@@ -116,9 +122,9 @@ class Shard:
             chosen = np.arange(len(self.rows))
         else:
             d = self.footrule(own)
-            limit = np.partition(d, want)[want]
-            inner, edge = np.nonzero(d < limit)[0], np.nonzero(d == limit)[0]
-            chosen = np.concatenate((inner, edge[:want - len(inner)]))  # ties: the smaller vec_id
+            largest = self.prefix * (self.prefix + 1)
+            limit = max(np.partition(d, want - 1)[want - 1] + MARGIN * largest, NEAR * largest)
+            chosen = np.nonzero(d <= limit)[0]
         rough = self.units[chosen] @ unit
         if len(chosen) > k + 1:  # all within rounding of the k+1st go on to the exact score
             chosen = chosen[rough >= np.partition(rough, -(k + 1))[-(k + 1)] - 1e-9]

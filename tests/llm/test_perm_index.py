@@ -81,6 +81,30 @@ def test_common_vector_and_its_near_ones(spark):
     assert recall(P.search(frame(spark, rows)).collect(), brute(rows)) >= 0.9
 
 
+def near_copies(noise, n=8192, dims=64):
+    """(recall of the queries among the copies, of all) in one shard; a third of it are copies of one vector with noise."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(n, dims)).astype(np.float32)
+    rows[::3] = rows[0] + rng.normal(size=(len(rows[::3]), dims)).astype(np.float32) * noise
+    rows = rows.astype(np.float64)
+    sample = P._unit(rows[rng.permutation(n)[:P.SAMPLE]])
+    pivots = sample[P.spread(sample, P.PIVOTS)]
+    shard, units = P.Shard(np.arange(n), rows, pivots, P.PREFIX), P._unit(rows)
+    hits = {True: [], False: []}
+    for q in range(0, n, 100):
+        scores = P.cosine(rows[q], rows)
+        best = [i for i in np.lexsort((np.arange(n), -scores))[:P.K + 1].tolist() if i != q][:P.K]
+        found, _ = shard.nearest(q, rows[q], units[q], P.prefixes(units[q:q + 1], pivots, P.PREFIX)[0], P.K, P.SHARE)
+        hits[q % 3 == 0].append(len({*found} & {*best}) / P.K)
+    return np.mean(hits[True]), np.mean(hits[True] + hits[False])
+
+
+def test_a_third_of_near_copies_is_not_cut():
+    for noise in (1e-6, 1e-5, 1e-4, 1e-3, 1e-2):
+        hot, every = near_copies(noise)
+        assert hot == 1 and every >= 0.9, (noise, hot, every)
+
+
 def test_empty(spark):
     assert P.search(frame(spark, [])).count() == 0
     assert P.search(frame(spark, [(3, [1.0])])).count() == 0
