@@ -12,10 +12,13 @@ from emporia.llm import (
     bpe,
     credentials,
     decontaminate,
+    fill_middle,
     html_paths,
     huffman,
     langid,
     line_chunks,
+    link_trust,
+    merkle,
     perm_index,
     token_counts,
 )
@@ -63,12 +66,27 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perm_index.search(table(spark, sf_dir, "embeddings"))
 
 
+def op11_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(table(spark, sf_dir, "pages"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_line_dedup, op3_tag_path_html, op4_language_id, op5_forced_boundary_bpe,
-        op6_secret_scan, op7_token_counts, op8_huffman_ids, op9_decontamination, op10_permutation_index)
+        op6_secret_scan, op7_token_counts, op8_huffman_ids, op9_decontamination, op10_permutation_index, op11_link_trust, op12_fill_middle, op13_merkle_manifest)
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_chunks.oracle_sql(),
+    "op11_link_trust": link_trust.oracle_sql(),
+    "op12_fill_middle": fill_middle.oracle_sql(),
+    "op13_merkle_manifest": merkle.oracle_sql(),
 }
