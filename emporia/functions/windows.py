@@ -8,27 +8,25 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
-def running_sum(df: DataFrame, partition_cols: list[str], order_cols: list[str], values: dict[str, Column]) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY p ORDER BY o)`` for each value, split by ranges of the order.
+def by_ranges(df: DataFrame, partition_cols: list[str], order_cols: list[str]) -> DataFrame:
+    """``df`` written once, split by ranges of (partition, order), with the range's number as ``_range``.
 
-    A plain window puts every row of a key in one task. Here the rows are
-    range-partitioned by key *and* order, so a key with a third of the rows
-    lies in a third of the partitions, one after the other. Sums per (key,
-    partition) -- at most one row per key and partition -- get a prefix sum,
-    and the fine running sum runs inside (key, partition) with that offset.
-    Rows equal in key and order stay together (and count together, as in a
-    RANGE frame). The partition numbers must be the same in both uses, so the
-    ranged rows are written once to the shared folder.
+    The number must be the same wherever it is used, so the rows are written
+    to the shared folder; any subset of them can then be summed again and
+    again by ``ranged_sums`` without being sorted into ranges anew.
     """
     from emporia.session import scratch_path
     spark = df.sparkSession
-    names = list(values)
-    path = scratch_path(spark, "emporia-running")
-    (df.withColumns({f"_v_{k}": c for k, c in values.items()})
-       .repartitionByRange(*partition_cols, *order_cols)
-       .withColumn("_range", F.spark_partition_id())
+    path = scratch_path(spark, "emporia-ranges")
+    (df.repartitionByRange(*partition_cols, *order_cols).withColumn("_range", F.spark_partition_id())
        .write.parquet(path))
-    ranged = spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def ranged_sums(ranged: DataFrame, partition_cols: list[str], order_cols: list[str], values: dict[str, Column]) -> DataFrame:
+    """Running sums over rows of ``by_ranges``: a prefix sum over the ranges' totals, then one inside each range."""
+    names = list(values)
+    ranged = ranged.withColumns({f"_v_{k}": c for k, c in values.items()})
     keys = [*partition_cols, "_range"]
     totals = ranged.groupBy(*keys).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in names])
     before = Window.partitionBy(*partition_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -36,7 +34,23 @@ def running_sum(df: DataFrame, partition_cols: list[str], order_cols: list[str],
     inner = Window.partitionBy(*keys).orderBy(*order_cols)
     return (ranged.join(offsets, keys)
             .withColumns({k: F.col(f"_o_{k}") + F.sum(f"_v_{k}").over(inner) for k in names})
-            .drop("_range", *[f"_v_{k}" for k in names], *[f"_o_{k}" for k in names]))
+            .drop(*[f"_v_{k}" for k in names], *[f"_o_{k}" for k in names]))
+
+
+def running_sum(df: DataFrame, partition_cols: list[str], order_cols: list[str], values: dict[str, Column]) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY p ORDER BY o)`` for each value, split by ranges of the order.
+
+    A plain window puts every row of a key in one task. Here the rows are
+    range-partitioned by key *and* order, so a key with a third of the rows
+    lies in a third of the partitions, one after the other. Sums per (key,
+    partition) -- at most one row per key and partition -- get a prefix sum,
+    and the fine running sum runs inside (key, partition) with that offset.
+    Rows equal in key and order stay together (and count together, as in a
+    RANGE frame).
+    """
+    named = {f"_in_{k}": c for k, c in values.items()}
+    ranged = by_ranges(df.withColumns(named), partition_cols, order_cols)
+    return ranged_sums(ranged, partition_cols, order_cols, {k: F.col(f"_in_{k}") for k in values}).drop("_range", *named)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:

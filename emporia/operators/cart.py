@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from emporia.functions.ids import dense_ids
 from emporia.functions.windows import running_sum, salted_join
 from emporia.operators.common import table
+from emporia.operators.first_come import accept_in_order
 from emporia.operators.promos import active_promos
 
 
@@ -160,57 +161,6 @@ def validate_checkout(cart: DataFrame, t, shoppers: DataFrame) -> DataFrame:
                     status.alias("status"), reason.alias("reason"))
 
 
-def accept_in_order(lines: DataFrame, unit: list[str], resource: str, order: list[str]) -> DataFrame:
-    """First come, first served with all-or-nothing units: ``lines`` plus ``accepted``.
-
-    ``lines`` has the unit's columns (a cart, or a single line), ``resource``,
-    ``quantity``, ``stock`` (of the resource at the start; NULL: no such
-    resource) and the ``order`` columns, which order the units. Units are taken
-    in that order; a unit is accepted when each of its lines fits into what the
-    units accepted before it have left, and a refused unit uses nothing.
-
-    That is a sequential rule, settled in parallel rounds. With the running
-    sums of each resource, an open line surely fits if even all open and
-    accepted lines before it leave enough, and surely does not fit if the
-    accepted ones alone leave too little. A unit all of whose lines surely fit
-    is accepted, one with a line that surely does not is refused, and the rest
-    stays open. The first open unit is always settled, so the rounds end;
-    each round's state is written to the shared folder. Lines of resources
-    whose whole demand fits take no part in the rounds.
-    """
-    from emporia.session import scratch_path
-    spark = lines.sparkSession
-
-    def stored(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "emporia-accept")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
-    enough = lines.groupBy(resource).agg(F.sum("quantity").alias("_demand"), F.max("stock").alias("_have"))
-    enough = enough.select(resource, (F.col("_demand") <= F.col("_have")).alias("_enough"))
-    at_once = salted_join(lines, enough, [resource], F.xxhash64(*unit), "inner")
-    at_once = at_once.withColumn("_bad", F.coalesce(F.col("quantity") > F.col("stock"), F.lit(True)))
-    by_unit = at_once.groupBy(*unit).agg(F.max("_bad").alias("_any_bad"),
-                                         F.min(F.coalesce("_enough", F.lit(False))).alias("_all_enough"))
-    state = at_once.join(by_unit, unit).withColumn(
-        "accepted", F.when(F.col("_any_bad"), F.lit(False)).when(F.col("_all_enough"), F.lit(True)))
-    state = stored(state.drop("_bad", "_any_bad", "_all_enough"))
-    while True:
-        still_open = state.filter(F.col("accepted").isNull())
-        if not still_open.limit(1).count():
-            return state.drop("_enough")
-        # Only contested resources count; refused lines use nothing.
-        contested = state.filter(~F.coalesce("_enough", F.lit(False)) & F.coalesce("accepted", F.lit(True)))
-        sums = running_sum(contested, [resource], order, {
-            "_all": F.col("quantity"), "_taken": F.when(F.col("accepted"), F.col("quantity")).otherwise(F.lit(0))})
-        verdict = (sums.filter(F.col("accepted").isNull()).groupBy(*unit).agg(
-            F.max(F.col("_taken") + F.col("quantity") > F.col("stock")).alias("_refuse"),
-            F.min(F.col("_all") <= F.col("stock")).alias("_accept")))
-        settled = state.join(verdict, unit, "left").withColumn("accepted", F.coalesce(
-            "accepted", F.when(F.col("_refuse"), F.lit(False)).when(F.col("_accept"), F.lit(True))))
-        state = stored(settled.drop("_refuse", "_accept"))
-
-
 def accepted_lines(cart: DataFrame, t, shoppers: DataFrame | None = None) -> DataFrame:
     """Lines of the carts that check out, with the product's list price.
 

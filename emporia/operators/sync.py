@@ -114,6 +114,23 @@ def changed_ratio(changes: DataFrame, target_rows: DataFrame | int, keys: list[s
                            F.when(F.col("target_rows") > 0, F.col("changed_rows") / F.col("target_rows")))
 
 
+def changed_ratio_of_feed(changes: DataFrame, keys: list[str], since_version: int) -> DataFrame:
+    """``changed_ratio`` where the target is what the feed itself gave up to ``since_version``.
+
+    Neither state is built: one aggregate over (key, version, seq, kind) says for
+    each key whether it was alive at that version and whether it changed since,
+    one row of counts follows. Both are partial, so a key with a third of the
+    feed costs a row a task.
+    """
+    at = F.struct("_commit_version", "_seq", (F.col("_change_type") != "delete").alias("alive"))
+    old = F.col("_commit_version") <= since_version
+    per_key = (changes.filter(F.col("_change_type") != "update_preimage").groupBy(*keys)
+               .agg(F.max(F.when(old, at)).alias("last"), F.max(~old).alias("changed")))
+    n = per_key.agg(F.count(F.when(F.col("changed"), 1)).alias("changed_rows"),
+                    F.count(F.when(F.col("last.alive"), 1)).alias("target_rows"))
+    return n.withColumn("changed_fraction", F.when(F.col("target_rows") > 0, F.col("changed_rows") / F.col("target_rows")))
+
+
 def choose_sync_mode(ratio: DataFrame, needs_seconds: bool = False, threshold: float = 0.10) -> DataFrame:
     """A11: 'continuous' if seconds of latency are needed; else 'snapshot' when
     more than ``threshold`` of the rows changed or the target is empty; else 'triggered'."""

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emporia.operators.sync import insert_if_absent, latest_changes
 
@@ -98,10 +99,38 @@ def schema_changes(a: DataFrame, b: DataFrame) -> tuple[list[str], list[str]]:
     return dropped, retyped
 
 
-def schema_diff(a: DataFrame, b: DataFrame, profile: bool = False) -> DataFrame:
+def column_profile(df: DataFrame, cols: list[str], exact: bool = False, lg_k: int = 12) -> DataFrame:
+    """(column_name, null_count, distinct_count) of columns of any type, in one aggregate.
+
+    A HyperLogLog sketch for each column, built in the same partial aggregation
+    as the null counts: no row is copied, and what is shuffled is one row of
+    sketches (2^lg_k bytes a column at most) for each task. Counts below
+    2^(lg_k - 3) are exact, others have a relative standard error of about
+    1.04 / sqrt(2^lg_k). Values are sketched by two 64-bit hashes, so columns of
+    all hashable types count (a map does as its sorted entries). ``exact=True`` counts
+    distinct values instead; Spark then copies every row once a column, so it is for few columns.
+    """
+    def value(c: str):
+        kind = df.schema[c].dataType
+        return F.array_sort(F.map_entries(c)) if isinstance(kind, T.MapType) else F.col(c)
+
+    def distinct(c: str):
+        if exact:
+            return F.countDistinct(value(c))
+        two = F.concat(F.hex(F.xxhash64(value(c))), F.hex(F.xxhash64(F.lit(1), value(c))))
+        return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col(c).isNotNull(), two), lg_k)), F.lit(0))
+
+    counts = df.agg(*[x for i, c in enumerate(cols) for x in (
+        F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}"), distinct(c).alias(f"d{i}"))])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").alias("distinct_count"))
+        for i, c in enumerate(cols)])))
+
+
+def schema_diff(a: DataFrame, b: DataFrame, profile: bool = False, exact: bool = False) -> DataFrame:
     """(column_name, a_type, b_type, change) for columns only in a, only in b,
     or typed differently. ``profile=True`` adds null and distinct counts per
-    differing column, computed by Spark over the side that has it.
+    differing column (``column_profile``), over the side that has it.
     """
     ta, tb = dict(a.dtypes), dict(b.dtypes)
     rows = []
@@ -123,11 +152,7 @@ def schema_diff(a: DataFrame, b: DataFrame, profile: bool = False) -> DataFrame:
         own = [c for c in profiled if sides[c] == side]
         if not own:
             continue
-        counts = df.agg(*[x for i, c in enumerate(own) for x in (
-            F.count(F.when(F.col(c).isNull(), 1)).alias(f"n{i}"), F.countDistinct(F.col(c)).alias(f"d{i}"))])
-        listed = counts.select(F.inline(F.array(*[F.struct(
-            F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"), F.col(f"d{i}").alias("distinct_count"))
-            for i, c in enumerate(own)])))
+        listed = column_profile(df, own, exact)
         found = listed if found is None else found.unionByName(listed)
     return diff.join(found, "column_name", "left")
 

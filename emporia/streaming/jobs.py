@@ -1,4 +1,4 @@
-"""Structured Streaming forms.
+"""Structured Streaming forms.
 
 Sources are any streaming DataFrame (parquet/Kafka/...); sinks are chosen by
 the caller. All stateful operators carry a watermark, so state is dropped
@@ -58,6 +58,29 @@ def cache_hit_stream(log: DataFrame, width: str = "1 hour", watermark: str = "10
                     ((F.col("hits") / F.col("reads")) < target).alias("below_target"))
 
 
+def replication_lag_stream(commits: DataFrame, applies: DataFrame, bound: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
+    """I8 streaming: commit-to-apply gap per version, of two streams joined as they run.
+
+    ``commits`` (version, committed_at: one time a version) and ``applies``
+    (version, applied_at) meet on the version, an apply at most ``bound`` after
+    its commit. Both have watermarks, so a commit is held for the bound and the
+    lateness and an apply no longer than a commit may still come; then the state
+    is dropped. A version's row is out once nothing can change it: the last apply,
+    how many there were, and the gap in seconds. A commit without any apply in its bound comes
+    out with NULL applies: the copy is behind by more than the bound. Applies
+    later than the bound, or later than the watermark allows, are not counted.
+    """
+    c = _event_time(commits, "committed_at").withWatermark("committed_at", watermark)
+    a = (_event_time(applies, "applied_at").withWatermark("applied_at", watermark)
+         .select(F.col("version").alias("_v"), "applied_at"))
+    within = ((F.col("version") == F.col("_v")) & (F.col("applied_at") >= F.col("committed_at"))
+              & (F.col("applied_at") <= F.col("committed_at") + F.expr(f"INTERVAL {bound}")))
+    per_version = (c.join(a, within, "left_outer").groupBy("version", "committed_at")
+                   .agg(F.max("applied_at").alias("applied_at"), F.count("_v").alias("applied_rows")))
+    lag = F.timestamp_diff("SECOND", F.col("committed_at"), F.col("applied_at"))
+    return per_version.withColumn("lag_seconds", lag.cast("long"))
+
+
 CART_OUT = T.StructType([
     T.StructField("customer_id", T.LongType()),
     T.StructField("product_id", T.LongType()),

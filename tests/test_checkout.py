@@ -110,3 +110,48 @@ def test_checkout_keys_never_oversell(spark, sf_dir):
     import __spark_entry__ as E
     after = E.queries()["checkout_inventory"](spark, sf_dir)
     assert after.filter("quantity < 0").count() == 0
+
+
+@pytest.mark.parametrize("n", [5000])
+def test_a_chain_of_ten_thousand_lines_takes_few_rounds(spark, n):
+    # 1, s, 1, s-1, ...: every line waits for the one before it.
+    lines = [x for i in range(n) for x in ((2 * i, 1, 1, 2 * i), (2 * i + 1, 1, n - i, 2 * i + 1))]
+    want, _ = one_by_one(lines, {1: n})
+    trace = []
+    got = H.accept_in_order(frame(spark, lines, {1: n}), ["customer_id"], "product_id", ["ts", "customer_id"], trace).collect()
+    assert {r.customer_id for r in got if r.accepted} == want and len(got) == len(lines)
+    assert len(trace) <= 25, trace
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_halving_of_single_lines_equals_one_by_one(spark, seed):
+    from emporia.functions.windows import by_ranges
+    from emporia.operators.first_come import halve
+    rng = random.Random(seed)
+    stock = {p: rng.choice([0, 1, 2, 63, 64, 65, 5000]) for p in range(12)}
+    lines = [(c, rng.randrange(12), rng.choice([0, 1, 1, 2, 30, 33, 64, 2500, 2501]), rng.randrange(50)) for c in range(900)]
+    want, _ = one_by_one(lines, stock)
+    trace = []
+    ranged = by_ranges(frame(spark, lines, stock), ["product_id"], ["ts", "customer_id"])
+    assert {r.customer_id for r in halve(ranged, "product_id", ["ts", "customer_id"], trace).collect()} == want
+    assert len(trace) <= 5000 .bit_length() + 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_carts_over_several_contested_products(spark, seed):
+    rng = random.Random(seed)
+    stock = {p: rng.randint(50, 900) for p in range(10)}
+    lines = [(c, p, rng.choice([1, 5, 200, 300]), c // 3) for c in range(250) for p in rng.sample(range(10), rng.choice([1, 1, 1, 2, 3]))]
+    want, _ = one_by_one(lines, stock)
+    trace = []
+    got = H.accept_in_order(frame(spark, lines, stock), ["customer_id"], "product_id", ["ts", "customer_id"], trace).collect()
+    assert {r.customer_id for r in got if r.accepted} == want
+    assert trace[0][0] == "bounds" and len(trace) <= 40
+
+
+def test_null_customers_ties_and_empty_carts(spark):
+    lines = [(None, 1, 6, 0), (1, 1, 6, 0), (2, 1, 3, 0), (3, 1, 1, 0)]  # same time: null first, then by customer
+    got = {r.customer_id: r.accepted for r in
+           H.accept_in_order(frame(spark, lines, {1: 10}), ["customer_id"], "product_id", ["ts"]).collect()}
+    assert got == {None: True, 1: False, 2: True, 3: True}
+    assert H.accept_in_order(frame(spark, lines, {}).limit(0), ["customer_id"], "product_id", ["ts"]).count() == 0
