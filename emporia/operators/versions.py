@@ -34,14 +34,20 @@ def as_of(changes: DataFrame, keys: list[str], ts, window_start=None, now=None,
     retention window fails.
     """
     if window_start is None and now is not None:
-        window_start = _ts(now) - dt.timedelta(days=window_days)
-    if window_start is not None and _ts(ts) < _ts(window_start):
-        raise RestoreWindowError(f"restore point {ts} is before the window start {window_start}")
+        window_start = as_time(now) - dt.timedelta(days=window_days)
+    if window_start is not None:
+        require_in_window(ts, window_start)
     latest = latest_changes(changes, keys, until_ts=ts)
     return latest.filter(F.col("_change_type") != "delete").drop("_change_type", "_commit_version")
 
 
-def _ts(v):
+def require_in_window(ts, window_start) -> None:
+    """A restore point before the retention window raises."""
+    if as_time(ts) < as_time(window_start):
+        raise RestoreWindowError(f"restore point {ts} is before the window start {window_start}")
+
+
+def as_time(v) -> dt.datetime:
     if isinstance(v, dt.datetime):
         return v
     if isinstance(v, dt.date):
@@ -65,6 +71,12 @@ def row_hash(cols: list[str]):
     return F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in cols])
 
 
+def shared_columns(old: DataFrame, new: DataFrame, keys: list[str]) -> list[str]:
+    """Columns beside the keys that both versions have with the same type."""
+    types = dict(new.dtypes)
+    return [c for c, kind in old.dtypes if c not in keys and types.get(c) == kind]
+
+
 def row_diff(old: DataFrame, new: DataFrame, keys: list[str], verify: bool = True) -> DataFrame:
     """Keys added, removed or changed between two versions of a table.
 
@@ -76,8 +88,7 @@ def row_diff(old: DataFrame, new: DataFrame, keys: list[str], verify: bool = Tru
     not returned. The join key is the table's primary key, unique on each
     side, so the full outer join (which AQE cannot split for skew) has no hot key.
     """
-    types = dict(new.dtypes)
-    cols = [c for c, kind in old.dtypes if c not in keys and types.get(c) == kind]
+    cols = shared_columns(old, new, keys)
     mark = F.lit(1).alias("_hit")
     o = old.select(*keys, row_hash([*keys, *cols]).alias("_ho"), *([F.struct(*cols, mark).alias("_vo")] if verify else []))
     n = new.select(*keys, row_hash([*keys, *cols]).alias("_hn"), *([F.struct(*cols, mark).alias("_vn")] if verify else []))
@@ -190,6 +201,12 @@ def recovery_check(before: DataFrame, after: DataFrame, amount_col: str = "total
         "match", (F.col("before_rows") == F.col("after_rows")) & (F.col("before_revenue") == F.col("after_revenue")))
 
 
+def stays(kind: str, at: str, now, retention_days: int = RESTORE_WINDOW_DAYS):
+    """Whether a snapshot stays: scheduled ones for the retention, those made by hand until they are deleted by hand."""
+    cutoff = F.lit(as_time(now)).cast("timestamp_ntz") - F.make_dt_interval(F.lit(retention_days))
+    return (F.col(kind) != "scheduled") | (F.col(at) >= cutoff)
+
+
 def expire_snapshots(versions: DataFrame, now, retention_days: int = 30) -> DataFrame:
     """A table's versions (``TableStore.versions``) that stay after expiry.
 

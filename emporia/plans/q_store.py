@@ -8,15 +8,19 @@ result can be compared with SQL like any other key.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from emporia.operators import catalog as C
 from emporia.operators import loyalty as L
 from emporia.operators import sync as Y
 from emporia.operators import versions as V
-from emporia.plans.q_versions import ALL_SQL, KEYS, ORDER_COLS, V0, V0_SQL
+from emporia.plans.q_versions import ALL_SQL, AT_SQL, KEYS, ORDER_COLS, RESTORE_AT, V0, V0_SQL
 from emporia.plans.registry import register
 from emporia.session import scratch_path
+from emporia.sources import catalog_tables as CT
+from emporia.sources.history import History
 from emporia.sources.serving import read_serving_prices
 from emporia.sources.store import TableStore, sync_continuous, sync_snapshot, sync_triggered
 from emporia.sources.tables import with_sql
@@ -68,15 +72,14 @@ def q_read_serving_prices(t):
 
 @register("create_table_schema", with_sql("SELECT * FROM promotions", "promotions"))
 def q_create_table_schema(t):
-    """A4 typed empty table with comment and properties, then seeded (A6) and read back."""
-    st = _store(t)
-    st.create("promotions", t.promotions.schema, comment="Spring Sale promotions",
-              properties={"change_feed": "true"}, keys=["id"])
-    created = st.read("promotions").schema
+    """A4 typed empty catalog table with comment and properties, then seeded and read back."""
+    name = f"promotions_{uuid.uuid4().hex[:12]}"
+    CT.create_table(t.spark, name, t.promotions.schema, ["id"], comment="Spring Sale promotions", properties={"change_feed": "true"})
+    created = t.spark.table(name).schema
     if [(f.name, f.dataType) for f in created] != [(f.name, f.dataType) for f in t.promotions.schema]:
         raise AssertionError("created table does not have the declared schema")
-    st.append(t.promotions, "promotions")
-    return st.read("promotions")
+    CT.load(t.promotions, name)
+    return t.spark.table(name)
 
 
 @register("overwrite_table", with_sql("SELECT * FROM promotions", "promotions"))
@@ -127,14 +130,15 @@ def q_sync_continuous(t):
     return st.read("orders")
 
 
-@register("snapshot_table", with_sql(f"SELECT * FROM {V0_SQL}", "order_changes"))
+@register("snapshot_table", with_sql(f"SELECT * FROM {AT_SQL}", "order_changes"))
 def q_snapshot_table(t):
-    """G1 a named snapshot keeps its contents while the table moves on."""
-    st = _store(t)
-    sync_snapshot(st, V.state_at_version(t.order_changes, KEYS, V0), "orders", keys=KEYS, source_version=V0)
-    snap = st.snapshot("orders", "before-sync", kind="manual")
-    sync_triggered(st, t.order_changes, "orders")
-    return st.read("orders", snap)
+    """G1 a named full state as of a time keeps its contents while changes go on."""
+    h = History(t.spark, scratch_path(t.spark, "emporia-history"), KEYS)
+    until = F.col("_commit_ts") <= F.lit(RESTORE_AT).cast("timestamp_ntz")
+    h.append(t.order_changes.filter(until))
+    h.snapshot("before-sync", RESTORE_AT)
+    h.append(t.order_changes.filter(~until))
+    return h.state(RESTORE_AT).select(*ORDER_COLS.split(", "))
 
 
 @register("additive_schema_sync", with_sql(f"""

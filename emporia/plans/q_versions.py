@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
+from emporia.operators import digests as D
 from emporia.operators import loyalty as L
 from emporia.operators import orders as O
 from emporia.operators import sync as Y
 from emporia.functions.ids import dense_ids
 from emporia.operators import versions as V
 from emporia.plans.registry import register
+from emporia.session import scratch_path
+from emporia.sources import catalog_tables as C
+from emporia.sources.history import History
 from emporia.sources.tables import with_sql
 
 KEYS = ["id"]
@@ -34,6 +41,20 @@ def _changes(t):
     return t.order_changes
 
 
+def _history(t) -> History:
+    """The orders' change feed as a partitioned log in the shared folder."""
+    h = History(t.spark, scratch_path(t.spark, "emporia-history"), KEYS)
+    h.append(_changes(t))
+    return h
+
+
+def _stored(df):
+    """A table of its own, as the versions of a table are."""
+    path = scratch_path(df.sparkSession, "emporia-version")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @register("as_of", with_sql(f"SELECT * FROM {AT_SQL}", "order_changes"))
 def q_as_of(t):
     """G2 orders as they were at a given second."""
@@ -152,28 +173,76 @@ def q_recovery_check(t):
 EXPIRE_NOW = "2001-06-01 00:00:00"
 
 
-# The store's own versions: a table with a snapshot after each month of changes, every twelfth of them by hand.
+# A full state after each month of changes since V1, every twelfth made by hand.
 @register("expire_snapshots", with_sql(f"""
-    SELECT version, kind, label, created_at FROM (
-      SELECT row_number() OVER (ORDER BY _commit_version) AS version, 'v' || _commit_version AS label,
-             CASE WHEN _commit_version % 12 = 0 THEN 'snapshot:manual' ELSE 'snapshot:scheduled' END AS kind,
-             max(_commit_ts) AS created_at FROM order_changes WHERE _commit_version >= {V1} GROUP BY _commit_version)
-    WHERE kind = 'snapshot:manual' OR created_at >= TIMESTAMP '{EXPIRE_NOW}' - INTERVAL 30 DAY
-    UNION ALL SELECT 0, 'overwrite', NULL, TIMESTAMP '1995-01-01 00:00:00'""", "order_changes"))
+    SELECT kind, label, state_at FROM (
+      SELECT 'v' || _commit_version AS label, CASE WHEN _commit_version % 12 = 0 THEN 'manual' ELSE 'scheduled' END AS kind,
+             date_trunc('second', max(_commit_ts)) AS state_at FROM order_changes WHERE _commit_version >= {V1} GROUP BY _commit_version)
+    WHERE kind = 'manual' OR state_at >= TIMESTAMP '{EXPIRE_NOW}' - INTERVAL 30 DAY""", "order_changes"))
 def q_expire_snapshots(t):
-    """G9 versions of a stored table after expiry (30 days for scheduled snapshots)."""
-    from emporia.session import scratch_path
-    from emporia.sources.store import TableStore
-    st = TableStore(t.spark, scratch_path(t.spark, "emporia-store"))
-    st.overwrite(_changes(t), "orders", keys=KEYS)
+    """G9 states that stay after expiry (30 days for scheduled ones); the others' folders are deleted."""
+    h = _history(t)
     months = (_changes(t).filter(F.col("_commit_version") >= V1).groupBy("_commit_version")
-              .agg(F.max("_commit_ts").alias("at")).orderBy("_commit_version").collect())  # one row per month
-    for m in months:
-        st.snapshot("orders", f"v{m._commit_version}", kind="manual" if m._commit_version % 12 == 0 else "scheduled", at=m.at)
-    left = V.expire_snapshots(st.versions("orders"), EXPIRE_NOW, 30)
-    # The first version's time is that of this run; shown as the epoch of the change feed.
-    at = F.when(F.col("version") == 0, F.lit("1995-01-01 00:00:00").cast("timestamp_ntz")).otherwise(F.col("created_at"))
-    return left.select("version", "kind", "label", at.alias("created_at"))
+              .agg(F.date_trunc("second", F.max("_commit_ts")).cast("timestamp_ntz").alias("at")).orderBy("_commit_version").collect())  # one row per month
+    h.write_states([m["at"] for m in months], ["manual" if m._commit_version % 12 == 0 else "scheduled" for m in months],
+                   [f"v{m._commit_version}" for m in months])
+    return h.expire(EXPIRE_NOW, 30)
+
+
+@register("as_of_history", with_sql(f"SELECT * FROM {AT_SQL}", "order_changes"))
+def q_as_of_history(t):
+    """G2 from the newest yearly state and the months of the log behind it."""
+    h = _history(t)
+    h.write_states([dt.datetime(y, 1, 1) for y in range(1996, 2002)])
+    return h.as_of(RESTORE_AT).select(*ORDER_COLS.split(", "))
+
+
+@register("row_diff_ranges", with_sql(f"""
+    SELECT COALESCE(o.id, n.id) AS id,
+           CASE WHEN o.id IS NULL THEN 'added' WHEN n.id IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM {V0_SQL} o FULL OUTER JOIN {V1_SQL} n ON o.id = n.id
+    WHERE o.id IS NULL OR n.id IS NULL OR (o.customer_id, o.total, o.currency, o.order_date, o.status)
+          IS DISTINCT FROM (n.customer_id, n.total, n.currency, n.order_date, n.status)""", "order_changes"))
+def q_row_diff_ranges(t):
+    """G4 by digests of key ranges: only ranges that differ are joined."""
+    old, new = [_stored(V.state_at_version(_changes(t), KEYS, v)) for v in (V0, V1)]
+    return D.row_diff_by_ranges(old, new, KEYS)
+
+
+@register("sync_verify_ranges", with_sql(f"""
+    SELECT COUNT(s.id) AS source_rows, COUNT(t.id) AS target_rows,
+           COUNT(*) FILTER (WHERE t.id IS NULL) AS missing_in_target,
+           COUNT(*) FILTER (WHERE s.id IS NULL) AS extra_in_target,
+           COUNT(*) FILTER (WHERE s.id = t.id AND (s.customer_id, s.total, s.currency, s.order_date, s.status)
+             IS DISTINCT FROM (t.customer_id, t.total, t.currency, t.order_date, t.status)) AS stale_in_target
+    FROM {ALL_SQL} s FULL OUTER JOIN {V1_SQL} t ON s.id = t.id""", "order_changes"))
+def q_sync_verify_ranges(t):
+    """A17 by digests of key ranges: source against a target synced only up to V1."""
+    return D.sync_verify_by_ranges(_stored(V.state_at_version(_changes(t), KEYS, 10 ** 6)),
+                                   _stored(V.state_at_version(_changes(t), KEYS, V1)), KEYS)
+
+
+# The child: customers with even ids, and every tenth of those renamed; the reset gives the migrated parent.
+@register("reset_drift", with_sql("""
+    SELECT CAST(0 AS BIGINT) AS only_in_child, COUNT(*) FILTER (WHERE id % 2 <> 0) AS lost_by_child,
+           COUNT(*) FILTER (WHERE id % 20 = 0) AS changed_by_child FROM customers""", "customers"))
+def q_reset_drift(t):
+    """G7 what a child had lost and changed before it was reset to its parent."""
+    parent = {"customers": t.customers, "orders": t.orders}
+    own = t.customers.filter("id % 2 = 0").withColumn("name", F.when(F.col("id") % 20 == 0, F.lit("renamed")).otherwise(F.col("name")))
+    child = V.replay_migrations({"customers": own, "orders": t.orders}, STEPS)
+    reset = V.reset_to_parent(child, parent, STEPS)
+    return D.drift(_stored(child["customers"]), _stored(reset["customers"]), ["id"])
+
+
+@register("merge_bucketed", with_sql(f"SELECT * FROM {ALL_SQL}", "order_changes"))
+def q_merge_bucketed(t):
+    """A9 + E8 a catalog table bucketed by key, synced to V0, then merged with every later change without an exchange of its rows."""
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    C.create_table(t.spark, name, t.orders.schema, KEYS, comment="serving copy of the orders", properties={"synced.version": str(V0)})
+    C.load(V.state_at_version(_changes(t), KEYS, V0), name)
+    C.merge(t.spark, name, _changes(t), since_version=V0)
+    return t.spark.table(name).select(*ORDER_COLS.split(", "))
 
 
 @register("next_ids", with_sql(f"""
