@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 16
+#: A key is hot if it holds more than one in so many rows.
+HOT_SHARE = 64
 
 
 def by_ranges(df: DataFrame, partition_cols: list[str], order_cols: list[str]) -> DataFrame:
@@ -53,9 +57,30 @@ def running_sum(df: DataFrame, partition_cols: list[str], order_cols: list[str],
     return ranged_sums(ranged, partition_cols, order_cols, {k: F.col(f"_in_{k}") for k in values}).drop("_range", *named)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Join a side with hot keys to one with unique keys: each right row is
-    repeated ``salts`` times, and a hot key's left rows go to as many tasks."""
-    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+def hot_keys(rows: DataFrame, keys: list[str], share: int = HOT_SHARE) -> DataFrame:
+    """The keys that hold more than one in ``share`` of the rows: fewer than ``share`` keys, whatever the data."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") * share > total).select(*keys)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], hot: DataFrame, by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Join a side with hot keys to one with unique keys.
+
+    Only the measured ``hot`` keys (``hot_keys``, over some or all of ``keys``) are
+    salted: their left rows go to ``salts`` tasks and their right rows are
+    repeated as often; every other row keeps one task and one copy. It is for
+    joins whose result is grouped by the same keys; others are left to the
+    adaptive skew join, which does not split a partition that is grouped after it.
+    """
+    on = hot.columns
+    marked = F.broadcast(hot.withColumnsRenamed({k: f"_h_{k}" for k in on}).withColumn("_hot", F.lit(True)))  # fewer than HOT_SHARE rows
+
+    def flagged(df: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(marked[f"_h_{k}"]) for k in on])
+        return df.join(marked, same, "left").drop(*[f"_h_{k}" for k in on])
+    is_hot = F.col("_hot").isNotNull()
+    spread = (flagged(right).withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+              .drop("_hot"))
+    return (flagged(left).withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop("_hot")
             .join(spread, [*keys, "_salt"], how).drop("_salt"))

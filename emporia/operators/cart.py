@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions.ids import dense_ids
-from emporia.functions.windows import running_sum, salted_join
+from emporia.functions.windows import hot_keys, running_sum, salted_join
 from emporia.operators.common import table
 from emporia.operators.first_come import accept_in_order
 from emporia.operators.promos import active_promos
@@ -39,8 +39,8 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     final quantity is (U applies and q_U > 0 ? q_U : 0) + the adds after U.
     That needs two aggregates and two joins. The aggregates are partial, and
     the joins (events to the customer's last clear, adds to the item's last
-    update) are salted, so a customer or item holding a third of the events
-    is spread over many tasks.
+    update) are salted for the customers that hold many of the events, so one
+    with a third of them is spread over many tasks; nobody else's rows are copied.
     """
     ev = events.select("event_id", "customer_id", "ts", "action", "product_id", "quantity").withColumn(
         "quantity", F.when(F.col("action") == "update", F.coalesce("quantity", F.lit(0))).otherwise(F.col("quantity")))
@@ -50,7 +50,8 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     items = (ev.filter(F.col("action").isin("add", "update"))
              .filter((F.col("action") == "update") | (F.col("quantity") >= 1))
              .join(known, "product_id", "left_semi"))
-    items = (salted_join(items, last_clear, ["customer_id"], F.col("event_id"))
+    hot = hot_keys(ev, ["customer_id"])
+    items = (salted_join(items, last_clear, ["customer_id"], hot, F.col("event_id"))
              .withColumn("_o", _order())
              .filter(F.col("_clr").isNull() | (F.col("_o") > F.col("_clr")))
              .drop("_clr"))
@@ -63,7 +64,7 @@ def cart_state(events: DataFrame, products: DataFrame) -> DataFrame:
     adds = items.filter(F.col("action") == "add").select(*keys, "_o", "quantity")
     # Keys with updates but no adds end with nothing in the cart, so a left
     # join from the adds suffices.
-    j = salted_join(adds, upd, keys, F.col("_o.event_id"))
+    j = salted_join(adds, upd, keys, hot, F.col("_o.event_id"))
     after_u = F.col("_tu").isNull() | (F.col("_o") > F.col("_tu"))
     between = (F.col("_o") < F.col("_tu")) & (F.col("_tr").isNull() | (F.col("_o") > F.col("_tr")))
     per = j.groupBy(*keys).agg(
@@ -170,7 +171,7 @@ def accepted_lines(cart: DataFrame, t, shoppers: DataFrame | None = None) -> Dat
     """
     p = table(t, "products").select(F.col("id").alias("product_id"), "price", "name")
     stock = _stock_per_product(table(t, "inventory"))
-    known = (salted_join(cart.join(p, "product_id", "left"), stock, ["product_id"], F.col("customer_id"))
+    known = (cart.join(p, "product_id", "left").join(stock, "product_id", "left")
              .withColumn("stock", F.when(F.col("price").isNotNull(), F.coalesce("stock", F.lit(0)))))
     if shoppers is not None:
         known = known.join(shoppers.select("customer_id").distinct(), "customer_id", "left_semi")
@@ -293,8 +294,7 @@ def allocate_stock(cart: DataFrame, inventory: DataFrame) -> DataFrame:
     a refused line uses no stock, so a later, smaller one may be granted.
     """
     stock = _stock_per_product(inventory)
-    lines = salted_join(cart, stock, ["product_id"], F.col("customer_id")).withColumn(
-        "stock", F.coalesce(F.col("stock"), F.lit(0)))
+    lines = cart.join(stock, "product_id", "left").withColumn("stock", F.coalesce(F.col("stock"), F.lit(0)))
     done = accept_in_order(lines, ["product_id", "customer_id"], "product_id", ["ts", "customer_id"])
     used = running_sum(done, ["product_id"], ["ts", "customer_id"],
                        {"_used": F.when(F.col("accepted"), F.col("quantity")).otherwise(F.lit(0))})

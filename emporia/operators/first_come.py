@@ -57,14 +57,19 @@ def _units_join(lines: DataFrame, units: DataFrame, unit: list[str], how: str) -
     return lines.join(u, same, how).drop(*[f"_u{i}" for i in range(len(unit))])
 
 
-def halve(lines: DataFrame, resource: str, order: list[str], trace: list | None = None) -> DataFrame:
+def _spots(ranged: DataFrame, resource: str) -> DataFrame:
+    """(resource, _range) pairs, written: one row for a resource and a range it lies in."""
+    return _stored(ranged.select(resource, "_range").distinct())
+
+
+def halve(lines: DataFrame, resource: str, order: list[str], trace: list | None = None, spots: DataFrame | None = None) -> DataFrame:
     """The granted ones of single lines (resource, order, quantity, stock, _range, any more), taken in order.
 
     ``lines`` come from ``by_ranges(..., [resource], order)``; ``order`` is unique within a resource.
     """
     keep = lines.columns
     place = F.struct(*order)
-    spots = _stored(lines.select(resource, "_range").distinct())
+    spots = _spots(lines, resource) if spots is None else spots
     state = lines.groupBy(resource).agg(F.max("stock").cast("long").alias("_left"))
     state = state.withColumn("_after", F.lit(None).cast(lines.select(place.alias("o")).schema["o"].dataType))
     granted, rest = [], lines
@@ -109,6 +114,7 @@ def accept_in_order(lines: DataFrame, unit: list[str], resource: str, order: lis
                  .filter("_demand > _have").select(resource))
     needed = list(dict.fromkeys([*unit, resource, *order, "quantity", "stock"]))
     ranged = by_ranges(tries.join(contested, resource, "left_semi").select(*needed), [resource], order)
+    spots = _spots(ranged, resource)
     state = ranged.withColumns({"_taken": F.lit(0).cast("long"), "_in": F.lit(False)})
 
     def open_lines(of: DataFrame) -> int:
@@ -134,12 +140,12 @@ def accept_in_order(lines: DataFrame, unit: list[str], resource: str, order: lis
         if left * 2 > n:
             alone = (seen.filter("_said IS NULL").groupBy(resource).agg(F.max(F.col("_n_unsure") - F.col("_unsure")).alias("_others"))
                      .filter("_others = 0").select(resource))
-            alone = _stored(alone)
+            alone = _stored(spots.join(alone, resource, "left_semi"))
             if not alone.isEmpty():
                 gone = reduce(DataFrame.unionByName, refused).distinct()
-                whole = _units_join(ranged.join(alone, resource, "left_semi"), gone, unit, "left_anti")
-                granted = halve(_stored(whole), resource, order, trace).select(*unit).distinct().withColumn("_yes", F.lit(True))
-                asked = seen.filter("_said IS NULL").join(alone, resource, "left_semi").select(*unit).distinct()
+                whole = _units_join(ranged.join(alone, [resource, "_range"], "left_semi"), gone, unit, "left_anti")
+                granted = halve(_stored(whole), resource, order, trace, alone).select(*unit).distinct().withColumn("_yes", F.lit(True))
+                asked = seen.filter("_said IS NULL").join(alone, [resource, "_range"], "left_semi").select(*unit).distinct()
                 verdict = _stored(_units_join(asked, granted, unit, "left").select(*unit, F.coalesce("_yes", F.lit(False)).alias("_yes")))
                 refused.append(verdict.filter("NOT _yes").select(*unit))
                 state = _stored(_units_join(state, verdict, unit, "left").filter("_yes IS NULL OR _yes")

@@ -8,13 +8,10 @@ dropped by Spark (the documented late-data rule for the activity views).
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from emporia.sources.store import sync_continuous  # noqa: F401  (A10 lives with the store)
 
@@ -81,74 +78,134 @@ def replication_lag_stream(commits: DataFrame, applies: DataFrame, bound: str =
     return per_version.withColumn("lag_seconds", lag.cast("long"))
 
 
-CART_OUT = T.StructType([
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("product_id", T.LongType()),
-    T.StructField("quantity", T.LongType()),
-])
-CART_STATE = T.StructType([T.StructField("cart", T.StringType()), T.StructField("open", T.StringType())])
+CART_OUT = "customer_id long, product_id long, quantity long"
+CART_EVENTS = "at long, event_id long"
+CART_EVENT = "action string, product_id long, quantity long, known boolean"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def apply_cart_event(cart: dict[int, int], action: str, product: int | None, quantity: int | None, known: bool) -> None:
-    """One event on a cart ({product: quantity}), by H1's rules; an update without a quantity removes the item."""
+def apply_cart_event(cart, action: str, product: int | None, quantity: int | None, known: bool) -> None:
+    """One event on a cart (``get``, ``put``, ``drop``, ``clear`` by product), by H1's rules; an update without a quantity removes the item."""
     if action == "clear":
         cart.clear()
     elif action == "add" and known and quantity is not None and quantity >= 1:
-        cart[product] = cart.get(product, 0) + quantity
-    elif action == "update" and product in cart:
+        cart.put(product, (cart.get(product) or 0) + quantity)
+    elif action == "update" and product is not None and cart.get(product) is not None:
         if quantity is None or quantity <= 0:
-            del cart[product]
+            cart.drop(product)
         else:
-            cart[product] = quantity
+            cart.put(product, quantity)
+
+
+class CartLines(dict):
+    """A cart in memory."""
+
+    def put(self, product, quantity):
+        self[product] = quantity
+
+    def drop(self, product):
+        del self[product]
+
+
+class StoredCart:
+    """A cart as map state: one entry a product, so an event touches only its own."""
+
+    def __init__(self, state):
+        self.state = state
+
+    def get(self, product):
+        found = self.state.getValue((product,)) if self.state.containsKey((product,)) else None
+        return None if found is None else int(found[0])
+
+    def put(self, product, quantity):
+        self.state.updateValue((product,), (quantity,))
+
+    def drop(self, product):
+        self.state.removeKey((product,))
+
+    def clear(self):
+        self.state.clear()
+
+
+class CartProcessor(StatefulProcessor):
+    """One customer's cart: map states of its lines and of the events that are still open, and the time of the last event.
+
+    An event is open until the watermark has passed it; until then others may
+    come before it. A timer at its time folds it into the lines. Another timer, ``expire``
+    after the last event, drops the customer's state.
+    """
+
+    def __init__(self, expire_ms: int):
+        self.expire_ms = expire_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.lines = handle.getMapState("lines", "product_id long", "quantity long")
+        self.open = handle.getMapState("open", CART_EVENTS, CART_EVENT)
+        self.last = handle.getValueState("last", "at long")
+
+    def _opened(self):
+        return sorted(((int(k[0]), int(k[1])), tuple(v)) for k, v in self.open.iterator())
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = int(self.last.get()[0]) if self.last.exists() else 0
+        before = last
+        for frame in rows:
+            for t, e, a, p, q, k in zip(frame["at"], frame["event_id"], frame["action"], frame["product_id"], frame["quantity"], frame["known"]):
+                number = lambda x: None if x is None else int(x)
+                self.open.updateValue((int(t), int(e)), (a, number(p), number(q), bool(k)))
+                self.handle.registerTimer(int(t) // 1000 + 1)
+                last = max(last, int(t))
+        if last > before:
+            self.last.update((last,))
+            self.handle.registerTimer(last // 1000 + self.expire_ms)
+        now = CartLines({int(k[0]): int(v[0]) for k, v in self.lines.iterator()})
+        for _, event in self._opened():
+            apply_cart_event(now, *event)
+        yield self._cart(key, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        closed = timerValues.getCurrentWatermarkInMs() * 1000
+        lines = StoredCart(self.lines)
+        for place, event in self._opened():
+            if place[0] >= closed:
+                break
+            apply_cart_event(lines, *event)
+            self.open.removeKey(place)
+        if self.last.exists() and int(self.last.get()[0]) // 1000 + self.expire_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.lines.clear()
+            self.open.clear()
+            self.last.clear()
+            yield self._cart(key, {})
+
+    def _cart(self, key, cart) -> pd.DataFrame:
+        return pd.DataFrame({"customer_id": [int(key[0])] * max(1, len(cart)), "product_id": pd.array(list(cart) or [None], "Int64"),
+                             "quantity": list(cart.values()) or [0]})
+
+    def close(self) -> None:
+        pass
 
 
 def cart_state_stream(events: DataFrame, products: DataFrame, watermark: str = "1 hour", expire: str = "30 days") -> DataFrame:
-    """H1 streaming: per-customer cart state across micro-batches.
+    """H1 streaming: per-customer cart state across micro-batches (``CartProcessor``).
 
     Events apply in (ts, event_id) order, also those that arrive in a later
-    micro-batch: the state of a customer is the cart up to the watermark and the
-    open events after it, which are sorted anew when more arrive. Events older
-    than the watermark are late and dropped. ``expire`` after its last event a
-    customer's state is dropped, too (an abandoned cart ends empty).
+    micro-batch. Events older than the watermark are late and dropped. ``expire``
+    after its last event a customer's state is dropped, too (an abandoned cart
+    ends empty). What a batch writes to the state grows with its events, not
+    with the carts they change.
 
     Ids and quantities travel as text, so they stay exact integers beside NULLs. Output
     mode 'update': each batch emits the whole current cart of every customer it
-    touched (an empty cart as one row with NULL product).
+    touched (an empty cart as one row with NULL product). Map state and timers need the RocksDB state store.
     """
-    span = int(pd.Timedelta(expire).total_seconds() * 1000)
-
-    def fold(key, frames, state):
-        customer = int(key[0])
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"customer_id": [customer], "product_id": pd.array([None], "Int64"), "quantity": [0]})
-            return
-        cart, open_events = {}, []
-        if state.exists:
-            cart = {int(k): v for k, v in json.loads(state.get[0]).items()}
-            open_events = json.loads(state.get[1])
-        number = lambda x: None if x is None else int(x)
-        for frame in frames:  # Arrow batches of the customer's new events
-            open_events += [[int(t), int(e), a, number(p), number(q), bool(k)] for t, e, a, p, q, k in zip(
-                frame["at"], frame["event_id"], frame["action"], frame["product_id"], frame["quantity"], frame["known"])]
-        open_events.sort(key=lambda x: x[:2])
-        closed = state.getCurrentWatermarkMs() * 1000
-        while open_events and open_events[0][0] < closed:
-            apply_cart_event(cart, *open_events.pop(0)[2:])
-        state.update((json.dumps(cart), json.dumps(open_events)))
-        last = open_events[-1][0] // 1000 if open_events else closed // 1000
-        state.setTimeoutTimestamp(max(last, closed // 1000) + span)
-        now = dict(cart)
-        for event in open_events:
-            apply_cart_event(now, *event[2:])
-        yield pd.DataFrame({"customer_id": [customer] * max(1, len(now)),
-                            "product_id": pd.array(list(now) or [None], "Int64"),
-                            "quantity": list(now.values()) or [0]})
-
+    spark = events.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_STORE:
+        raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {STATE_STORE}")
     known = products.select(F.col("id").alias("product_id"), F.lit(True).alias("known"))
     text = lambda c: F.col(c).cast("string").alias(c)
     ev = (_event_time(events, "ts").withWatermark("ts", watermark).join(known, "product_id", "left")
           .select("customer_id", "ts", F.unix_micros("ts").cast("string").alias("at"), text("event_id"), "action",
                   text("product_id"), text("quantity"), F.coalesce(F.col("known"), F.lit(False)).alias("known")))
-    return ev.groupBy("customer_id").applyInPandasWithState(
-        fold, CART_OUT, CART_STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    return ev.groupBy("customer_id").transformWithStateInPandas(
+        CartProcessor(int(pd.Timedelta(expire).total_seconds() * 1000)), CART_OUT, "Update", "EventTime")

@@ -149,6 +149,25 @@ def test_streaming_cart_state_expires(spark, scratch):
     assert got == [(2, 5, 2)]  # the first customer's cart was abandoned
 
 
+def test_state_writes_grow_with_events_not_with_carts(spark, scratch):
+    import datetime as dt
+    schema = "event_id long, customer_id long, ts timestamp_ntz, action string, product_id long, quantity int"
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    n = 400
+    batches = [[(p, 1, at(0), "add", p, 1) for p in range(n)], [(n, 2, at(500), "add", 1, 1)], [(n + 1, 2, at(510), "add", 1, 1)],
+               [(n + 2, 1, at(600), "add", 7, 2)], [(n + 3, 2, at(1200), "add", 2, 1)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{scratch}/in/{i:03d}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(scratch + "/in/*")
+    q = (cart_state_stream(stream, spark.range(n).selectExpr("id")).writeStream.outputMode("update").format("noop")
+         .option("checkpointLocation", scratch + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    updated = {p["batchId"]: sum(x["numRowsUpdated"] for x in p["stateOperators"]) for p in q.recentProgress if p["stateOperators"]}
+    assert updated[0] >= n  # the first batch's events
+    one_event = [v for k, v in updated.items() if k >= 3]
+    assert one_event and max(one_event) <= 12, updated  # an event, its timers and one line, beside a cart of 400
+
+
 def test_streaming_activity_matches_batch_for_closed_windows(spark, scratch, t):
     ql = t.query_log
     ql.write.parquet(scratch + "/ql")
