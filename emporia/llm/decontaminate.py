@@ -3,6 +3,8 @@
 Benchmark items and documents are sequences of lower-cased words (runs of
 letters, digits and underscores, so punctuation and mark-up do not matter).
 
+Texts in Latin letters are cut by byte tables, others by a pattern; the words are the same.
+
 1. The document frequency of every word of the benchmark is counted over all
    documents (partial counts in the tasks, summed by Spark).
 2. A passage with ``min_score`` matches a least number of the item's words, so
@@ -30,7 +32,8 @@ Defined results: null or empty texts match nothing. An item of fewer than
 ``MIN_WORDS`` words is too short to tell a leak from chance and is not looked
 for; all others are, also those with a null item_id. Rows that share a doc_id are looked at one by one. Items
 with the same text are all reported. Empty tables give an empty result. Extra
-columns are not read.
+columns are not read. Very long texts are searched whole, in time that grows
+with their length.
 """
 
 from __future__ import annotations
@@ -52,9 +55,22 @@ BLOCK_WORDS = 500_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 
 WORD = re.compile(r"\w+")
+# Texts of ASCII and of the letters U+00C0 to U+017F are cut by bytes: there, all but these two signs are word characters.
+BY_BYTES = bytes(range(0xC0)) + b"\xc3\xc4\xc5"
+SIGNS = ("\u00d7".encode(), "\u00f7".encode())
+BLANKED = bytes(c if c >= 128 or chr(c).isalnum() or c == ord("_") else 32 for c in range(256))
 SCHEMA = "doc_id long, th long, item_id long, score double, first_char long, last_char long"
 
 
+def words_of(text: str) -> list[bytes]:
+    """The runs of ``WORD`` in the lower-cased text, as UTF-8."""
+    low = text.lower()
+    data = low.encode("utf-8", "surrogatepass")
+    if data.translate(None, BY_BYTES) or any(s in data for s in SIGNS):
+        return [w.encode("utf-8", "surrogatepass") for w in WORD.findall(low)]
+    return data.translate(BLANKED).split()
+
+
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     """(score, first, last) of the best local alignment; places in ``window``. Zero ids never match."""
     score, last = _best(item, window)
@@ -90,15 +106,20 @@ class Searcher:
 
     def __init__(self, items: list[tuple[int, str]], min_score: float = MIN_SCORE):
         self.min_score = min_score
-        words = [(i, WORD.findall(t.lower())) for i, t in items]
+        words = [(i, words_of(t)) for i, t in items]
         words = [(i, w) for i, w in words if len(w) >= MIN_WORDS]
-        self.vocab: dict[str, int] = {}
+        self.vocab: dict[bytes, int] = {}
         self.items = [(i, np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in w], np.int64)) for i, w in words]
 
     def ids(self, text: str) -> np.ndarray:
-        words = WORD.findall(text.lower())
+        words = words_of(text)
         return np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words))
 
+    def held(self, text: str) -> np.ndarray:
+        """Each word of the vocabulary that the text holds, once."""
+        words = self.vocab.keys() & set(words_of(text))
+        return np.fromiter(map(self.vocab.__getitem__, words), np.int64, len(words))
+
     def seed(self, df: dict[int, int]) -> None:
         """Choose the seeds of each item by the words' document frequencies."""
         often = np.array([df.get(w, 0) for w in range(len(self.vocab) + 1)], np.int64)
@@ -206,7 +227,7 @@ def _block_leaks(texts: DataFrame, items: list[tuple[int, str]], min_score: floa
         def step(batch):
             n = np.zeros(len(searcher.vocab) + 1, np.int64)
             for t in batch.column(0):
-                n[np.unique(searcher.ids(t.as_py()))] += 1
+                n[searcher.held(t.as_py())] += 1
             w = np.nonzero(n)[0]
             yield {"word": w, "df": n[w]}
         return step

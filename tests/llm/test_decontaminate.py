@@ -3,6 +3,8 @@ import re
 
 import numpy as np
 from helpers import empty_docs, odd_docs, sentence
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from emporia.llm import decontaminate as D
 
@@ -33,6 +35,12 @@ def test_alignment_equals_the_plain_one():
             assert plain_score(item.tolist(), inner) == score
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("aZ_9 .-\n\t\x1c\x85\xa0ÀÿŸſ×÷Iİßẞµª²Œ’“日Σς\u0301"), st.characters(codec="utf-8"))))
+def test_words_by_bytes_equal_the_pattern(text):
+    assert [w.decode() for w in D.words_of(text)] == re.findall(r"\w+", text.lower())
+
+
 def corpus(seed=2):
     rng = random.Random(seed)
     items = [(i, sentence(rng, rng.randint(18, 50))) for i in range(12)] + [(90, "too short"), (91, None), (92, "")]
