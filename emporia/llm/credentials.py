@@ -29,7 +29,8 @@ Only parts are shuffled, and only those of texts that hold a weak and a compleme
 texts are scanned where they lie. Texts are known by (doc_id, hash of the text).
 
 Defined results: a null or empty text has no spans and the digest of the empty string. Rows
-that repeat a doc_id and text get the same result each. An empty table gives an empty result.
+that repeat a doc_id and text get the same result each. Very long texts are scanned whole: no
+pattern takes more than a number of steps in proportion to the text, whatever stands in it. An empty table gives an empty result.
 Extra columns are not read.
 """
 
@@ -54,7 +55,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 SECRET = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}(?![A-Za-z0-9+/=])")
 USER = re.compile(r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([\w.@+-]{3,})""", re.I | re.A)
-ENDPOINT = re.compile(r"\b[a-z][a-z0-9+.-]*://[^\s/\"'<>]+|\b(?:[a-z0-9-]+\.)+[a-z]{2,}:\d{2,5}\b", re.I | re.A)
+# An endpoint is found from its middle, ``://`` or a colon with a port, and extended to the left from there, so
+# long runs of host or scheme characters are not tried from each of their places.
+SCHEME_TAIL = re.compile(r"://[^\s/\"'<>]+", re.A)
+PORT = re.compile(r"(?<=[A-Za-z]{2}):\d{2,5}\b", re.A)
+SCHEME_CHARS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
+HOST = re.compile(r"(?:[a-z0-9-]+\.)+[a-z]{2,}\Z", re.I | re.A)
+HOST_CHARS = SCHEME_CHARS - {"+"}
 
 SCHEMA = ("doc_id long, th long, n_assign long, n_access long, n_hex long, base array<struct<kind:int,first:int,last:int>>, "
           "weak array<struct<kind:int,first:int,last:int>>")
@@ -71,12 +78,43 @@ def strong_parts(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda p: (p[1], p[0]))
 
 
+def _left(text: str, end: int, chars: frozenset, floor: int) -> int:
+    """Where the run of ``chars`` before ``end`` starts, at ``floor`` at least."""
+    while end > floor and text[end - 1] in chars:
+        end -= 1
+    return end
+
+
+def endpoints(text: str) -> list[tuple[int, int]]:
+    """(first, last) of URLs with a host and of hosts with a port, from left to right, none within another."""
+    found, free = [], 0  # nothing before ``free`` is looked at again
+    tails = sorted([(m.start(), m.end(), True) for m in SCHEME_TAIL.finditer(text)] + [(m.start(), m.end(), False) for m in PORT.finditer(text)])
+    for at, end, url in tails:
+        if at < free:
+            continue
+        first = _left(text, at, SCHEME_CHARS if url else HOST_CHARS, free)
+        if url:
+            while first < at and not text[first].isalpha():  # a scheme begins with a letter
+                first += 1
+            ok = first < at
+        else:
+            gap = text.rfind("..", first, at)
+            first = first if gap < 0 else gap + 2
+            while first < at and text[first] == ".":
+                first += 1
+            ok = bool(HOST.match(text, first, at))
+        if ok:
+            found.append((first, end))
+        free = end if ok else at
+    return found
+
+
 def weak_parts(text: str) -> list[tuple[int, int, int]]:
     found = [(3, m.start(), m.end()) for m in SECRET.finditer(text)
              if re.search("[a-z]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[0-9]", m[0])]
     if ":" in text or "=" in text:
         found += [(4, m.start(), m.end()) for m in USER.finditer(text)]
-        found += [(5, m.start(), m.end()) for m in ENDPOINT.finditer(text)]
+        found += [(5, a, b) for a, b in endpoints(text)]
     return sorted(found, key=lambda p: (p[1], p[0]))
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from helpers import empty_docs, odd_docs, sentence
 
@@ -116,3 +117,22 @@ def test_odd_and_empty_tables(spark):
     twice = spark.createDataFrame([(1, row), (1, row), (None, row), (1, "other")], "doc_id long, text string")
     assert sorted(r.spans for r in C.find_secrets(twice).collect()) == sorted([plain_spans(row)] * 3 + [""])
     assert C.find_secrets(empty_docs(spark)).count() == 0
+
+
+def test_endpoints():
+    at = lambda text: [text[a:b] for a, b in C.endpoints(text)]
+    assert at("see https://x.org/a?b=1 and db.example.com:5432, +9ftp://host:21 x") == ["https://x.org", "db.example.com:5432", "ftp://host:21"]
+    assert at("x..db.example.com:80 .a.bc:443 db:80 a.b:80 a.bc:1 a.bc:123456 ://x 1://x http://") == ["db.example.com:80", "a.bc:443"]
+    assert at("http://a.bc:80http://d") == ["http://a.bc:80http:"]
+
+
+def test_long_texts_take_linear_time(spark):
+    n = 1_000_000
+    texts = ["a." * (n // 2), "a-" * (n // 2), "a" * n, "a.bc:" * (n // 5), "a://" * (n // 4), "://" * (n // 3), ("a" * 50 + ".") * (n // 51) + "bc:80",
+             "password" + " " * n, "user " * (n // 5), "A1b" * (n // 3) + "===", "=" * n, "AKIA" * (n // 4), "deadbeef" * (n // 8) + "G", "+/" * (n // 2)]
+    for t in texts:
+        begin = time.monotonic()
+        C.strong_parts(t), C.weak_parts(t)
+        assert time.monotonic() - begin < 2, t[:10]
+    got = {r.doc_id: r for r in C.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert len(got) == len(texts) and got[12].n_hex == 1 and got[11].n_access == 1
