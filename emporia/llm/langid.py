@@ -42,11 +42,14 @@ SAMPLE_CHARS = 40_000  # per language, for the automaton
 CHECK_CHARS = 20_000  # per language, for its usual phrase count
 CHARS_PER_DOC = 1_500
 BLOCK = 2048
-MAX_LANGUAGES = 200
+MAX_LANGUAGES = 200  # those with the most labelled documents, ties by name
+DENSE_ENTRIES = 1 << 26  # up to so many (256 MB a worker) transitions are a dense table, beyond it sorted codes
 BATCH_CHARS = 6_000_000  # parsed side by side
 #: A text that needs this many times a language's usual phrases is in none of the languages (random
 #: letters need four times and more; a short text around a long key may need twice as many).
 REJECT_AT = 3.5
+#: Shorter texts are too short for that: a single letter is a phrase by itself.
+REJECT_FROM = 20
 
 SPACE, UNSEEN, FIRST = 0, 1, 2  # codes: any run of non-letters, a letter that no sample has, seen letters
 
@@ -66,8 +69,11 @@ def learning_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             F.xxhash64(F.col(id_col)).alias("at"))
                 .filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("text").isNotNull() & ~held_out("id")))
     order = Window.partitionBy("lang").orderBy("at", "id")
+    known = (labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES)
+             .select(F.col("lang").alias("known")))
+    labelled = labelled.join(F.broadcast(known), F.col("lang") == F.col("known"), "left_semi")  # MAX_LANGUAGES rows at most
     chosen = (labelled.select("lang", "id", "at").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= k)
-              .select(F.col("id").alias("chosen_id")).distinct().limit(k * MAX_LANGUAGES))
+              .select(F.col("id").alias("chosen_id")).distinct())
     rows = (labelled.join(F.broadcast(chosen), F.col("id") == F.col("chosen_id"), "left_semi")
             .groupBy("lang", "at").agg(F.min(F.substring("text", 1, chars_per_doc)).alias("text")).collect())
     found: dict[str, list[str]] = {}
@@ -119,20 +125,20 @@ def letters() -> np.ndarray:
 class CrossParser:
     """Automata of all languages as one table: entry = next state * 4 + phrases ended."""
 
-    def __init__(self, samples: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...]):
+    def __init__(self, samples: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...], dense_entries: int = DENSE_ENTRIES):
         self.langs = [lang for lang, _, _ in samples]
         joined = [" ".join(texts) for _, texts, _ in samples]
         seen = sorted({ord(c) for text in joined for c in text.lower() if c.isalpha()})
         self.code = np.where(letters(), UNSEEN, SPACE).astype(np.uint8 if len(seen) < 250 else np.uint16)
         self.code[seen] = np.arange(FIRST, FIRST + len(seen))
         self.size = FIRST + len(seen)
-        tables, self.roots, offset = [], [], 0
-        for text in joined:
-            table = self._table(suffix_automaton(self.codes(text).tolist()))
-            tables.append(table + 4 * offset)
-            self.roots.append(offset)
-            offset += len(table)
-        self.table = np.concatenate(tables).ravel()
+        moves = [suffix_automaton(self.codes(text).tolist()) for text in joined]
+        self.roots = np.concatenate([[0], np.cumsum([len(m) for m in moves])[:-1]]).astype(np.int64) if moves else np.zeros(0, np.int64)
+        self.dense = sum(map(len, moves)) * self.size <= dense_entries
+        if self.dense:
+            self.table = np.concatenate([self._table(m) + 4 * int(r) for m, r in zip(moves, self.roots)]).ravel() if moves else np.zeros(0, np.int32)
+        else:
+            self._sparse(moves)
         self.usual = np.ones(len(samples))
         for k, (_, _, check) in enumerate(samples):
             n, phrases = self.parse(list(check))
@@ -153,6 +159,30 @@ class CrossParser:
         table[states, marks] = np.fromiter((t * 4 for m in move for t in m.values()), np.int32)
         return table
 
+    def _sparse(self, moves: list[list[dict[int, int]]]) -> None:
+        """The same transitions as sorted 64-bit codes (state, mark); what a state lacks is what its language does then.
+
+        Memory grows with the samples (two entries of 8 bytes a transition), not with the letters of all languages.
+        """
+        self.marks = np.concatenate([np.fromiter(((int(r) + s) * self.size + c for s, m in enumerate(move) for c in sorted(m)), np.int64)
+                                     for move, r in zip(moves, self.roots)])
+        self.entries = np.concatenate([np.fromiter(((int(r) + m[c]) * 4 for m in move for c in sorted(m)), np.int64)
+                                       for move, r in zip(moves, self.roots)])
+        self.restart = np.repeat((self.roots * 4 + 2)[:, None], self.size, axis=1)
+        for k, (move, r) in enumerate(zip(moves, self.roots)):
+            for c, s in move[0].items():
+                self.restart[k, c] = (int(r) + s) * 4 + 1
+
+    def step(self, state: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        """Entries of states (a column for each language) and the next marks."""
+        if self.dense:
+            return self.table[state * self.size + marks[:, None]]
+        wanted = state * self.size + marks[:, None]
+        at = np.minimum(np.searchsorted(self.marks, wanted), len(self.marks) - 1)
+        entry = np.where(self.marks[at] == wanted, self.entries[at], self.restart[:, marks].T)
+        # At the root nothing is open: a mark that the language never has is the only phrase that ends.
+        return np.where((state == self.roots) & (self.marks[at] != wanted), self.roots * 4 + 1, entry)
+
     def codes(self, text: str) -> np.ndarray:
         """Codes of the lower-cased text; runs of non-letters are one SPACE, none at the ends."""
         c = self.code[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -178,13 +208,13 @@ class CrossParser:
         grid = np.zeros((sizes[0], len(blocks)), self.code.dtype)  # a row for each step
         for j, (_, b) in enumerate(blocks):
             grid[:len(b), j] = b
-        roots = np.array(self.roots, np.int32)
+        roots = self.roots.astype(np.int32 if self.dense else np.int64)  # a dense table is below 2^31 entries
         state = np.repeat(roots[None, :], len(blocks), axis=0)
         ended = np.zeros((len(blocks), k), np.int32)
         live = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")  # blocks longer than t
         for t in range(int(sizes[0])):
             m = int(live[t])
-            entry = self.table[state[:m] * self.size + grid[t, :m, None]]
+            entry = self.step(state[:m], grid[t, :m])
             state[:m] = entry >> 2
             ended[:m] += entry & 3
         ended += state != roots  # the phrase still open
@@ -192,7 +222,7 @@ class CrossParser:
         return n, phrases
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
-        """(language or und, score, best phrase count against the usual) of each text."""
+        """(language or und, score, best phrase count against the usual; 0 if too short to tell) of each text."""
         n, phrases = self.parse(texts)
         out = []
         for length, own in zip(n, phrases):
@@ -202,7 +232,8 @@ class CrossParser:
             rate = own / length / self.usual
             best = int(np.argmin(rate))
             second = np.min(np.delete(rate, best)) if len(rate) > 1 else np.inf
-            out.append((self.langs[best], float(1 - rate[best] / second) if second else 0.0, float(rate[best])))
+            excess = float(rate[best]) if length >= REJECT_FROM else 0.0
+            out.append((self.langs[best], float(1 - rate[best] / second) if second else 0.0, excess))
         return out
 
 
@@ -256,7 +287,7 @@ def in_known_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of ``docs``, all columns, whose text is in some learned language.
 
     Rejected are texts without a letter (und) and those that need more than ``reject_at``
-    times the phrases that are usual for the language nearest to them.
+    times the phrases that are usual for the language nearest to them, if they have ``REJECT_FROM`` codes at least.
     """
     samples = split_sample(learning_sample(docs, id_col, text_col, lang_col))
     place = docs.columns.index(text_col)

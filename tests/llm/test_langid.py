@@ -101,3 +101,38 @@ def test_foreign_text_is_rejected_and_clean_text_stays(spark):
     docs = labelled(spark).unionByName(spark.createDataFrame(
         [(1000, "qxzj vkqp zzkw wqxj kkjq pvzx " * 5, None, None, None), (1001, "123 456", None, None, None)], SCHEMA))
     assert {r.doc_id for r in L.in_known_language(docs).collect()} == set(range(300))
+
+
+def test_sorted_transitions_equal_the_dense_table():
+    rng = random.Random(8)
+    learned = samples(rng, 8)
+    dense, sparse = L.CrossParser(learned), L.CrossParser(learned, dense_entries=0)
+    assert dense.dense and not sparse.dense
+    texts = [*odd_texts(), "Ünseen letters ж and q", *(sentence(rng, n, p) for n in (1, 5, 300) for p in SYLLABLES.values())]
+    for a, b in zip(dense.parse(texts), sparse.parse(texts)):
+        assert (a == b).all()
+    assert dense.predict(texts) == sparse.predict(texts)
+
+
+def test_fifty_languages_with_letters_of_their_own():
+    rng = random.Random(9)
+    parts = {f"l{k:02d}": " ".join("".join(chr(0x4E00 + 40 * k + rng.randrange(40)) for _ in range(2)) for _ in range(6)) for k in range(50)}
+    learned = L.split_sample({lang: [sentence(rng, 20, p) for _ in range(6)] for lang, p in parts.items()})
+    sparse = L.CrossParser(learned, dense_entries=1000)
+    texts = [sentence(rng, 30, p) for p in parts.values()]
+    assert [lang for lang, _, _ in sparse.predict(texts)] == list(parts)
+    # Codes pass 2^31 here when states and letters are many; they are 64-bit numbers.
+    assert sparse.marks.dtype == np.int64 and (np.diff(sparse.marks) > 0).all()
+
+
+def test_languages_beyond_the_limit_are_those_with_the_fewest_documents(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 2)
+    rows = [(i, "some text here", "c" if i % 7 == 0 else "b" if i % 3 else "a", None, None) for i in range(200)]
+    assert sorted(L.learning_sample(spark.createDataFrame(rows, SCHEMA))) == ["a", "b"]
+
+
+def test_short_clean_texts_are_not_rejected(spark):
+    docs = labelled(spark)
+    short = spark.createDataFrame([(9000, "A.", "aa", "s", 1), (9001, "x", "aa", "s", 1), (9002, "?", "aa", "s", 1), (9003, "qxzj vkqp zzkw wqxj " * 9, "aa", "s", 1)], SCHEMA)
+    kept = {r.doc_id for r in L.in_known_language(docs.unionByName(short)).collect()}
+    assert {9000, 9001} <= kept and not {9002, 9003} & kept
