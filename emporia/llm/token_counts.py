@@ -168,7 +168,7 @@ class CountTransducer:
         chunks, places, out = [], [], [0] * len(texts)  # chunks of plain text; (text, first chunk, one after the last)
         for i, t in enumerate(texts):
             t = t or ""
-            for k, part in enumerate(self.bpe._special.split(t) if "<|" in t else [t]):
+            for k, part in enumerate(self.bpe._special.split(t) if self.bpe.mark in t else [t]):
                 if k % 2:
                     out[i] += 1
                 elif part:

@@ -74,3 +74,16 @@ def test_tables(spark):
     assert sorted(map(tuple, B.encode_digests(docs).collect()), key=repr) == sorted(want, key=repr)
     assert sorted(len(r.ids) for r in B.encode_texts(docs).collect()) == sorted(w[1] for w in want)
     assert B.encode_digests(empty_docs(spark)).count() == 0
+
+
+def test_a_wrong_id_shows_in_the_decoded_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some plain words here")], "doc_id long, text string")
+    right = B.encode_digests(docs).first()
+    plain = own.parts(["some plain words here"])[0]
+    assert own.decode_parts([[p[1] for p in plain]]) == [lib.decode(lib.encode("some plain words here", add_special_tokens=False).ids, skip_special_tokens=False)]
+    wrong = [str(int(plain[0][1].split(" ")[0]) + 1), *[p[1] for p in plain[1:]]]
+    assert hashlib.sha256(own.decode_parts([wrong])[0].encode()).hexdigest() != right.decoded_sha256
+
+
+def test_special_strings_are_known_from_the_vocabulary():
+    assert all(s.startswith(own.mark) for s in own.special)
