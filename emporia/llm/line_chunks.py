@@ -1,32 +1,37 @@
 """Line dedup over content-defined chunks of lines, in DataFrame functions only.
 
-A text is cut at its line feeds. Each line has a 32-bit hash; a rolling
-polynomial hash covers the last ``window`` lines. A chunk starts before a line
-
-* whose rolling hash is a local minimum (below the one before, not above the
-  one after; not in the first or last two lines), so every chunk between such
-  cuts has two lines at least and a cut depends only on the lines around it:
-  text put in elsewhere does not move it;
-* that is long (``long_line_words`` words or more), or follows one: a paragraph
-  kept on one line is a chunk of its own.
-
-A chunk is looked at if it has two lines at least or is such a paragraph, and
-is not blank. Chunks are grouped by hash; groups with one member end there.
-The texts of the others are compared byte by byte (grouped by the text
-itself), so a hash collision removes nothing. The first occurrence, by doc_id
-and then by place, stays; every other one is removed with its lines.
-
-Scale: the first pass shuffles one short row for each chunk, partially
-aggregated, so a chunk that a third of all documents share is one row for
-each task. The joins back are equi-joins on the chunk's hash which the
-adaptive skew join can split. Chunk texts move by hash once, and whole texts
-once more in the documents' final join.
+A text is cut at its line feeds, and every line is hashed. A window of two
+lines (the next line that is not blank after each one, with the blank lines
+between) rolls over the line hashes, so each place of a text has one. A window that stands at
+an earlier place too, in another document or further up, is *repeated*. A chunk
+is a maximal run of lines under repeated windows: it begins and ends where the
+text begins and ends to differ from what was seen before, whatever stands
+around it, so text put in elsewhere moves no boundary, and a passage of two lines
+or more is found whole between any neighbours. A paragraph kept on one line
+(``LONG_LINE_WORDS`` words or more) is a window by itself; other single lines
+are none.
+
+The lines of repeated chunks are removed; the first occurrence of each window, by
+doc_id and then by place, stays. Every line that goes stands at an
+earlier place in the same company, so no content is lost.
+
+Windows are grouped by the hashes of both lines and of what is between. That
+equal hashes mean equal bytes is checked on the lines themselves: of each hash the
+smallest and the largest line are compared, and a hash that stands for two
+lines removes nothing.
+
+Scale: what is shuffled for the windows is short rows of numbers, partially
+aggregated, so a window that a third of all documents share is one row for each
+task. The joins back are equi-joins on the hashes which the adaptive skew join
+can split. Lines move once by hash, one smallest and one largest for each task, and whole
+texts once in the documents' final join.
 
 Defined results: a null text stays null with no lines; an empty text is one
-empty line. A document whose chunks were all removed has an empty text. Rows with the same
+empty line. A document whose lines were all removed has an empty text. Rows with the same
 doc_id and text are treated alike (they are one document, so neither copy
 removes the other); rows with the same doc_id and different texts are two
-documents. A null doc_id sorts first. Extra columns are not read here.
+documents, in the order of a hash of their texts. A null doc_id sorts first. Very long texts are
+cut whole, in time and memory in proportion to them. Extra columns are not read here.
 """
 
 from __future__ import annotations
@@ -36,10 +41,8 @@ from pyspark.sql import functions as F
 
 from emporia.llm.common import written
 
-WINDOW = 2
 LONG_LINE_WORDS = 50
-#: Modulus and base of the rolling hash.
-PRIME, BASE = 4294967291, 31
+BLANK = " \r\t"
 
 
 def _is_long(line: Column, words: int) -> Column:
@@ -48,86 +51,70 @@ def _is_long(line: Column, words: int) -> Column:
     return (F.octet_length(line) >= words) & (blanks >= words - 1)
 
 
-def _starts(lines: Column, longs: Column, window: int) -> Column:
-    """Zero-based numbers of the lines that start a chunk."""
-    n = F.size(lines)
-    hashed = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
-
-    def rolled(h: Column) -> Column:
-        def at(_, i):
-            total = F.lit(0).cast("long")
-            for back in range(window - 1, -1, -1):
-                line = F.when(i >= back, F.element_at(h, (i + 1 - back).cast("int"))).otherwise(F.lit(0).cast("long"))
-                total = F.pmod(total * BASE + line, F.lit(PRIME).cast("long"))
-            return total
-        return F.transform(h, at)
-
-    def starts(roll: Column) -> Column:
-        def cut(i: Column) -> Column:
-            here = F.element_at(roll, (i + 1).cast("int"))
-            low = ((i >= 2) & (i <= n - 3)
-                   & (here < F.element_at(roll, F.greatest(i, F.lit(1)).cast("int")))
-                   & (here <= F.element_at(roll, F.least(i + 2, n).cast("int"))))
-            by_length = F.element_at(longs, (i + 1).cast("int")) | F.element_at(longs, F.greatest(i, F.lit(1)).cast("int"))
-            return (i == 0) | by_length | low
-        return F.filter(F.sequence(F.lit(0), n - 1), cut)
-
-    # One-element transforms bind a value once, so the hashes are not worked out anew for each line.
-    return F.flatten(F.transform(F.array(hashed), lambda h: F.flatten(
-        F.transform(F.array(rolled(h)), starts))))
-
-
-def chunked(docs: DataFrame, window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
-    """(doc_id, text) -> doc_id, th, lines, longs, starts; th is a hash of the whole text."""
-    long_line = (lambda x: _is_long(x, long_line_words)) if long_line_words else (lambda x: F.lit(False))
-    return (docs.filter(F.col("text").isNotNull())
-            .select("doc_id", F.xxhash64("text").alias("th"), F.split("text", "\n", -1).alias("lines"))
-            .withColumn("longs", F.transform("lines", long_line))
-            .withColumn("starts", _starts(F.col("lines"), F.col("longs"), window)))
-
-
-def chunk_rows(docs: DataFrame, window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
-    """One row for each chunk that may be removed: doc_id, th, start, len, chunk, h."""
-    spans = F.transform("starts", lambda s, k: F.struct(
-        s.alias("start"), (F.coalesce(F.try_element_at("starts", k + 2), F.size("lines")) - s).alias("len")))
-    counted = F.filter(spans, lambda c: (c["len"] >= 2) | F.element_at("longs", c["start"] + 1))
-    rows = (chunked(docs, window, long_line_words)
-            .select("doc_id", "th", F.inline(F.transform(counted, lambda c: F.struct(
-                c["start"].alias("start"), c["len"].alias("len"),
-                F.array_join(F.slice("lines", c["start"] + 1, c["len"]), "\n").alias("chunk"))))))
-    return rows.filter(F.btrim("chunk", F.lit(" \n\r\t")) != "").withColumn("h", F.xxhash64("chunk"))
-
-
-def repeated_chunks(docs: DataFrame, window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
-    """doc_id, th, start, len of every chunk occurrence but the first one."""
-    chunks = chunk_rows(docs, window, long_line_words)
-    again = chunks.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    # Only chunks whose hash occurs again; written, so the texts are shuffled by hash once for both uses.
-    found = written(chunks.join(again, "h", "left_semi"), "chunks")
+def window_rows(docs: DataFrame, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
+    """(doc_id, text) -> one row for each window: doc_id, th, start, stop (lines, from 0, both included), a, b, between.
+
+    ``a`` and ``b`` are the hashes of the first and the last line, ``between`` that of
+    the blank lines in the middle (0: there are none). th is a hash of the whole text.
+    """
+    at = lambda array, i: F.element_at(array, (i + 1).cast("int"))
+    lines = (docs.filter(F.col("text").isNotNull())
+             .select("doc_id", F.xxhash64("text").alias("th"), F.split("text", "\n", -1).alias("lines")))
+    solid = (lines.withColumn("h", F.transform("lines", lambda x: F.xxhash64(x)))
+             .withColumn("solid", F.filter(F.sequence(F.lit(0), F.size("lines") - 1),
+                                           lambda i: F.btrim(at(F.col("lines"), i), F.lit(BLANK)) != "")))
+
+    def window(i: Column, j: Column) -> Column:
+        middle = F.when(j - i > 1, F.xxhash64(F.slice("h", i + 2, j - i - 1))).otherwise(F.lit(0).cast("long"))
+        return F.struct(i.alias("start"), j.alias("stop"), at(F.col("h"), i).alias("a"), at(F.col("h"), j).alias("b"), middle.alias("between"))
+
+    pairs = F.transform(F.slice("solid", F.lit(1), F.greatest(F.size("solid") - 1, F.lit(0))),
+                        lambda i, k: window(i, F.element_at("solid", k + 2)))
+    if long_line_words:
+        alone = F.transform(F.filter("solid", lambda i: _is_long(at(F.col("lines"), i), long_line_words)), lambda i: window(i, i))
+        pairs = F.concat(pairs, alone)
+    return solid.select("doc_id", "th", F.inline(pairs))
+
+
+def ambiguous_hashes(docs: DataFrame) -> DataFrame:
+    """(h) of hashes that stand for lines of different bytes (normally none)."""
+    lines = docs.filter(F.col("text").isNotNull()).select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    return (lines.groupBy(F.xxhash64("line").alias("h")).agg(F.min("line").alias("lo"), F.max("line").alias("hi"))
+            .filter("lo <> hi").select("h"))
+
+
+def repeated_windows(docs: DataFrame, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
+    """doc_id, th, start, stop of every window that stands at an earlier place too."""
+    windows = window_rows(docs, long_line_words).withColumn("lone", F.col("start") == F.col("stop"))
+    key = ["a", "b", "between", "lone"]
+    again = windows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
+    found = written(windows.join(again, key, "left_semi"), "windows")
     place = F.struct("doc_id", "th", "start")
-    first = found.groupBy("h", "chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return (found.join(first.select("h", "chunk", "first"), ["h", "chunk"])
-            .filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "th", "start", "len"))
+    first = found.groupBy(*key).agg(F.min(place).alias("first"))
+    doubtful = written(ambiguous_hashes(docs), "ambiguous")
+    return (found.join(first, key).filter(~place.eqNullSafe(F.col("first")))
+            .join(doubtful.withColumnRenamed("h", "a"), "a", "left_anti").join(doubtful.withColumnRenamed("h", "b"), "b", "left_anti")
+            .select("doc_id", "th", "start", "stop"))
 
 
-def _deduped(docs: DataFrame, id_col: str, text_col: str, window: int, long_line_words: int | None) -> DataFrame:
+def _deduped(docs: DataFrame, id_col: str, text_col: str, long_line_words: int | None) -> DataFrame:
     """own (struct of the row's other columns), doc_id, text, n_lines, n_removed."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     base = docs.select(F.struct(*others, F.lit(1).alias("_")).alias("own"),
                        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    gone = (repeated_chunks(base.select("doc_id", "text"), window, long_line_words)
+    gone = (repeated_windows(base.select("doc_id", "text"), long_line_words)
             .groupBy(F.col("doc_id").alias("gone_id"), F.col("th").alias("gone_th"))
-            .agg(F.collect_set(F.struct("start", "len")).alias("gone")))  # at most one document's chunks
+            .agg(F.collect_set(F.struct("start", "stop")).alias("gone")))  # at most one document's windows
     joined = base.withColumn("th", F.xxhash64("text")).join(
         gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("th") == F.col("gone_th")), "left")
     lines = F.split("text", "\n", -1)
     # The numbers of the removed lines; array_except works with a hash set.
-    removed = F.flatten(F.transform("gone", lambda c: F.sequence(c["start"], c["start"] + c["len"] - 1)))
+    removed = F.flatten(F.transform("gone", lambda c: F.sequence(c["start"], c["stop"])))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
     # The one-element array binds the lines once for all of their numbers.
     text = F.element_at(F.transform(F.array(lines), lambda all_lines: F.array_join(
         F.transform(kept, lambda i: F.element_at(all_lines, i + 1)), "\n")), 1)
-    n_removed = F.coalesce(F.aggregate("gone", F.lit(0), lambda a, c: a + c["len"]), F.lit(0)).cast("long")
+    n_removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(kept)).cast("long")
     return joined.select(
         "own", "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(text).alias("text"),
         F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines"),
@@ -135,20 +122,20 @@ def _deduped(docs: DataFrame, id_col: str, text_col: str, window: int, long_line
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
+                long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, text without the repeated chunks, n_lines, n_removed (lines)."""
-    return (_deduped(docs.select(id_col, text_col), id_col, text_col, window, long_line_words)
+    return (_deduped(docs.select(id_col, text_col), id_col, text_col, long_line_words)
             .select("doc_id", "text", "n_lines", "n_removed"))
 
 
 def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars",
-               window: int = WINDOW, long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
+               long_line_words: int | None = LONG_LINE_WORDS) -> DataFrame:
     """The rows of ``docs`` with all their columns and the new text (and its length).
 
-    Rows of which nothing is left go: all their chunks stand in other documents.
+    Rows of which nothing but blanks is left go: all their lines stand at earlier places.
     """
-    out = _deduped(docs, id_col, text_col, window, long_line_words)
-    out = out.filter((F.col("n_removed") == 0) | (F.col("text") != ""))
+    out = _deduped(docs, id_col, text_col, long_line_words)
+    out = out.filter((F.col("n_removed") == 0) | (F.btrim("text", F.lit(BLANK + "\n")) != ""))
     length = F.when(F.col("n_removed") > 0, F.length("text"))
     return out.select(*[
         F.col("text").alias(c) if c == text_col
@@ -156,41 +143,25 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         else F.col("own")[c].alias(c) for c in docs.columns])
 
 
-def oracle_sql(window: int = WINDOW, long_line_words: int = LONG_LINE_WORDS, source: str = "documents") -> str:
-    """DuckDB SQL for ``dedup_lines`` over a table with unique doc_ids."""
-    roll = "0"
-    for back in range(window - 1, -1, -1):
-        line = "h" if back == 0 else f"coalesce(lag(h, {back}) OVER d, 0)"
-        roll = f"(({roll}) * {BASE} + {line}) % {PRIME}"
+def oracle_sql(long_line_words: int = LONG_LINE_WORDS, source: str = "documents") -> str:
+    """DuckDB SQL for ``dedup_lines`` over a table with unique doc_ids: windows compared as texts."""
     return f"""
-WITH split AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i,
-         len(string_split(text, chr(10))) AS n
-  FROM {source} WHERE text IS NOT NULL),
-hashed AS (
-  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h,
-         length(line) - length(replace(line, ' ', '')) >= {long_line_words - 1} AS long_line FROM split),
-rolled AS (
-  SELECT *, {roll} AS r, lag(long_line) OVER d AS long_before FROM hashed
-  WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-cuts AS (
-  SELECT *, CASE WHEN i = 0 OR long_line OR long_before OR (i >= 2 AND i <= n - 3
-         AND r < lag(r) OVER d AND r <= lead(r) OVER d) THEN 1 ELSE 0 END AS cut FROM rolled
-  WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-placed AS (
-  SELECT *, sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM cuts),
-chunks AS (
-  SELECT doc_id, c, min(i) AS start, count(*) AS len, bool_or(long_line) AS long_line,
-         string_agg(line, chr(10) ORDER BY i) AS chunk FROM placed GROUP BY doc_id, c),
+WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM {source} WHERE text IS NOT NULL),
+split AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS i FROM docs),
+solid AS (
+  SELECT *, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM split WHERE trim(line, ' ' || chr(13) || chr(9)) <> ''),
+windows AS (
+  SELECT s.doc_id, s.i AS start, s.j AS stop, array_to_string(d.lines[s.i + 1:s.j + 1], chr(10)) AS chunk
+  FROM solid s JOIN docs d ON d.doc_id IS NOT DISTINCT FROM s.doc_id WHERE s.j IS NOT NULL
+  UNION ALL
+  SELECT doc_id, i, i, line FROM solid WHERE length(line) - length(replace(line, ' ', '')) >= {long_line_words - 1}),
 ranked AS (
-  SELECT doc_id, c, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, start) AS k
-  FROM chunks WHERE (len >= 2 OR long_line) AND trim(chunk, ' ' || chr(10) || chr(13) || chr(9)) <> ''),
-gone AS (SELECT doc_id, c FROM ranked WHERE k > 1),
+  SELECT *, row_number() OVER (PARTITION BY start = stop, chunk ORDER BY doc_id, start) AS k FROM windows),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, stop + 1)) AS i FROM ranked WHERE k > 1),
 kept AS (
-  SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.i) FILTER (g.c IS NULL) AS text,
-         count(*) AS n_lines, count(g.c) AS n_removed
-  FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.c = g.c GROUP BY p.doc_id)
+  SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.i) FILTER (g.i IS NULL) AS text,
+         count(*) AS n_lines, count(g.i) AS n_removed
+  FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
        coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
 FROM {source} d LEFT JOIN kept k ON d.doc_id = k.doc_id"""

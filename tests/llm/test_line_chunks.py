@@ -1,41 +1,27 @@
-import hashlib
 import random
 
 import duckdb
+import pytest
 from helpers import SCHEMA, as_set, empty_docs, odd_docs, sentence
+from pyspark.sql import functions as F
 
 from emporia.llm import line_chunks as L
 
 
-def brute(rows, window=L.WINDOW, long_words=L.LONG_LINE_WORDS):
+def brute(rows, long_words=L.LONG_LINE_WORDS):
     """{(doc_id, text): new text}; rows with the same id and text are one document."""
-    chunks = []
-    for d, t in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
-        lines = t.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        roll = []
-        for i in range(len(lines)):
-            total = 0
-            for j in range(window - 1, -1, -1):
-                total = (total * L.BASE + (h[i - j] if i >= j else 0)) % L.PRIME
-            roll.append(total)
-        is_long = [x.count(" ") >= long_words - 1 for x in lines]
-        n, at = len(lines), [0]
-        for i in range(1, n):
-            if is_long[i] or is_long[i - 1] or (2 <= i <= n - 3 and roll[i] < roll[i - 1] and roll[i] <= roll[i + 1]):
-                at.append(i)
-        for a, b in zip(at, [*at[1:], n]):
-            chunks.append(((d, t), a, lines[a:b], b - a >= 2 or is_long[a]))
     seen, kept = set(), {}
-    for doc, a, lines, counts in chunks:
-        body = "\n".join(lines)
-        gone = counts and body.strip(" \n\r\t") and body in seen
-        if counts:
-            seen.add(body)
-        kept.setdefault(doc, [])
-        if not gone:
-            kept[doc] += lines
-    return {doc: "\n".join(x) for doc, x in kept.items()}
+    for d, t in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines, gone = t.split("\n"), set()
+        solid = [i for i, x in enumerate(lines) if x.strip(" \r\t")]
+        windows = list(zip(solid, solid[1:])) + [(i, i) for i in solid if lines[i].count(" ") >= long_words - 1]
+        for i, j in sorted(windows):
+            key = (i == j, *lines[i:j + 1])
+            if key in seen:
+                gone |= set(range(i, j + 1))
+            seen.add(key)
+        kept[d, t] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return kept
 
 
 def corpus(seed=3):
@@ -80,6 +66,40 @@ def test_single_short_lines_and_blank_chunks_stay(spark):
     assert {r.n_removed for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
 
 
+@pytest.mark.parametrize("k", range(2, 9))
+def test_short_passages_go_whole_from_all_documents_but_one(spark, k):
+    rng = random.Random(k)
+    passage = [sentence(rng, rng.randint(1, 6)) for _ in range(k)]
+    rows = [(d, "\n".join([*(sentence(rng, 9) for _ in range(rng.randint(0, 3))), *passage, *(sentence(rng, 9) for _ in range(rng.randint(0, 3)))]))
+            for d in range(20)]
+    got = {r.doc_id: r for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].text == rows[0][1] and got[0].n_removed == 0
+    for d, t in rows[1:]:
+        assert got[d].text == "\n".join(x for x in t.split("\n") if x not in passage) and got[d].n_removed == k
+
+
+def test_lines_repeated_in_one_text_and_blanks_between(spark):
+    rows = [(1, "a\nb\na\nb\nc"), (2, "x\n\n \ny\nz"), (3, "q\nx\n\n \ny"), (4, "x\n\ny"), (5, "r\nr\nr"), (6, "b\n\nq")]
+    got = {r.doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # 4 differs in the blanks; of 5 one line is left.
+    assert got == {1: "a\nb\nc", 2: rows[1][1], 3: "q", 4: rows[3][1], 5: "r", 6: rows[5][1]} == {d: x for (d, _), x in brute(rows).items()}
+
+
+def test_a_hash_for_two_lines_removes_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "aa\nbb"), (2, "aa\nbb"), (3, "cc\ndd"), (4, "cc\ndd")], "doc_id long, text string")
+    bad = docs.filter("doc_id = 1").select(F.xxhash64(F.lit("aa")).alias("h"))
+    assert L.ambiguous_hashes(docs).count() == 0
+    monkeypatch.setattr(L, "ambiguous_hashes", lambda _: bad)
+    assert {r.doc_id: r.n_removed for r in L.dedup_lines(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 2}
+
+
+def test_very_long_texts(spark):
+    long = "\n".join(f"line {i} of many" for i in range(40_000))
+    rows = [(1, long), (2, f"head\n{long}\ntail"), (3, "\n" * 100_000), (4, "w " * 200_000)]
+    got = {r.doc_id: r for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == 0 and got[2].text == "head\ntail" and got[3].n_removed == got[4].n_removed == 0
+
+
 def test_odd_rows_and_columns(spark):
     docs = odd_docs(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
