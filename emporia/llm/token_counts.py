@@ -9,12 +9,17 @@ between words. Reading a letter
   number of tokens of the fragment and leads to the letter's own state.
 
 The end of a word emits the number of tokens of its last fragment (with the
-word-end mark) and leads back to the start. States and their numbers are compiled
-when they are first reached (as lazy automata of regular-expression engines
-do) and kept up to a bound; then compilation starts anew. A run between two blanks
-leads from start to start: such long transitions are compiled for all new runs of a
-batch at once, with the same cuts and the same numbers. What is counted does not
-depend on what is remembered.
+word-end mark) and leads back to the start.
+
+States are compiled when they are first reached (as lazy automata of
+regular-expression engines do), from the states of shorter fragments: each has its
+number of tokens and its last token. Tokens stand next to each other in an encoding
+exactly if no merge ever crosses the place between them, which the two tokens alone
+decide. So the last token of a fragment is the one end of it that is a token, and that may
+follow the last token of what is before; the number is one more than there. No text is
+encoded for this, neither by the library nor by merging. States are kept up to a bound; then
+compilation starts anew. The numbers of whole runs between blanks are remembered, too, so a
+word is stepped through when it is new. What is counted does not depend on what is remembered.
 
 Texts are read in chunks. The map of a chunk says, for any state at its
 start, which state follows and how many tokens come out. White space always
@@ -44,9 +49,10 @@ from emporia.llm.bpe import WORD_BPE, WordBPE, merge
 from emporia.llm.common import Memo, map_rows, pieces, worker_model
 
 LIMIT = 2048
-CHUNK_CHARS = 1 << 15
-STATES = 100_000
-RUNS = 150_000  # long transitions that are remembered, in each of two generations
+CHUNK_CHARS = 1 << 11
+STATES = 400_000
+RUNS = 150_000  # runs whose numbers are remembered, in each of two generations
+PAIRS = 500_000  # pairs of tokens known to be neighbours or not
 BATCH_CHARS = 2_000_000
 #: A fragment longer than this is counted at its end without states for its prefixes.
 LONGEST_STATE = 64
@@ -54,32 +60,147 @@ LONGEST_STATE = 64
 START = 0
 
 
+class Neighbours:
+    """Which tokens may stand next to each other in an encoding.
+
+    While a token's letters are merged, its right edge is a growing part of it,
+    and the next token's left edge likewise, each replaced when a merge of some rank takes it
+    up. A merge across the place between the two happens if at some time their
+    edges are a merge that comes before the ones that take up either edge; among
+    equal ranks the left one comes first.
+    """
+
+    def __init__(self, bpe: WordBPE):
+        self.bpe = bpe
+        self.rank = {pair: r for pair, (r, _) in bpe.ranks.items()}
+        made: dict[int, int] = {}
+        for r, new in sorted(bpe.ranks.values()):
+            made.setdefault(new, r)
+        # Ranks tell the order in time only if every part was made before it is merged.
+        if any(made.get(x, -1) >= r for pair, r in self.rank.items() for x in pair):
+            raise ValueError("the vocabulary's merges are out of order")
+        self.edges: dict[int, tuple[list, list] | None] = {}
+        self.known: dict[tuple[int, int], bool] = {}
+
+    def edges_of(self, token: int):
+        """((part, rank of the merge that takes it up), ...) of the left and the right edge; None if no text gives the token."""
+        found = self.edges.get(token, 0)
+        if found == 0:
+            text, end = self.bpe.tokens[token], self.bpe.end
+            bare = text.removesuffix(end) if end else text
+            letters = [*bare[:-1], bare[-1:] + text[len(bare):]] if bare else [text]
+            found = None
+            if all(x in self.bpe.vocab for x in letters):
+                parts = [self.bpe.vocab[x] for x in letters]
+                left, right = [(-1, parts[0])], [(-1, parts[-1])]
+                while len(parts) > 1:
+                    best = min(((self.rank[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in self.rank), default=None)
+                    if best is None:
+                        break
+                    r, i = best
+                    new = self.bpe.ranks[parts[i], parts[i + 1]][1]
+                    if i == 0:
+                        left.append((r, new))
+                    if i == len(parts) - 2:
+                        right.append((r, new))
+                    parts[i:i + 2] = [new]
+                if parts == [token]:
+                    never = len(self.rank)
+                    taken = lambda edge: [(part, edge[k + 1][0] if k + 1 < len(edge) else never) for k, (_, part) in enumerate(edge)]
+                    found = taken(left), taken(right)
+            self.edges[token] = found
+        return found
+
+    def may_follow(self, first: int, second: int) -> bool:
+        key = first, second
+        known = self.known.get(key)
+        if known is None:
+            if len(self.known) > PAIRS:
+                self.known.clear()
+            known = self.known[key] = self._may_follow(first, second)
+        return known
+
+    def _may_follow(self, first: int, second: int) -> bool:
+        a, b = self.edges_of(first), self.edges_of(second)
+        if a is None or b is None:
+            return False
+        a, b, i, j, rank, never = a[1], b[0], 0, 0, self.rank, len(self.rank)
+        while True:
+            (x, until_x), (y, until_y) = a[i], b[j]
+            r = rank.get((x, y))
+            if r is not None and r < until_x and r <= until_y:
+                return False
+            if until_x == until_y == never:
+                return True
+            if until_x <= until_y:
+                i += 1
+            else:
+                j += 1
+
+
 class CountTransducer:
     """The transducer of one vocabulary."""
 
     def __init__(self, name: str, states: int = STATES, runs: int = RUNS):
         self.bpe = WordBPE(name, memo=0)
+        self.near = Neighbours(self.bpe)
+        #: Of tokens without and with the word-end mark: each end of a token -> the token it is, or -1.
+        self.tails: dict[str, dict[str, int]] = {"": {}, self.bpe.end: {}}
+        for text, token in self.bpe.vocab.items():
+            marked = self.bpe.end and text.endswith(self.bpe.end) and text != self.bpe.end
+            bare = text.removesuffix(self.bpe.end) if marked else text
+            known = self.tails[self.bpe.end if marked else ""]
+            for i in range(1, len(bare)):
+                known.setdefault(bare[i:], -1)
+            known[bare] = token
         self.limit = states
-        self.fragments = Memo(self._new_fragments, runs)
         self.runs = Memo(self._new_runs, runs)
+        #: Transitions taken so far, and states compiled.
+        self.steps = self.compiled = 0
         self._reset()
 
     def _reset(self) -> None:
         self.fragment: list[str] = [""]  # of each state
         self.move: list[dict[str, tuple[int, int]]] = [{}]  # letter -> (next state, tokens)
+        self.tokens: list[tuple[int, int]] = [(0, -1)]  # number of tokens of the fragment, and the last one
         self.at_end: list[int | None] = [0]  # tokens if the word ends here
         self.own: dict[str, int] = {}  # state of a fragment
 
+    def _last_token(self, fragment: str, mark: str) -> tuple[int, int]:
+        """(number of tokens, last token) of a fragment all of whose shorter beginnings have states."""
+        tails, own, tokens, may_follow = self.tails[mark], self.own, self.tokens, self.near.may_follow
+        at, ends = len(fragment), []
+        while at:  # the ends of the fragment that are tokens, or ends of tokens
+            token = tails.get(fragment[at - 1:])
+            if token is None:
+                break
+            at -= 1
+            if token >= 0:
+                ends.append((at, token))
+        while ends:  # the longest first; exactly one fits
+            at, token = ends.pop()
+            if at:
+                count, before = tokens[own[fragment[:at]]]
+                if may_follow(before, token):
+                    return count + 1, token
+            elif self.near.edges_of(token):
+                return 1, token
+        raise ValueError(f"no token ends {fragment!r}")
+
     def _state(self, fragment: str) -> int:
         s = self.own.get(fragment)
         if s is None:
+            self.compiled += 1
+            found = self._last_token(fragment, "")
             s = self.own[fragment] = len(self.fragment)
             self.fragment.append(fragment)
             self.move.append({})
+            self.tokens.append(found)
             self.at_end.append(None)
         return s
 
     def _count(self, fragment: str, last: bool) -> int:
+        """Tokens of a fragment without states, by merging."""
         symbols = list(fragment)
         if last:
             symbols[-1] += self.bpe.end
@@ -93,7 +214,7 @@ class CountTransducer:
         elif before[-1] + letter in self.bpe.inside:
             step = self._state(before + letter), 0
         else:
-            step = self._state(letter), self._count(before, False)
+            step = self._state(letter), self.tokens[state][0]
         self.move[state][letter] = step
         return step
 
@@ -109,9 +230,10 @@ class CountTransducer:
             step = move[state].get(letter) or self._compile(state, letter)
             state = step[0]
             out += step[1]
+        self.steps += len(word) + 1
         n = self.at_end[state]
         if n is None:
-            n = self.at_end[state] = self._count(self.fragment[state], True)
+            n = self.at_end[state] = self._last_token(self.fragment[state], self.bpe.end)[0] if state else 0
         return out + n
 
     def run(self, run: str) -> int:
@@ -119,16 +241,8 @@ class CountTransducer:
         return sum(map(self.word, self.bpe.words([run])[0])) if run else 0
 
     def _new_runs(self, runs: list[str]) -> list[int]:
-        """Long transitions: the same cuts and numbers as ``run``, for many runs at once."""
-        fragments = self.bpe.unit_fragments(runs)
-        known = self.fragments.learn({k for keys in fragments for k in keys})
-        return [sum([known[k] for k in keys]) for keys in fragments]
-
-    def _new_fragments(self, keys: list[str]) -> list[int]:
-        found = {}
-        for some, counts, _ in self.bpe.encode_fragments(keys):
-            found.update(zip(some, counts))
-        return [found[k] for k in keys]
+        """``run`` for many runs, which are normalised and split into words together."""
+        return [sum(map(self.word, words)) for words in self.bpe.words(runs)]
 
     def chunk_map(self, chunk: str, known: dict[str, int] | None = None) -> tuple[str, int, str | None]:
         """(head, tokens between, tail); the tail is None if the chunk has no white space."""
