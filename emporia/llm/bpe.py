@@ -137,7 +137,6 @@ class WordBPE:
         self._white = re.compile(f"[{WHITE_SPACE}]+")
         self._fragments = Memo(self._new_fragments, memo)
         self._units = Memo(self._new_units, memo)
-        self._decoded = Memo(lambda keys: [self.decode(map(int, k.split(" "))) for k in keys], memo)
         # Letters below U+0250 whose lower case is one such letter: text of these and of
         # printable ASCII is normalised and split here, all other text by the library.
         simple = [c for c in latin_letters() if len(c.lower()) == 1 and ord(c.lower()) < 0x250]
@@ -175,12 +174,14 @@ class WordBPE:
                 done = self._encoders[last].encode("".join(some) if last else " ".join(some), add_special_tokens=False)
                 yield some, np.bincount(np.array(done.word_ids, np.int64), minlength=len(some)).tolist(), done
 
-    def _new_fragments(self, keys: list[str]) -> list[tuple[int, str]]:
+    def _new_fragments(self, keys: list[str]) -> list[tuple[int, str, str]]:
+        """(number of ids, ids, decoded) of fragments; what is decoded is looked up by the ids."""
         found = {}
         for some, counts, done in self.encode_fragments(keys):
-            ids, a = list(map(str, done.ids)), 0
+            ids, a = done.ids, 0
             for k, n in zip(some, counts):
-                found[k] = (n, " ".join(ids[a:a + n]))
+                own = ids[a:a + n]
+                found[k] = (n, " ".join(map(str, own)), self.decode(own))
                 a += n
         return [found[k] for k in keys]
 
@@ -217,7 +218,7 @@ class WordBPE:
             out.append(keys)
         return out
 
-    def _new_units(self, units: list[str]) -> list[tuple[int, str]]:
+    def _new_units(self, units: list[str]) -> list[tuple[int, str, str]]:
         fragments = self.unit_fragments(units)
         known = self._fragments.learn({k for keys in fragments for k in keys})
         out = []
@@ -226,7 +227,7 @@ class WordBPE:
                 out.append(known[keys[0]])
             else:
                 found = [known[k] for k in keys]
-                out.append((sum([f[0] for f in found]), " ".join([f[1] for f in found])))
+                out.append((sum([f[0] for f in found]), " ".join([f[1] for f in found]), " ".join([f[2] for f in found])))
         return out
 
     def plain_units(self, text: str) -> list[str]:
@@ -244,25 +245,20 @@ class WordBPE:
             out += [part] if k % 2 else self.plain_units(part)
         return out
 
-    def parts(self, texts: list[str | None]) -> list[list[tuple[int, str]]]:
-        """(number of ids, ids) of the units of each text in order."""
+    def parts(self, texts: list[str | None]) -> list[list[tuple[int, str, str]]]:
+        """(number of ids, ids, decoded) of the units of each text in order."""
         split = [self.text_units(t or "") for t in texts]
         known = self._units.learn(set().union(*split) - self.special.keys())
         out = []
         for t, units in zip(texts, split):
             if self.mark in (t or ""):
-                out.append([(1, str(self.special[u])) if u in self.special else known[u] for u in units])
+                out.append([(1, str(self.special[u]), self.tokens[self.special[u]]) if u in self.special else known[u] for u in units])
             else:
                 out.append([known[u] for u in units])
         return out
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for _, ids in self.parts([text])[0] if ids for i in ids.split(" ")]
-
-    def decode_parts(self, rows: list[list[str]]) -> list[str]:
-        """The decoded text of each list of units, given as ids joined by blanks: by the ids alone, unit by unit."""
-        known = self._decoded.learn({ids for row in rows for ids in row})
-        return [" ".join([known[ids] for ids in row]) for row in rows]
+        return [int(i) for _, ids, _ in self.parts([text])[0] if ids for i in ids.split(" ")]
 
     def decode(self, ids) -> str:
         return " ".join([self.tokens[i] for i in ids])
@@ -295,17 +291,17 @@ def encode_texts(docs: DataFrame, tokenizer: str = WORD_BPE, id_col: str = "doc_
 
 
 def encode_digests(docs: DataFrame, tokenizer: str = WORD_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of ``encode_texts``' columns, the decoded text made from the ids."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of ``encode_texts``' columns, without building them."""
     def make():
         bpe = word_bpe(tokenizer)
 
         def step(batch):
             for a, rows in _in_batches(bpe, batch.column(1).to_pylist()):
-                ids = [[p[1] for p in r if p[0]] for r in rows]
+                found = [r if all([p[0] for p in r]) else [p for p in r if p[0]] for r in rows]
                 yield {"doc_id": batch.column(0).slice(a, len(rows)),
-                       "n_tokens": np.array([sum([p[0] for p in r]) for r in rows], np.int64),
-                       "ids_sha256": [sha256(" ".join(r).encode()).hexdigest() for r in ids],
-                       "decoded_sha256": [sha256(t.encode()).hexdigest() for t in bpe.decode_parts(ids)]}
+                       "n_tokens": np.array([sum([p[0] for p in r]) for r in found], np.int64),
+                       "ids_sha256": [sha256(" ".join([p[1] for p in r]).encode()).hexdigest() for r in found],
+                       "decoded_sha256": [sha256(" ".join([p[2] for p in r]).encode()).hexdigest() for r in found]}
         return step
 
     return map_rows(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")),
