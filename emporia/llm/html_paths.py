@@ -6,14 +6,24 @@ text length and the punctuation marks of all its blocks are summed and divided
 by the number of blocks. Article paragraphs share a path with long, punctuated
 text; menus, notices and footers have paths with short text and few marks.
 
-The two ratios are smoothed along the page with a short Gaussian window, fused
-by their product (less what lies in links) and cut at a threshold that follows
-the page's own spread. Blocks at or above it are content. The content's
-container - the smallest sectioning element that holds nearly all of its
-text - then gives the article: all its blocks that are not boilerplate by their
-own tags (nav, footer, aside, form, script, ...) or by the names a site gives
-them (class, id or role: ad, menu, comments, ...), so short headings and
-last words stay and drop out with nothing else.
+The length ratio is smoothed along the page with a short Gaussian window, so a short
+paragraph among long ones counts with them, and fused with the path's own punctuation ratio
+by their product (less what lies in links, and weighted down where a site's class or
+id names speak of adverts, menus, comments and the like) and cut at a threshold that
+follows the page's own spread. Blocks at or above it are content.
+
+What is content decides what else stays, so that short headings, list items and last words are
+kept with the text they belong to:
+
+* the *container* is the smallest sectioning element that holds nearly all
+  selected text. All its blocks stay, except in inner containers whose names are weighted
+  down and that hold no content themselves;
+* a sectioning element outside of it that holds content directly stays likewise;
+* a heading in front of content stays, wherever it stands.
+
+Nothing else does. If the container is the whole page, only sections that hold content
+directly stay. Elements that by their own tag or role are no article (nav, footer,
+aside, form, script, a page's header, hidden ones) are left out before all this.
 
 Output text: character references decoded, white space in a block as one
 space, blocks trimmed and joined in page order by one space.
@@ -23,7 +33,8 @@ Pages are independent: no shuffle, no state; memory is one Arrow batch.
 Defined results: a null or empty page gives an empty text; a page without markup is
 all content. Broken markup (unclosed or stray tags, unquoted attributes, an
 unended comment) is read as browsers do in the common cases. Extra columns are
-not read; repeated rows give repeated results; an empty table an empty result.
+not read; repeated rows give repeated results; an empty table an empty result. Very
+long pages are read whole, in time that grows with their length and nesting.
 """
 
 from __future__ import annotations
@@ -38,12 +49,16 @@ from pyspark.sql import functions as F
 
 from emporia.llm.common import map_rows
 
-#: Share of the fused ratios' standard deviation that is the threshold.
+#: The threshold, as a share of the fused ratios' standard deviation with a part of their mean (pages of
+#: equal paragraphs have hardly any deviation).
 THRESHOLD = 0.5
+OF_MEAN = 0.2
 #: Weights of a block, its neighbours and theirs.
 SMOOTH = np.exp(-np.arange(-2, 3) ** 2 / 2.0)
 #: Share of the selected text that the container has to hold.
 HOLDS = 0.9
+#: Weight of what stands in an element whose names speak of boilerplate.
+NAMED_WEIGHT = 0.01
 
 # Element names of HTML, by what they mean for reading.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,7 +72,11 @@ BOILERPLATE = frozenset("nav footer aside form menu dialog button select option
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
-#: Words in class, id or role that mark boilerplate.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that, with such names, are a part of the page of their own; a paragraph or list item is not.
+HOLDERS = SECTION | {"ul", "ol", "dl", "table", "figure"}
+ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+#: Words in class or id that speak of boilerplate; they weigh a block down and decide nothing by themselves.
 NAMED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|breadcrumbs?|comments?|commentlist|contentinfo|cookies?|"
     r"consent|disqus|dialog|footer|footnav|form|gdpr|hidden|login|masthead|menu|modal|nav|navbar|navigation|newsletter|"
@@ -75,14 +94,17 @@ MARKS = re.compile(r"[.,;:!?。，、；：！？…·،؟।]")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "boilerplate", "path")
+    __slots__ = ("tag", "parent", "boilerplate", "path", "weight", "inner")
 
-    def __init__(self, tag: str, parent: Element | None, boilerplate: bool, named: str = ""):
+    def __init__(self, tag: str, parent: Element | None, boilerplate: bool, named: str = "", suspect: bool = False):
         self.tag, self.parent = tag, parent
         self.boilerplate = boilerplate or (parent is not None and parent.boilerplate)
         step = f"{tag}.{named}" if named else tag
         above = parent.path if parent else ""
         self.path = above if tag in INLINE else f"{above}/{step}"
+        self.weight = (parent.weight if parent else 1.0) * (NAMED_WEIGHT if suspect else 1.0)
+        #: How many containers with such names the element stands in.
+        self.inner = (parent.inner if parent else 0) + (suspect and tag in HOLDERS)
 
 
 class Block:
@@ -92,33 +114,32 @@ class Block:
         self.element, self.text, self.linked = element, [], 0
 
 
-def _is_boilerplate(tag: str, attributes: str, parent: Element) -> tuple[bool, str]:
-    """(whether the tag or its names mark boilerplate, the class for its path)."""
+def _read_attributes(tag: str, attributes: str, parent: Element) -> tuple[bool, str, bool]:
+    """(no article by tag, role or being hidden; the class for its path; whether its names speak of boilerplate)."""
     if tag in BOILERPLATE:
-        return True, ""
+        return True, "", False
     if tag == "header":  # a page's header, but not an article's
         e = parent
-        while e:
-            if e.tag in ("article", "main", "section"):
-                return False, ""
+        while e and e.tag not in ("article", "main", "section"):
             e = e.parent
-        return True, ""
+        if e is None:
+            return True, "", False
     if not attributes or tag in ("html", "body"):
-        return False, ""
-    named = ""
+        return False, "", False
+    named, suspect = "", False
     for name, double, single, bare in ATTRIBUTE.findall(attributes):
         name = name.lower()
         value = double or single or bare
-        if name in ("class", "id", "role") and value:
+        if name == "role" and value.lower() in ROLES:
+            return True, named, suspect
+        if name in ("class", "id") and value:
             named = named or (value if name == "class" else "")
-            if tag not in ("article", "main") or "comment" in value.lower():
-                if NAMED.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)):
-                    return True, named
+            suspect = suspect or bool(NAMED.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)))
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True, named
+            return True, named, suspect
         elif name == "style" and re.search(r"display\s*:\s*none", value):
-            return True, named
-    return False, named
+            return True, named, suspect
+    return False, named, suspect
 
 
 def blocks(html: str) -> list[Block]:
@@ -206,50 +227,67 @@ def blocks(html: str) -> list[Block]:
                         break
                 elif name in scope or (not closing and name not in INLINE):
                     break
-        bad, named = _is_boilerplate(tag, attributes, stack[-1])
-        stack.append(Element(tag, stack[-1], bad, named))
+        stack.append(Element(tag, stack[-1], *_read_attributes(tag, attributes, stack[-1])))
         if tag == "a":
             links += 1
     return out
 
 
-def main_text(html: str | None) -> str:
-    """The main text of one page."""
+def live_blocks(html: str | None) -> list[tuple[Block, str]]:
+    """The page's blocks that may be content, with their cleaned texts."""
     found = []
     for b in blocks(html or ""):
         clean = " ".join(unescape("".join(b.text)).split())
-        if clean:
+        if clean and not b.element.boilerplate:
             found.append((b, clean))
-    live = [(b, t) for b, t in found if not b.element.boilerplate]
-    if len(live) < 2:
-        return live[0][1] if live else ""
+    return found
+
 
-    # Ratios of each path: text and marks for each of its blocks; links count against it.
-    total = defaultdict(lambda: [0, 0, 0, 0])
+def fused_ratios(live: list[tuple[Block, str]]) -> np.ndarray:
+    """The fused, weighted ratio of each block: path sums, the length smoothed along the page, multiplied."""
+    total = defaultdict(lambda: [0, 0, 0, 0])  # blocks, text, marks and linked text of each path
     for b, t in live:
         s = total[b.element.path]
         s[0] += 1
         s[1] += len(t)
         s[2] += len(MARKS.findall(t))
         s[3] += min(b.linked, len(t))
-    path = [b.element.path for b, _ in live]
-    length = np.array([total[p][1] / total[p][0] for p in path])
-    marks = np.array([(1 + total[p][2]) / total[p][0] for p in path])
-    free = np.array([1 - total[p][3] / max(1, total[p][1]) for p in path])
-    n = len(live)
-    weight = np.convolve(np.ones(n), SMOOTH, "same")[:n] if n >= 5 else None
+    of = [total[b.element.path] for b, _ in live]
+    length = np.array([s[1] / s[0] for s in of])
+    marks = np.array([(1 + s[2]) / s[0] for s in of])
+    free = np.array([1 - s[3] / max(1, s[1]) for s in of])
+    weight = np.array([b.element.weight for b, _ in live])
+    n, reach = len(live), len(SMOOTH) // 2
+    near = lambda x: np.convolve(x, SMOOTH)[reach:reach + n]
+    return near(length) / near(np.ones(n)) * marks * free * weight
+
 
-    def smooth(x):
-        return np.convolve(x, SMOOTH, "same") / weight if n >= 5 else x
+def cut(fused: np.ndarray, threshold: float = THRESHOLD) -> float:
+    return threshold * (fused.std() + OF_MEAN * fused.mean())
 
-    fused = smooth(length) * smooth(marks) * free
-    content = fused >= THRESHOLD * fused.std()
 
-    # The smallest sectioning element that holds nearly all selected text.
+def _section(e: Element) -> Element:
+    """The sectioning element that holds an element, or the root."""
+    while e.tag not in SECTION and e.parent:
+        e = e.parent
+    return e
+
+
+def main_text(html: str | None, threshold: float = THRESHOLD) -> str:
+    """The main text of one page."""
+    live = live_blocks(html)
+    if not live:
+        return ""
+    fused = fused_ratios(live)
+    content = fused >= cut(fused, threshold)
+
+    # The smallest sectioning element that holds nearly all selected text, and the sections that hold some directly.
     held: dict[Element, int] = defaultdict(int)
+    direct = set()
     for (b, t), is_content in zip(live, content):
         if is_content:
-            e = b.element
+            e = _section(b.element)
+            direct.add(e)
             while e:
                 if e.tag in SECTION or e.parent is None:
                     held[e] += len(t)
@@ -257,15 +295,27 @@ def main_text(html: str | None) -> str:
     if not held:
         return ""
     enough = HOLDS * max(held.values())
-    container = max((e for e in held if held[e] >= enough), key=lambda e: _depth(e))
-    e = container
-    while e:  # an article is taken as a whole
-        if e.tag in ("article", "main"):
-            container = e
-            if e.tag == "article":
-                break
-        e = e.parent
-    return " ".join(t for b, t in live if _within(b.element, container))
+    container = max((e for e in held if held[e] >= enough), key=_depth)
+    whole = {e for e in (container, *direct) if e.parent}  # never all of the page
+
+    def stays(b: Block) -> bool:
+        e = _section(b.element)
+        if e in direct:
+            return True
+        while e:
+            if e in whole:
+                return b.element.inner == e.inner
+            e = e.parent
+        return False
+
+    keep = [bool(c) or stays(b) for (b, _), c in zip(live, content)]
+    for k in range(len(live) - 2, -1, -1):  # from the end, so that a heading before a heading counts
+        keep[k] = keep[k] or (keep[k + 1] and _heading(live[k][0].element))
+    return " ".join(t for (_, t), k in zip(live, keep) if k)
+
+
+def _heading(e: Element) -> bool:
+    return e.tag in HEADINGS and e.weight == 1
 
 
 def _depth(e: Element) -> int:
@@ -275,14 +325,6 @@ def _depth(e: Element) -> int:
     return d
 
 
-def _within(e: Element | None, container: Element) -> bool:
-    while e:
-        if e is container:
-            return True
-        e = e.parent
-    return False
-
-
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars), one row for each row of ``pages``."""
     def make():

@@ -1,5 +1,8 @@
+import math
+import random
 from html import unescape
 
+import numpy as np
 import pytest
 from helpers import sentence
 
@@ -52,3 +55,79 @@ def test_given_pages_equal_their_article(spark, sf_dir):
     for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
         article = re.search("<article>(.*?)</article>", r.html, re.S)[1]
         assert H.main_text(r.html) == " ".join(unescape(re.sub("<[^>]*>", " ", article)).split())
+
+
+def restated(html, threshold=H.THRESHOLD):
+    """Whether each block is content: path sums, smoothing, fusion and cut, one number after the other."""
+    live = H.live_blocks(html)
+    paths = [b.element.path for b, _ in live]
+    ratio = []
+    for p in paths:
+        own = [(t, min(b.linked, len(t))) for (b, t), q in zip(live, paths) if q == p]
+        text = sum(len(t) for t, _ in own)
+        ratio.append((text / len(own), (1 + sum(len(H.MARKS.findall(t)) for t, _ in own)) / len(own), 1 - sum(k for _, k in own) / max(1, text)))
+    fused = []
+    for i, (b, _) in enumerate(live):
+        near = [(math.exp(-d * d / 2), ratio[i + d]) for d in range(-2, 3) if 0 <= i + d < len(live)]
+        total = sum(w for w, _ in near)
+        fused.append(sum(w * r[0] for w, r in near) / total * ratio[i][1] * ratio[i][2] * b.element.weight)
+    mean = sum(fused) / len(fused)
+    spread = math.sqrt(sum((x - mean) ** 2 for x in fused) / len(fused))
+    return fused, [x >= threshold * (spread + H.OF_MEAN * mean) for x in fused]
+
+
+def random_page(rng):
+    def part(depth):
+        kind = rng.choice(["p", "p", "p", "h2", "ul", "div", "div class=related", "div class=note", "blockquote", "a", "p class=share-price"])
+        if kind.startswith("div") and depth < 3:
+            return f"<{kind}>" + "".join(part(depth + 1) for _ in range(rng.randint(1, 4))) + "</div>"
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{sentence(rng, rng.randint(1, 6))}" for _ in range(rng.randint(1, 4))) + "</ul>"
+        if kind == "a":
+            return f"<p><a href=x>{sentence(rng, 4)}</a></p>"
+        return f"<{kind}>{sentence(rng, rng.randint(1, 40))}</{kind.split(' ')[0]}>"
+    return "<body>" + "".join(part(0) for _ in range(rng.randint(1, 9))) + "</body>"
+
+
+def test_ratios_and_cut_equal_the_plain_restatement():
+    rng = random.Random(11)
+    for page in [PAGE % f"<article>{BODY}</article>", PAGE % f"<div>{BODY}</div>", *(random_page(rng) for _ in range(150))]:
+        live = H.live_blocks(page)
+        if live:
+            fused, content = restated(page)
+            got = H.fused_ratios(live)
+            assert np.allclose(got, fused, rtol=1e-9, atol=1e-9)
+            close = np.abs(got - H.cut(got)) < 1e-6
+            assert ((got >= H.cut(got)) == content)[~close].all()
+            # All content stays.
+            text = H.main_text(page)
+            for (_, t), c, near in zip(live, content, close):
+                assert not c or near or t in text
+
+
+def test_the_threshold_decides():
+    pages = [PAGE % (box % BODY) for box in ("<article>%s</article>", '<div class="content">%s</div>')]
+    for page in pages:
+        assert H.main_text(page, 0) != H.main_text(page)  # everything is content, the sidebar too
+        assert "Popular posts" in H.main_text(page, 0) and H.main_text(page, 1e9) == ""
+
+
+def test_pages_of_divs_keep_title_and_lead():
+    lead = "This is the lead of the text, which says in a line or two, what the text is about, and for whom."
+    paragraphs = [f"Paragraph {i} has a number of words, some commas, and an end. It goes on, for a while." for i in range(30)]
+    page = (f"<body><div class=top><a href=/>Home</a> <a href=/x>All pages</a></div><div class=headline><h1>The title</h1></div><div class=lead><p>{lead}</p></div>"
+            f"<div class=text>{''.join(f'<p>{p}</p>' for p in paragraphs)}<h2>Short</h2><p>Last.</p></div><div class=bottom>Contact us</div></body>")
+    assert H.main_text(page) == " ".join(["The title", lead, *paragraphs, "Short", "Last."])
+
+
+@pytest.mark.parametrize("name", ["share-price", "related", "alert", "notice", "search"])
+def test_paragraphs_of_the_article_stay_whatever_their_class(name):
+    page = PAGE % f"<article><h1>Head</h1><p>First, a sentence. And one more, of some length, to read.</p><p class={name}>The price was 7.50, up from 7.</p><p>End, of it.</p></article>"
+    assert "The price was 7.50, up from 7." in H.main_text(page)
+    inner = PAGE % f"<article><p>First, a sentence. And one more, of some length, to read. It goes on, as it does.</p><div class={name}><p>See also this</p></div><p>End, of it, now.</p></article>"
+    assert "See also this" not in H.main_text(inner)
+
+
+def test_very_long_pages():
+    page = "<p>" + "word, " * 200_000 + "<p>" * 5_000 + "<a " * 50_000
+    assert H.main_text(page).startswith("word, word,")
