@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,15 +31,7 @@ def check_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def check_domain(df: DataFrame, col: str, values=None, low=None, high=None) -> DataFrame:
     """rows whose value is outside an IN-list or a [low, high] range (NULL passes)."""
-    c = F.col(col)
-    bad = F.lit(False)
-    if values is not None:
-        bad = bad | ~c.isin(list(values))
-    if low is not None:
-        bad = bad | (c < low)
-    if high is not None:
-        bad = bad | (c > high)
-    return df.filter(c.isNotNull() & bad)
+    return df.filter(violates_domain(col, values, low, high))
 
 
 def check_foreign_key(child: DataFrame, cols: list[str], parent: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,10 +42,33 @@ def check_foreign_key(child: DataFrame, cols: list[str], parent: DataFrame, keys
 
 
 def cascade_delete(child: DataFrame, cols: list[str], parent: DataFrame, keys: list[str]) -> DataFrame:
-    """ON DELETE CASCADE -- keep child rows whose parent survives (or whose key is NULL)."""
-    p = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, cols)])
+    """ON DELETE CASCADE -- keep child rows whose parent survives (or whose key is NULL). The child is read once."""
+    p = parent.select(*[F.col(k).alias(c) for k, c in zip(keys, cols)]).distinct().withColumn("_survives", F.lit(True))
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return child.filter(null_key).unionByName(child.filter(~null_key).join(p, cols, "left_semi").select(*child.columns))
+    return child.join(p, cols, "left").filter(null_key | F.col("_survives")).select(*child.columns)
+
+
+def row_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(check, violations) of several row checks of one table (a rule is true where it is violated), in one scan."""
+    counts = df.agg(*[F.count(F.when(rule, 1)).alias(f"n{i}") for i, rule in enumerate(rules.values())])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"n{i}").alias("violations"))
+                                            for i, name in enumerate(rules)])))
+
+
+def violates_not_null(cols: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+
+
+def violates_domain(col: str, values=None, low=None, high=None) -> Column:
+    c = F.col(col)
+    bad = F.lit(False)
+    if values is not None:
+        bad = bad | ~c.isin(list(values))
+    if low is not None:
+        bad = bad | (c < low)
+    if high is not None:
+        bad = bad | (c > high)
+    return c.isNotNull() & bad
 
 
 def summary(checks: dict[str, DataFrame]) -> DataFrame:

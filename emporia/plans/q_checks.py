@@ -107,3 +107,14 @@ def q_check_summary(t):
         "stock_range": K.check_domain(t.inventory, "quantity", low=0, high=STOCK_HIGH),
         "cart_not_null": K.check_not_null(t.cart_events, ["product_id", "quantity"]),
     })
+
+
+@register("check_rows", with_sql("""
+    SELECT 'status' AS "check", COUNT(*) FILTER (WHERE status NOT IN ('pending', 'confirmed')) AS violations FROM orders
+    UNION ALL SELECT 'total', COUNT(*) FILTER (WHERE total > 300000) FROM orders
+    UNION ALL SELECT 'customer', COUNT(*) FILTER (WHERE customer_id IS NULL OR order_date IS NULL) FROM orders""", "orders"))
+def q_check_rows(t):
+    """F2 + F3 several row checks of one table in one scan."""
+    return K.row_violations(t.orders, {"status": K.violates_domain("status", values=OPEN_STATUSES),
+                                       "total": K.violates_domain("total", high=300000),
+                                       "customer": K.violates_not_null(["customer_id", "order_date"])})

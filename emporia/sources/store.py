@@ -33,7 +33,7 @@ from emporia.operators import sync as Y
 from emporia.session import path_exists
 
 POINTER = ("table_name string, version long, kind string, label string, created_at timestamp_ntz, rows long, path string, "
-           "keys array<string>, source_version long, stream string, batch_id long, schema_json string, properties string")
+           "keys array<string>, source_version long, streams map<string,long>, schema_json string, properties string")
 MAX_MANUAL_SNAPSHOTS = 10
 
 
@@ -66,8 +66,11 @@ class TableStore:
         return rows if rows and rows[-1]["version"] == version else []
 
     def latest(self, name: str, version: int | None = None):
-        rows = self.history(name, version)
-        return rows[-1] if rows else None
+        """The newest pointer row, or that of a version; the driver gets this one row."""
+        rows = self.versions(name)
+        rows = rows if version is None else rows.filter(F.col("version") == version)
+        found = rows.orderBy(F.col("version").desc()).limit(1).collect()
+        return found[0] if found else None
 
     def latest_version(self, name: str) -> int | None:
         r = self.latest(name)
@@ -80,11 +83,11 @@ class TableStore:
         return max(found) if found else None
 
     def _commit(self, name: str, kind: str, schema: T.StructType, prev, *, path=None, rows=None, keys=None, label=None, at=None,
-                source_version=None, stream=None, batch_id=None, properties=None) -> int:
+                source_version=None, streams=None, properties=None) -> int:
         keep = lambda value, field: value if value is not None else (prev[field] if prev else None)
         row = (name, 0 if prev is None else prev["version"] + 1, kind, label,
                at or dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None), rows, path,
-               list(keys) if keys else (prev["keys"] if prev else None), keep(source_version, "source_version"), stream, batch_id,
+               list(keys) if keys else (prev["keys"] if prev else None), keep(source_version, "source_version"), keep(streams, "streams"),
                schema.json(), keep(json.dumps(properties) if properties else None, "properties"))
         (self.spark.createDataFrame([row], POINTER).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/{name}/_versions"))
@@ -161,6 +164,7 @@ class TableStore:
         prev = prev or self.latest(name)
         if prev is None:
             raise KeyError(f"no table {name}")
+        streams = None if stream is None else dict(prev["streams"] or {}) | {stream: batch_id}
         if not prev["keys"]:
             raise ValueError(f"table {name} has no keys; changes cannot be applied to it")
         schema = T.StructType.fromJson(json.loads(prev["schema_json"]))
@@ -174,7 +178,7 @@ class TableStore:
             return None
         before = prev["source_version"]
         # Changes may arrive out of version order; the copy's version only grows.
-        return self._commit(name, "changes", schema, prev, path=path, rows=n, stream=stream, batch_id=batch_id,
+        return self._commit(name, "changes", schema, prev, path=path, rows=n, streams=streams,
                             source_version=top if before is None else max(top, before))
 
     def snapshot(self, name: str, label: str, kind: str = "manual", at=None) -> int:
@@ -182,12 +186,11 @@ class TableStore:
 
         At most MAX_MANUAL_SNAPSHOTS manual snapshots of a table; one more raises.
         """
-        rows = self.history(name)
-        if not rows:
+        prev = self.latest(name)
+        if prev is None:
             raise KeyError(f"no table {name}")
-        if kind == "manual" and sum(r["kind"] == "snapshot:manual" for r in rows) >= MAX_MANUAL_SNAPSHOTS:
+        if kind == "manual" and self.versions(name).filter("kind = 'snapshot:manual'").count() >= MAX_MANUAL_SNAPSHOTS:
             raise SnapshotLimitError(f"{name} has {MAX_MANUAL_SNAPSHOTS} manual snapshots; delete one first")
-        prev = rows[-1]
         return self._commit(name, f"snapshot:{kind}", T.StructType.fromJson(json.loads(prev["schema_json"])), prev,
                             label=label, at=at)
 
@@ -219,9 +222,10 @@ def sync_continuous(stream: DataFrame, store: TableStore, name: str, checkpoint_
     batch ids start again, is not.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if any(r["stream"] == checkpoint_location and r["batch_id"] == batch_id for r in store.history(name)):
+        prev = store.latest(name)  # carries the last batch of each stream
+        if prev is not None and batch_id <= (prev["streams"] or {}).get(checkpoint_location, -1):
             return
-        store.append_changes(batch, name, stream=checkpoint_location, batch_id=batch_id)
+        store.append_changes(batch, name, stream=checkpoint_location, batch_id=batch_id, prev=prev)
 
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     if query_name:
