@@ -108,3 +108,17 @@ def test_a_third_of_near_copies_is_not_cut():
 def test_empty(spark):
     assert P.search(frame(spark, [])).count() == 0
     assert P.search(frame(spark, [(3, [1.0])])).count() == 0
+
+
+def test_shards_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHARD_ROWS", 1200)
+    rows = random_rows(4000, seed=8)  # four shards
+    want = brute(rows)
+    got = P.search(frame(spark, rows)).collect()
+    assert recall(got, want) >= 0.9
+    assert all(sorted(r.rank for r in got if r.query_id == q) == [1, 2, 3, 4, 5] for q in want)
+    small = random_rows(90, seed=9)  # every shard is searched whole: exact, ties by id over the shards
+    small += [(100 + i, small[0][1]) for i in range(12)]
+    monkeypatch.setattr(P, "SHARD_ROWS", 20)
+    assert {q: [i for _, i in best] for q, best in brute(small).items()} == {
+        q: [r.vec_id for r in sorted(P.search(frame(spark, small)).collect(), key=lambda r: r.rank) if r.query_id == q] for q in brute(small)}
