@@ -173,7 +173,10 @@ def working_set(log: DataFrame, widths=("5 minutes", "15 minutes", "1 hour"), sl
     (pane, item); NULL items are not counted.
     """
     panes, step = _panes(widths, slide), _seconds(slide)
-    n = F.unix_seconds(F.window(F.col(ts).cast("timestamp"), slide).start)
+    # Places are counted from the epoch of the column's own type, so no session time zone is involved.
+    ntz = log.schema[ts].dataType.typeName() == "timestamp_ntz"
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") if ntz else F.timestamp_seconds(F.lit(0))
+    n = F.timestamp_diff("SECOND", epoch, F.window(ts, slide).start)
     seen = (log.filter(F.col(item).isNotNull()).select((n / step).cast("long").alias("_n"), F.col(item).alias("_item")).distinct()
             .withColumn("_before", F.lag("_n").over(Window.partitionBy("_item").orderBy("_n"))))
     steps = F.explode(F.array(*[x for w, k in panes.items() for x in (
@@ -186,7 +189,7 @@ def working_set(log: DataFrame, widths=("5 minutes", "15 minutes", "1 hour"), sl
     until = F.lead("at").over(Window.partitionBy("width").orderBy("at"))
     stretches = counts.withColumn("_until", until).filter("items > 0")
     secs = F.element_at(F.create_map(*[x for w in panes for x in (F.lit(w), F.lit(_seconds(w)))]), F.col("width"))
-    start = F.timestamp_seconds(F.col("_at") * step).cast(log.schema[ts].dataType)
+    start = epoch + F.make_dt_interval(secs=F.col("_at") * step)
     return (stretches.select("width", "items", F.explode(F.sequence("at", F.col("_until") - 1)).alias("_at"))
             .select("width", start.alias("window_start"), (start + F.make_dt_interval(secs=secs)).alias("window_end"), "items"))
 

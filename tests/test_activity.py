@@ -228,6 +228,15 @@ def test_working_set_equals_sets_and_its_sketches(spark, seed):
         got = {(r.width, r.window_start): r.items for r in out.collect()}
         assert got == windows(rows) and len(got) == out.count()
     assert A.working_set(log.limit(0)).count() == 0
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:  # wall times, whatever the session's zone
+        assert {(r.width, r.window_start): r.items for r in A.working_set(log).collect()} == windows(rows)
+        at = log.withColumn("ts", F.col("ts").cast("timestamp"))
+        assert A.working_set(at).schema["window_start"].dataType.typeName() == "timestamp"
+        assert sorted(r.items for r in A.working_set(at).collect()) == sorted(windows(rows).values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
 
 
 def test_sketches_stay_within_their_error_and_copy_no_item(spark):
