@@ -99,3 +99,39 @@ def test_odd_and_empty_tables(spark):
     ids = [d for _, _, d in by_start]
     assert ids == sorted(ids, key=lambda d: (d is not None, d or 0))
     assert H.round_trip(empty_docs(spark)).count() == 0
+
+
+def cheapest(counts, limit):
+    """The least cost of a prefix code of at most ``limit`` bits: all ways to give sorted counts their lengths."""
+    ordered = sorted(counts, reverse=True)  # a cheapest code gives rarer ids no shorter codes
+
+    def best(i, least, room):
+        """Least cost of counts[i:] with lengths of ``least`` bits and more, in ``room`` units of 2^-limit."""
+        if i == len(ordered):
+            return 0
+        found = None
+        for bits in range(least, limit + 1):
+            if (len(ordered) - i) <= room and 2 ** (limit - bits) <= room:
+                rest = best(i + 1, bits, room - 2 ** (limit - bits))
+                if rest is not None and (found is None or rest + bits * ordered[i] < found):
+                    found = rest + bits * ordered[i]
+        return found
+    return best(0, 1, 2 ** limit)
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.integers(2, 4).flatmap(lambda limit: st.tuples(st.just(limit), st.lists(st.one_of(
+    st.integers(1, 5), st.integers(1, 10_000)), min_size=2, max_size=min(9, 2 ** limit)))))
+def test_lengths_are_optimal_where_the_limit_binds(case):
+    limit, counts = case
+    bits = H.code_lengths(np.array(counts), limit)
+    assert bits.max() <= limit and (2.0 ** -bits).sum() <= 1
+    assert int((bits * counts).sum()) == cheapest(counts, limit)
+
+
+def test_a_steep_distribution_meets_the_limit():
+    counts = [2 ** k for k in range(9)]
+    assert H.code_lengths(np.array(counts), 60).max() == 8
+    for limit in (4, 5, 6, 7):
+        bits = H.code_lengths(np.array(counts), limit)
+        assert bits.max() == limit and int((bits * counts).sum()) == cheapest(counts, limit)
