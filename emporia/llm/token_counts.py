@@ -162,13 +162,13 @@ class CountTransducer:
     def _reset(self) -> None:
         self.fragment: list[str] = [""]  # of each state
         self.move: list[dict[str, tuple[int, int]]] = [{}]  # letter -> (next state, tokens)
-        self.tokens: list[tuple[int, int]] = [(0, -1)]  # number of tokens of the fragment, and the last one
+        self.tokens: list[tuple[int, int] | None] = [(0, -1)]  # number of tokens of the fragment and the last one, once asked for
         self.at_end: list[int | None] = [0]  # tokens if the word ends here
         self.own: dict[str, int] = {}  # state of a fragment
 
     def _last_token(self, fragment: str, mark: str) -> tuple[int, int]:
         """(number of tokens, last token) of a fragment all of whose shorter beginnings have states."""
-        tails, own, tokens, may_follow = self.tails[mark], self.own, self.tokens, self.near.may_follow
+        tails, own, may_follow = self.tails[mark], self.own, self.near.may_follow
         at, ends = len(fragment), []
         while at:  # the ends of the fragment that are tokens, or ends of tokens
             token = tails.get(fragment[at - 1:])
@@ -180,22 +180,27 @@ class CountTransducer:
         while ends:  # the longest first; exactly one fits
             at, token = ends.pop()
             if at:
-                count, before = tokens[own[fragment[:at]]]
+                count, before = self._tokens_of(own[fragment[:at]])
                 if may_follow(before, token):
                     return count + 1, token
             elif self.near.edges_of(token):
                 return 1, token
         raise ValueError(f"no token ends {fragment!r}")
 
+    def _tokens_of(self, state: int) -> tuple[int, int]:
+        found = self.tokens[state]
+        if found is None:
+            found = self.tokens[state] = self._last_token(self.fragment[state], "")
+        return found
+
     def _state(self, fragment: str) -> int:
         s = self.own.get(fragment)
         if s is None:
             self.compiled += 1
-            found = self._last_token(fragment, "")
             s = self.own[fragment] = len(self.fragment)
             self.fragment.append(fragment)
             self.move.append({})
-            self.tokens.append(found)
+            self.tokens.append(None)
             self.at_end.append(None)
         return s
 
@@ -214,7 +219,7 @@ class CountTransducer:
         elif before[-1] + letter in self.bpe.inside:
             step = self._state(before + letter), 0
         else:
-            step = self._state(letter), self.tokens[state][0]
+            step = self._state(letter), self._tokens_of(state)[0]
         self.move[state][letter] = step
         return step
 

@@ -81,7 +81,7 @@ def test_states_have_the_numbers_of_merging():
         pieces = m.bpe.split_word(word)
         assert m.word(word) == sum(m._count(f, k == len(pieces) - 1) for k, f in enumerate(pieces))
     for s in range(1, len(m.fragment)):
-        assert m.tokens[s][0] == m._count(m.fragment[s], False)
+        assert m._tokens_of(s)[0] == m._count(m.fragment[s], False)
 
 
 def test_tokens_that_follow_each_other_are_those_of_merging():
