@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from emporia.llm.common import Memo, map_rows, pieces, worker_model
 
 WORD_BPE = "word_bpe_49k.json"
-MEMO = 200_000  # units and fragments that a worker remembers, in each of two generations
+MEMO = 120_000  # units and fragments that a worker remembers, in each of two generations
 BATCH_CHARS = 2_000_000  # texts whose new fragments are encoded together
 
 #: White space as the tokenizers' patterns know it (Unicode White_Space).
