@@ -249,9 +249,9 @@ class CountTransducer:
         """``run`` for many runs, which are normalised and split into words together."""
         return [sum(map(self.word, words)) for words in self.bpe.words(runs)]
 
-    def chunk_map(self, chunk: str, known: dict[str, int] | None = None) -> tuple[str, int, str | None]:
+    def chunk_map(self, chunk: str, runs: list[str] | None = None, known: dict[str, int] | None = None) -> tuple[str, int, str | None]:
         """(head, tokens between, tail); the tail is None if the chunk has no white space."""
-        runs = self.bpe.plain_units(chunk)
+        runs = self.bpe.plain_units(chunk) if runs is None else runs
         if not runs:
             return ("", 0, "") if chunk else ("", 0, None)
         white = self.bpe._white
@@ -294,8 +294,9 @@ class CountTransducer:
                     first = len(chunks)
                     chunks += [part[a:a + CHUNK_CHARS] for a in range(0, len(part), CHUNK_CHARS)]
                     places.append((i, first, len(chunks)))
-        known = self.runs.learn({r for c in chunks for r in self.bpe.plain_units(c)})
-        maps = [self.chunk_map(c, known) for c in chunks]
+        split = [self.bpe.plain_units(c) for c in chunks]
+        known = self.runs.learn(set().union(*split))
+        maps = [self.chunk_map(c, runs, known) for c, runs in zip(chunks, split)]
         for i, first, end in places:
             head, between, tail = self.prefix_scan(maps[first:end])[-1]
             out[i] += sum([known[x] if x in known else self.run(x) for x in (head, tail) if x]) + between
